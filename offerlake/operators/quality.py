@@ -74,19 +74,21 @@ def observe_expiry(cleaned: DataFrame, name: str = "expiry") -> tuple[DataFrame,
     return out, obs
 
 
-def stage_counts(validated: DataFrame, cleaned: DataFrame) -> DataFrame:
-    """All stage counts of a run as one row, in one aggregation per input."""
-    v = validated.agg(
+def stage_counts(validated: DataFrame, days_left: Column) -> DataFrame:
+    """All stage counts of a run as one row, in a single aggregation pass.
+
+    ``validated`` carries ``validation_errors``; ``days_left`` is the expiry expression
+    (only meaningful on valid rows, which is all it is counted on).
+    """
+    ok = F.col(ERRORS_COL) == ""
+    return validated.agg(
         F.count(F.lit(1)).alias("bronze"),
-        F.count_if(F.col(ERRORS_COL) == "").alias("valid"),
-        F.count_if(F.col(ERRORS_COL) != "").alias("dropped"),
-    )
-    c = cleaned.agg(
-        F.count(F.lit(1)).alias("before_filter"),
-        F.count_if(F.col("days_left") >= 0).alias("after_filter"),
-        F.count_if(F.col("days_left").isNull()).alias("unparsed_expiry"),
+        F.count_if(ok).alias("valid"),
+        F.count_if(~ok).alias("dropped"),
+        F.count_if(ok).alias("before_filter"),
+        F.count_if(ok & (days_left >= 0)).alias("after_filter"),
+        F.count_if(ok & days_left.isNull()).alias("unparsed_expiry"),
     )
-    return v.crossJoin(c)  # one row x one row
 
 
 def reconcile(counts: DataFrame, count_expired: bool = True) -> DataFrame:

@@ -333,3 +333,120 @@ def oracle_queries() -> dict[str, str]:
     out.update(gold_sql())
     out.update(silver_sql())
     return out
+
+
+def _rule(raw: str, expr: str, out: str) -> str:
+    return with_raw(f"SELECT job_url, {raw}, {expr} AS {out} FROM raw")
+
+
+_STAGE = f"""
+SELECT COUNT(*) AS bronze,
+       COUNT(*) FILTER (WHERE validation_errors = '') AS valid,
+       COUNT(*) FILTER (WHERE validation_errors <> '') AS dropped,
+       COUNT(*) FILTER (WHERE validation_errors = '') AS before_filter,
+       COUNT(*) FILTER (WHERE validation_errors = '' AND
+             date_diff('day', {AS_OF}, TRY_CAST({convert_date_sql('expiration_date')} AS DATE)) >= 0) AS after_filter,
+       COUNT(*) FILTER (WHERE validation_errors = '' AND
+             TRY_CAST({convert_date_sql('expiration_date')} AS DATE) IS NULL) AS unparsed_expiry
+FROM validated"""
+
+_DROPPED = f"""
+SELECT job_listing_id, job_title, company_name, validation_errors AS reason_dropped, ingestion_timestamp,
+       TIMESTAMP '{RUN_TS}' AS validation_timestamp, DATE '1998-06-01' AS validation_date
+FROM validated WHERE validation_errors <> ''"""
+
+_LANDING = [c.strip() for c in LANDING_COLS.split(",")]
+
+
+def operator_sql() -> dict[str, str]:
+    q = {}
+    q["convert_date"] = with_raw(f"""
+SELECT job_url, expiration_date AS expiration_raw, {convert_date_sql('expiration_date')} AS expiration_iso,
+       TRY_CAST({convert_date_sql('expiration_date')} AS DATE) AS expiration_date,
+       job_posting_date AS posting_raw, {convert_date_sql('job_posting_date')} AS posting_iso,
+       TRY_CAST({convert_date_sql('job_posting_date')} AS DATE) AS job_posting_date
+FROM raw""")
+    ok = "remuneration IS NOT NULL AND remuneration <> '' AND NOT contains(lower(remuneration), 'null')"
+    lo = salary_side_sql(f"regexp_extract({_norm_spaces('remuneration')}, {_SAL_RE}, 1)")
+    hi = salary_side_sql(f"regexp_extract({_norm_spaces('remuneration')}, {_SAL_RE}, 2)")
+    q["extract_salary_range"] = with_raw(f"""
+SELECT job_url, remuneration,
+       CASE WHEN {ok} AND {hi} IS NOT NULL THEN {lo} END AS min_salary,
+       CASE WHEN {ok} AND {lo} IS NOT NULL THEN {hi} END AS max_salary
+FROM raw""")
+    q["translate_frequency"] = _rule("frequency", frequency_sql("frequency"), "frequency_clean")
+    q["translate_work_modes"] = _rule("work_mode", work_modes_sql("work_mode"), "work_mode_clean")
+    q["translate_contract_type"] = _rule("contract_type", contract_sql("contract_type"), "contract_type_clean")
+    q["clean_location"] = _rule("location", location_sql("location"), "location_clean")
+    q["clean_job_level"] = _rule("job_level", level_sql("job_level"), "job_level_clean")
+    q["listing_id"] = with_raw("SELECT job_url, job_listing_id FROM raw")
+    q["validation_errors"] = with_raw(f"SELECT job_url, {_VALIDATION} AS validation_errors FROM raw")
+    q["expiry_bucket"] = with_silver(
+        f"SELECT job_url, days_left, {_expiry_case('days_left')} AS expiry_status FROM all_clean")
+    q["posting_bucket"] = with_silver(
+        f"SELECT job_url, days_since_posted, {_posting_case('days_since_posted')} AS posting_status FROM all_clean")
+    q["salary_by_frequency"] = with_silver(
+        "SELECT job_url, frequency, min_salary, max_salary, min_salary_mth, max_salary_mth, "
+        "min_salary_hr, max_salary_hr FROM all_clean")
+    q["dropped_records"] = with_silver(_DROPPED)
+    q["drop_reasons"] = with_silver(f"SELECT reason_dropped, COUNT(*) AS count FROM ({_DROPPED}) d GROUP BY reason_dropped")
+    q["stage_counts"] = with_silver(_STAGE)
+    q["reconcile"] = with_silver(f"""
+SELECT bronze, dropped, before_filter - after_filter AS filtered, after_filter AS silver,
+       bronze - dropped - (before_filter - after_filter) AS expected,
+       abs(after_filter - (bronze - dropped - (before_filter - after_filter))) AS difference,
+       CASE WHEN after_filter = bronze - dropped - (before_filter - after_filter) THEN 'PASSED' ELSE 'WARNING' END AS status
+FROM ({_STAGE}) s""")
+    q["reconcile_reference"] = with_silver(f"""
+SELECT bronze, dropped, before_filter - after_filter AS filtered, after_filter AS silver,
+       bronze - dropped AS expected, abs(after_filter - (bronze - dropped)) AS difference,
+       CASE WHEN after_filter = bronze - dropped THEN 'PASSED' ELSE 'WARNING' END AS status
+FROM ({_STAGE}) s""")
+    q["run_summary"] = with_silver(f"""
+SELECT bronze AS processed, dropped, before_filter - after_filter AS filtered, after_filter AS loaded
+FROM ({_STAGE}) s""")
+    q["layer_counts"] = with_silver("""
+SELECT 'bronze' AS layer, COUNT(*) AS row_count FROM raw
+UNION ALL SELECT 'dropped_records_log', COUNT(*) FROM validated WHERE validation_errors <> ''
+UNION ALL SELECT 'silver', COUNT(*) FROM silver""")
+    unions = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count, COUNT(*) AS row_count FROM raw"
+        for c in _LANDING)
+    q["profile_nulls"] = with_raw(unions)
+    meta = (f"'derived:orders' AS source_file, TIMESTAMP '{RUN_TS}' AS _bronze_ingestion_time, "
+            "DATE '1998-06-01' AS _record_processed_date")
+    q["bronze_metadata"] = with_raw(f"SELECT {LANDING_COLS}, {meta} FROM raw")
+    q["bronze_summary"] = with_raw(f"""
+SELECT 'ETL Bronze Complete' AS status, TIMESTAMP '{RUN_TS}' AS completion_time,
+       COUNT(DISTINCT job_listing_id) AS total_unique_jobs, TIMESTAMP '{RUN_TS}' AS last_loaded FROM raw""")
+    q["explode_technologies"] = with_silver(""",
+tech AS (
+  SELECT trim(item) AS technology, job_listing_id, company_name FROM (
+    SELECT unnest(string_split(expected_technologies, ',')) AS item, job_listing_id, company_name
+    FROM silver WHERE expected_technologies IS NOT NULL AND expected_technologies <> '') x
+)
+SELECT technology, job_listing_id, company_name FROM tech""")
+    other = ", ".join(c for c in _LANDING if c not in ("job_title", "ingestion_timestamp"))
+    q["dedup_latest"] = with_raw(f"""
+, snaps AS (
+  SELECT {LANDING_COLS}, 'snapshot_a.csv' AS source_file FROM raw
+  UNION ALL BY NAME
+  SELECT {other.replace('job_listing_id, ', 'job_listing_id, job_title || \' [re-listed]\' AS job_title, ')},
+         CASE WHEN k % 2 = 0 THEN '{LATER_TS}' ELSE '1998-05-31 02:00:00' END AS ingestion_timestamp,
+         'snapshot_b.csv' AS source_file FROM raw
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY job_listing_id
+            ORDER BY ingestion_timestamp DESC, source_file DESC, job_url DESC) AS rn FROM snaps
+)
+SELECT {LANDING_COLS}, source_file FROM ranked WHERE job_listing_id IS NULL OR rn = 1""")
+    return q
+
+
+_base_oracle = oracle_queries
+
+
+def oracle_queries() -> dict[str, str]:  # noqa: F811
+    out = _base_oracle()
+    out.update(operator_sql())
+    return out

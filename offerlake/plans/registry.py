@@ -51,3 +51,192 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["gold_dashboard"] = q_gold_dashboard
     q["silver_listings"] = q_silver_listings
     return q
+
+
+# ---------------------------------------------------------------------------
+# Operator-level queries: each applies one operator to every derived listing.
+# ---------------------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..functions import buckets as B  # noqa: E402
+from ..functions import cleaning as C  # noqa: E402
+from ..functions.ids import listing_id  # noqa: E402
+from ..operators import dedup as D  # noqa: E402
+from ..operators import quality as Q  # noqa: E402
+from .bronze import bronze_metadata, bronze_summary  # noqa: E402
+from .silver import clean_listings  # noqa: E402
+
+RUN_TS = derived.RUN_TIMESTAMP
+LATER_TS = "1998-06-02 02:00:00"
+EARLIER_TS = "1998-05-31 02:00:00"
+
+
+def _per_listing(spark, sf_dir, *cols):
+    return derived_bronze(spark, sf_dir).select("job_url", *cols)
+
+
+def q_convert_date(spark, sf_dir):
+    return _per_listing(
+        spark, sf_dir,
+        F.col("expiration_date").alias("expiration_raw"),
+        C.convert_date("expiration_date").alias("expiration_iso"),
+        C.to_listing_date("expiration_date").alias("expiration_date"),
+        F.col("job_posting_date").alias("posting_raw"),
+        C.convert_date("job_posting_date").alias("posting_iso"),
+        C.to_listing_date("job_posting_date").alias("job_posting_date"))
+
+
+def q_extract_salary_range(spark, sf_dir):
+    df = _per_listing(spark, sf_dir, "remuneration", C.extract_salary_range("remuneration").alias("s"))
+    return df.select("job_url", "remuneration", "s.min_salary", "s.max_salary")
+
+
+def _one_rule(raw: str, fn, out: str):
+    def run(spark, sf_dir):
+        return _per_listing(spark, sf_dir, F.col(raw), fn(raw).alias(out))
+    return run
+
+
+def q_listing_id(spark, sf_dir):
+    return derived_bronze(spark, sf_dir).select("job_url", listing_id("job_url").alias("job_listing_id"))
+
+
+def q_validation_errors(spark, sf_dir):
+    return Q.with_validation(derived_bronze(spark, sf_dir)).select("job_url", Q.ERRORS_COL)
+
+
+def _all_cleaned(spark, sf_dir):
+    """Cleaned valid rows before the active-only filter."""
+    return clean_listings(Q.valid_rows(Q.with_validation(derived_bronze(spark, sf_dir))), as_of=AS_OF)
+
+
+def q_expiry_bucket(spark, sf_dir):
+    return _all_cleaned(spark, sf_dir).select("job_url", "days_left",
+                                              B.expiry_bucket("days_left").alias("expiry_status"))
+
+
+def q_posting_bucket(spark, sf_dir):
+    return _all_cleaned(spark, sf_dir).select("job_url", "days_since_posted",
+                                              B.posting_bucket("days_since_posted").alias("posting_status"))
+
+
+def q_salary_by_frequency(spark, sf_dir):
+    return _all_cleaned(spark, sf_dir).select("job_url", "frequency", "min_salary", "max_salary",
+                                              "min_salary_mth", "max_salary_mth", "min_salary_hr",
+                                              "max_salary_hr")
+
+
+def q_dropped_records(spark, sf_dir):
+    validated = Q.with_validation(derived_bronze(spark, sf_dir))
+    return Q.dropped_projection(Q.dropped_rows(validated), validated_at=RUN_TS)
+
+
+def q_drop_reasons(spark, sf_dir):
+    return Q.drop_reasons(q_dropped_records(spark, sf_dir))
+
+
+def _stage_counts(spark, sf_dir):
+    validated = Q.with_validation(derived_bronze(spark, sf_dir))
+    return Q.stage_counts(validated, C.days_left(C.to_listing_date("expiration_date"), AS_OF))
+
+
+def q_stage_counts(spark, sf_dir):
+    return _stage_counts(spark, sf_dir)
+
+
+def q_reconcile(spark, sf_dir):
+    return Q.reconcile(_stage_counts(spark, sf_dir), count_expired=True)
+
+
+def q_reconcile_reference(spark, sf_dir):
+    return Q.reconcile(_stage_counts(spark, sf_dir), count_expired=False)
+
+
+def q_run_summary(spark, sf_dir):
+    return Q.run_summary(_stage_counts(spark, sf_dir))
+
+
+def q_layer_counts(spark, sf_dir):
+    bronze = derived_bronze(spark, sf_dir)
+    validated = Q.with_validation(bronze)
+    return Q.layer_counts({
+        "bronze": bronze,
+        "dropped_records_log": Q.dropped_rows(validated),
+        "silver": derived_silver(spark, sf_dir),
+    })
+
+
+def q_profile_nulls(spark, sf_dir):
+    return Q.profile_nulls(derived_bronze(spark, sf_dir))
+
+
+def _bronze_table(spark, sf_dir):
+    return bronze_metadata(derived_bronze(spark, sf_dir), source_file="derived:orders", loaded_at=RUN_TS)
+
+
+def q_bronze_metadata(spark, sf_dir):
+    return _bronze_table(spark, sf_dir)
+
+
+def q_bronze_summary(spark, sf_dir):
+    return bronze_summary(_bronze_table(spark, sf_dir), completed_at=RUN_TS)
+
+
+def q_explode_technologies(spark, sf_dir):
+    from .gold import explode_technologies
+    return explode_technologies(derived_silver(spark, sf_dir))
+
+
+def two_snapshots(spark, sf_dir):
+    """Snapshot A (first run) and a re-scrape B of every listing: B is newer for even
+    order keys and older (a late file) for odd ones, with a changed title."""
+    a = derived_bronze(spark, sf_dir).withColumn("source_file", F.lit("snapshot_a.csv"))
+    k = F.substring_index("job_url", "-", -1).cast("bigint")
+    b = (derived_bronze(spark, sf_dir)
+         .withColumn("job_title", F.concat(F.col("job_title"), F.lit(" [re-listed]")))
+         .withColumn("ingestion_timestamp",
+                     F.when(k % 2 == 0, F.lit(LATER_TS)).otherwise(F.lit(EARLIER_TS)))
+         .withColumn("source_file", F.lit("snapshot_b.csv")))
+    return a, b
+
+
+def q_dedup_latest(spark, sf_dir):
+    a, b = two_snapshots(spark, sf_dir)
+    return D.dedup_latest(a.unionByName(b))
+
+
+_EXTRA = {
+    "convert_date": q_convert_date,
+    "extract_salary_range": q_extract_salary_range,
+    "translate_frequency": _one_rule("frequency", C.translate_frequency, "frequency_clean"),
+    "translate_work_modes": _one_rule("work_mode", C.translate_work_modes, "work_mode_clean"),
+    "translate_contract_type": _one_rule("contract_type", C.translate_contract_type, "contract_type_clean"),
+    "clean_location": _one_rule("location", C.clean_location, "location_clean"),
+    "clean_job_level": _one_rule("job_level", C.clean_job_level, "job_level_clean"),
+    "listing_id": q_listing_id,
+    "validation_errors": q_validation_errors,
+    "expiry_bucket": q_expiry_bucket,
+    "posting_bucket": q_posting_bucket,
+    "salary_by_frequency": q_salary_by_frequency,
+    "dropped_records": q_dropped_records,
+    "drop_reasons": q_drop_reasons,
+    "stage_counts": q_stage_counts,
+    "reconcile": q_reconcile,
+    "reconcile_reference": q_reconcile_reference,
+    "run_summary": q_run_summary,
+    "layer_counts": q_layer_counts,
+    "profile_nulls": q_profile_nulls,
+    "bronze_metadata": q_bronze_metadata,
+    "bronze_summary": q_bronze_summary,
+    "explode_technologies": q_explode_technologies,
+    "dedup_latest": q_dedup_latest,
+}
+
+_base_queries = queries
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
+    q = _base_queries()
+    q.update(_EXTRA)
+    return q
