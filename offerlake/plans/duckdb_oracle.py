@@ -450,3 +450,17 @@ def oracle_queries() -> dict[str, str]:  # noqa: F811
     out = _base_oracle()
     out.update(operator_sql())
     return out
+
+
+def landing_sql() -> dict[str, str]:
+    return {"latest_snapshot": with_raw(
+        f"SELECT {LANDING_COLS}, TIMESTAMP '{RUN_TS}' AS snapshot_ts FROM raw")}
+
+
+_base_oracle2 = oracle_queries
+
+
+def oracle_queries() -> dict[str, str]:  # noqa: F811
+    out = _base_oracle2()
+    out.update(landing_sql())
+    return out

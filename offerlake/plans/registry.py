@@ -240,3 +240,37 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F
     q = _base_queries()
     q.update(_EXTRA)
     return q
+
+
+# ---------------------------------------------------------------------------
+# Landing: CSV sink -> snapshot discovery -> by-name scan.
+# ---------------------------------------------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from ..schemas import LANDING_COLUMNS  # noqa: E402
+from ..session import shared_path  # noqa: E402
+from ..sources import landing as L  # noqa: E402
+
+OLD_RUN = _dt.datetime(1998, 5, 31, 2, 0, 0)
+NEW_RUN = _dt.datetime(1998, 6, 1, 2, 0, 0)
+
+
+def write_landing_fixture(spark, sf_dir) -> str:
+    """Land the derived listings as an older and a newer snapshot plus an export whose
+    name carries no timestamp; returns the landing directory."""
+    landing = shared_path(spark, "landing", unique=True)
+    rows = derived_bronze(spark, sf_dir)
+    L.write_csv_snapshot(rows.withColumn("job_title", F.concat("job_title", F.lit(" [old]"))), landing, OLD_RUN)
+    L.write_csv_snapshot(rows, landing, NEW_RUN)
+    rows.write.options(**L.CSV_WRITE_OPTIONS).csv(f"{landing}/manual_export.csv")
+    return landing
+
+
+def q_latest_snapshot(spark, sf_dir):
+    landing = write_landing_fixture(spark, sf_dir)
+    df = L.read_landing_csv(spark, L.latest_snapshot(spark, landing))
+    return df.select(*LANDING_COLUMNS, L.name_timestamp(F.col("source_file")).alias("snapshot_ts"))
+
+
+_EXTRA["latest_snapshot"] = q_latest_snapshot
