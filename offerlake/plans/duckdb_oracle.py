@@ -464,3 +464,69 @@ def oracle_queries() -> dict[str, str]:  # noqa: F811
     out = _base_oracle2()
     out.update(landing_sql())
     return out
+
+
+def _decode(x: str) -> str:
+    return (f"replace(replace(replace(replace(replace(replace({x}, '&quot;', '\"'), '&copy;', chr(169)), "
+            f"'&middot;', chr(183)), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')")
+
+
+def _pystrip(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def _text_nodes(fragment: str) -> str:
+    """Concatenated stripped text nodes of an HTML fragment without comments/scripts."""
+    pieces = f"string_split(regexp_replace({fragment}, '<[^>]*>', chr(1), 'g'), chr(1))"
+    return f"array_to_string(list_transform({pieces}, lambda x: {_pystrip(_decode('x'))}), '')"
+
+
+def pages_sql() -> dict[str, str]:
+    q = {}
+    links = ("list_filter(list_transform(regexp_extract_all(html, '<li><a href=\"[^\"]*\">([^<]*)</a></li>', 1), "
+             f"lambda x: {_pystrip(_decode('x'))}), lambda x: x <> '')")
+    q["html_fields"] = f"""
+SELECT page_id, url,
+  {_pystrip(_decode("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)"))} AS title,
+  {_pystrip(_decode("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)"))} AS heading,
+  {_text_nodes("regexp_extract(html, '(?s)<div class=\"ad\">(.*?)</div>', 1)")} AS ad_text,
+  {_text_nodes("regexp_extract(html, '(?s)<footer>(.*?)</footer>', 1)")} AS footer_text,
+  {_text_nodes("regexp_extract(html, '(?s)<article>(.*)</article>', 1)")} AS article_text,
+  array_to_string({links}, ' | ') AS nav_links,
+  CAST(len({links}) AS INTEGER) AS nav_count
+FROM pages"""
+    miss = "k % 59 = 0"
+    detail_cols = f"""
+  job_url,
+  CASE WHEN {miss} THEN NULL ELSE trim(expiration_date) END AS expiration_date,
+  CASE WHEN {miss} THEN NULL ELSE trim(job_posting_date) END AS job_posting_date,
+  CASE WHEN {miss} THEN NULL ELSE job_level END AS job_level,
+  CASE WHEN {miss} THEN NULL ELSE contract_type END AS contract_type,
+  CASE WHEN {miss} THEN NULL ELSE remuneration END AS remuneration,
+  CASE WHEN {miss} THEN NULL ELSE frequency END AS frequency,
+  CASE WHEN {miss} THEN NULL ELSE gross_or_net END AS gross_or_net,
+  CASE WHEN {miss} THEN '' ELSE coalesce(expected_technologies, '') END AS expected_technologies,
+  CASE WHEN {miss} THEN NULL ELSE address_1 END AS address_1,
+  CASE WHEN {miss} THEN NULL ELSE address_2 END AS address_2,
+  CASE WHEN {miss} THEN '' ELSE requirements END AS requirements,
+  CASE WHEN {miss} THEN '' ELSE responsibilities END AS responsibilities"""
+    q["detail_fields"] = with_raw(f"SELECT {detail_cols} FROM raw")
+    q["listing_cards"] = with_raw(
+        "SELECT job_listing_id, job_url, job_title, company_name, location, work_mode FROM raw")
+    q["assemble_listings"] = with_raw(f"""
+, det AS (SELECT {detail_cols} FROM raw)
+SELECT r.job_listing_id, r.job_title, d.expiration_date, d.job_posting_date, r.company_name, r.location,
+       d.address_1, d.address_2, r.work_mode, d.job_level, d.contract_type, d.remuneration, d.frequency,
+       d.gross_or_net, d.expected_technologies, d.requirements, d.responsibilities,
+       r.ingestion_timestamp, r.ingestion_date, r.job_url
+FROM raw r JOIN det d ON r.job_url = d.job_url""")
+    return q
+
+
+_base_oracle3 = oracle_queries
+
+
+def oracle_queries() -> dict[str, str]:  # noqa: F811
+    out = _base_oracle3()
+    out.update(pages_sql())
+    return out

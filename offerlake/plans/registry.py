@@ -274,3 +274,51 @@ def q_latest_snapshot(spark, sf_dir):
 
 
 _EXTRA["latest_snapshot"] = q_latest_snapshot
+
+
+# ---------------------------------------------------------------------------
+# Pages: HTML extraction (one parse per page) and listing assembly.
+# ---------------------------------------------------------------------------
+
+from ..sources import pages as P  # noqa: E402
+from ..sources.tables import pages_scan  # noqa: E402
+
+
+def _order_key() -> F.Column:
+    return F.substring_index("job_url", "-", -1).cast("bigint")
+
+
+def q_html_fields(spark, sf_dir):
+    ex = P.generic_fields(pages_scan(spark, sf_dir))
+    return ex.select("page_id", "url", "title", "heading", "ad_text", "footer_text", "article_text",
+                     F.array_join("nav_links", " | ").alias("nav_links"),
+                     F.size("nav_links").alias("nav_count"))
+
+
+def fixture_pages(spark, sf_dir):
+    return P.render_fixture_pages(derived_bronze(spark, sf_dir), _order_key())
+
+
+def q_detail_fields(spark, sf_dir):
+    _, details = fixture_pages(spark, sf_dir)
+    d = P.detail_fields(details)
+    return d.select(*[F.array_join(c, ", " if c == "expected_technologies" else " | ").alias(c)
+                      if c in ("expected_technologies", "requirements", "responsibilities") else F.col(c)
+                      for c in d.columns])
+
+
+def q_listing_cards(spark, sf_dir):
+    list_pages, _ = fixture_pages(spark, sf_dir)
+    return P.listing_cards(list_pages)
+
+
+def q_assemble_listings(spark, sf_dir):
+    list_pages, details = fixture_pages(spark, sf_dir)
+    return P.assemble_listings(P.listing_cards(list_pages), P.detail_fields(details),
+                               RUN_TS, derived.RUN_DATE)
+
+
+_EXTRA["html_fields"] = q_html_fields
+_EXTRA["detail_fields"] = q_detail_fields
+_EXTRA["listing_cards"] = q_listing_cards
+_EXTRA["assemble_listings"] = q_assemble_listings
