@@ -530,3 +530,20 @@ def oracle_queries() -> dict[str, str]:  # noqa: F811
     out = _base_oracle3()
     out.update(pages_sql())
     return out
+
+
+def streaming_sql() -> dict[str, str]:
+    old_cols = LANDING_COLS.replace("job_title,", "job_title || ' [old]' AS job_title,", 1)
+    return {"file_arrival_ingest": with_raw(f"""
+SELECT {old_cols}, TIMESTAMP '1998-05-31 02:00:00' AS snapshot_ts FROM raw
+UNION ALL SELECT {LANDING_COLS}, TIMESTAMP '{RUN_TS}' AS snapshot_ts FROM raw
+UNION ALL SELECT {LANDING_COLS}, CAST(NULL AS TIMESTAMP) AS snapshot_ts FROM raw""")}
+
+
+_base_oracle4 = oracle_queries
+
+
+def oracle_queries() -> dict[str, str]:  # noqa: F811
+    out = _base_oracle4()
+    out.update(streaming_sql())
+    return out

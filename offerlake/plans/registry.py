@@ -322,3 +322,24 @@ _EXTRA["html_fields"] = q_html_fields
 _EXTRA["detail_fields"] = q_detail_fields
 _EXTRA["listing_cards"] = q_listing_cards
 _EXTRA["assemble_listings"] = q_assemble_listings
+
+
+# ---------------------------------------------------------------------------
+# Streaming: incremental file-arrival ingestion into Bronze history.
+# ---------------------------------------------------------------------------
+
+from ..streaming import ingest as S  # noqa: E402
+
+
+def q_file_arrival_ingest(spark, sf_dir):
+    """Land three files, ingest them with an availableNow stream, read Bronze back."""
+    landing = write_landing_fixture(spark, sf_dir)
+    bronze_path = shared_path(spark, "bronze_stream", unique=True)
+    checkpoint = shared_path(spark, "stream_checkpoints", unique=True)
+    S.file_arrival_ingest(spark, f"{landing}/*.csv/*.csv", checkpoint,
+                          S.bronze_batch_writer(bronze_path, loaded_at=RUN_TS))
+    bronze = spark.read.parquet(bronze_path)
+    return bronze.select(*LANDING_COLUMNS, L.name_timestamp(F.col("source_file")).alias("snapshot_ts"))
+
+
+_EXTRA["file_arrival_ingest"] = q_file_arrival_ingest
