@@ -105,14 +105,14 @@ def clean_location(c: Column | str) -> Column:
 def translate_work_modes(c: Column | str) -> Column:
     """Split on ',', strip + lower each item, translate known Polish modes, join ', '."""
     raw = col_of(c)
-    modes = literal_map(WORK_MODES)
+    return F.when(blank_to_null(raw).isNotNull(),
+                  F.array_join(F.transform(F.split(raw, ",", -1), translate_work_mode), ", "))
 
-    def one(m: Column) -> Column:
-        key = F.lower(ustrip(m))
-        return F.coalesce(F.try_element_at(modes, key), key)
 
-    return F.when(blank_to_null(raw).isNotNull(),
-                  F.array_join(F.transform(F.split(raw, ",", -1), one), ", "))
+def translate_work_mode(m: Column) -> Column:
+    """One work-mode item: stripped, lower-cased, translated when known."""
+    key = F.lower(ustrip(m))
+    return F.coalesce(F.try_element_at(literal_map(WORK_MODES), key), key)
 
 
 def clean_job_level(c: Column | str) -> Column:

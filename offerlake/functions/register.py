@@ -1,8 +1,9 @@
 """SQL-callable registrations of the cleaning rules.
 
 The rules are registered as SQL functions whose bodies are the same native
-expressions (``CREATE TEMPORARY FUNCTION ... RETURN <expr>``), so SQL users get the
-JVM path too; nothing runs in a Python worker.
+expressions (``CREATE TEMPORARY FUNCTION ... RETURN <expr>``), rendered from the
+analyzed Column expression, so SQL users get the JVM path too; nothing runs in a
+Python worker.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ from . import buckets, cleaning, ids
 
 _STRING_RULES = {
     "convert_date": cleaning.convert_date,
-    "translate_work_modes": cleaning.translate_work_modes,
     "translate_contract_type": cleaning.translate_contract_type,
     "translate_frequency": cleaning.translate_frequency,
     "clean_location": cleaning.clean_location,
@@ -23,25 +23,28 @@ _STRING_RULES = {
 }
 
 
-def _sql_of(column_fn, arg: str = "s") -> str:
-    """Render ``column_fn(col(arg))`` as SQL text via the Column's string form."""
-    df_expr = column_fn(F.col(arg))
-    return df_expr._jc.expr().sql()  # Catalyst's own SQL rendering of the expression
+def _sql_of(spark: SparkSession, column_fn, arg: str = "s", arg_type: str = "string") -> str:
+    """SQL text of ``column_fn(col(arg))`` from Catalyst's analyzed expression."""
+    dummy = spark.createDataFrame([], f"{arg} {arg_type}")
+    plan = dummy.select(column_fn(F.col(arg)).alias("out"))._jdf.queryExecution().analyzed()
+    return plan.expressions().head().child().sql()
 
 
 def register_sql_functions(spark: SparkSession) -> list[str]:
     names = []
-    for name, fn in _STRING_RULES.items():
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(s STRING) RETURNS STRING "
-                  f"RETURN {_sql_of(fn)}")
-        names.append(name)
-    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION extract_salary_range(s STRING) "
-              "RETURNS STRUCT<min_salary: INT, max_salary: INT> "
-              f"RETURN {_sql_of(cleaning.extract_salary_range)}")
-    names.append("extract_salary_range")
-    for name, fn in {"expiry_bucket": buckets.expiry_bucket,
-                     "posting_bucket": buckets.posting_bucket}.items():
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(d INT) RETURNS STRING "
-                  f"RETURN {_sql_of(fn, 'd')}")
+
+    def define(name, params, returns, body):
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) RETURNS {returns} RETURN {body}")
         names.append(name)
+
+    for name, fn in _STRING_RULES.items():
+        define(name, "s STRING", "STRING", _sql_of(spark, fn))
+    item = _sql_of(spark, cleaning.translate_work_mode, "m")
+    define("translate_work_modes", "s STRING", "STRING",
+           f"CASE WHEN nullif(s, '') IS NOT NULL THEN "
+           f"array_join(transform(split(s, ',', -1), m -> {item}), ', ') END")
+    define("extract_salary_range", "s STRING", "STRUCT<min_salary: INT, max_salary: INT>",
+           _sql_of(spark, cleaning.extract_salary_range))
+    for name, fn in {"expiry_bucket": buckets.expiry_bucket, "posting_bucket": buckets.posting_bucket}.items():
+        define(name, "d INT", "STRING", _sql_of(spark, fn, "d", "int"))
     return names
