@@ -11,11 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters Python's str.isspace() accepts, as a Java regex class.
-PY_WS_CHARS = (
-    r"\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-)
+# Python's str.isspace() set as a Java regex class body: Unicode
+# White_Space plus U+001C..U+001F (checked equal over every code point).  The property
+# form matches far faster than an explicit union of ranges.
+PY_WS_CHARS = r"\x{1C}-\x{1F}\p{IsWhite_Space}"
 PY_WS = f"[{PY_WS_CHARS}]"
 
 _STRIP_RE = f"^{PY_WS}+|{PY_WS}+$"

@@ -215,8 +215,16 @@ def output_schema(df: DataFrame, keep: list[str], specs) -> T.StructType:
     return T.StructType(kept + [T.StructField(s.name, s.spark_type(), True) for s in specs])
 
 
-def extract(pages: DataFrame, specs, html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
-    """Parse each page once and add one column per spec; ``keep`` columns pass through."""
+def extract(pages: DataFrame, specs, html_col: str = "html", keep: list[str] | None = None,
+            partitions: int | None = None) -> DataFrame:
+    """Parse each page once and add one column per spec; ``keep`` columns pass through.
+
+    Parsing is CPU-bound per page.  Pages read from files arrive in many splits; pages
+    that come out of a small, AQE-coalesced shuffle may sit in one or two partitions,
+    so ``partitions`` spreads them round-robin first (an explicit repartition, which
+    AQE keeps)."""
+    if partitions:
+        pages = pages.repartition(partitions)
     keep = list(keep if keep is not None else [c for c in pages.columns if c != html_col])
     schema = output_schema(pages, keep, specs)
     specs = tuple(specs)

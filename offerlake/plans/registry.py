@@ -288,8 +288,13 @@ def _order_key() -> F.Column:
     return F.substring_index("job_url", "-", -1).cast("bigint")
 
 
+def _spread(spark) -> int:
+    """Partitions for CPU-bound page parsing: a few per available core."""
+    return max(2, spark.sparkContext.defaultParallelism * 2)
+
+
 def q_html_fields(spark, sf_dir):
-    ex = P.generic_fields(pages_scan(spark, sf_dir))
+    ex = P.generic_fields(pages_scan(spark, sf_dir), partitions=_spread(spark))
     return ex.select("page_id", "url", "title", "heading", "ad_text", "footer_text", "article_text",
                      F.array_join("nav_links", " | ").alias("nav_links"),
                      F.size("nav_links").alias("nav_count"))
@@ -301,7 +306,7 @@ def fixture_pages(spark, sf_dir):
 
 def q_detail_fields(spark, sf_dir):
     _, details = fixture_pages(spark, sf_dir)
-    d = P.detail_fields(details)
+    d = P.detail_fields(details, partitions=_spread(spark))
     return d.select(*[F.array_join(c, ", " if c == "expected_technologies" else " | ").alias(c)
                       if c in ("expected_technologies", "requirements", "responsibilities") else F.col(c)
                       for c in d.columns])
@@ -309,12 +314,13 @@ def q_detail_fields(spark, sf_dir):
 
 def q_listing_cards(spark, sf_dir):
     list_pages, _ = fixture_pages(spark, sf_dir)
-    return P.listing_cards(list_pages)
+    return P.listing_cards(list_pages, partitions=_spread(spark))
 
 
 def q_assemble_listings(spark, sf_dir):
     list_pages, details = fixture_pages(spark, sf_dir)
-    return P.assemble_listings(P.listing_cards(list_pages), P.detail_fields(details),
+    return P.assemble_listings(P.listing_cards(list_pages, partitions=_spread(spark)),
+                               P.detail_fields(details, partitions=_spread(spark)),
                                RUN_TS, derived.RUN_DATE)
 
 
