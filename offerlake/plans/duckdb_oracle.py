@@ -547,3 +547,28 @@ def oracle_queries() -> dict[str, str]:  # noqa: F811
     out = _base_oracle4()
     out.update(streaming_sql())
     return out
+
+
+def tables_sql() -> dict[str, str]:
+    q = {}
+    cols = ", ".join(c.strip() for c in SILVER_COLS.split(",") if c.strip() != "source_file")
+    q["silver_table"] = with_silver(f"SELECT {cols} FROM silver")
+    q["drop_log_table"] = with_silver(_DROPPED)
+    q["upsert_bronze"] = operator_sql()["dedup_latest"]
+    miss = "k % 59 = 0"
+    q["json_sink"] = with_raw(f"""
+SELECT job_url, job_listing_id, job_title,
+  CASE WHEN {miss} THEN '' ELSE coalesce(expected_technologies, '') END AS expected_technologies,
+  CASE WHEN {miss} THEN '' ELSE requirements END AS requirements,
+  CASE WHEN {miss} THEN '' ELSE responsibilities END AS responsibilities
+FROM raw""")
+    return q
+
+
+_base_oracle5 = oracle_queries
+
+
+def oracle_queries() -> dict[str, str]:  # noqa: F811
+    out = _base_oracle5()
+    out.update(tables_sql())
+    return out

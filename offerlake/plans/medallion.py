@@ -30,20 +30,22 @@ class Tables:
     silver: str = "jobs_cleaned"
     drop_log: str = "dropped_records_log"
     fmt: str = "parquet"
+    location: str | None = None  # database location (shared storage); None = warehouse dir
 
     def name(self, table: str) -> str:
         return f"{self.database}.{table}"
 
 
-def ensure_schema(spark: SparkSession, database: str) -> None:
-    """CREATE DATABASE IF NOT EXISTS + make it current."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+def ensure_schema(spark: SparkSession, database: str, location: str | None = None) -> None:
+    """CREATE DATABASE IF NOT EXISTS (optionally at a shared location) + make it current."""
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
     spark.catalog.setCurrentDatabase(database)
 
 
 def write_bronze(spark: SparkSession, df: DataFrame, t: Tables) -> str:
     """Full overwrite of the Bronze table."""
-    ensure_schema(spark, t.database)
+    ensure_schema(spark, t.database, t.location)
     df.write.format(t.fmt).mode("overwrite").saveAsTable(t.name(t.bronze))
     return t.name(t.bronze)
 
@@ -103,7 +105,7 @@ def upsert_bronze(spark: SparkSession, incoming: DataFrame, t: Tables) -> str:
 
     The merged rows go to a fresh staging table, then the names are swapped."""
     target = t.name(t.bronze)
-    ensure_schema(spark, t.database)
+    ensure_schema(spark, t.database, t.location)
     if not spark.catalog.tableExists(target):
         return write_bronze(spark, incoming, t)
     merged = D.upsert(spark.table(target), incoming)

@@ -349,3 +349,64 @@ def q_file_arrival_ingest(spark, sf_dir):
 
 
 _EXTRA["file_arrival_ingest"] = q_file_arrival_ingest
+
+
+# ---------------------------------------------------------------------------
+# Tables and sinks: Bronze/Silver/drop-log writes, view registration, upsert, JSON.
+# ---------------------------------------------------------------------------
+
+import uuid as _uuid  # noqa: E402
+
+from . import medallion as M  # noqa: E402
+from ..schemas import SILVER_COLUMNS  # noqa: E402
+
+
+def _run_tables(spark, sf_dir) -> M.Tables:
+    """Land the fixture, then run landing -> Bronze -> Silver (+drop log) -> views in a
+    fresh database stored under the shared checkpoint root."""
+    landing = write_landing_fixture(spark, sf_dir)
+    t = M.Tables(database=f"offerlake_{_uuid.uuid4().hex[:10]}",
+                 location=shared_path(spark, "warehouse", unique=True))
+    M.run_all(spark, landing, t, as_of=AS_OF, loaded_at=RUN_TS)
+    return t
+
+
+def q_silver_table(spark, sf_dir):
+    t = _run_tables(spark, sf_dir)
+    assert "v_jobs_by_location" in M.list_views(spark)
+    return spark.table(t.name(t.silver)).select(*[c for c in SILVER_COLUMNS if c != "source_file"])
+
+
+def q_drop_log_table(spark, sf_dir):
+    t = _run_tables(spark, sf_dir)
+    return spark.table(t.name(t.drop_log))
+
+
+def q_upsert_bronze(spark, sf_dir):
+    """Bronze holds snapshot A; snapshot B is upserted (newest row per id wins)."""
+    a, b = two_snapshots(spark, sf_dir)
+    t = M.Tables(database=f"offerlake_{_uuid.uuid4().hex[:10]}",
+                 location=shared_path(spark, "warehouse", unique=True))
+    M.write_bronze(spark, a, t)
+    M.upsert_bronze(spark, b, t)
+    return spark.table(t.name(t.bronze))
+
+
+def q_json_sink(spark, sf_dir):
+    """Assembled listings with list fields kept as arrays -> JSON snapshot -> read back."""
+    list_pages, details = fixture_pages(spark, sf_dir)
+    cards = P.listing_cards(list_pages, partitions=_spread(spark))
+    rows = cards.join(P.detail_fields(details, partitions=_spread(spark)), "job_url", "left")
+    landing = shared_path(spark, "landing_json", unique=True)
+    path = L.write_json_snapshot(rows, landing, NEW_RUN)
+    back = spark.read.schema(rows.schema).json(path)
+    return back.select(
+        "job_url", "job_listing_id", "job_title",
+        *[F.array_join(F.coalesce(c, F.array().cast("array<string>")), ", " if c == "expected_technologies" else " | ")
+          .alias(c) for c in ("expected_technologies", "requirements", "responsibilities")])
+
+
+_EXTRA["silver_table"] = q_silver_table
+_EXTRA["drop_log_table"] = q_drop_log_table
+_EXTRA["upsert_bronze"] = q_upsert_bronze
+_EXTRA["json_sink"] = q_json_sink
