@@ -25,7 +25,7 @@ from .silver import active_only, clean_listings
 
 @dataclass(frozen=True)
 class Tables:
-    database: str = "jobscrape"
+    database: str = "listings"
     bronze: str = "jobs_raw"
     silver: str = "jobs_cleaned"
     drop_log: str = "dropped_records_log"
