@@ -15,6 +15,7 @@ Spark partitions the pages and moves them through Arrow batches.  Field semantic
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -33,10 +34,15 @@ MULTI_VALUED_ATTRS = frozenset({"class", "rel", "rev", "accept-charset", "header
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "children", "parent")
+    """A parsed element.  ``pre``/``post`` are pre-order numbers of the element and of
+    its last descendant, so "x is inside e" is ``e.pre < x.pre <= e.post``; ``doc`` is
+    the per-document index (tag -> elements and their ``pre`` in document order)."""
+    __slots__ = ("tag", "attrs", "children", "parent", "pre", "post", "doc")
 
     def __init__(self, tag: str, attrs: dict, parent: Element | None):
         self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
+        self.pre = self.post = 0
+        self.doc = None
 
 
 class _TreeBuilder(HTMLParser):
@@ -77,9 +83,33 @@ def parse_html(html: str) -> Element:
     b = _TreeBuilder()
     b.feed(html or "")
     b.close()
+    _number(b.root)
     return b.root
 
 
+def _number(root: Element) -> None:
+    """Pre-order numbering plus a tag index shared by every element of the document."""
+    index: dict[str, tuple[list[int], list[Element]]] = {}
+    counter = 0
+    stack: list[tuple[Element, bool]] = [(root, False)]
+    while stack:
+        el, done = stack.pop()
+        if done:
+            el.post = counter
+            continue
+        el.pre = counter
+        el.doc = index
+        if el is not root:
+            pres, els = index.setdefault(el.tag, ([], []))
+            pres.append(counter)
+            els.append(el)
+        counter += 1
+        stack.append((el, True))
+        for c in reversed(el.children):
+            if isinstance(c, Element):
+                stack.append((c, False))
+
+
 @dataclass(frozen=True)
 class Sel:
     """One selector step: tag name plus an optional attribute test."""
@@ -100,23 +130,27 @@ class Sel:
         return v == self.value
 
 
-def _descendants(el: Element) -> Iterator[Element]:
-    stack = list(reversed([c for c in el.children if isinstance(c, Element)]))
-    while stack:
-        node = stack.pop()
-        yield node
-        stack.extend(reversed([c for c in node.children if isinstance(c, Element)]))
+def _candidates(el: Element, tag: str) -> Iterator[Element]:
+    """Descendants of ``el`` named ``tag``, in document order (index bisect + scan)."""
+    entry = el.doc.get(tag) if el.doc is not None else None
+    if not entry:
+        return
+    pres, els = entry
+    i = bisect_right(pres, el.pre)
+    while i < len(pres) and pres[i] <= el.post:
+        yield els[i]
+        i += 1
 
 
 def find(el: Element, sel: Sel) -> Element | None:
-    for d in _descendants(el):
+    for d in _candidates(el, sel.tag):
         if sel.matches(d):
             return d
     return None
 
 
 def find_all(el: Element, sel: Sel) -> list[Element]:
-    return [d for d in _descendants(el) if sel.matches(d)]
+    return [d for d in _candidates(el, sel.tag) if sel.matches(d)]
 
 
 def text_of(el: Element) -> str:
