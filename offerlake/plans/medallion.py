@@ -43,11 +43,30 @@ def ensure_schema(spark: SparkSession, database: str, location: str | None = Non
     spark.catalog.setCurrentDatabase(database)
 
 
+def replace_table(spark: SparkSession, df: DataFrame, target: str, fmt: str = "parquet",
+                  options: dict | None = None) -> str:
+    """Replace ``target`` with ``df`` without a window where the data is gone.
+
+    The rows are written to a fresh staging table first (a failed or retried job never
+    touches the live table); then the old table is renamed aside, the staging table
+    takes its name and the old one is dropped.  Every intermediate state keeps a
+    complete copy of either the old or the new data."""
+    stamp = uuid.uuid4().hex[:8]
+    staging, backup = f"{target}__staging_{stamp}", f"{target}__old_{stamp}"
+    df.write.format(fmt).options(**(options or {})).saveAsTable(staging)
+    exists = spark.catalog.tableExists(target)
+    if exists:
+        spark.sql(f"ALTER TABLE {target} RENAME TO {backup}")
+    spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
+    if exists:
+        spark.sql(f"DROP TABLE {backup}")
+    return target
+
+
 def write_bronze(spark: SparkSession, df: DataFrame, t: Tables) -> str:
-    """Full overwrite of the Bronze table."""
+    """Full replacement of the Bronze table."""
     ensure_schema(spark, t.database, t.location)
-    df.write.format(t.fmt).mode("overwrite").saveAsTable(t.name(t.bronze))
-    return t.name(t.bronze)
+    return replace_table(spark, df, t.name(t.bronze), t.fmt)
 
 
 def load_latest_to_bronze(spark: SparkSession, landing_dir: str, t: Tables, loaded_at=None) -> str:
@@ -65,8 +84,7 @@ def load_silver(spark: SparkSession, t: Tables, as_of=None, validated_at=None,
     bronze = spark.table(t.name(t.bronze))
     validated, v_obs = Q.observe_validation(Q.with_validation(bronze))
     cleaned, e_obs = Q.observe_expiry(clean_listings(Q.valid_rows(validated), as_of))
-    (active_only(cleaned).write.format(t.fmt).mode("overwrite").option("mergeSchema", "true")
-     .saveAsTable(t.name(t.silver)))
+    replace_table(spark, active_only(cleaned), t.name(t.silver), t.fmt, {"mergeSchema": "true"})
     counts = dict(v_obs.get)
     counts.update(e_obs.get)
     if counts["dropped"] > 0:
@@ -103,17 +121,13 @@ def preview(df: DataFrame, columns: list[str] | None = None, n: int = 10) -> Dat
 def upsert_bronze(spark: SparkSession, incoming: DataFrame, t: Tables) -> str:
     """Merge a new snapshot into Bronze by listing id (newest wins, else insert).
 
-    The merged rows go to a fresh staging table, then the names are swapped."""
+    The merged rows go to a fresh staging table, then the names are swapped
+    (``replace_table``): the live table is never overwritten while it is read."""
     target = t.name(t.bronze)
     ensure_schema(spark, t.database, t.location)
     if not spark.catalog.tableExists(target):
         return write_bronze(spark, incoming, t)
-    merged = D.upsert(spark.table(target), incoming)
-    staging = f"{t.database}.{t.bronze}__staging_{uuid.uuid4().hex[:8]}"
-    merged.write.format(t.fmt).saveAsTable(staging)
-    spark.sql(f"DROP TABLE {target}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
-    return target
+    return replace_table(spark, D.upsert(spark.table(target), incoming), target, t.fmt)
 
 
 def run_all(spark: SparkSession, landing_dir: str, t: Tables = Tables(), as_of: _dt.date | None = None,
