@@ -24,6 +24,34 @@ DEFAULT_CONF = {
 }
 
 
+# Runtime SQL settings for a large cluster (~1000 executors, ~100 TB of input).
+# Shuffles start wide and AQE coalesces them to ~256 MB partitions; skewed join
+# partitions are split; scans read 256 MB splits; page extraction ships small Arrow
+# batches to Python (rows are whole HTML pages).  Broadcasts stay behind the planner's
+# size estimate (64 MB).
+LARGE_CLUSTER_SQL_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512MB",
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def apply_large_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> None:
+    """Set the runtime SQL settings above on an existing (cluster) session."""
+    for k, v in {**LARGE_CLUSTER_SQL_CONF, **(overrides or {})}.items():
+        spark.conf.set(k, v)
+
+
 def build_session(master: str = "local[*]", app: str = "offerlake",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
