@@ -328,11 +328,6 @@ def silver_sql() -> dict[str, str]:
     return {"silver_listings": with_silver(f"SELECT {SILVER_COLS} FROM silver")}
 
 
-def oracle_queries() -> dict[str, str]:
-    out = {}
-    out.update(gold_sql())
-    out.update(silver_sql())
-    return out
 
 
 def _rule(raw: str, expr: str, out: str) -> str:
@@ -443,28 +438,12 @@ SELECT {LANDING_COLS}, source_file FROM ranked WHERE job_listing_id IS NULL OR r
     return q
 
 
-_base_oracle = oracle_queries
-
-
-def oracle_queries() -> dict[str, str]:  # noqa: F811
-    out = _base_oracle()
-    out.update(operator_sql())
-    return out
-
 
 def landing_sql() -> dict[str, str]:
     return {"latest_snapshot": with_raw(
         f"SELECT {LANDING_COLS}, TIMESTAMP '{RUN_TS}' AS snapshot_ts FROM raw")}
 
 
-_base_oracle2 = oracle_queries
-
-
-def oracle_queries() -> dict[str, str]:  # noqa: F811
-    out = _base_oracle2()
-    out.update(landing_sql())
-    return out
-
 
 def _decode(x: str) -> str:
     return (f"replace(replace(replace(replace(replace(replace({x}, '&quot;', '\"'), '&copy;', chr(169)), "
@@ -523,14 +502,6 @@ FROM raw r JOIN det d ON r.job_url = d.job_url""")
     return q
 
 
-_base_oracle3 = oracle_queries
-
-
-def oracle_queries() -> dict[str, str]:  # noqa: F811
-    out = _base_oracle3()
-    out.update(pages_sql())
-    return out
-
 
 def streaming_sql() -> dict[str, str]:
     old_cols = LANDING_COLS.replace("job_title,", "job_title || ' [old]' AS job_title,", 1)
@@ -540,14 +511,6 @@ UNION ALL SELECT {LANDING_COLS}, TIMESTAMP '{RUN_TS}' AS snapshot_ts FROM raw
 UNION ALL SELECT {LANDING_COLS}, CAST(NULL AS TIMESTAMP) AS snapshot_ts FROM raw""")}
 
 
-_base_oracle4 = oracle_queries
-
-
-def oracle_queries() -> dict[str, str]:  # noqa: F811
-    out = _base_oracle4()
-    out.update(streaming_sql())
-    return out
-
 
 def tables_sql() -> dict[str, str]:
     q = {}
@@ -565,10 +528,9 @@ FROM raw""")
     return q
 
 
-_base_oracle5 = oracle_queries
-
-
-def oracle_queries() -> dict[str, str]:  # noqa: F811
-    out = _base_oracle5()
-    out.update(tables_sql())
+def oracle_queries() -> dict[str, str]:
+    """Every oracle statement, keyed like ``registry.queries()``."""
+    out: dict[str, str] = {}
+    for part in (gold_sql, silver_sql, operator_sql, landing_sql, pages_sql, streaming_sql, tables_sql):
+        out.update(part())
     return out

@@ -6,13 +6,29 @@ runs one operator or view of the engine on the whole derived data.
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid as _uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from ..functions import buckets as B
+from ..functions import cleaning as C
+from ..functions.ids import listing_id
+from ..operators import dedup as D
+from ..operators import quality as Q
+from ..schemas import LANDING_COLUMNS, SILVER_COLUMNS
+from ..session import shared_path
 from ..sources import derived
+from ..sources import landing as L
+from ..sources import pages as P
+from ..sources.tables import pages_scan
+from ..streaming import ingest as S
 from . import gold
-from .silver import build_silver
+from . import medallion as M
+from .bronze import bronze_metadata, bronze_summary
+from .silver import build_silver, clean_listings
 
 AS_OF = derived.AS_OF
 
@@ -44,28 +60,10 @@ def q_silver_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived_silver(spark, sf_dir)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-    for name in gold.VIEWS:
-        q[name] = _view(name)
-    q["gold_dashboard"] = q_gold_dashboard
-    q["silver_listings"] = q_silver_listings
-    return q
-
-
 # ---------------------------------------------------------------------------
 # Operator-level queries: each applies one operator to every derived listing.
 # ---------------------------------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from ..functions import buckets as B  # noqa: E402
-from ..functions import cleaning as C  # noqa: E402
-from ..functions.ids import listing_id  # noqa: E402
-from ..operators import dedup as D  # noqa: E402
-from ..operators import quality as Q  # noqa: E402
-from .bronze import bronze_metadata, bronze_summary  # noqa: E402
-from .silver import clean_listings  # noqa: E402
 
 RUN_TS = derived.RUN_TIMESTAMP
 LATER_TS = "1998-06-02 02:00:00"
@@ -206,51 +204,10 @@ def q_dedup_latest(spark, sf_dir):
     return D.dedup_latest(a.unionByName(b))
 
 
-_EXTRA = {
-    "convert_date": q_convert_date,
-    "extract_salary_range": q_extract_salary_range,
-    "translate_frequency": _one_rule("frequency", C.translate_frequency, "frequency_clean"),
-    "translate_work_modes": _one_rule("work_mode", C.translate_work_modes, "work_mode_clean"),
-    "translate_contract_type": _one_rule("contract_type", C.translate_contract_type, "contract_type_clean"),
-    "clean_location": _one_rule("location", C.clean_location, "location_clean"),
-    "clean_job_level": _one_rule("job_level", C.clean_job_level, "job_level_clean"),
-    "listing_id": q_listing_id,
-    "validation_errors": q_validation_errors,
-    "expiry_bucket": q_expiry_bucket,
-    "posting_bucket": q_posting_bucket,
-    "salary_by_frequency": q_salary_by_frequency,
-    "dropped_records": q_dropped_records,
-    "drop_reasons": q_drop_reasons,
-    "stage_counts": q_stage_counts,
-    "reconcile": q_reconcile,
-    "reconcile_reference": q_reconcile_reference,
-    "run_summary": q_run_summary,
-    "layer_counts": q_layer_counts,
-    "profile_nulls": q_profile_nulls,
-    "bronze_metadata": q_bronze_metadata,
-    "bronze_summary": q_bronze_summary,
-    "explode_technologies": q_explode_technologies,
-    "dedup_latest": q_dedup_latest,
-}
-
-_base_queries = queries
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:  # noqa: F811
-    q = _base_queries()
-    q.update(_EXTRA)
-    return q
-
-
 # ---------------------------------------------------------------------------
 # Landing: CSV sink -> snapshot discovery -> by-name scan.
 # ---------------------------------------------------------------------------
 
-import datetime as _dt  # noqa: E402
-
-from ..schemas import LANDING_COLUMNS  # noqa: E402
-from ..session import shared_path  # noqa: E402
-from ..sources import landing as L  # noqa: E402
 
 OLD_RUN = _dt.datetime(1998, 5, 31, 2, 0, 0)
 NEW_RUN = _dt.datetime(1998, 6, 1, 2, 0, 0)
@@ -273,16 +230,10 @@ def q_latest_snapshot(spark, sf_dir):
     return df.select(*LANDING_COLUMNS, L.name_timestamp(F.col("source_file")).alias("snapshot_ts"))
 
 
-_EXTRA["latest_snapshot"] = q_latest_snapshot
-
-
 # ---------------------------------------------------------------------------
 # Pages: HTML extraction (one parse per page) and listing assembly.
 # ---------------------------------------------------------------------------
 
-from ..sources import pages as P  # noqa: E402
-from ..sources.tables import pages_scan  # noqa: E402
-
 
 def _order_key() -> F.Column:
     return F.substring_index("job_url", "-", -1).cast("bigint")
@@ -324,18 +275,10 @@ def q_assemble_listings(spark, sf_dir):
                                RUN_TS, derived.RUN_DATE)
 
 
-_EXTRA["html_fields"] = q_html_fields
-_EXTRA["detail_fields"] = q_detail_fields
-_EXTRA["listing_cards"] = q_listing_cards
-_EXTRA["assemble_listings"] = q_assemble_listings
-
-
 # ---------------------------------------------------------------------------
 # Streaming: incremental file-arrival ingestion into Bronze history.
 # ---------------------------------------------------------------------------
 
-from ..streaming import ingest as S  # noqa: E402
-
 
 def q_file_arrival_ingest(spark, sf_dir):
     """Land three files, ingest them with an availableNow stream, read Bronze back."""
@@ -348,18 +291,10 @@ def q_file_arrival_ingest(spark, sf_dir):
     return bronze.select(*LANDING_COLUMNS, L.name_timestamp(F.col("source_file")).alias("snapshot_ts"))
 
 
-_EXTRA["file_arrival_ingest"] = q_file_arrival_ingest
-
-
 # ---------------------------------------------------------------------------
 # Tables and sinks: Bronze/Silver/drop-log writes, view registration, upsert, JSON.
 # ---------------------------------------------------------------------------
 
-import uuid as _uuid  # noqa: E402
-
-from . import medallion as M  # noqa: E402
-from ..schemas import SILVER_COLUMNS  # noqa: E402
-
 
 def _run_tables(spark, sf_dir) -> M.Tables:
     """Land the fixture, then run landing -> Bronze -> Silver (+drop log) -> views in a
@@ -406,7 +341,43 @@ def q_json_sink(spark, sf_dir):
           .alias(c) for c in ("expected_technologies", "requirements", "responsibilities")])
 
 
-_EXTRA["silver_table"] = q_silver_table
-_EXTRA["drop_log_table"] = q_drop_log_table
-_EXTRA["upsert_bronze"] = q_upsert_bronze
-_EXTRA["json_sink"] = q_json_sink
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Every registered query: key -> fn(spark, sf_dir)."""
+    q: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _view(name) for name in gold.VIEWS}
+    q["gold_dashboard"] = q_gold_dashboard
+    q["silver_listings"] = q_silver_listings
+    q["convert_date"] = q_convert_date
+    q["extract_salary_range"] = q_extract_salary_range
+    q["translate_frequency"] = _one_rule("frequency", C.translate_frequency, "frequency_clean")
+    q["translate_work_modes"] = _one_rule("work_mode", C.translate_work_modes, "work_mode_clean")
+    q["translate_contract_type"] = _one_rule("contract_type", C.translate_contract_type, "contract_type_clean")
+    q["clean_location"] = _one_rule("location", C.clean_location, "location_clean")
+    q["clean_job_level"] = _one_rule("job_level", C.clean_job_level, "job_level_clean")
+    q["listing_id"] = q_listing_id
+    q["validation_errors"] = q_validation_errors
+    q["expiry_bucket"] = q_expiry_bucket
+    q["posting_bucket"] = q_posting_bucket
+    q["salary_by_frequency"] = q_salary_by_frequency
+    q["dropped_records"] = q_dropped_records
+    q["drop_reasons"] = q_drop_reasons
+    q["stage_counts"] = q_stage_counts
+    q["reconcile"] = q_reconcile
+    q["reconcile_reference"] = q_reconcile_reference
+    q["run_summary"] = q_run_summary
+    q["layer_counts"] = q_layer_counts
+    q["profile_nulls"] = q_profile_nulls
+    q["bronze_metadata"] = q_bronze_metadata
+    q["bronze_summary"] = q_bronze_summary
+    q["explode_technologies"] = q_explode_technologies
+    q["dedup_latest"] = q_dedup_latest
+    q["latest_snapshot"] = q_latest_snapshot
+    q["html_fields"] = q_html_fields
+    q["detail_fields"] = q_detail_fields
+    q["listing_cards"] = q_listing_cards
+    q["assemble_listings"] = q_assemble_listings
+    q["file_arrival_ingest"] = q_file_arrival_ingest
+    q["silver_table"] = q_silver_table
+    q["drop_log_table"] = q_drop_log_table
+    q["upsert_bronze"] = q_upsert_bronze
+    q["json_sink"] = q_json_sink
+    return q
