@@ -249,16 +249,30 @@ def output_schema(df: DataFrame, keep: list[str], specs) -> T.StructType:
     return T.StructType(kept + [T.StructField(s.name, s.spark_type(), True) for s in specs])
 
 
+def spread_partitions(pages: DataFrame, partitions: int | str | None) -> DataFrame:
+    """Give CPU-bound parsing enough tasks.
+
+    ``None`` keeps the input partitioning (large page tables already arrive in many
+    file splits, and a repartition would shuffle every page).  ``"auto"`` repartitions
+    only when the planned input has fewer partitions than the cluster has cores (small
+    tables).  An int forces that many round-robin partitions, for pages that come out
+    of a small shuffle AQE may coalesce to one or two partitions (an explicit
+    repartition keeps its count)."""
+    if partitions is None:
+        return pages
+    if partitions == "auto":
+        cores = pages.sparkSession.sparkContext.defaultParallelism
+        if pages.rdd.getNumPartitions() >= cores:
+            return pages
+        return pages.repartition(cores * 2)
+    return pages.repartition(int(partitions))
+
+
 def extract(pages: DataFrame, specs, html_col: str = "html", keep: list[str] | None = None,
-            partitions: int | None = None) -> DataFrame:
+            partitions: int | str | None = None) -> DataFrame:
     """Parse each page once and add one column per spec; ``keep`` columns pass through.
-
-    Parsing is CPU-bound per page.  Pages read from files arrive in many splits; pages
-    that come out of a small, AQE-coalesced shuffle may sit in one or two partitions,
-    so ``partitions`` spreads them round-robin first (an explicit repartition, which
-    AQE keeps)."""
-    if partitions:
-        pages = pages.repartition(partitions)
+    ``partitions``: see ``spread_partitions``."""
+    pages = spread_partitions(pages, partitions)
     keep = list(keep if keep is not None else [c for c in pages.columns if c != html_col])
     schema = output_schema(pages, keep, specs)
     specs = tuple(specs)

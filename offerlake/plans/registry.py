@@ -245,7 +245,7 @@ def _spread(spark) -> int:
 
 
 def q_html_fields(spark, sf_dir):
-    ex = P.generic_fields(pages_scan(spark, sf_dir), partitions=_spread(spark))
+    ex = P.generic_fields(pages_scan(spark, sf_dir), partitions="auto")
     return ex.select("page_id", "url", "title", "heading", "ad_text", "footer_text", "article_text",
                      F.array_join("nav_links", " | ").alias("nav_links"),
                      F.size("nav_links").alias("nav_count"))

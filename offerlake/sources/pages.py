@@ -68,7 +68,7 @@ GENERIC_SPECS = (
 
 
 def detail_fields(details: DataFrame, key: str = "job_url", html_col: str = "html",
-                  partitions: int | None = None) -> DataFrame:
+                  partitions: int | str | None = None) -> DataFrame:
     """Detail pages (key, html) -> one row of raw listing fields per page.
 
     Dates keep the text after the first colon; the salary span gates its two
@@ -90,7 +90,7 @@ def detail_fields(details: DataFrame, key: str = "job_url", html_col: str = "htm
 
 
 def listing_cards(list_pages: DataFrame, html_col: str = "html", site_root: str = SITE_ROOT,
-                  partitions: int | None = None) -> DataFrame:
+                  partitions: int | str | None = None) -> DataFrame:
     """Search-result pages -> one row per card (job_url absolute, listing id, card fields)."""
     ex = extract(list_pages, (CARD_SPEC,), html_col=html_col, keep=[], partitions=partitions)
     cards = ex.select(F.explode("cards").alias("c")).select("c.*")
@@ -125,7 +125,7 @@ def assemble_listings(cards: DataFrame, details: DataFrame, ingestion_timestamp:
     )
 
 
-def generic_fields(pages: DataFrame, partitions: int | None = None) -> DataFrame:
+def generic_fields(pages: DataFrame, partitions: int | str | None = None) -> DataFrame:
     """Title, heading, ad, footer, article text and navigation links of each page."""
     return extract(pages, GENERIC_SPECS, html_col="html", keep=["page_id", "url"], partitions=partitions)
 
