@@ -58,6 +58,7 @@ def replace_table(spark: SparkSession, df: DataFrame, target: str, fmt: str = "p
     if exists:
         spark.sql(f"ALTER TABLE {target} RENAME TO {backup}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
+    spark.catalog.refreshTable(target)  # drop cached file listings of the old table
     if exists:
         spark.sql(f"DROP TABLE {backup}")
     return target

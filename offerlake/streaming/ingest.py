@@ -58,3 +58,32 @@ def file_arrival_ingest(spark: SparkSession, landing_glob: str, checkpoint: str,
              .start())
     query.awaitTermination()
     return query
+
+
+def medallion_batch_runner(tables, as_of=None, loaded_at=None) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function for the file-arrival trigger: newest snapshot -> Bronze ->
+    Silver (+ drop log) -> views.
+
+    Within a micro-batch the rows of the snapshot with the greatest name timestamp are
+    kept (one scalar aggregate, no collect); a batch whose newest snapshot is older than
+    the one already in Bronze (a late file) leaves the tables unchanged."""
+    from ..plans import medallion as M
+    from ..sources.landing import name_timestamp
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        stamped = batch.withColumn("__ts", name_timestamp(F.col("source_file")))
+        newest = stamped.agg(F.max("__ts")).scalar()
+        latest = stamped.filter(F.col("__ts") == newest)
+        target = tables.name(tables.bronze)
+        if spark.catalog.tableExists(target):
+            current = spark.table(target).agg(F.max(name_timestamp(F.col("source_file")))).first()[0]
+            incoming = latest.agg(F.max("__ts")).first()[0]
+            if incoming is None or (current is not None and incoming <= current):
+                return
+        rows = bronze_metadata(latest.drop("__ts"), source_file=F.col("source_file"), loaded_at=loaded_at)
+        M.write_bronze(spark, rows, tables)
+        M.load_silver(spark, tables, as_of=as_of, validated_at=loaded_at)
+        M.register_views(spark, spark.table(tables.name(tables.silver)), as_of)
+
+    return run

@@ -192,3 +192,27 @@ def test_streaming_ingest_is_incremental(spark, scratch_dir):
     L.write_csv_snapshot(frame(spark, SNAPSHOT[:2]), landing, dt.datetime(2025, 5, 2, 2))
     S.file_arrival_ingest(spark, glob, ckpt, S.bronze_batch_writer(bronze_path))
     assert spark.read.parquet(bronze_path).count() == 9
+
+
+def test_file_arrival_runs_the_medallion(spark, scratch_dir):
+    landing = os.path.join(scratch_dir, "landing")
+    glob = f"{landing}/*.csv/*.csv"
+    ckpt = os.path.join(scratch_dir, "ckpt")
+    t = M.Tables(database="offerlake_stream_test", location=os.path.join(scratch_dir, "db"))
+    runner = S.medallion_batch_runner(t, as_of=AS_OF, loaded_at="2025-05-01 03:00:00")
+    L.write_csv_snapshot(frame(spark, SNAPSHOT[:2]), landing, dt.datetime(2025, 4, 30, 2))
+    L.write_csv_snapshot(frame(spark, SNAPSHOT), landing, dt.datetime(2025, 5, 1, 2))
+    S.file_arrival_ingest(spark, glob, ckpt, runner)
+    assert spark.table(t.name(t.bronze)).count() == 7          # newest snapshot only
+    assert spark.table(t.name(t.silver)).count() == 2
+    # a late, older file does not replace the newer snapshot
+    L.write_csv_snapshot(frame(spark, SNAPSHOT[:1]), landing, dt.datetime(2025, 4, 1, 2))
+    S.file_arrival_ingest(spark, glob, ckpt, runner)
+    spark.catalog.refreshTable(t.name(t.bronze))  # tables were rewritten by the stream's session
+    assert spark.table(t.name(t.bronze)).count() == 7
+    # a newer one does
+    L.write_csv_snapshot(frame(spark, SNAPSHOT[:3]), landing, dt.datetime(2025, 5, 2, 2))
+    S.file_arrival_ingest(spark, glob, ckpt, runner)
+    spark.catalog.refreshTable(t.name(t.bronze))
+    assert spark.table(t.name(t.bronze)).count() == 3
+    assert spark.sql("SELECT * FROM v_job_market_overview").first().total_active_listings == 2
