@@ -8,6 +8,7 @@ Python worker, codegen-friendly, and filters on the results still push down.
 from __future__ import annotations
 
 import datetime as _dt
+import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -140,9 +141,24 @@ def translate_frequency(c: Column | str) -> Column:
     )
 
 
+def _unicode_digits() -> tuple[str, str]:
+    """Every non-ASCII decimal digit and its ASCII value, generated from the Unicode
+    database (Python's float() reads any decimal digit; Spark's cast reads ASCII)."""
+    src, dst = [], []
+    for cp in range(128, 0x110000):
+        ch = chr(cp)
+        if unicodedata.category(ch) == "Nd":
+            src.append(ch)
+            dst.append(str(unicodedata.decimal(ch)))
+    return "".join(src), "".join(dst)
+
+
+_DIGITS_FROM, _DIGITS_TO = _unicode_digits()
+
+
 def _salary_side(g: Column) -> Column:
     num = F.replace(F.replace(ustrip(g), F.lit(" "), F.lit("")), F.lit(","), F.lit("."))
-    return num.try_cast("double").try_cast("int")
+    return F.translate(num, _DIGITS_FROM, _DIGITS_TO).try_cast("double").try_cast("int")
 
 
 def extract_salary_range(c: Column | str) -> Column:
