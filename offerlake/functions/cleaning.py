@@ -118,7 +118,7 @@ def translate_work_mode(m: Column) -> Column:
 
 def clean_job_level(c: Column | str) -> Column:
     """Every bullet becomes a comma, then spaces are trimmed from both ends."""
-    return F.trim(F.regexp_replace(col_of(c), "•", ","))
+    return F.trim(F.replace(col_of(c), F.lit("•"), F.lit(",")))
 
 
 def translate_contract_type(c: Column | str) -> Column:
