@@ -519,6 +519,9 @@ def tables_sql() -> dict[str, str]:
     q["drop_log_table"] = with_silver(_DROPPED)
     q["upsert_bronze"] = operator_sql()["dedup_latest"]
     miss = "k % 59 = 0"
+    q["preview"] = with_silver("""
+SELECT location, COUNT(DISTINCT job_listing_id) AS job_count, ROUND(AVG(min_salary), 0) AS avg_min_salary
+FROM silver WHERE location IS NOT NULL GROUP BY location ORDER BY job_count DESC, location LIMIT 10""")
     q["json_sink"] = with_raw(f"""
 SELECT job_url, job_listing_id, job_title,
   CASE WHEN {miss} THEN '' ELSE coalesce(expected_technologies, '') END AS expected_technologies,

@@ -341,6 +341,12 @@ def q_json_sink(spark, sf_dir):
           .alias(c) for c in ("expected_technologies", "requirements", "responsibilities")])
 
 
+def q_preview(spark, sf_dir):
+    """Top 10 rows of chosen columns of an ordered view (the notebook-style preview)."""
+    view = gold.v_jobs_by_location(derived_silver(spark, sf_dir))
+    return M.preview(view, ["location", "job_count", "avg_min_salary"], 10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query: key -> fn(spark, sf_dir)."""
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _view(name) for name in gold.VIEWS}
@@ -380,4 +386,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["drop_log_table"] = q_drop_log_table
     q["upsert_bronze"] = q_upsert_bronze
     q["json_sink"] = q_json_sink
+    q["preview"] = q_preview
     return q
