@@ -50,8 +50,10 @@ class _TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Element("[document]", {}, None)
         self.cur = self.root
+        self._text_open = False  # consecutive data events form one text node
 
     def _new(self, tag, attrs):
+        self._text_open = False
         a = {}
         for k, v in attrs:
             a[k] = "" if v is None else v  # a repeated attribute keeps its last value
@@ -68,6 +70,7 @@ class _TreeBuilder(HTMLParser):
         self._new(tag, attrs)
 
     def handle_endtag(self, tag):
+        self._text_open = False
         node = self.cur
         while node is not self.root and node.tag != tag:
             node = node.parent
@@ -75,8 +78,19 @@ class _TreeBuilder(HTMLParser):
             self.cur = node.parent
 
     def handle_data(self, data):
-        if self.cur.tag not in NON_TEXT_TAGS:
+        if self.cur.tag in NON_TEXT_TAGS:
+            return
+        if self._text_open:
+            self.cur.children[-1] += data
+        else:
             self.cur.children.append(data)
+            self._text_open = True
+
+    def _boundary(self, *_):
+        """Comments, declarations and processing instructions end a text node."""
+        self._text_open = False
+
+    handle_comment = handle_decl = handle_pi = unknown_decl = _boundary
 
 
 def parse_html(html: str) -> Element:

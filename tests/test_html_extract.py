@@ -169,3 +169,11 @@ def test_parser_robustness():
     assert extract_one(html, (Field("x", (Sel("span", "data-test", "x"),)),)) == {"x": "yes"}
     br = [c for c in parse_html("<br>a<br/>b").children]
     assert br[0].children == [] and br[1] == "a"
+
+
+def test_text_nodes_merge_like_one_string():
+    # a stray '<' arrives as separate data events but is one text node
+    assert text_of(parse_html("<p> a < b </p>")) == "a < b"
+    # a comment splits the text into two nodes, each stripped
+    assert text_of(parse_html("<p>a <!-- c -->  b</p>")) == "ab"
+    assert text_of(parse_html("<p>x &amp; y</p>")) == "x & y"
