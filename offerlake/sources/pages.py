@@ -153,12 +153,18 @@ def _items(values: Column, sep: str, render) -> Column:
 
 def render_detail_page(k: Column) -> Column:
     """A detail page for the listing row in scope (columns of the landing shape)."""
-    chip = lambda t, i: F.when(  # noqa: E731 - title attribute on even keys, text otherwise
-        k % 2 == 0,
-        F.concat(F.lit('<div data-test="chip-technology" title="'), html_escape(t), F.lit('"><img src="x.svg"></div>')),
-    ).otherwise(F.concat(F.lit('<div data-test="chip-technology" title=""><span> '), html_escape(t),
-                         F.lit(" </span></div>")))
-    li = lambda t: F.concat(F.lit('<li class="lxul5ps x1">'), html_escape(t), F.lit("</li>"))
+    def chip(t: Column) -> Column:
+        """Technology chip: title attribute on even keys, text (title='') otherwise."""
+        return F.when(
+            k % 2 == 0,
+            F.concat(F.lit('<div data-test="chip-technology" title="'), html_escape(t),
+                     F.lit('"><img src="x.svg"></div>')),
+        ).otherwise(F.concat(F.lit('<div data-test="chip-technology" title=""><span> '), html_escape(t),
+                             F.lit(" </span></div>")))
+
+    def li(t: Column) -> Column:
+        return F.concat(F.lit('<li class="lxul5ps x1">'), html_escape(t), F.lit("</li>"))
+
     salary = F.when(
         F.col("remuneration").isNotNull(),
         F.concat(_el("span", "text-contractSalary", F.col("remuneration")),
@@ -180,7 +186,7 @@ def render_detail_page(k: Column) -> Column:
         _el("span", "text-contractName", F.col("contract_type")),
         salary,
         F.lit('<div data-test="section-technologies">'),
-        _items(F.col("expected_technologies"), TECH_SEPARATOR, lambda t: chip(t, None)),
+        _items(F.col("expected_technologies"), TECH_SEPARATOR, chip),
         F.lit('</div><div data-test="section-requirements"><ul data-test="section-requirements-expected">'),
         _items(F.col("requirements"), TEXT_LIST_SEPARATOR, li),
         F.lit('</ul><ul data-test="section-requirements-optional"><li class="lxul5ps">Nice to have</li></ul></div>'),
