@@ -5,6 +5,8 @@ The newest row per ``job_listing_id`` is picked with a hash aggregation of
 the tie-breaks, and map-side partial aggregation collapses a hot id inside each task
 before the shuffle, so even an id holding a third of all rows never lands whole in
 one task (a ``row_number`` window would sort that whole group in one task).
+Rows with a NULL key pass through a separate filtered scan; on a Parquet table that
+scan skips every row group whose statistics show no NULL ids.
 """
 
 from __future__ import annotations

@@ -112,10 +112,12 @@ def test_gold_views_small(spark):
 def test_dedup_keeps_newest_and_null_ids(spark):
     rows = [row(job_listing_id="a", job_url="u1", ingestion_timestamp="2025-01-01 00:00:00", job_title="old"),
             row(job_listing_id="a", job_url="u1", ingestion_timestamp="2025-01-02 00:00:00", job_title="new"),
-            row(job_listing_id=None, job_url="n1"), row(job_listing_id=None, job_url="n2")]
+            row(job_listing_id=None, job_url="n1"), row(job_listing_id=None, job_url="n2"),
+            row(job_listing_id=None, job_url="n2")]
     df = frame(spark, rows).withColumn("source_file", F.lit("f"))
     out = D.dedup_latest(df).collect()
-    assert len(out) == 3
+    assert len(out) == 4
+    assert sorted(r.job_url for r in out if r.job_listing_id is None) == ["n1", "n2", "n2"]
     assert [r.job_title for r in out if r.job_listing_id == "a"] == ["new"]
 
 
