@@ -20,7 +20,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from offerlake.operators import quality as Q  # noqa: E402
 from offerlake.plans import gold, registry  # noqa: E402

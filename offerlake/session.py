@@ -7,7 +7,6 @@ directory is only chosen when that setting is absent, which is the test/laptop c
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -85,15 +84,3 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     root = checkpoint_root(spark).rstrip("/")
     tail = list(parts) + ([uuid.uuid4().hex[:12]] if unique else [])
     return "/".join([root, "offerlake", *tail])
-
-
-def local_fs_path(path: str) -> str | None:
-    """Return the local filesystem path for ``file:`` URIs and bare paths, else None."""
-    if path.startswith("file:"):
-        p = path[len("file:"):]
-        while p.startswith("//"):
-            p = p[1:]
-        return p
-    if "://" in path:
-        return None
-    return os.path.abspath(path)
