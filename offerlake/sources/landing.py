@@ -118,16 +118,28 @@ def latest_snapshot(spark: SparkSession, landing_dir: str, prefix: str = DEFAULT
     return best["unit"]
 
 
-def read_landing_csv(spark: SparkSession, path: str, with_source: bool = True) -> DataFrame:
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster when a scan yields fewer partitions than
+    cores.  A multi-line CSV file cannot be split, so one big landing file is read by
+    one task; spreading right after the read keeps every later step parallel."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores * 2)
+
+
+def read_landing_csv(spark: SparkSession, path: str, with_source: bool = True,
+                     spread: bool = True) -> DataFrame:
     """By-name CSV scan: all strings, header names mapped to the 20 landing columns,
-    missing columns added as NULL, extra columns ignored."""
+    missing columns added as NULL, extra columns ignored (then ``spread_if_narrow``)."""
     raw = spark.read.options(**CSV_READ_OPTIONS).csv(path)
     present = set(raw.columns)
     cols = [F.col(f"`{c}`") if c in present else F.lit(None).cast("string").alias(c)
             for c in LANDING_COLUMNS]
     if with_source:
         cols.append(F.col("_metadata.file_path").alias("source_file"))
-    return raw.select(*cols)
+    out = raw.select(*cols)
+    return spread_if_narrow(out) if spread else out
 
 
 def read_latest_snapshot(spark: SparkSession, landing_dir: str, prefix: str = DEFAULT_PREFIX) -> DataFrame:

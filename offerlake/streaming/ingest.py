@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.bronze import bronze_metadata
-from ..sources.landing import CSV_READ_OPTIONS, landing_stream_schema
+from ..sources.landing import CSV_READ_OPTIONS, landing_stream_schema, spread_if_narrow
 
 
 def landing_stream(spark: SparkSession, landing_glob: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -38,7 +38,7 @@ def bronze_batch_writer(bronze_path: str, loaded_at=None) -> Callable[[DataFrame
 
     def write(batch: DataFrame, batch_id: int) -> None:
         src = F.col("source_file") if "source_file" in batch.columns else None
-        rows = bronze_metadata(batch, source_file=src, loaded_at=loaded_at)
+        rows = bronze_metadata(spread_if_narrow(batch), source_file=src, loaded_at=loaded_at)
         (rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(bronze_path))
