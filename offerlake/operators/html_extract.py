@@ -275,10 +275,12 @@ def spread_partitions(pages: DataFrame, partitions: int | str | None) -> DataFra
     if partitions is None:
         return pages
     if partitions == "auto":
-        cores = pages.sparkSession.sparkContext.defaultParallelism
-        if pages.rdd.getNumPartitions() >= cores:
+        try:
+            cores = pages.sparkSession.sparkContext.defaultParallelism
+            narrow = pages.rdd.getNumPartitions() < cores
+        except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): keep as is
             return pages
-        return pages.repartition(cores * 2)
+        return pages.repartition(cores * 2) if narrow else pages
     return pages.repartition(int(partitions))
 
 

@@ -241,7 +241,10 @@ def _order_key() -> F.Column:
 
 def _spread(spark) -> int:
     """Partitions for CPU-bound page parsing: a few per available core."""
-    return max(2, spark.sparkContext.defaultParallelism * 2)
+    try:
+        return max(2, spark.sparkContext.defaultParallelism * 2)
+    except Exception:  # noqa: BLE001 - no SparkContext handle (remote session)
+        return max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "16")))
 
 
 def q_html_fields(spark, sf_dir):

@@ -122,10 +122,12 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
     """Round-robin the rows over the cluster when a scan yields fewer partitions than
     cores.  A multi-line CSV file cannot be split, so one big landing file is read by
     one task; spreading right after the read keeps every later step parallel."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < cores
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): keep as is
         return df
-    return df.repartition(cores * 2)
+    return df.repartition(cores * 2) if narrow else df
 
 
 def read_landing_csv(spark: SparkSession, path: str, with_source: bool = True,
