@@ -66,17 +66,24 @@ def build_session(master: str = "local[*]", app: str = "offerlake",
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint directory; set a local one only when none is configured."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: only the SQL conf is visible
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
+        if sc is not None:
+            sc.setCheckpointDir(configured)
+            return sc.getCheckpointDir() or configured
+        return configured
     local = tempfile.mkdtemp(prefix="offerlake-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    if sc is not None:
+        sc.setCheckpointDir(local)
+        return sc.getCheckpointDir() or local
+    return local
 
 
 def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
