@@ -8,6 +8,7 @@ Python worker, codegen-friendly, and filters on the results still push down.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 import unicodedata
 
 from pyspark.sql import Column
@@ -104,16 +105,17 @@ def clean_location(c: Column | str) -> Column:
 
 
 def translate_work_modes(c: Column | str) -> Column:
-    """Split on ',', strip + lower each item, translate known Polish modes, join ', '."""
-    raw = col_of(c)
-    return F.when(blank_to_null(raw).isNotNull(),
-                  F.array_join(F.transform(F.split(raw, ",", -1), translate_work_mode), ", "))
-
+    """Split on ',', strip + lower each item, translate known Polish modes, join ', '.
 
-def translate_work_mode(m: Column) -> Column:
-    """One work-mode item: stripped, lower-cased, translated when known."""
-    key = F.lower(ustrip(m))
-    return F.coalesce(F.try_element_at(literal_map(WORK_MODES), key), key)
+    Written without a lambda (a higher-order function would take the whole projection
+    out of whole-stage codegen): lower-case the text, strip whitespace around every
+    comma and at both ends, replace each known item when it is a whole item, then
+    join with ', '."""
+    raw = col_of(c)
+    text = F.regexp_replace(ustrip(F.lower(raw)), f"{PY_WS}*,{PY_WS}*", ",")
+    for polish, english in WORK_MODES.items():
+        text = F.regexp_replace(text, rf"(^|,){re.escape(polish)}(?=,|\z)", f"$1{english}")
+    return F.when(blank_to_null(raw).isNotNull(), F.replace(text, F.lit(","), F.lit(", ")))
 
 
 def clean_job_level(c: Column | str) -> Column:

@@ -39,10 +39,7 @@ def register_sql_functions(spark: SparkSession) -> list[str]:
 
     for name, fn in _STRING_RULES.items():
         define(name, "s STRING", "STRING", _sql_of(spark, fn))
-    item = _sql_of(spark, cleaning.translate_work_mode, "m")
-    define("translate_work_modes", "s STRING", "STRING",
-           f"CASE WHEN nullif(s, '') IS NOT NULL THEN "
-           f"array_join(transform(split(s, ',', -1), m -> {item}), ', ') END")
+    define("translate_work_modes", "s STRING", "STRING", _sql_of(spark, cleaning.translate_work_modes))
     define("extract_salary_range", "s STRING", "STRUCT<min_salary: INT, max_salary: INT>",
            _sql_of(spark, cleaning.extract_salary_range))
     for name, fn in {"expiry_bucket": buckets.expiry_bucket, "posting_bucket": buckets.posting_bucket}.items():
