@@ -145,25 +145,21 @@ def _el(tag: str, hook: str, value: Column, pad: str = "") -> Column:
                                F.lit(f"{pad}</{tag}>")), F.lit(""))
 
 
-def _items(values: Column, sep: str, render) -> Column:
-    """Render each item of a separator-joined string; '' when NULL."""
-    arr = F.split(values, sep.replace("|", r"\|"), -1)
-    return F.coalesce(F.array_join(F.transform(arr, render), ""), F.lit(""))
+def _items(values: Column, sep: str, open_tag: Column, close_tag: Column) -> Column:
+    """Wrap every item of a separator-joined string in open/close markup (one string
+    replace, no lambda); '' when NULL."""
+    escaped = html_escape(values)
+    inner = F.replace(escaped, F.lit(sep), F.concat(close_tag, open_tag))
+    return F.coalesce(F.concat(open_tag, inner, close_tag), F.lit(""))
 
 
 def render_detail_page(k: Column) -> Column:
     """A detail page for the listing row in scope (columns of the landing shape)."""
-    def chip(t: Column) -> Column:
-        """Technology chip: title attribute on even keys, text (title='') otherwise."""
-        return F.when(
-            k % 2 == 0,
-            F.concat(F.lit('<div data-test="chip-technology" title="'), html_escape(t),
-                     F.lit('"><img src="x.svg"></div>')),
-        ).otherwise(F.concat(F.lit('<div data-test="chip-technology" title=""><span> '), html_escape(t),
-                             F.lit(" </span></div>")))
-
-    def li(t: Column) -> Column:
-        return F.concat(F.lit('<li class="lxul5ps x1">'), html_escape(t), F.lit("</li>"))
+    by_title = k % 2 == 0  # technology named by the title attribute, else by the chip text
+    chip_open = F.when(by_title, F.lit('<div data-test="chip-technology" title="')) \
+        .otherwise(F.lit('<div data-test="chip-technology" title=""><span> '))
+    chip_close = F.when(by_title, F.lit('"><img src="x.svg"></div>')).otherwise(F.lit(" </span></div>"))
+    li_open, li_close = F.lit('<li class="lxul5ps x1">'), F.lit("</li>")
 
     salary = F.when(
         F.col("remuneration").isNotNull(),
@@ -186,12 +182,12 @@ def render_detail_page(k: Column) -> Column:
         _el("span", "text-contractName", F.col("contract_type")),
         salary,
         F.lit('<div data-test="section-technologies">'),
-        _items(F.col("expected_technologies"), TECH_SEPARATOR, chip),
+        _items(F.col("expected_technologies"), TECH_SEPARATOR, chip_open, chip_close),
         F.lit('</div><div data-test="section-requirements"><ul data-test="section-requirements-expected">'),
-        _items(F.col("requirements"), TEXT_LIST_SEPARATOR, li),
+        _items(F.col("requirements"), TEXT_LIST_SEPARATOR, li_open, li_close),
         F.lit('</ul><ul data-test="section-requirements-optional"><li class="lxul5ps">Nice to have</li></ul></div>'),
         F.lit('<div data-test="section-responsibilities"><ul>'),
-        _items(F.col("responsibilities"), TEXT_LIST_SEPARATOR, li),
+        _items(F.col("responsibilities"), TEXT_LIST_SEPARATOR, li_open, li_close),
         F.lit("</ul></div></body></html>"),
     )
 
