@@ -76,12 +76,33 @@ def load_latest_to_bronze(spark: SparkSession, landing_dir: str, t: Tables, load
     return write_bronze(spark, bronze_metadata(rows, source_file=F.col("source_file"), loaded_at=loaded_at), t)
 
 
+def write_drop_log(spark: SparkSession, dropped: DataFrame, t: Tables, run_id: str | None = None) -> None:
+    """Append rejected rows.  With ``run_id`` the rows carry it and land in their own
+    ``run_id`` partition with dynamic partition overwrite, so re-running a run replaces
+    its rows instead of appending them twice."""
+    target = t.name(t.drop_log)
+    if run_id is None:
+        dropped.write.format(t.fmt).mode("append").saveAsTable(target)
+        return
+    rows = dropped.withColumn("run_id", F.lit(run_id))
+    if spark.catalog.tableExists(target):
+        key = "spark.sql.sources.partitionOverwriteMode"
+        previous = spark.conf.get(key)
+        spark.conf.set(key, "dynamic")
+        try:
+            rows.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+        finally:
+            spark.conf.set(key, previous)
+    else:
+        rows.write.format(t.fmt).partitionBy("run_id").saveAsTable(target)
+
+
 def load_silver(spark: SparkSession, t: Tables, as_of=None, validated_at=None,
-                count_expired: bool = True) -> dict:
+                count_expired: bool = True, run_id: str | None = None) -> dict:
     """Validate + clean Bronze, overwrite Silver, append the drop log; returns counts.
 
     One job writes Silver and observes every stage count; a second job appends the
-    rejected rows (only when there are any)."""
+    rejected rows (only when there are any; idempotently per ``run_id`` if given)."""
     bronze = spark.table(t.name(t.bronze))
     validated, v_obs = Q.observe_validation(Q.with_validation(bronze))
     cleaned, e_obs = Q.observe_expiry(clean_listings(Q.valid_rows(validated), as_of))
@@ -91,7 +112,7 @@ def load_silver(spark: SparkSession, t: Tables, as_of=None, validated_at=None,
     if counts["dropped"] > 0:
         dropped = Q.dropped_projection(Q.dropped_rows(Q.with_validation(spark.table(t.name(t.bronze)))),
                                        validated_at=validated_at)
-        dropped.write.format(t.fmt).mode("append").saveAsTable(t.name(t.drop_log))
+        write_drop_log(spark, dropped, t, run_id)
     counts["expected_silver"] = counts["bronze"] - counts["dropped"] - (
         counts["before_filter"] - counts["after_filter"] if count_expired else 0)
     counts["status"] = "PASSED" if counts["after_filter"] == counts["expected_silver"] else "WARNING"

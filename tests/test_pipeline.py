@@ -218,3 +218,14 @@ def test_file_arrival_runs_the_medallion(spark, scratch_dir):
     spark.catalog.refreshTable(t.name(t.bronze))
     assert spark.table(t.name(t.bronze)).count() == 3
     assert spark.sql("SELECT * FROM v_job_market_overview").first().total_active_listings == 2
+
+
+def test_drop_log_run_id_is_idempotent(spark, scratch_dir):
+    t = M.Tables(database="offerlake_droplog_test", location=os.path.join(scratch_dir, "db"))
+    M.write_bronze(spark, M.bronze_metadata(frame(spark, SNAPSHOT), source_file="s.csv",
+                                            loaded_at="2025-05-01 03:00:00"), t)
+    for _ in range(2):
+        M.load_silver(spark, t, as_of=AS_OF, validated_at="2025-05-01 03:00:00", run_id="r1")
+    assert spark.table(t.name(t.drop_log)).count() == 2
+    M.load_silver(spark, t, as_of=AS_OF, validated_at="2025-05-01 03:00:00", run_id="r2")
+    assert spark.table(t.name(t.drop_log)).count() == 4
