@@ -112,17 +112,18 @@ def assemble_listings(cards: DataFrame, details: DataFrame, ingestion_timestamp:
     keeps NULL scalars and empty lists.  A card with a NULL URL is kept with NULLs."""
     empty = F.array().cast("array<string>")
     joined = cards.join(details, "job_url", "left")
-    return joined.select(
-        *[
-            (F.array_join(F.coalesce(F.col(c), empty), TECH_SEPARATOR if c == "expected_technologies"
-                          else TEXT_LIST_SEPARATOR).alias(c)
-             if c in ("expected_technologies", "requirements", "responsibilities")
-             else F.lit(ingestion_timestamp).alias(c) if c == "ingestion_timestamp"
-             else F.lit(ingestion_date).alias(c) if c == "ingestion_date"
-             else F.col(c))
-            for c in LANDING_COLUMNS
-        ]
-    )
+    separators = {"expected_technologies": TECH_SEPARATOR, "requirements": TEXT_LIST_SEPARATOR,
+                  "responsibilities": TEXT_LIST_SEPARATOR}
+    stamp = {"ingestion_timestamp": ingestion_timestamp, "ingestion_date": ingestion_date}
+
+    def landing_column(name: str) -> Column:
+        if name in separators:
+            return F.array_join(F.coalesce(F.col(name), empty), separators[name]).alias(name)
+        if name in stamp:
+            return F.lit(stamp[name]).alias(name)
+        return F.col(name)
+
+    return joined.select(*[landing_column(c) for c in LANDING_COLUMNS])
 
 
 def generic_fields(pages: DataFrame, partitions: int | str | None = None) -> DataFrame:
