@@ -119,20 +119,28 @@ def load_silver(spark: SparkSession, t: Tables, as_of=None, validated_at=None,
     return counts
 
 
-def register_views(spark: SparkSession, silver: DataFrame, as_of=None) -> list[str]:
-    """Register every Gold view (and the dashboard) as a temporary view."""
-    names = []
-    for name, df in gold.gold_views(silver, as_of).items():
-        df.createOrReplaceTempView(name)
-        names.append(name)
-    gold.gold_dashboard(silver).createOrReplaceTempView("gold_dashboard")
-    names.append("gold_dashboard")
-    return names
-
-
-def list_views(spark: SparkSession, pattern: str = "v_*") -> list[str]:
-    """Names of the registered (temporary) views matching ``pattern``."""
-    return sorted(t.name for t in spark.catalog.listTables(pattern=pattern) if t.tableType in ("VIEW", "TEMPORARY"))
+def register_views(spark: SparkSession, silver: DataFrame, as_of=None, scope: str = "session") -> list[str]:
+    """Register every Gold view (and the dashboard).
+
+    ``scope="session"`` makes temporary views of this session; ``"global"`` makes
+    application-wide views under ``global_temp`` (needed when another session, such as
+    a streaming micro-batch, refreshes them)."""
+    views = dict(gold.gold_views(silver, as_of))
+    views["gold_dashboard"] = gold.gold_dashboard(silver)
+    for name, df in views.items():
+        if scope == "global":
+            df.createOrReplaceGlobalTempView(name)
+        else:
+            df.createOrReplaceTempView(name)
+    return list(views)
+
+
+def list_views(spark: SparkSession, pattern: str = "v_*", database: str | None = None) -> list[str]:
+    """Names of the registered views matching ``pattern`` (``database="global_temp"``
+    lists the application-wide ones)."""
+    tables = spark.catalog.listTables(dbName=database, pattern=pattern) if database else \
+        spark.catalog.listTables(pattern=pattern)
+    return sorted(t.name for t in tables if t.tableType in ("VIEW", "TEMPORARY"))
 
 
 def preview(df: DataFrame, columns: list[str] | None = None, n: int = 10) -> DataFrame:

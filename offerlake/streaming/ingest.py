@@ -84,6 +84,6 @@ def medallion_batch_runner(tables, as_of=None, loaded_at=None) -> Callable[[Data
         rows = bronze_metadata(latest.drop("__ts"), source_file=F.col("source_file"), loaded_at=loaded_at)
         M.write_bronze(spark, rows, tables)
         M.load_silver(spark, tables, as_of=as_of, validated_at=loaded_at)
-        M.register_views(spark, spark.table(tables.name(tables.silver)), as_of)
+        M.register_views(spark, spark.table(tables.name(tables.silver)), as_of, scope="global")
 
     return run

@@ -216,8 +216,15 @@ def test_file_arrival_runs_the_medallion(spark, scratch_dir):
     L.write_csv_snapshot(frame(spark, SNAPSHOT[:3]), landing, dt.datetime(2025, 5, 2, 2))
     S.file_arrival_ingest(spark, glob, ckpt, runner)
     spark.catalog.refreshTable(t.name(t.bronze))
+    spark.catalog.refreshTable(t.name(t.silver))
     assert spark.table(t.name(t.bronze)).count() == 3
-    assert spark.sql("SELECT * FROM v_job_market_overview").first().total_active_listings == 2
+    silver_ids = {r.job_listing_id for r in spark.table(t.name(t.silver)).collect()}
+    assert silver_ids == {"a", "b"}
+    assert "v_job_market_overview" in M.list_views(spark, database="global_temp")
+    overview = spark.sql("SELECT * FROM global_temp.v_job_market_overview").first()
+    assert overview.total_active_listings == len(silver_ids)
+    locations = {r.location for r in spark.sql("SELECT location FROM global_temp.v_jobs_by_location").collect()}
+    assert locations == {"Multiple locations", "Kraków"}
 
 
 def test_drop_log_run_id_is_idempotent(spark, scratch_dir):
