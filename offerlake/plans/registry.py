@@ -299,13 +299,27 @@ def q_file_arrival_ingest(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 
+def _fresh_tables(spark) -> M.Tables:
+    """A new database under the shared checkpoint root (never a machine-local folder)."""
+    return M.Tables(database=f"offerlake_{_uuid.uuid4().hex[:10]}",
+                    location=shared_path(spark, "warehouse", unique=True))
+
+
+def _keeping_current_database(spark, fn):
+    """Run ``fn`` and restore the caller's current database afterwards."""
+    current = spark.catalog.currentDatabase()
+    try:
+        return fn()
+    finally:
+        spark.catalog.setCurrentDatabase(current)
+
+
 def _run_tables(spark, sf_dir) -> M.Tables:
     """Land the fixture, then run landing -> Bronze -> Silver (+drop log) -> views in a
-    fresh database stored under the shared checkpoint root."""
+    fresh database."""
     landing = write_landing_fixture(spark, sf_dir)
-    t = M.Tables(database=f"offerlake_{_uuid.uuid4().hex[:10]}",
-                 location=shared_path(spark, "warehouse", unique=True))
-    M.run_all(spark, landing, t, as_of=AS_OF, loaded_at=RUN_TS)
+    t = _fresh_tables(spark)
+    _keeping_current_database(spark, lambda: M.run_all(spark, landing, t, as_of=AS_OF, loaded_at=RUN_TS))
     return t
 
 
@@ -323,10 +337,8 @@ def q_drop_log_table(spark, sf_dir):
 def q_upsert_bronze(spark, sf_dir):
     """Bronze holds snapshot A; snapshot B is upserted (newest row per id wins)."""
     a, b = two_snapshots(spark, sf_dir)
-    t = M.Tables(database=f"offerlake_{_uuid.uuid4().hex[:10]}",
-                 location=shared_path(spark, "warehouse", unique=True))
-    M.write_bronze(spark, a, t)
-    M.upsert_bronze(spark, b, t)
+    t = _fresh_tables(spark)
+    _keeping_current_database(spark, lambda: (M.write_bronze(spark, a, t), M.upsert_bronze(spark, b, t)))
     return spark.table(t.name(t.bronze))
 
 
