@@ -41,7 +41,7 @@ CONTRACT_TYPES = {
 MULTI_LOCATION_PATTERNS = ["Oferta w wielu lokalizacjach", "Multiple locations offer"]
 MULTI_LOCATION_LABEL = "Multiple locations"
 
-# Frequency keywords (checked on the lower-cased, stripped text).
+# Frequency keywords (searched in the lower-cased text).
 MONTHLY_KEYS = ["mth", "mies"]
 HOURLY_KEYS = ["hr", "godz"]
 
@@ -62,9 +62,9 @@ def as_of_col(as_of: _dt.date | str | None) -> Column:
 def convert_date(c: Column | str) -> Column:
     """``'day month_name year'`` -> ``'YYYY-MM-DD'`` string, else NULL.
 
-    Exactly three whitespace-separated parts (one anchored regex, so the text is
-    scanned once); the month is looked up lower-cased; a one-character day gets a
-    leading zero (longer days are kept whole, never truncated).
+    Exactly three whitespace-separated parts (one anchored pattern both checks the
+    shape and captures each part); the month is looked up lower-cased; a
+    one-character day gets a leading zero (longer days are kept whole, never truncated).
     """
     raw = col_of(c)
 
