@@ -2,7 +2,7 @@
 
 Python's ``strip()``/``split()``/``\\s`` treat every character for which
 ``str.isspace()`` is true as whitespace.  Spark's ``trim`` removes only U+0020 and
-Java's ``\\s`` is ASCII-only, so the class below spells the Python set out for the
+Java's ``\\s`` is ASCII-only, so the class below expresses the Python set for the
 Java regex engine.  Everything stays a JVM expression inside whole-stage codegen.
 """
 
