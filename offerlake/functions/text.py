@@ -29,14 +29,6 @@ def ustrip(c: Column | str) -> Column:
     return F.regexp_replace(col_of(c), _STRIP_RE, "")
 
 
-def usplit(c: Column | str) -> Column:
-    """``s.split()`` (no separator): runs of whitespace, no empty items."""
-    stripped = ustrip(c)
-    return F.when(stripped == "", F.array().cast("array<string>")).otherwise(
-        F.split(stripped, f"{PY_WS}+")
-    )
-
-
 def blank_to_null(c: Column | str) -> Column:
     """Python truthiness of a string: NULL and '' are both 'missing'."""
     return F.nullif(col_of(c), F.lit(""))
