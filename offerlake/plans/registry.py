@@ -288,7 +288,7 @@ def q_file_arrival_ingest(spark, sf_dir):
     landing = write_landing_fixture(spark, sf_dir)
     bronze_path = shared_path(spark, "bronze_stream", unique=True)
     checkpoint = shared_path(spark, "stream_checkpoints", unique=True)
-    S.file_arrival_ingest(spark, f"{landing}/*.csv/*.csv", checkpoint,
+    S.file_arrival_ingest(spark, landing, checkpoint,
                           S.bronze_batch_writer(bronze_path, loaded_at=RUN_TS))
     bronze = spark.read.parquet(bronze_path)
     return bronze.select(*LANDING_COLUMNS, L.name_timestamp(F.col("source_file")).alias("snapshot_ts"))

@@ -23,14 +23,19 @@ from ..plans.bronze import bronze_metadata
 from ..sources.landing import CSV_READ_OPTIONS, landing_stream_schema, spread_if_narrow
 
 
-def landing_stream(spark: SparkSession, landing_glob: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame over landing CSV files (header checked against the schema)."""
+def landing_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming DataFrame over landing CSV files (header checked against the schema).
+
+    ``landing`` is a directory (every ``*.csv`` below it, single files and Spark-written
+    snapshot directories alike) or a glob pattern."""
     reader = (spark.readStream.schema(landing_stream_schema())
               .options(**CSV_READ_OPTIONS)
               .option("enforceSchema", "false"))
+    if not any(ch in landing for ch in "*?[{"):
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.csv(landing_glob).withColumn("source_file", F.col("_metadata.file_path"))
+    return reader.csv(landing).withColumn("source_file", F.col("_metadata.file_path"))
 
 
 def bronze_batch_writer(bronze_path: str, loaded_at=None) -> Callable[[DataFrame, int], None]:
@@ -46,11 +51,11 @@ def bronze_batch_writer(bronze_path: str, loaded_at=None) -> Callable[[DataFrame
     return write
 
 
-def file_arrival_ingest(spark: SparkSession, landing_glob: str, checkpoint: str,
+def file_arrival_ingest(spark: SparkSession, landing: str, checkpoint: str,
                         on_batch: Callable[[DataFrame, int], None],
                         max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Process every landing file not yet seen by ``checkpoint``, then stop."""
-    stream = landing_stream(spark, landing_glob, max_files_per_trigger)
+    stream = landing_stream(spark, landing, max_files_per_trigger)
     query = (stream.writeStream
              .foreachBatch(on_batch)
              .option("checkpointLocation", checkpoint)

@@ -186,7 +186,7 @@ def test_streaming_ingest_is_incremental(spark, scratch_dir):
     L.write_csv_snapshot(frame(spark, SNAPSHOT), landing, dt.datetime(2025, 5, 1, 2))
     bronze_path = os.path.join(scratch_dir, "bronze")
     ckpt = os.path.join(scratch_dir, "ckpt")
-    glob = f"{landing}/*.csv/*.csv"
+    glob = f"{landing}/*.csv/*.csv"  # a glob works as well as the directory itself
     S.file_arrival_ingest(spark, glob, ckpt, S.bronze_batch_writer(bronze_path))
     assert spark.read.parquet(bronze_path).count() == 7
     S.file_arrival_ingest(spark, glob, ckpt, S.bronze_batch_writer(bronze_path))   # nothing new
@@ -198,7 +198,7 @@ def test_streaming_ingest_is_incremental(spark, scratch_dir):
 
 def test_file_arrival_runs_the_medallion(spark, scratch_dir):
     landing = os.path.join(scratch_dir, "landing")
-    glob = f"{landing}/*.csv/*.csv"
+    glob = landing  # the directory: every *.csv below it
     ckpt = os.path.join(scratch_dir, "ckpt")
     t = M.Tables(database="offerlake_stream_test", location=os.path.join(scratch_dir, "db"))
     runner = S.medallion_batch_runner(t, as_of=AS_OF, loaded_at="2025-05-01 03:00:00")
