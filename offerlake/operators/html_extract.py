@@ -7,8 +7,8 @@ Spark partitions the pages and moves them through Arrow batches.  Field semantic
 * an element is the first one in document order matching (tag, attribute, value);
   ``class`` matches any of its whitespace-separated names;
 * text is every descendant text node stripped (Python whitespace), empty ones
-  skipped, concatenated without separator; entities are decoded; comments and
-  script/style bodies are not text;
+  skipped, concatenated without separator; character references are decoded (known
+  entity names, numeric references); comments and script/style bodies are not text;
 * a missing element gives NULL (scalar) or ``[]`` (list); a page that fails to
   parse gives NULLs / empty lists and never fails the job.
 """
@@ -18,6 +18,7 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -47,7 +48,8 @@ class Element:
 
 class _TreeBuilder(HTMLParser):
     def __init__(self):
-        super().__init__(convert_charrefs=True)
+        # references are resolved by handle_entityref/handle_charref below
+        super().__init__(convert_charrefs=False)
         self.root = Element("[document]", {}, None)
         self.cur = self.root
         self._text_open = False  # consecutive data events form one text node
@@ -86,6 +88,31 @@ class _TreeBuilder(HTMLParser):
             self.cur.children.append(data)
             self._text_open = True
 
+    def handle_entityref(self, name):
+        """A named reference: the character when the whole name is a known entity,
+        otherwise the literal text ('&ampx' stays as written)."""
+        self.handle_data(html5.get(name + ";", "&" + name))
+
+    def handle_charref(self, name):
+        """A numeric reference; values below 256 are read as Windows-1252 bytes first
+        (pages often mean '&#147;' as a curly quote), then as a code point."""
+        try:
+            cp = int(name[1:], 16) if name[:1] in ("x", "X") else int(name)
+        except ValueError:
+            cp = -1
+        text = None
+        if 0 <= cp < 256:
+            try:
+                text = bytes([cp]).decode("cp1252")
+            except UnicodeDecodeError:
+                text = None
+        if text is None:
+            try:
+                text = chr(cp)
+            except (ValueError, OverflowError):
+                text = "\ufffd"
+        self.handle_data(text)
+
     def _boundary(self, *_):
         """Comments, declarations and processing instructions end a text node."""
         self._text_open = False

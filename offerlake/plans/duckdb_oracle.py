@@ -446,8 +446,14 @@ def landing_sql() -> dict[str, str]:
 
 
 def _decode(x: str) -> str:
-    return (f"replace(replace(replace(replace(replace(replace({x}, '&quot;', '\"'), '&copy;', chr(169)), "
-            f"'&middot;', chr(183)), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')")
+    """Decode the entities that occur in the pages: named references with ';', and the
+    legacy form without ';' when no letter or digit follows (e.g. a title cut after
+    '&amp').  '&amp' is decoded last so '&amp;quot;' stays '&quot;'."""
+    out = x
+    for name, char in (("quot", "'\"'"), ("copy", "chr(169)"), ("middot", "chr(183)"),
+                       ("lt", "'<'"), ("gt", "'>'")):
+        out = f"regexp_replace({out}, '&{name}(;|([^a-zA-Z0-9])|$)', {char} || '\\2', 'g')"
+    return f"regexp_replace({out}, '&amp(;|([^a-zA-Z0-9])|$)', '&' || '\\2', 'g')"
 
 
 def _pystrip(x: str) -> str:

@@ -177,3 +177,16 @@ def test_text_nodes_merge_like_one_string():
     # a comment splits the text into two nodes, each stripped
     assert text_of(parse_html("<p>a <!-- c -->  b</p>")) == "ab"
     assert text_of(parse_html("<p>x &amp; y</p>")) == "x & y"
+
+
+def test_character_references():
+    cases = {
+        "<p>x &amp; y</p>": "x & y",
+        "<p>a&amp<b>c</b></p>": "a&c",
+        "<p>t&am</p>": "t&am",
+        "<p>&ampx</p>": "&ampx",
+        "<p>&#147;q&#148; &#x41;&#65;</p>": "\u201cq\u201d AA",
+        "<p>&copy; &middot;</p>": "\u00a9 \u00b7",
+    }
+    for html_text, want in cases.items():
+        assert text_of(parse_html(html_text)) == want, html_text
