@@ -106,3 +106,20 @@ def test_broadcast_only_under_size_limit(spark):
     hinted = join_dimension(fact, supplier, on, limit_bytes=1 << 20)._jdf.queryExecution().analyzed().toString()
     plain = join_dimension(fact, supplier, on, limit_bytes=1 << 10)._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in hinted.lower() and "broadcast" not in plain.lower()
+
+
+def test_approx_percentiles_close_to_exact(spark):
+    s = skewed_silver(spark)
+    exact = gold.v_salary_insights(s).first()
+    approx = gold.v_salary_insights(s, approx=True).first()
+    spread = exact.max_salary_highest - exact.min_salary_lowest
+    for f in ("q1_min_salary", "median_min_salary", "q3_min_salary"):
+        assert abs(getattr(exact, f) - getattr(approx, f)) <= 0.01 * spread
+
+
+def test_segment_summary_on_monthly_pay(spark):
+    s = skewed_silver(spark).withColumn("min_salary_mth", F.col("min_salary")) \
+        .withColumn("max_salary_mth", F.lit(None).cast("int"))
+    out = gold.segment_summary(s, ["location"], measures=("min_salary_mth", "max_salary_mth"), coverage=None)
+    assert set(out.columns) == {"location", "job_count", "company_count", "avg_min_salary", "avg_max_salary"}
+    assert all(r.avg_max_salary is None for r in out.collect())
