@@ -24,7 +24,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from offerlake.operators import quality as Q  # noqa: E402
 from offerlake.plans import gold, registry  # noqa: E402
 from offerlake.plans.silver import active_only, clean_listings  # noqa: E402
-from offerlake.session import build_session  # noqa: E402
+from offerlake.session import build_session, ship_package  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
@@ -45,6 +45,7 @@ def main() -> None:
         "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
         "spark.checkpoint.dir": os.path.join(scratch, "checkpoints"),
     })
+    ship_package(spark)  # executors' Python workers import the package (page extraction)
     sf = os.path.basename(SF_DIR.rstrip("/")).replace("sf", "")
     times: dict[str, float] = {}
 

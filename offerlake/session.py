@@ -7,6 +7,7 @@ directory is only chosen when that setting is absent, which is the test/laptop c
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -91,3 +92,27 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     root = checkpoint_root(spark).rstrip("/")
     tail = list(parts) + ([uuid.uuid4().hex[:12]] if unique else [])
     return "/".join([root, "offerlake", *tail])
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``offerlake`` importable in executor Python workers (what ``--py-files``
+    does): zip the package once per SparkContext and ``addPyFile`` it.  Needed by the
+    Arrow-batched page extraction, whose functions live in this package."""
+    import zipfile
+
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: dependencies are shipped by the client
+        return
+    if getattr(sc, "_offerlake_shipped", False):
+        return
+    package_dir = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="offerlake-pyfiles-"), "offerlake.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(package_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(root, name)
+                    zf.write(path, os.path.relpath(path, os.path.dirname(package_dir)))
+    sc.addPyFile(archive)
+    sc._offerlake_shipped = True
