@@ -46,3 +46,26 @@ def test_query_matches_oracle(spark, duck, key):
     orows = rel.fetchall()
     assert len(rows) == len(orows)
     assert rows_key(cols, rows) == rows_key(rel.columns, orows)
+
+
+def test_driver_style_run_from_another_directory(tmp_path):
+    """A fresh process outside the repo, with a default session, can run queries whose
+    work happens in executor Python workers (the package is shipped with addPyFile)."""
+    import subprocess
+    import textwrap
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = textwrap.dedent(f"""
+        import importlib.util
+        spec = importlib.util.spec_from_file_location("entry", "{repo}/__spark_entry__.py")
+        E = importlib.util.module_from_spec(spec); spec.loader.exec_module(E)
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+                 .config("spark.sql.shuffle.partitions", "4").getOrCreate())
+        print("ROWS", E.queries()["detail_fields"](spark, "{SF_SMALL}").count())
+        spark.stop()
+    """)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env,
+                         capture_output=True, text=True, timeout=600)
+    assert "ROWS 1500" in out.stdout, out.stderr[-2000:]
