@@ -48,6 +48,7 @@ SHINGLE = 5
 BANDS = 24
 ROWS = 6
 BLOCK = 1000
+BLOCK_BYTES = 16 << 20
 SLACK = 0.1
 _NONE = np.uint64(0)
 
@@ -173,8 +174,8 @@ def _sets(wanted_by: str):
     return run
 
 
-def similarity(x: bytes, y: bytes, weighting: str) -> float:
-    """Exact (weighted) Jaccard similarity of two stored shingle sets."""
+def similarity(x, y, weighting: str) -> float:
+    """Exact (weighted) Jaccard similarity of two stored shingle sets (buffers)."""
     if weighting == "set":
         a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
         both = np.concatenate([a, b])
@@ -204,54 +205,82 @@ def _links(pairs: DataFrame, sets: DataFrame, threshold: float, weighting: str)
                        _verify(threshold, weighting), "a binary, b binary")
 
 
-def _block_pairs(floor: float):
-    """Rows arrive sorted by block pair; emits pairs across components by signature."""
-    def pairs(rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
+class Merged:
+    """Components already joined by a link of this task."""
+
+    def __init__(self) -> None:
+        self.up: dict[bytes, bytes] = {}
+
+    def find(self, x: bytes) -> bytes:
+        while (y := self.up.get(x, x)) != x:
+            x = y
+        return x
+
+    def join(self, x: bytes, y: bytes) -> None:
+        x, y = self.find(x), self.find(y)
+        self.up[max(x, y)] = min(x, y)
+
+
+def _block_links(threshold: float, floor: float, weighting: str):
+    """Rows arrive sorted by block pair; emits verified links that join components."""
+    def links(key: int, rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
         left = [r for r in rows if r[1] in (0, 2)]
         right = [r for r in rows if r[1] in (1, 2)]
         if not left or not right:
             return
         sig = np.frombuffer(b"".join(r[4] for r in right), np.uint8).reshape(len(right), -1)
+        bands = np.array([r[5] for r in right], np.int64)
         comps = np.array([r[3] for r in right], object)
-        names = np.array([r[2] for r in right], object)
-        for _, side, node, comp, own in left:
-            same = (sig == np.frombuffer(own, np.uint8)).mean(axis=1)
-            hit = (same >= floor) & (comps != comp)
-            for other in names[hit]:
-                if side != 2 or node < other:
-                    yield min(node, other), max(node, other)
+        merged = Merged()
+        for _, side, node, comp, own, own_bands, elements in left:
+            near = np.flatnonzero((comps != comp) & ((sig == np.frombuffer(own, np.uint8)).mean(axis=1) >= floor))
+            # A pair that shares several buckets is looked at in the first of them only.
+            shared = bands[near] == np.array(own_bands)
+            near = near[bands[near, shared.argmax(axis=1)] == key]
+            for i in near:
+                other = right[i]
+                if (side != 2 or node < other[2]) and merged.find(comp) != merged.find(other[3]) \
+                        and similarity(elements, other[6], weighting) >= threshold:
+                    merged.join(comp, other[3])
+                    yield min(node, other[2]), max(node, other[2])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(rows):
-            made = sorted(set(pairs(rows)))
+        def flush(key, rows):
+            made = list(links(key, rows))
             return pa.RecordBatch.from_arrays([pa.array([m[i] for m in made], pa.binary()) for i in (0, 1)], ["a", "b"])
         held, last = [], None
+        names = ("key", "block", "side", "node", "comp", "sig", "bands", "elements")
         for batch in batches:
-            for key, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "block", "side", "node", "comp", "sig"))):
+            for key, *row in zip(*(batch.column(c).to_pylist() for c in names)):
                 if (key, row[0]) != last and held:
-                    yield flush(held)
+                    yield flush(last[0], held)
                     held = []
                 last = (key, row[0])
                 held.append(tuple(row))
         if held:
-            yield flush(held)
+            yield flush(last[0], held)
     return run
 
 
-def _rest_pairs(members: DataFrame, comps: DataFrame, signatures: DataFrame, floor: float) -> DataFrame:
-    """Candidate pairs between different components that share a bucket."""
+def _rest_links(members: DataFrame, comps: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: float,
+                weighting: str) -> DataFrame:
+    """Links between different components that share a bucket."""
     comp = F.coalesce("comp", "node").alias("comp")
     m = members.join(comps, "node", "left").select("key", "node", comp)
     # A bucket settled by its pivot: one component, or two members (just compared).
-    open_keys = m.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")) \
-        .where("lo <> hi AND n > 2").select("key", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    m = (m.join(open_keys, "key").join(signatures, "node")
-         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    several = m.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")) \
+        .where("lo <> hi AND n > 2").select("key")
+    m = m.join(several, "key").join(nodes, "node").join(sets, "node")
+    size = m.groupBy("key").agg(F.greatest(F.ceil(F.count("*") / F.lit(BLOCK)),
+                                           F.ceil(F.sum(F.octet_length("elements")) / F.lit(BLOCK_BYTES)))
+                                .cast("int").alias("blocks"))
+    m = (m.join(size, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
          .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
          .withColumn("block", F.least("own", "other") * F.col("blocks") + F.greatest("own", "other"))
          .withColumn("side", F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)))
-    return map_batches(m.select("key", "block", "side", "node", "comp", "sig").repartition("key", "block")
-                       .sortWithinPartitions("key", "block"), _block_pairs(floor), "a binary, b binary").distinct()
+    return map_batches(m.select("key", "block", "side", "node", "comp", "sig", "bands", "elements")
+                       .repartition("key", "block").sortWithinPartitions("key", "block"),
+                       _block_links(threshold, threshold - SLACK, weighting), "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, spark: SparkSession, threshold: float = 0.8, bands: int = BANDS,
@@ -282,8 +311,7 @@ def near_duplicates(docs: DataFrame, spark: SparkSession, threshold: float = 0.8
                               "node binary, elements binary").dropDuplicates(["node"]), spark, "sets")
     links = stored(_links(star, sets, threshold, weighting), spark, "links")
     comps = components(links, spark)
-    rest = _rest_pairs(members.select("key", "node"), comps, nodes.select("node", "sig"), threshold - SLACK)
-    more = stored(_links(stored(rest, spark, "pairs"), sets, threshold, weighting), spark, "links")
+    more = stored(_rest_links(members.select("key", "node"), comps, nodes, sets, threshold, weighting), spark, "links")
     if more.limit(1).count():
         comps = components(links.union(more), spark)
     by_node = (signed.where("node IS NOT NULL").groupBy("node")
