@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlake.llm.common import map_batches, pick, prepare, row_key, stored
+from offerlake.llm.common import map_batches, pick, prepare, row_key
 from offerlake.llm.textnp import byte_values, grams, mix, non_space, sliding, words
 
 WINDOW = 35
@@ -166,7 +166,8 @@ _FOUND = "low bigint, doc binary, starts binary, hashes binary"
 
 
 def _candidates(window: int, bits: int, sketch):
-    """Rows with ``low``: windows for the exact pass; without: starts already settled."""
+    """Rows with hashes: windows for the exact pass, dealt by minimiser; without: starts
+    already settled, which only pass through."""
     def settle(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         low, doc, start, h1, h2 = (np.concatenate([h[i] for h in held]) for i in range(5))
         keys = [k for h in held for k in h[5]]
@@ -175,7 +176,8 @@ def _candidates(window: int, bits: int, sketch):
         at = np.flatnonzero(repeated)
         cut = np.flatnonzero(np.diff(doc[at], prepend=-1))
         for a, b in zip(cut, np.append(cut[1:], len(at))):
-            rows.append((None, keys[doc[at[a]]], start[at[a:b]].astype(np.uint32).tobytes(), None))
+            key = keys[doc[at[a]]]
+            rows.append((int.from_bytes(key[:8], "little", signed=True), key, start[at[a:b]].astype(np.uint32).tobytes(), None))
         send = np.flatnonzero(~repeated | first)
         flagged = start[send].astype(np.uint32) | np.where(repeated[send], _FLAG, np.uint32(0))
         both = np.stack([h1[send], h2[send]], 1)
@@ -248,13 +250,19 @@ def _exact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               pa.array(out[a:a + 8192], pa.binary())], ["doc", "starts"])
 
     for batch in batches:
+        passed: list[tuple] = []
         for low, doc, starts, hashes in zip(*(batch.column(c).to_pylist() for c in ("low", "doc", "starts", "hashes"))):
+            if hashes is None:
+                passed.append((doc, starts))
+                continue
             if low != last and n >= FLUSH:
                 yield from settle()
                 held, n = [], 0
             last = low
             held.append((doc, starts, hashes))
             n += len(starts) // 4
+        if passed:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*passed)], ["doc", "starts"])
     if held:
         yield from settle()
 
@@ -299,12 +307,9 @@ def remove_repeats(docs: DataFrame, spark: SparkSession, window: int = WINDOW,
     # About one selected gram per 64 bytes; four cells for each, up to the bound.
     bits = min(max((size // 16).bit_length(), 13), (max_sketch_bytes * 8 // DEPTH).bit_length() - 1)
     sketch = spark.sparkContext.broadcast(build_sketch(rows, spark, window, bits))
-    found = stored(map_batches(rows.select("doc", "text"), _candidates(window, bits, sketch), _FOUND),
-                   spark, "windows")
-    settled = found.where("low IS NULL").select("doc", "starts")
-    exact = map_batches(found.where("low IS NOT NULL").repartition("low").sortWithinPartitions("low"),
-                        _exact, "doc binary, starts binary")
-    marks = settled.union(exact).groupBy("doc").agg(F.collect_list("starts").alias("found"))
+    found = map_batches(rows.select("doc", "text"), _candidates(window, bits, sketch), _FOUND)
+    exact = map_batches(found.repartition("low").sortWithinPartitions("low"), _exact, "doc binary, starts binary")
+    marks = exact.groupBy("doc").agg(F.collect_list("starts").alias("found"))
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
     return map_batches(rows.join(marks.hint("shuffle_hash"), "doc", "left").select("doc_id", "text", "found"),
                        _remover(window, keep_text), schema + ", kept_text string" * keep_text)
