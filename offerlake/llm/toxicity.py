@@ -12,8 +12,8 @@ the sum of its words in kernel space.
 Model.  Landmark words are those that set toxic and clean training documents apart most,
 plus frequent background words.  Nystroem features ``K_mm^-1/2 k_m(sentence)`` feed a linear
 squared-hinge SVM.  A labelled document is a bag of sentences: clean documents label all
-theirs, a toxic one is represented by its most toxic sentence, chosen anew in each round;
-toxic labels whose best sentence looks clean are set aside as noise.  A document scores by
+theirs, a toxic one is represented by its most toxic sentence, chosen anew in each round,
+and by those that hold a marked word; toxic labels whose best sentence looks clean are set aside as noise.  A document scores by
 its most toxic sentence, calibrated to a probability.
 
 The model is fitted on a bounded sample (``max_labelled`` rows, hash order; texts up to
@@ -21,7 +21,7 @@ The model is fitted on a bounded sample (``max_labelled`` rows, hash order; text
 without a shuffle, and evaluates the kernel once per distinct word of a chunk.
 
 Defined cases: NULL and empty texts score as a document without words; without labels of
-both kinds everything scores 0; several labels of an id count as toxic if one is; repeated
+both kinds, or words that tell them apart, everything scores 0; several labels of an id count as toxic if one is; repeated
 rows score alike; an empty table gives an empty result; other columns are ignored
 (:func:`drop_toxic` keeps them).
 """
@@ -43,13 +43,14 @@ from offerlake.llm.common import id_remainder, map_batches, pick, prepare
 from offerlake.llm.textnp import _power, mix
 
 PIECE = 16
-SENTENCE = 8
+SENTENCE = 6
 SPAN = 6
 DECAY = 0.5
 POWER = 3
 CHUNK_CHARS = 1 << 21
 LETTERS = 64
 CACHE_PIECES = 1 << 21
+NEAR = 0.9  # kernel value from which a word counts as the landmark itself
 _START = 63  # marks the beginning of a word
 MAX_LABELLED = 4000
 MAX_TEXT_BYTES = 32 << 10
@@ -178,8 +179,8 @@ class Landmarks:
         for n in range(3, PIECE + 1):
             which = np.flatnonzero(size == n)
             at, weight, scale = _triples(n)
-            for a in range(0, len(which), 20_000):
-                w = which[a:a + 20_000]
+            for a in range(0, len(which), 4_000):
+                w = which[a:a + 4_000]
                 m = letters[start[w][:, None] + np.arange(n)].astype(np.int64)
                 ids = (m[:, at[:, 0]] * LETTERS + m[:, at[:, 1]]) * LETTERS + m[:, at[:, 2]]
                 count = self.first[ids + 1] - self.first[ids]
@@ -286,52 +287,98 @@ def _marks(piece: np.ndarray, doc: np.ndarray, y: np.ndarray, pos: np.ndarray, n
     return np.array(out, np.int64)
 
 
-def train(texts: list[str], toxic: list[int], n_marks: int = 128, n_background: int = 48, rounds: int = 6,
+def _text_chunks(texts: list[str], limit: int = CHUNK_CHARS // 2) -> Iterator[tuple[int, int]]:
+    start = 0
+    while start < len(texts):
+        stop, size = start, 0
+        while stop < len(texts) and (stop == start or size + len(texts[stop]) <= limit):
+            size += len(texts[stop])
+            stop += 1
+        yield start, stop
+        start = stop
+
+
+def _choose_landmarks(texts: list[str], y: np.ndarray, n_marks: int, n_background: int) -> tuple[list[tuple], int]:
+    """Spelled landmark words, the marked ones first, and how many are marked."""
+    hashes, docs = [], []
+    for a, b in _text_chunks(texts):
+        p = Pieces(texts[a:b])
+        at, back = p.distinct()
+        pair = np.unique(back.astype(np.int64) * (b - a) + p.window_text[p.word_window[p.word]])
+        which, doc = at[pair // (b - a)], pair % (b - a)
+        long = p.size[which] > 3  # with the start mark: words of three letters or more
+        hashes.append(p.hash[which[long]])
+        docs.append(doc[long] + a)
+    keys, piece = np.unique(np.concatenate(hashes), return_inverse=True)
+    doc = np.concatenate(docs)
+    pos = np.bincount(piece[y[doc] > 0], minlength=len(keys))
+    neg = np.bincount(piece[y[doc] < 0], minlength=len(keys))
+    marks = _marks(piece, doc, y, pos, neg, n_marks)
+    common = np.argsort(-(pos + neg), kind="stable")
+    wanted = keys[np.concatenate([marks, common[~np.isin(common, marks)][:n_background]])]
+    spelled: dict[int, tuple] = {}
+    for a, b in _text_chunks(texts):
+        if len(spelled) == len(wanted):
+            break
+        p = Pieces(texts[a:b])
+        for i in np.flatnonzero(np.isin(p.hash, wanted)):
+            spelled.setdefault(int(p.hash[i]), p.spell(i))
+    return [spelled[int(h)] for h in wanted], len(marks)
+
+
+def _sentences(texts: list[str], landmarks: Landmarks, n_marks: int, per_bag: int) -> tuple[np.ndarray, ...]:
+    """Kernel rows of the ``per_bag`` sentences of each text nearest to a marked landmark
+    (the others are easy), with their text and that nearness."""
+    bags, rows, nears = [], [], []
+    for a, b in _text_chunks(texts):
+        p = Pieces(texts[a:b])
+        if not len(p.start):
+            continue
+        at, back = p.distinct()
+        alone = np.bincount(p.word)[p.word] == 1  # words of several pieces are left out of training
+        out = np.zeros((len(p.window_text), landmarks.n), np.float32)
+        order = np.argsort(back, kind="stable")
+        first = np.searchsorted(back[order], np.arange(len(at) + 1))
+        for lo in range(0, len(at), 20_000):
+            hi = min(lo + 20_000, len(at))
+            k = landmarks.similar(p.letters, p.start[at[lo:hi]], p.size[at[lo:hi]])
+            use = order[first[lo]:first[hi]]
+            use = use[alone[use]]
+            some = k[back[use] - lo].any(axis=1)
+            np.add.at(out, p.word_window[p.word[use[some]]], k[back[use[some]] - lo])
+        near = out[:, :max(n_marks, 1)].max(axis=1)
+        order = np.lexsort((-near, p.window_text))
+        bag = p.window_text[order]
+        order = order[np.arange(len(bag)) - np.searchsorted(bag, bag) < per_bag]
+        bags.append(p.window_text[order] + a)
+        rows.append(out[order])
+        nears.append(near[order])
+    return np.concatenate(bags), np.concatenate(rows), np.concatenate(nears)
+
+
+def train(texts: list[str], toxic: list[int], n_marks: int = 128, n_background: int = 24, rounds: int = 6,
           per_bag: int = 8, ridge: float = 1.0) -> Model | None:
-    """Fit on labelled documents; None unless both labels occur."""
+    """Fit on labelled documents; None unless both labels occur and words tell them apart."""
     y = np.where(np.array(toxic) > 0, 1, -1)
     if not len(y) or y.min() == y.max():
         return None
-    p = Pieces(texts)
-    if not len(p.start):
+    spelled, n_marks = _choose_landmarks(texts, y, n_marks, n_background)
+    if not n_marks:
         return None
-    at, back = p.distinct()
-    text = p.window_text[p.word_window[p.word]]
-    seen = np.unique(back.astype(np.int64) * len(texts) + text)
-    piece, doc = seen // len(texts), seen % len(texts)
-    pos = np.bincount(piece[y[doc] > 0], minlength=len(at))
-    neg = np.bincount(piece[y[doc] < 0], minlength=len(at))
-    marks = _marks(piece, doc, y, pos, neg, n_marks)
-    common = np.argsort(-(pos + neg), kind="stable")
-    common = common[~np.isin(common, marks) & (p.size[at][common] > 3)][:n_background]
-    landmarks = Landmarks.of([p.spell(at[i]) for i in np.concatenate([marks, common])])
-    km = _kernel_of(landmarks, [p.spell(at[i]) for i in np.concatenate([marks, common])])
+    landmarks = Landmarks.of(spelled)
+    km = _kernel_of(landmarks, spelled)
     value, vector = np.linalg.eigh((km + km.T) / 2 + 1e-6 * np.eye(len(km)))
     root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-6))) @ vector.T
-    # Kernel rows of the sentences, a few thousand distinct pieces at a time.
-    windows = len(p.window_text)
-    rows = np.zeros((windows, landmarks.n), np.float32)
-    first = np.flatnonzero(np.diff(p.word, prepend=-1))
-    for lo in range(0, len(at), 50_000):
-        hi = min(lo + 50_000, len(at))
-        k = landmarks.similar(p.letters, p.start[at[lo:hi]], p.size[at[lo:hi]])
-        use = np.flatnonzero((back >= lo) & (back < hi))
-        single = np.isin(use, first) & (np.append(np.diff(first), len(p.word) - first[-1])[p.word[use]] == 1)
-        use = use[single]  # long words (several pieces) are left out of training
-        np.add.at(rows, p.word_window[p.word[use]], k[back[use] - lo])
-    # Keep the sentences nearest to a marked landmark; the others of a bag are easy.
-    near = rows[:, :len(marks)].max(axis=1) if len(marks) else rows.max(axis=1)
-    order = np.lexsort((-near, p.window_text))
-    bag = p.window_text[order]
-    rank = np.arange(len(bag)) - np.searchsorted(bag, bag)
-    order = order[rank < per_bag]
-    bag, x = p.window_text[order], rows[order].astype(np.float64) @ root
-    score, w = near[order].astype(np.float64), None
+    bag, rows, near = _sentences(texts, landmarks, n_marks, per_bag)
+    x = rows.astype(np.float64) @ root
+    score, w = near.astype(np.float64), None
     usable = np.ones(len(y), bool)
     for r in range(rounds):
         top = np.lexsort((-score, bag))
         witness = top[np.append(True, bag[top][1:] != bag[top][:-1])]
         witness = witness[(y[bag[witness]] > 0) & usable[bag[witness]]]
+        # Sentences of toxic documents that hold a marked word stand for their words too.
+        witness = np.union1d(witness, np.flatnonzero((y[bag] > 0) & (near >= NEAR)))
         rest = np.flatnonzero(y[bag] < 0)
         if not len(witness):
             return None
@@ -347,7 +394,7 @@ def train(texts: list[str], toxic: list[int], n_marks: int = 128, n_background:
             if noisy.sum() < 0.9 * (y > 0).sum():
                 usable = ~noisy
     model = Model(landmarks, (root @ w[:-1]).astype(np.float32), float(w[-1]), 1.0, 0.0)
-    margin = np.concatenate([model.margins(texts[i:i + 500]) for i in range(0, len(texts), 500)])
+    margin = np.concatenate([model.margins(texts[a:b]) for a, b in _text_chunks(texts)])
     model.slope, model.offset = _calibrate(margin, y)
     return model
 
@@ -361,15 +408,9 @@ def _kernel_of(landmarks: Landmarks, spelled: list[tuple[int, ...]]) -> np.ndarr
 def score_texts(model: Model | None, texts: list[str | None]) -> np.ndarray:
     if model is None:
         return np.zeros(len(texts))
-    out, start = np.zeros(len(texts)), 0
-    while start < len(texts):
-        stop, size = start, 0
-        while stop < len(texts) and (stop == start or size + len(texts[stop] or "") <= CHUNK_CHARS):
-            size += len(texts[stop] or "")
-            stop += 1
-        out[start:stop] = model.scores([t or "" for t in texts[start:stop]])
-        start = stop
-    return out
+    whole = [t or "" for t in texts]
+    parts = [model.scores(whole[a:b]) for a, b in _text_chunks(whole, CHUNK_CHARS)]
+    return np.concatenate(parts) if parts else np.zeros(0)
 
 
 def fit(docs: DataFrame, labels: DataFrame, spark: SparkSession, use: Column, max_labelled: int = MAX_LABELLED,

@@ -447,7 +447,7 @@ def test_toxicity_on_held_out_rows(spark):
     held = [(rows[i].predicted, y) for i, y in labels.items() if rows[i].held_out]
     # Insult stems of three languages are made of common syllables here; 200 toxic rows train.
     assert sum(p for p, y in held if y) / sum(y for _, y in held) > 0.65
-    assert sum(p for p, y in held if not y) / sum(1 - y for _, y in held) < 0.01
+    assert sum(p for p, y in held if not y) / sum(1 - y for _, y in held) < 0.02
 
 
 def test_inserted_characters_and_defined_cases(spark, messy, messy_rows, nothing):
