@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 
 from offerlake.session import shared_path, ship_package
 
-BATCH_BYTES = "64MB"
+BATCH_BYTES = "16MB"
 #: Rows of a key table that may be broadcast (16-byte keys: a few tens of MB).
 BROADCAST_ROWS = 1_000_000
 

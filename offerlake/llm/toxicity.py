@@ -47,7 +47,7 @@ SENTENCE = 6
 SPAN = 6
 DECAY = 0.5
 POWER = 3
-CHUNK_CHARS = 1 << 21
+CHUNK_CHARS = 1 << 19
 LETTERS = 64
 CACHE_PIECES = 1 << 21
 NEAR = 0.9  # kernel value from which a word counts as the landmark itself
@@ -287,7 +287,7 @@ def _marks(piece: np.ndarray, doc: np.ndarray, y: np.ndarray, pos: np.ndarray, n
     return np.array(out, np.int64)
 
 
-def _text_chunks(texts: list[str], limit: int = CHUNK_CHARS // 2) -> Iterator[tuple[int, int]]:
+def _text_chunks(texts: list[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
     start = 0
     while start < len(texts):
         stop, size = start, 0
