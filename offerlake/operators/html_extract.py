@@ -277,12 +277,19 @@ class Records:
 
 
 def extract_one(html, specs) -> dict:
-    """All spec values of one page (a parse failure yields the empty values)."""
+    """All spec values of one page; a spec that fails, or a page that cannot be parsed,
+    yields empty values for itself only."""
     try:
         root = parse_html(html if isinstance(html, str) else "")
-        return {s.name: s.read(root) for s in specs}
     except Exception:  # noqa: BLE001 - a bad page must never fail the job
         return {s.name: s.empty() for s in specs}
+    out = {}
+    for s in specs:
+        try:
+            out[s.name] = s.read(root)
+        except Exception:  # noqa: BLE001 - nor one bad field the others
+            out[s.name] = s.empty()
+    return out
 
 
 def output_schema(df: DataFrame, keep: list[str], specs) -> T.StructType:
@@ -290,32 +297,13 @@ def output_schema(df: DataFrame, keep: list[str], specs) -> T.StructType:
     return T.StructType(kept + [T.StructField(s.name, s.spark_type(), True) for s in specs])
 
 
-def spread_partitions(pages: DataFrame, partitions: int | str | None) -> DataFrame:
-    """Give CPU-bound parsing enough tasks.
-
-    ``None`` keeps the input partitioning (large page tables already arrive in many
-    file splits, and a repartition would shuffle every page).  ``"auto"`` repartitions
-    only when the planned input has fewer partitions than the cluster has cores (small
-    tables).  An int forces that many round-robin partitions, for pages that come out
-    of a small shuffle AQE may coalesce to one or two partitions (an explicit
-    repartition keeps its count)."""
-    if partitions is None:
-        return pages
-    if partitions == "auto":
-        try:
-            cores = pages.sparkSession.sparkContext.defaultParallelism
-            narrow = pages.rdd.getNumPartitions() < cores
-        except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): keep as is
-            return pages
-        return pages.repartition(cores * 2) if narrow else pages
-    return pages.repartition(int(partitions))
-
-
 def extract(pages: DataFrame, specs, html_col: str = "html", keep: list[str] | None = None,
-            partitions: int | str | None = None) -> DataFrame:
+            partitions: int | None = None) -> DataFrame:
     """Parse each page once and add one column per spec; ``keep`` columns pass through.
-    ``partitions``: see ``spread_partitions``."""
-    pages = spread_partitions(pages, partitions)
+    Pages are parsed where they are (no shuffle of HTML) unless the caller asks for a
+    number of ``partitions``."""
+    if partitions:
+        pages = pages.repartition(partitions)
     keep = list(keep if keep is not None else [c for c in pages.columns if c != html_col])
     schema = output_schema(pages, keep, specs)
     specs = tuple(specs)

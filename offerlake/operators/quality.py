@@ -30,12 +30,17 @@ def with_validation(df: DataFrame, required: list[str] = REQUIRED_COLUMNS) -> Da
     return df.withColumn(ERRORS_COL, validation_errors(required))
 
 
-def valid_rows(validated: DataFrame) -> DataFrame:
-    return validated.filter(F.col(ERRORS_COL) == "").drop(ERRORS_COL)
+def valid_rows(df: DataFrame, required: list[str] = REQUIRED_COLUMNS) -> DataFrame:
+    """Rows without a NULL in a required column; tested on the bare columns, so that the
+    predicates reach the scan."""
+    kept = df.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required]))
+    return kept.drop(ERRORS_COL)
 
 
-def dropped_rows(validated: DataFrame) -> DataFrame:
-    return validated.filter(F.col(ERRORS_COL) != "")
+def dropped_rows(df: DataFrame, required: list[str] = REQUIRED_COLUMNS) -> DataFrame:
+    """Rows with a NULL in a required column, with the reason text (built for them only)."""
+    bad = df.drop(ERRORS_COL).filter(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in required]))
+    return with_validation(bad, required)
 
 
 def dropped_projection(dropped: DataFrame, validated_at=None) -> DataFrame:

@@ -63,7 +63,7 @@ raw AS (
          WHEN k % 7 = 3 THEN 'Multiple locations offer: ' || n_name
          ELSE n_name END AS location,
     concat_ws(', ', r_name, n_name) AS address_1,
-    CASE WHEN k % 2 = 1 THEN 'Lekarska ' || CAST(k % 100 AS VARCHAR) END AS address_2,
+    CASE WHEN k % 2 = 1 THEN 'Zmyslona ' || CAST(k % 100 AS VARCHAR) END AS address_2,
     CASE WHEN k % 5 <> 4 THEN ['zdalna','hybrydowa','Stacjonarna, Zdalna','hybrydowa,zdalna,'][k % 5 + 1] END AS work_mode,
     CASE WHEN k % 19 <> 0 THEN ['junior','mid','senior','mid • senior'][k % 4 + 1] END AS job_level,
     CASE WHEN k % 37 <> 0 THEN ['kontrakt B2B (pełny etat)','umowa o pracę (pełny etat)',

@@ -107,22 +107,26 @@ def v_jobs_by_level(silver: DataFrame) -> DataFrame:
 
 
 def v_salary_insights(silver: DataFrame, approx: bool = False) -> DataFrame:
-    def q(p: float) -> Column:
-        if approx:
-            return F.percentile_approx("min_salary", p, 10000).cast("double")
-        return F.percentile("min_salary", F.lit(p))
-
-    return silver.filter(F.col("min_salary").isNotNull()).agg(
-        F.lit("Overall Market").alias("segment"),
-        F.countDistinct(ID).alias("job_count"),
-        avg0("min_salary").alias("avg_min_salary"),
-        avg0("max_salary").alias("avg_max_salary"),
-        F.round(F.min("min_salary"), 0).alias("min_salary_lowest"),
-        F.round(F.max("max_salary"), 0).alias("max_salary_highest"),
-        F.round(q(0.25), 0).alias("q1_min_salary"),
-        F.round(q(0.5), 0).alias("median_min_salary"),
-        F.round(q(0.75), 0).alias("q3_min_salary"),
-    )
+    """Salary summary.  The exact quartiles come from a histogram (one row per distinct
+    salary), the distinct count and the averages from aggregates of their own, joined as
+    one-row frames: no percentile buffer is ever kept per listing."""
+    paid = silver.filter(F.col("min_salary").isNotNull())
+    points = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    if approx:
+        quartiles = paid.agg(F.percentile_approx("min_salary", points, F.lit(10000)).alias("q"))
+    else:
+        quartiles = (paid.groupBy("min_salary").agg(F.count("*").alias("n"))
+                     .agg(F.percentile("min_salary", points, F.col("n")).alias("q")))
+    averages = paid.agg(avg0("min_salary").alias("avg_min_salary"), avg0("max_salary").alias("avg_max_salary"),
+                        F.round(F.min("min_salary"), 0).alias("min_salary_lowest"),
+                        F.round(F.max("max_salary"), 0).alias("max_salary_highest"))
+    counts = paid.agg(F.countDistinct(ID).alias("job_count"))
+    one_row = [f.withColumn("__one", F.lit(1)) for f in (counts, averages, quartiles)]
+    joined = one_row[0].join(one_row[1], "__one").join(one_row[2], "__one")
+    quartile = lambda i, name: F.round(F.get("q", F.lit(i)).cast("double"), 0).alias(name)
+    return joined.select(F.lit("Overall Market").alias("segment"), "job_count", "avg_min_salary", "avg_max_salary",
+                         "min_salary_lowest", "max_salary_highest", quartile(0, "q1_min_salary"),
+                         quartile(1, "median_min_salary"), quartile(2, "q3_min_salary"))
 
 
 def explode_technologies(silver: DataFrame) -> DataFrame:

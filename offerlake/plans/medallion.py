@@ -2,7 +2,7 @@
 
 Each layer hands over through a table.  Stage counts ride along the Silver write
 through ``Observation`` (no extra jobs), the drop log is a second, column-pruned scan of
-Bronze, and a Bronze upsert writes the merged rows to a new table and swaps names
+Bronze, and every refresh writes a new version and moves one pointer to it
 (a table cannot be overwritten while it is being read).
 """
 
@@ -29,6 +29,7 @@ class Tables:
     bronze: str = "jobs_raw"
     silver: str = "jobs_cleaned"
     drop_log: str = "dropped_records_log"
+    completed: str = "completed_snapshots"
     fmt: str = "parquet"
     location: str | None = None  # database location (shared storage); None = warehouse dir
 
@@ -43,24 +44,27 @@ def ensure_schema(spark: SparkSession, database: str, location: str | None = Non
     spark.catalog.setCurrentDatabase(database)
 
 
+def _versions_root(spark: SparkSession, target: str) -> str:
+    database, table = target.rsplit(".", 1)
+    return f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/versions/{table}"
+
+
 def replace_table(spark: SparkSession, df: DataFrame, target: str, fmt: str = "parquet",
-                  options: dict | None = None) -> str:
-    """Replace ``target`` with ``df`` without a window where the data is gone.
-
-    The rows are written to a fresh staging table first (a failed or retried job never
-    touches the live table); then the old table is renamed aside, the staging table
-    takes its name and the old one is dropped.  Every intermediate state keeps a
-    complete copy of either the old or the new data."""
-    stamp = uuid.uuid4().hex[:8]
-    staging, backup = f"{target}__staging_{stamp}", f"{target}__old_{stamp}"
-    df.write.format(fmt).options(**(options or {})).saveAsTable(staging)
-    exists = spark.catalog.tableExists(target)
-    if exists:
-        spark.sql(f"ALTER TABLE {target} RENAME TO {backup}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
-    spark.catalog.refreshTable(target)  # drop cached file listings of the old table
-    if exists:
-        spark.sql(f"DROP TABLE {backup}")
+                  options: dict | None = None, keep: int = 2) -> str:
+    """Replace ``target`` with ``df``: write a complete new version below the database's
+    location, then move one pointer, the persistent view of that name, to it.
+
+    The pointer moves in a single catalog operation, so at every moment the name shows
+    either the old or the new rows; a job that dies before leaves an unreferenced version
+    behind.  The newest ``keep`` versions stay for readers that began on the old one."""
+    root = _versions_root(spark, target)
+    path = f"{root}/{_dt.datetime.now(_dt.timezone.utc):%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    df.write.format(fmt).options(**(options or {})).save(path)
+    if spark.catalog.tableExists(target) and spark.catalog.getTable(target).tableType != "VIEW":
+        raise ValueError(f"{target} is a plain table of an earlier layout: rename it, then load again")
+    spark.sql(f"CREATE OR REPLACE VIEW {target} AS SELECT * FROM {fmt}.`{path}`")
+    for old in L.subfolders(spark, root)[:-keep]:
+        L.delete_path(spark, old)
     return target
 
 
@@ -77,42 +81,57 @@ def load_latest_to_bronze(spark: SparkSession, landing_dir: str, t: Tables, load
 
 
 def write_drop_log(spark: SparkSession, dropped: DataFrame, t: Tables, run_id: str | None = None) -> None:
-    """Append rejected rows.  With ``run_id`` the rows carry it and land in their own
-    ``run_id`` partition with dynamic partition overwrite, so re-running a run replaces
-    its rows instead of appending them twice."""
+    """Append rejected rows under ``run_id`` (a fresh one if none is given), the log's last
+    column and partition: writing a run again replaces that run's rows only."""
     target = t.name(t.drop_log)
-    if run_id is None:
-        dropped.write.format(t.fmt).mode("append").saveAsTable(target)
-        return
-    rows = dropped.withColumn("run_id", F.lit(run_id))
-    if spark.catalog.tableExists(target):
-        key = "spark.sql.sources.partitionOverwriteMode"
-        previous = spark.conf.get(key)
-        spark.conf.set(key, "dynamic")
-        try:
-            rows.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
-        finally:
-            spark.conf.set(key, previous)
-    else:
+    rows = dropped.withColumn("run_id", F.lit(run_id or uuid.uuid4().hex))
+    if not spark.catalog.tableExists(target):
         rows.write.format(t.fmt).partitionBy("run_id").saveAsTable(target)
+        return
+    columns = spark.table(target).columns
+    if columns[-1:] != ["run_id"]:
+        raise ValueError(f"{target} has no run_id partition: rename it, then load again")
+    key = "spark.sql.sources.partitionOverwriteMode"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        rows.select(*columns).write.insertInto(target, overwrite=True)
+    finally:
+        spark.conf.set(key, previous)
+
+
+def is_completed(spark: SparkSession, t: Tables, unit) -> bool:
+    """Was this snapshot unit (with as many files), or a newer one, loaded to the end?"""
+    target = t.name(t.completed)
+    if not spark.catalog.tableExists(target):
+        return False
+    done = spark.table(target)
+    same = (F.col("unit") == unit["unit"]) & (F.col("files") == unit["files"])
+    newer = F.col("snapshot_ts") > F.lit(unit["snapshot_ts"]) if unit["snapshot_ts"] else F.col("snapshot_ts").isNotNull()
+    return not done.where(same | newer).isEmpty()
+
+
+def mark_completed(spark: SparkSession, t: Tables, unit) -> None:
+    row = [(unit["unit"], unit["snapshot_ts"], unit["files"])]
+    spark.createDataFrame(row, "unit string, snapshot_ts timestamp, files bigint").write.format(t.fmt) \
+        .mode("append").saveAsTable(t.name(t.completed))
 
 
 def load_silver(spark: SparkSession, t: Tables, as_of=None, validated_at=None,
                 count_expired: bool = True, run_id: str | None = None) -> dict:
     """Validate + clean Bronze, overwrite Silver, append the drop log; returns counts.
 
-    One job writes Silver and observes every stage count; a second job appends the
-    rejected rows (only when there are any; idempotently per ``run_id`` if given)."""
+    The drop log is written first, then one job writes Silver and observes every stage
+    count: a run that dies in between is repeated under the same ``run_id``."""
     bronze = spark.table(t.name(t.bronze))
+    dropped = Q.dropped_projection(Q.dropped_rows(bronze), validated_at=validated_at)
+    if not Q.dropped_rows(bronze).isEmpty():
+        write_drop_log(spark, dropped, t, run_id)
     validated, v_obs = Q.observe_validation(Q.with_validation(bronze))
     cleaned, e_obs = Q.observe_expiry(clean_listings(Q.valid_rows(validated), as_of))
     replace_table(spark, active_only(cleaned), t.name(t.silver), t.fmt, {"mergeSchema": "true"})
     counts = dict(v_obs.get)
     counts.update(e_obs.get)
-    if counts["dropped"] > 0:
-        dropped = Q.dropped_projection(Q.dropped_rows(Q.with_validation(spark.table(t.name(t.bronze)))),
-                                       validated_at=validated_at)
-        write_drop_log(spark, dropped, t, run_id)
     counts["expected_silver"] = counts["bronze"] - counts["dropped"] - (
         counts["before_filter"] - counts["after_filter"] if count_expired else 0)
     counts["status"] = "PASSED" if counts["after_filter"] == counts["expected_silver"] else "WARNING"
@@ -151,8 +170,8 @@ def preview(df: DataFrame, columns: list[str] | None = None, n: int = 10) -> Dat
 def upsert_bronze(spark: SparkSession, incoming: DataFrame, t: Tables) -> str:
     """Merge a new snapshot into Bronze by listing id (newest wins, else insert).
 
-    The merged rows go to a fresh staging table, then the names are swapped
-    (``replace_table``): the live table is never overwritten while it is read."""
+    The merged rows become a new version (``replace_table``): the live one is never
+    overwritten while it is read, and the name always shows a complete table."""
     target = t.name(t.bronze)
     ensure_schema(spark, t.database, t.location)
     if not spark.catalog.tableExists(target):

@@ -239,16 +239,8 @@ def _order_key() -> F.Column:
     return F.substring_index("job_url", "-", -1).cast("bigint")
 
 
-def _spread(spark) -> int:
-    """Partitions for CPU-bound page parsing: a few per available core."""
-    try:
-        return max(2, spark.sparkContext.defaultParallelism * 2)
-    except Exception:  # noqa: BLE001 - no SparkContext handle (remote session)
-        return max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "16")))
-
-
 def q_html_fields(spark, sf_dir):
-    ex = P.generic_fields(pages_scan(spark, sf_dir), partitions="auto")
+    ex = P.generic_fields(pages_scan(spark, sf_dir))
     return ex.select("page_id", "url", "title", "heading", "ad_text", "footer_text", "article_text",
                      F.array_join("nav_links", " | ").alias("nav_links"),
                      F.size("nav_links").alias("nav_count"))
@@ -260,7 +252,7 @@ def fixture_pages(spark, sf_dir):
 
 def q_detail_fields(spark, sf_dir):
     _, details = fixture_pages(spark, sf_dir)
-    d = P.detail_fields(details, partitions=_spread(spark))
+    d = P.detail_fields(details)
     return d.select(*[F.array_join(c, ", " if c == "expected_technologies" else " | ").alias(c)
                       if c in ("expected_technologies", "requirements", "responsibilities") else F.col(c)
                       for c in d.columns])
@@ -268,13 +260,13 @@ def q_detail_fields(spark, sf_dir):
 
 def q_listing_cards(spark, sf_dir):
     list_pages, _ = fixture_pages(spark, sf_dir)
-    return P.listing_cards(list_pages, partitions=_spread(spark))
+    return P.listing_cards(list_pages)
 
 
 def q_assemble_listings(spark, sf_dir):
     list_pages, details = fixture_pages(spark, sf_dir)
-    return P.assemble_listings(P.listing_cards(list_pages, partitions=_spread(spark)),
-                               P.detail_fields(details, partitions=_spread(spark)),
+    return P.assemble_listings(P.listing_cards(list_pages),
+                               P.detail_fields(details),
                                RUN_TS, derived.RUN_DATE)
 
 
@@ -331,7 +323,7 @@ def q_silver_table(spark, sf_dir):
 
 def q_drop_log_table(spark, sf_dir):
     t = _run_tables(spark, sf_dir)
-    return spark.table(t.name(t.drop_log))
+    return spark.table(t.name(t.drop_log)).drop("run_id")
 
 
 def q_upsert_bronze(spark, sf_dir):
@@ -345,8 +337,8 @@ def q_upsert_bronze(spark, sf_dir):
 def q_json_sink(spark, sf_dir):
     """Assembled listings with list fields kept as arrays -> JSON snapshot -> read back."""
     list_pages, details = fixture_pages(spark, sf_dir)
-    cards = P.listing_cards(list_pages, partitions=_spread(spark))
-    rows = cards.join(P.detail_fields(details, partitions=_spread(spark)), "job_url", "left")
+    cards = P.listing_cards(list_pages)
+    rows = cards.join(P.detail_fields(details), "job_url", "left")
     landing = shared_path(spark, "landing_json", unique=True)
     path = L.write_json_snapshot(rows, landing, NEW_RUN)
     back = spark.read.schema(rows.schema).json(path)

@@ -80,7 +80,9 @@ def checkpoint_root(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
             return sc.getCheckpointDir() or configured
         return configured
-    local = tempfile.mkdtemp(prefix="offerlake-ckpt-")
+    if not spark.conf.get("spark.master", "local").startswith("local") or "cluster" in spark.conf.get("spark.master", ""):
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
+    local = tempfile.mkdtemp(prefix="offerlake-ckpt-")  # one machine: tests and laptops
     if sc is not None:
         sc.setCheckpointDir(local)
         return sc.getCheckpointDir() or local

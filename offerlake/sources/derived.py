@@ -128,7 +128,7 @@ def bronze_projection() -> list[Column]:
         F.when(k % 29 != 0, F.col("c_name")).alias("company_name"),
         location.alias("location"),
         F.concat_ws(", ", F.col("r_name"), nation_name).alias("address_1"),
-        F.when(k % 2 == 1, F.concat(F.lit("Lekarska "), (k % 100).cast("string"))).alias("address_2"),
+        F.when(k % 2 == 1, F.concat(F.lit("Zmyslona "), (k % 100).cast("string"))).alias("address_2"),
         F.when(k % 5 != 4, _pick(WORK_MODES_RAW, k % 5)).alias("work_mode"),
         F.when(k % 19 != 0, _pick(LEVELS, k % 4)).alias("job_level"),
         F.when(k % 37 != 0, _pick(CONTRACTS, k % 6)).alias("contract_type"),

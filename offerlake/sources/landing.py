@@ -9,8 +9,9 @@ rather than funnelling a run through one file.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +47,16 @@ def snapshot_name(run_ts: _dt.datetime, prefix: str = DEFAULT_PREFIX) -> str:
     return f"{prefix}_{run_ts.strftime('%Y%m%d_%H%M%S')}.csv"
 
 
+def _write_once(writer, rows: DataFrame, path: str) -> str | None:
+    """Run the write job once, counting its rows on the way; an empty run is unpublished."""
+    counted = Observation()
+    writer(rows.observe(counted, F.count(F.lit(1)).alias("n")))
+    if counted.get["n"]:
+        return path
+    delete_path(rows.sparkSession, path)
+    return None
+
+
 def write_csv_snapshot(df: DataFrame, landing_dir: str, run_ts: _dt.datetime,
                        prefix: str = DEFAULT_PREFIX, files: int | None = None) -> str | None:
     """Write one run as a CSV snapshot; returns its path, or None for an empty run.
@@ -54,36 +65,53 @@ def write_csv_snapshot(df: DataFrame, landing_dir: str, run_ts: _dt.datetime,
     snapshot with the same name.  ``files`` optionally sets the number of part files.
     """
     rows = flatten_lists(df).select(*[F.col(c).cast("string") for c in LANDING_COLUMNS])
-    if rows.isEmpty():
-        return None
     if files:
         rows = rows.repartition(files)
     path = f"{landing_dir.rstrip('/')}/{snapshot_name(run_ts, prefix)}"
-    rows.write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path)
-    return path
+    return _write_once(lambda r: r.write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path), rows, path)
 
 
 def write_json_snapshot(df: DataFrame, landing_dir: str, run_ts: _dt.datetime,
                         prefix: str = DEFAULT_PREFIX) -> str | None:
     """Same rows as JSON lines, list fields kept as arrays."""
-    if df.isEmpty():
-        return None
     path = f"{landing_dir.rstrip('/')}/{snapshot_name(run_ts, prefix)[:-4]}.json"
-    df.write.mode("overwrite").json(path)
-    return path
+    return _write_once(lambda r: r.write.mode("overwrite").json(path), df, path)
 
 
 def name_timestamp(path: Column, prefix: str = DEFAULT_PREFIX) -> Column:
-    """Timestamp encoded in a landing path; NULL when absent or impossible."""
-    raw = F.regexp_extract(path, rf"{prefix}_(\d{{8}}_\d{{6}})", 1)
+    """Timestamp encoded in a landing path; NULL when absent or impossible.  Of several
+    path components the last one that carries a stamp counts."""
+    raw = F.regexp_extract(path, rf"^(?:.*/)?{prefix}_(\d{{8}}_\d{{6}})", 1)
     return F.try_to_timestamp(F.nullif(raw, F.lit("")), F.lit(NAME_TS_FORMAT))
 
 
-def snapshot_unit(path: Column, prefix: str = DEFAULT_PREFIX) -> Column:
-    """The landing unit a file belongs to: the path up to the component carrying the
-    snapshot name (the file itself, or its snapshot directory)."""
-    unit = F.regexp_extract(path, rf"^(.*/{prefix}_\d{{8}}_\d{{6}}[^/]*)", 1)
-    return F.when(unit != "", unit).otherwise(path)
+def _below(path: Column, landing_dir: str) -> tuple[Column, Column]:
+    """(path up to the landing folder with its slash, first component below it)."""
+    base = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", landing_dir).strip("/") + "/"
+    root = F.substr(path, F.lit(1), F.instr(path, base) + F.lit(len(base) - 1))
+    return root, F.substring_index(F.substr(path, F.length(root) + F.lit(1)), "/", 1)
+
+
+def _filesystem(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _filesystem(spark, path)
+    fs.delete(p, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Paths right below ``path``, by name."""
+    fs, p = _filesystem(spark, path)
+    return sorted(f.getPath().toString() for f in fs.listStatus(p))
+
+
+def being_written(spark: SparkSession, unit: str) -> bool:
+    """Does a Spark job still have uncommitted output in this landing unit?"""
+    fs, p = _filesystem(spark, f"{unit}/_temporary")
+    return fs.exists(p)
 
 
 def list_landing_files(spark: SparkSession, landing_dir: str) -> DataFrame:
@@ -97,51 +125,48 @@ def list_landing_files(spark: SparkSession, landing_dir: str) -> DataFrame:
 
 
 def snapshot_candidates(spark: SparkSession, landing_dir: str, prefix: str = DEFAULT_PREFIX) -> DataFrame:
-    """(unit, snapshot_ts) for every landing unit; unmatched names have a NULL ts."""
-    files = list_landing_files(spark, landing_dir)
-    return (files.select(snapshot_unit(F.col("path"), prefix).alias("unit"),
-                         name_timestamp(F.col("path"), prefix).alias("snapshot_ts"))
-            .distinct())
+    """(unit, snapshot_ts, files) for every landing unit: a file or a directory right below
+    the landing folder, stamped by its own name only (unmatched names have a NULL ts)."""
+    root, name = _below(F.col("path"), landing_dir)
+    return (list_landing_files(spark, landing_dir).select(root.alias("root"), name.alias("name"))
+            .groupBy(F.concat("root", "name").alias("unit"), name_timestamp(F.col("name"), prefix).alias("snapshot_ts"))
+            .agg(F.count("*").alias("files")))
+
+
+def newest_unit(spark: SparkSession, landing_dir: str, prefix: str = DEFAULT_PREFIX):
+    """Row (unit, snapshot_ts, files) of the snapshot with the greatest name timestamp, or
+    None.  Unmatched or impossible timestamps rank lowest (ties: greatest path); units
+    that are still being written are passed over."""
+    skipped: list[str] = []
+    while True:
+        cands = snapshot_candidates(spark, landing_dir, prefix).where(~F.col("unit").isin(skipped) if skipped else F.lit(True))
+        order = F.struct(F.col("snapshot_ts").isNotNull(), "snapshot_ts", "unit")
+        best = cands.agg(F.max_by(F.struct("unit", "snapshot_ts", "files"), order).alias("u")).first()["u"]
+        if best is None or not being_written(spark, best["unit"]):
+            return best
+        skipped.append(best["unit"])
 
 
 def latest_snapshot(spark: SparkSession, landing_dir: str, prefix: str = DEFAULT_PREFIX) -> str:
-    """Path of the snapshot with the greatest name timestamp.
-
-    Unmatched or impossible timestamps rank lowest (ties: greatest path); no CSV at
-    all raises ValueError.  Only one scalar (the chosen path) reaches the driver.
-    """
-    cands = snapshot_candidates(spark, landing_dir, prefix)
-    best = cands.agg(F.max_by("unit", F.struct(F.col("snapshot_ts").isNotNull(), "snapshot_ts", "unit"))
-                     .alias("unit")).first()
-    if best is None or best["unit"] is None:
+    """Path of the newest complete snapshot unit; no CSV at all raises ValueError.  Only one
+    row (the chosen unit) reaches the driver."""
+    best = newest_unit(spark, landing_dir, prefix)
+    if best is None:
         raise ValueError(f"No CSV files found in {landing_dir}")
     return best["unit"]
 
 
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster when a scan yields fewer partitions than
-    cores.  A multi-line CSV file cannot be split, so one big landing file is read by
-    one task; spreading right after the read keeps every later step parallel."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < cores
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): keep as is
-        return df
-    return df.repartition(cores * 2) if narrow else df
-
-
-def read_landing_csv(spark: SparkSession, path: str, with_source: bool = True,
-                     spread: bool = True) -> DataFrame:
+def read_landing_csv(spark: SparkSession, path: str, with_source: bool = True) -> DataFrame:
     """By-name CSV scan: all strings, header names mapped to the 20 landing columns,
-    missing columns added as NULL, extra columns ignored (then ``spread_if_narrow``)."""
+    missing columns added as NULL, extra columns ignored.  A multi-line file is one task;
+    the rebalance hint lets AQE cut what it read into partitions of advisory size."""
     raw = spark.read.options(**CSV_READ_OPTIONS).csv(path)
     present = set(raw.columns)
     cols = [F.col(f"`{c}`") if c in present else F.lit(None).cast("string").alias(c)
             for c in LANDING_COLUMNS]
     if with_source:
         cols.append(F.col("_metadata.file_path").alias("source_file"))
-    out = raw.select(*cols)
-    return spread_if_narrow(out) if spread else out
+    return raw.select(*cols).hint("rebalance")
 
 
 def read_latest_snapshot(spark: SparkSession, landing_dir: str, prefix: str = DEFAULT_PREFIX) -> DataFrame:

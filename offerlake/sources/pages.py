@@ -68,7 +68,7 @@ GENERIC_SPECS = (
 
 
 def detail_fields(details: DataFrame, key: str = "job_url", html_col: str = "html",
-                  partitions: int | str | None = None) -> DataFrame:
+                  partitions: int | None = None) -> DataFrame:
     """Detail pages (key, html) -> one row of raw listing fields per page.
 
     Dates keep the text after the first colon; the salary span gates its two
@@ -90,7 +90,7 @@ def detail_fields(details: DataFrame, key: str = "job_url", html_col: str = "htm
 
 
 def listing_cards(list_pages: DataFrame, html_col: str = "html", site_root: str = SITE_ROOT,
-                  partitions: int | str | None = None) -> DataFrame:
+                  partitions: int | None = None) -> DataFrame:
     """Search-result pages -> one row per card (job_url absolute, listing id, card fields)."""
     ex = extract(list_pages, (CARD_SPEC,), html_col=html_col, keep=[], partitions=partitions)
     cards = ex.select(F.explode("cards").alias("c")).select("c.*")
@@ -109,9 +109,16 @@ def assemble_listings(cards: DataFrame, details: DataFrame, ingestion_timestamp:
 
     Both sides are keyed by the listing URL; the planner shuffles both on it (or
     broadcasts a side whose size it knows is small); a card whose detail page is missing
-    keeps NULL scalars and empty lists.  A card with a NULL URL is kept with NULLs."""
+    keeps NULL scalars and empty lists.  Cards with a NULL URL are kept with NULLs and go
+    around the join (they would all meet in one task).  A URL crawled more than once gives
+    one detail row (the greatest by field order, chosen by pre-aggregation), so cards are
+    never multiplied; repeated cards stay repeated."""
     empty = F.array().cast("array<string>")
-    joined = cards.join(details, "job_url", "left")
+    fields = [c for c in details.columns if c != "job_url"]
+    one = (details.where(F.col("job_url").isNotNull()).groupBy("job_url")
+           .agg(F.max(F.struct(*fields)).alias("d")).select("job_url", "d.*"))
+    keyed = cards.where(F.col("job_url").isNotNull()).join(one, "job_url", "left")
+    joined = keyed.unionByName(cards.where(F.col("job_url").isNull()), allowMissingColumns=True)
     separators = {"expected_technologies": TECH_SEPARATOR, "requirements": TEXT_LIST_SEPARATOR,
                   "responsibilities": TEXT_LIST_SEPARATOR}
     stamp = {"ingestion_timestamp": ingestion_timestamp, "ingestion_date": ingestion_date}
@@ -126,7 +133,7 @@ def assemble_listings(cards: DataFrame, details: DataFrame, ingestion_timestamp:
     return joined.select(*[landing_column(c) for c in LANDING_COLUMNS])
 
 
-def generic_fields(pages: DataFrame, partitions: int | str | None = None) -> DataFrame:
+def generic_fields(pages: DataFrame, partitions: int | None = None) -> DataFrame:
     """Title, heading, ad, footer, article text and navigation links of each page."""
     return extract(pages, GENERIC_SPECS, html_col="html", keep=["page_id", "url"], partitions=partitions)
 

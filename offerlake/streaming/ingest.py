@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.bronze import bronze_metadata
-from ..sources.landing import CSV_READ_OPTIONS, landing_stream_schema, spread_if_narrow
+from ..sources.landing import CSV_READ_OPTIONS, DEFAULT_PREFIX, landing_stream_schema
 
 
 def landing_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -43,7 +43,7 @@ def bronze_batch_writer(bronze_path: str, loaded_at=None) -> Callable[[DataFrame
 
     def write(batch: DataFrame, batch_id: int) -> None:
         src = F.col("source_file") if "source_file" in batch.columns else None
-        rows = bronze_metadata(spread_if_narrow(batch), source_file=src, loaded_at=loaded_at)
+        rows = bronze_metadata(batch, source_file=src, loaded_at=loaded_at)
         (rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(bronze_path))
@@ -65,30 +65,30 @@ def file_arrival_ingest(spark: SparkSession, landing: str, checkpoint: str,
     return query
 
 
-def medallion_batch_runner(tables, as_of=None, loaded_at=None) -> Callable[[DataFrame, int], None]:
+def medallion_batch_runner(tables, landing: str, as_of=None, loaded_at=None,
+                           prefix: str = DEFAULT_PREFIX) -> Callable[[DataFrame, int], None]:
     """foreachBatch function for the file-arrival trigger: newest snapshot -> Bronze ->
     Silver (+ drop log) -> views.
 
-    Within a micro-batch the rows of the snapshot with the greatest name timestamp are
-    kept (one scalar aggregate, no collect); a batch whose newest snapshot is older than
-    the one already in Bronze (a late file) leaves the tables unchanged."""
+    The stream only says that something arrived; what is loaded is always the newest whole
+    snapshot unit of ``landing``, however its files are spread over micro-batches.  A unit
+    is marked completed after Silver, drop log and views, so a run that failed half-way is
+    done again on replay; a unit marked with the same number of files, or older than a
+    marked one, leaves the tables unchanged.  The drop log is written under the unit's
+    name, so a repeated run replaces its rows."""
     from ..plans import medallion as M
-    from ..sources.landing import name_timestamp
+    from ..sources import landing as L
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        stamped = batch.withColumn("__ts", name_timestamp(F.col("source_file")))
-        newest = stamped.agg(F.max("__ts")).scalar()
-        latest = stamped.filter(F.col("__ts") == newest)
-        target = tables.name(tables.bronze)
-        if spark.catalog.tableExists(target):
-            current = spark.table(target).agg(F.max(name_timestamp(F.col("source_file")))).first()[0]
-            incoming = latest.agg(F.max("__ts")).first()[0]
-            if incoming is None or (current is not None and incoming <= current):
-                return
-        rows = bronze_metadata(latest.drop("__ts"), source_file=F.col("source_file"), loaded_at=loaded_at)
-        M.write_bronze(spark, rows, tables)
-        M.load_silver(spark, tables, as_of=as_of, validated_at=loaded_at)
+        unit = L.newest_unit(spark, landing, prefix)
+        if unit is None or M.is_completed(spark, tables, unit):
+            return
+        rows = L.read_landing_csv(spark, unit["unit"])
+        M.write_bronze(spark, bronze_metadata(rows, source_file=F.col("source_file"), loaded_at=loaded_at), tables)
+        M.load_silver(spark, tables, as_of=as_of, validated_at=loaded_at,
+                      run_id=unit["unit"].rstrip("/").rsplit("/", 1)[-1])
         M.register_views(spark, spark.table(tables.name(tables.silver)), as_of, scope="global")
+        M.mark_completed(spark, tables, unit)
 
     return run

@@ -12,6 +12,7 @@ from offerlake.plans import gold, medallion as M
 from offerlake.plans.silver import build_silver
 from offerlake.schemas import LANDING_COLUMNS, SILVER_COLUMNS
 from offerlake.sources import landing as L
+from offerlake.sources import pages as P
 from offerlake.streaming import ingest as S
 
 AS_OF = dt.date(2025, 5, 1)
@@ -156,7 +157,7 @@ def test_no_csv_raises(spark, scratch_dir):
     os.makedirs(os.path.join(scratch_dir, "empty"), exist_ok=True)
     with open(os.path.join(scratch_dir, "empty", "readme.txt"), "w") as fh:
         fh.write("x")
-    with pytest.raises(Exception):
+    with pytest.raises(ValueError):
         L.latest_snapshot(spark, os.path.join(scratch_dir, "empty"))
 
 
@@ -201,7 +202,7 @@ def test_file_arrival_runs_the_medallion(spark, scratch_dir):
     glob = landing  # the directory: every *.csv below it
     ckpt = os.path.join(scratch_dir, "ckpt")
     t = M.Tables(database="offerlake_stream_test", location=os.path.join(scratch_dir, "db"))
-    runner = S.medallion_batch_runner(t, as_of=AS_OF, loaded_at="2025-05-01 03:00:00")
+    runner = S.medallion_batch_runner(t, landing, as_of=AS_OF, loaded_at="2025-05-01 03:00:00")
     L.write_csv_snapshot(frame(spark, SNAPSHOT[:2]), landing, dt.datetime(2025, 4, 30, 2))
     L.write_csv_snapshot(frame(spark, SNAPSHOT), landing, dt.datetime(2025, 5, 1, 2))
     S.file_arrival_ingest(spark, glob, ckpt, runner)
@@ -236,3 +237,91 @@ def test_drop_log_run_id_is_idempotent(spark, scratch_dir):
     assert spark.table(t.name(t.drop_log)).count() == 2
     M.load_silver(spark, t, as_of=AS_OF, validated_at="2025-05-01 03:00:00", run_id="r2")
     assert spark.table(t.name(t.drop_log)).count() == 4
+
+
+def test_drop_log_without_run_id_appends_and_foreign_log_is_refused(spark, scratch_dir):
+    t = M.Tables(database="offerlake_droplog_plain", location=os.path.join(scratch_dir, "db"))
+    M.write_bronze(spark, M.bronze_metadata(frame(spark, SNAPSHOT), source_file="s.csv",
+                                            loaded_at="2025-05-01 03:00:00"), t)
+    for run in (None, None, "r", "r"):
+        M.load_silver(spark, t, as_of=AS_OF, validated_at="2025-05-01 03:00:00", run_id=run)
+    assert spark.table(t.name(t.drop_log)).count() == 6
+    other = M.Tables(database=t.database, drop_log="plain_log")
+    spark.createDataFrame([("x",)], "reason string").write.saveAsTable(other.name(other.drop_log))
+    with pytest.raises(ValueError):
+        M.load_silver(spark, other, as_of=AS_OF, run_id="r")
+    assert spark.table(other.name(other.drop_log)).count() == 1
+
+
+def test_unstamped_and_nested_units_load_whole(spark, scratch_dir):
+    parent = os.path.join(scratch_dir, "the_it_protocol_jobs_20300101_000000")  # a stamped parent is no snapshot
+    df = frame(spark, SNAPSHOT).repartition(4)
+    df.select(*[F.col(c).cast("string") for c in LANDING_COLUMNS]).write.options(**L.CSV_WRITE_OPTIONS).csv(
+        f"{parent}/manual_export.csv")
+    assert L.latest_snapshot(spark, parent).endswith("manual_export.csv")
+    assert L.read_latest_snapshot(spark, parent).count() == len(SNAPSHOT)
+    L.write_csv_snapshot(df.limit(2), parent, dt.datetime(2025, 5, 1, 2))
+    assert L.read_latest_snapshot(spark, parent).count() == 2
+    L.write_csv_snapshot(df.limit(1), parent, dt.datetime(2025, 6, 1, 2))
+    os.makedirs(os.path.join(parent, "the_it_protocol_jobs_20250601_020000.csv", "_temporary"))
+    assert L.read_latest_snapshot(spark, parent).count() == 2  # still being written
+
+
+def test_stream_loads_whole_units_and_repeats_failed_runs(spark, scratch_dir, monkeypatch):
+    landing, ckpt = os.path.join(scratch_dir, "landing"), os.path.join(scratch_dir, "ckpt")
+    t = M.Tables(database="offerlake_stream_units", location=os.path.join(scratch_dir, "db"))
+    runner = S.medallion_batch_runner(t, landing, as_of=AS_OF, loaded_at="2025-05-01 03:00:00")
+    L.write_csv_snapshot(frame(spark, SNAPSHOT), landing, dt.datetime(2025, 5, 1, 2), files=4)
+    whole = M.load_silver
+
+    def broken(*a, **k):
+        raise RuntimeError("lost")
+    monkeypatch.setattr(M, "load_silver", broken)
+    with pytest.raises(Exception, match="lost"):
+        S.file_arrival_ingest(spark, landing, ckpt, runner, max_files_per_trigger=1)
+    monkeypatch.setattr(M, "load_silver", whole)
+    S.file_arrival_ingest(spark, landing, ckpt, runner, max_files_per_trigger=1)
+    assert spark.table(t.name(t.bronze)).count() == len(SNAPSHOT)
+    assert spark.table(t.name(t.silver)).count() == 2
+    assert spark.table(t.name(t.completed)).count() == 1
+    late = L.write_csv_snapshot(frame(spark, SNAPSHOT[:1]), landing, dt.datetime(2024, 5, 1, 2))
+    S.file_arrival_ingest(spark, landing, ckpt, runner)
+    assert late and spark.table(t.name(t.bronze)).count() == len(SNAPSHOT)
+
+
+def test_refresh_keeps_the_name_and_a_failed_one_changes_nothing(spark, scratch_dir):
+    t = M.Tables(database="offerlake_versions", location=os.path.join(scratch_dir, "db"))
+    rows = M.bronze_metadata(frame(spark, SNAPSHOT), source_file="s.csv", loaded_at="2025-05-01 03:00:00")
+    M.write_bronze(spark, rows, t)
+    with pytest.raises(Exception):
+        M.replace_table(spark, rows.withColumn("x", F.raise_error(F.lit("lost"))), t.name(t.bronze))
+    assert spark.table(t.name(t.bronze)).count() == len(SNAPSHOT)
+    M.write_bronze(spark, rows.limit(3), t)
+    assert spark.table(t.name(t.bronze)).count() == 3 and spark.newSession().table(t.name(t.bronze)).count() == 3
+
+
+def test_repeated_detail_pages_do_not_multiply_cards(spark):
+    cards = spark.createDataFrame([("i1", "u1", "t", "c", "l", "w"), ("i2", None, "t", "c", "l", "w")],
+                                  "job_listing_id string, job_url string, job_title string, company_name string, "
+                                  "location string, work_mode string")
+    html = '<span data-test="content-positionLevels">{}</span>'
+    pages = spark.createDataFrame([("u1", html.format("mid")), ("u1", html.format("senior")), (None, "")],
+                                  "job_url string, html string")
+    out = P.assemble_listings(cards, P.detail_fields(pages), "2025-01-01 00:00:00", "2025-01-01").collect()
+    assert sorted((r.job_listing_id, r.job_level) for r in out if r.job_url) == [("i1", "senior")]
+    assert [r.job_listing_id for r in out if not r.job_url] == ["i2"]
+
+
+def test_validation_predicates_reach_the_scan(spark, scratch_dir):
+    path = os.path.join(scratch_dir, "bronze")
+    frame(spark, SNAPSHOT).write.parquet(path)
+    plan = Q.valid_rows(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters"):]
+    assert all(f"IsNotNull({c})" in pushed for c in ("job_title", "company_name"))
+
+
+def test_salary_percentiles_are_not_kept_per_listing(spark):
+    silver = spark.createDataFrame([("a", 1, 2), ("b", 3, 4)], "job_listing_id string, min_salary int, max_salary int")
+    plan = gold.v_salary_insights(silver)._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" in plan
+    assert not any("job_listing_id" in line and "percentile" in line for line in plan.splitlines())

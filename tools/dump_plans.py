@@ -46,7 +46,7 @@ def main() -> None:
         "v_jobs_expiring_soon": gold.v_jobs_expiring_soon(silver),
         "gold_dashboard": gold.gold_dashboard(silver),
         "dedup_latest over Bronze": D.dedup_latest(bronze.withColumn("source_file", bronze.job_url)),
-        "html_fields over the pages table": P.generic_fields(pages_scan(spark, sf_dir), partitions="auto"),
+        "html_fields over the pages table": P.generic_fields(pages_scan(spark, sf_dir)),
     }
     out = ["# Physical plans", "",
            "Generated by `tools/dump_plans.py` (adaptive plans before execution; expression ids and "
