@@ -82,6 +82,8 @@ class Table:
         kinds, back = np.unique(keys, return_inverse=True)
         count = np.bincount(back * n + language, weight, minlength=len(kinds) * n).reshape(-1, n)
         total = count.sum(axis=0)
+        # A language that hardly has n-grams of this order must not look uniform in them.
+        total = np.where(total < 0.01 * total.mean(), total.mean(), total)
         keep = np.flatnonzero(count.sum(axis=1) >= least)
         keep = np.sort(keep[np.argsort(-count[keep].sum(axis=1), kind="stable")[:limit]])
         logs = np.log((count[keep] + SMOOTH) / (total + SMOOTH * len(kinds)))
