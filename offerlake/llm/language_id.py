@@ -141,22 +141,37 @@ def train(texts: list[str], langs: list[str]) -> Model | None:
     languages = sorted(set(langs))
     if not languages:
         return None
-    t = Tokens(texts)
-    language = np.array([languages.index(x) for x in langs], np.int64)[t.text]
-    n = len(languages)
-    words = Table.of(t.hash, language, np.ones(len(t.hash)), n, MAX_WORDS, 2)
-    # N-grams are counted over distinct (word, language) pairs, weighted by their count.
-    order = np.lexsort((language, t.hash))
+    number = np.array([languages.index(x) for x in langs], np.int64)
+    found: dict[int, list[tuple[np.ndarray, ...]]] = {size: [] for size in (0, *ORDERS)}  # 0: whole words
+    start = 0
+    while start < len(texts):
+        stop, chars = start, 0
+        while stop < len(texts) and (stop == start or chars + len(texts[stop]) <= CHUNK_CHARS):
+            chars += len(texts[stop])
+            stop += 1
+        t = Tokens(texts[start:stop])
+        language = number[start:stop][t.text]
+        at, weight = _pairs(t.hash, language, np.ones(len(t.hash)))
+        found[0].append((t.hash[at], language[at], weight))
+        for size in ORDERS:
+            owner, h = t.grams(at, size)
+            lang = language[at][owner]
+            first, sums = _pairs(h, lang, weight[owner])
+            found[size].append((h[first], lang[first], sums))
+        start = stop
+    tables = {size: Table.of(*(np.concatenate([f[i] for f in found[size]]) for i in range(3)), len(languages),
+                             MAX_GRAMS if size else MAX_WORDS, 3 if size else 2) for size in found}
+    return Model(languages, tables.pop(0), tables)
+
+
+def _pairs(keys: np.ndarray, language: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One index per distinct (key, language) and the summed weight of each."""
+    order = np.lexsort((language, keys))
+    k, x = keys[order], language[order]
     new = np.ones(len(order), bool)
-    new[1:] = (t.hash[order][1:] != t.hash[order][:-1]) | (language[order][1:] != language[order][:-1])
+    new[1:] = (k[1:] != k[:-1]) | (x[1:] != x[:-1])
     at = np.flatnonzero(new)
-    weight = np.diff(np.append(at, len(order))).astype(float)
-    which = order[at]
-    orders = {}
-    for size in ORDERS:
-        owner, h = t.grams(which, size)
-        orders[size] = Table.of(h, language[which][owner], weight[owner], n, MAX_GRAMS, 3)
-    return Model(languages, words, orders)
+    return order[at], np.add.reduceat(weight[order], at) if len(at) else weight[:0]
 
 
 def fit(docs: DataFrame, use: Column, max_rows: int = MAX_ROWS, max_text_bytes: int = MAX_TEXT_BYTES) -> Model | None:
