@@ -59,6 +59,11 @@ def fitting_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return rule, action
 
 
+def _name(*parts: Column) -> Column:
+    """16-byte name of some parts: as many urls as a crawl holds collide in 64 bits."""
+    return F.unhex(F.md5(F.concat_ws("\x00", *[c.cast("string") for c in parts])))
+
+
 def _shape(segment: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(segment, r"[0-9a-fA-F]{16,}", "<x>"), r"[0-9]+", "<n>")
 
@@ -75,7 +80,7 @@ def templates(pages: DataFrame, max_children: int) -> DataFrame:
         "key", "host", F.posexplode(segments).alias("depth", "segment"),
         F.array_join(F.transform(segments, _shape), "/").alias("shapes"))
     # Shapes hold no "/", so the prefix of `depth` segments names the branch.
-    parts = parts.withColumn("branch", F.xxhash64("host", "depth", F.expr("substring_index(shapes, '/', depth)"))) \
+    parts = parts.withColumn("branch", _name(F.col("host"), F.col("depth"), F.expr("substring_index(shapes, '/', depth)"))) \
         .drop("shapes", "host")
     per_segment = parts.groupBy("branch", "segment").agg(F.count("*").alias("n"))
     nodes = per_segment.groupBy("branch").agg(F.count("*").alias("kinds"), F.sum("n").alias("total"))
@@ -99,7 +104,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, label_id: Column | N
     p = pick(pages, page_id="bigint", url="string").withColumns({"host": host, "path": path})
     if label_id is None:
         label_id = F.regexp_extract("path", r"([0-9]{1,18})[^0-9/]*/?$", 1).try_cast("bigint")
-    p = p.withColumns({"key": F.xxhash64("host", "path"), "label_id": label_id})
+    p = p.withColumns({"key": _name(F.col("host"), F.col("path")), "label_id": label_id})
     bad = 1 - F.col("quality") if bad is None else bad
     marks = labels.select(F.col("doc_id").cast("bigint").alias("label_id"), bad.cast("double").alias("bad")) \
         .where("label_id IS NOT NULL AND bad IS NOT NULL").groupBy("label_id").agg(F.avg("bad").alias("bad"))
