@@ -522,6 +522,8 @@ def tables_sql() -> dict[str, str]:
     q = {}
     cols = ", ".join(c.strip() for c in SILVER_COLS.split(",") if c.strip() != "source_file")
     q["silver_table"] = with_silver(f"SELECT {cols} FROM silver")
+    q["registered_views"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS view_name, COUNT(*) AS row_count FROM ({sql})" for name, sql in gold_sql().items())
     q["drop_log_table"] = with_silver(_DROPPED)
     q["upsert_bronze"] = operator_sql()["dedup_latest"]
     miss = "k % 59 = 0"

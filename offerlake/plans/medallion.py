@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..operators import dedup as D
 from ..operators import quality as Q
 from ..sources import landing as L
-from . import gold
+from . import gold, gold_sql
 from .bronze import bronze_metadata
 from .silver import active_only, clean_listings
 
@@ -154,6 +154,17 @@ def register_views(spark: SparkSession, silver: DataFrame, as_of=None, scope: st
     return list(views)
 
 
+def create_views(spark: SparkSession, t: Tables, as_of=None) -> list[str]:
+    """Create every Gold view (and the dashboard) persistently in the tables' database, as
+    SQL text over Silver by name: any session reads them, also after Silver is refreshed.
+    Without ``as_of`` the overview shows the date on which it is read."""
+    ensure_schema(spark, t.database, t.location)
+    texts = gold_sql.view_sql(t.name(t.silver), t.database, as_of)
+    for name, text in texts.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {t.name(name)} AS {text}")
+    return list(texts)
+
+
 def list_views(spark: SparkSession, pattern: str = "v_*", database: str | None = None) -> list[str]:
     """Names of the registered views matching ``pattern`` (``database="global_temp"``
     lists the application-wide ones)."""
@@ -181,8 +192,10 @@ def upsert_bronze(spark: SparkSession, incoming: DataFrame, t: Tables) -> str:
 
 def run_all(spark: SparkSession, landing_dir: str, t: Tables = Tables(), as_of: _dt.date | None = None,
             loaded_at=None) -> dict:
-    """Landing -> Bronze -> Silver (+drop log) -> registered Gold views."""
+    """Landing -> Bronze -> Silver (+drop log) -> Gold views, persistent ones and those of
+    this session."""
     load_latest_to_bronze(spark, landing_dir, t, loaded_at)
     counts = load_silver(spark, t, as_of, validated_at=loaded_at)
+    create_views(spark, t, as_of)
     register_views(spark, spark.table(t.name(t.silver)), as_of)
     return counts

@@ -321,6 +321,23 @@ def q_silver_table(spark, sf_dir):
     return spark.table(t.name(t.silver)).select(*[c for c in SILVER_COLUMNS if c != "source_file"])
 
 
+def q_registered_views(spark, sf_dir):
+    """Rows of every persistent Gold view, read by another session after Silver was
+    refreshed twice behind the views."""
+    t = _run_tables(spark, sf_dir)
+
+    def refresh():
+        for _ in range(2):
+            M.load_silver(spark, t, AS_OF, validated_at=RUN_TS, run_id="refresh")
+
+    _keeping_current_database(spark, refresh)
+    other = spark.newSession()
+    names = M.list_views(other, "*", t.database)
+    names = [n for n in names if n in gold.VIEWS or n == "gold_dashboard"]
+    return other.sql(" UNION ALL ".join(
+        f"SELECT '{n}' AS view_name, COUNT(*) AS row_count FROM {t.name(n)}" for n in names))
+
+
 def q_drop_log_table(spark, sf_dir):
     t = _run_tables(spark, sf_dir)
     return spark.table(t.name(t.drop_log)).drop("run_id")
@@ -390,6 +407,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["assemble_listings"] = q_assemble_listings
     q["file_arrival_ingest"] = q_file_arrival_ingest
     q["silver_table"] = q_silver_table
+    q["registered_views"] = q_registered_views
     q["drop_log_table"] = q_drop_log_table
     q["upsert_bronze"] = q_upsert_bronze
     q["json_sink"] = q_json_sink

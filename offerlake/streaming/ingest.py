@@ -88,6 +88,7 @@ def medallion_batch_runner(tables, landing: str, as_of=None, loaded_at=None,
         M.write_bronze(spark, bronze_metadata(rows, source_file=F.col("source_file"), loaded_at=loaded_at), tables)
         M.load_silver(spark, tables, as_of=as_of, validated_at=loaded_at,
                       run_id=unit["unit"].rstrip("/").rsplit("/", 1)[-1])
+        M.create_views(spark, tables, as_of)
         M.register_views(spark, spark.table(tables.name(tables.silver)), as_of, scope="global")
         M.mark_completed(spark, tables, unit)
 

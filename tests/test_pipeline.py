@@ -182,6 +182,29 @@ def test_tables_run_and_upsert(spark, scratch_dir):
     assert [r.job_title for r in b.filter("job_listing_id = 'a'").collect()] == ["re"]
 
 
+def test_persistent_views_follow_silver(spark, scratch_dir):
+    """The SQL views equal the DataFrame views, for another session and after refreshes."""
+    rows = [row(job_listing_id=f"id{i % 9}", job_url=f"u{i}", company_name=f"firm {i % 3}",
+                expected_technologies="SQL, Spark,,SQL" if i % 2 else "SQL") for i in range(24)]
+    t = M.Tables(database="offerlake_views", location=os.path.join(scratch_dir, "db"))
+    M.write_bronze(spark, M.bronze_metadata(frame(spark, SNAPSHOT + rows), source_file="a.csv",
+                                            loaded_at="2025-05-01 03:00:00"), t)
+    M.load_silver(spark, t, AS_OF)
+    M.create_views(spark, t, AS_OF)
+    other = spark.newSession()
+    for _ in range(2):
+        silver = spark.table(t.name(t.silver))
+        want = gold.gold_views(silver, AS_OF) | {"gold_dashboard": gold.gold_dashboard(silver)}
+        assert set(want) <= set(M.list_views(other, "*", t.database))
+        for name, df in want.items():
+            got = other.table(t.name(name))
+            assert got.columns == df.columns, name
+            assert sorted(map(str, got.collect())) == sorted(map(str, df.collect())), name
+        assert other.table(t.name("v_top_technologies")).count() == 3  # '', SQL, Spark
+        for _ in range(3):  # more refreshes than versions kept
+            M.load_silver(spark, t, AS_OF)
+
+
 def test_streaming_ingest_is_incremental(spark, scratch_dir):
     landing = os.path.join(scratch_dir, "landing")
     L.write_csv_snapshot(frame(spark, SNAPSHOT), landing, dt.datetime(2025, 5, 1, 2))
