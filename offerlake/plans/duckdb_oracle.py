@@ -324,6 +324,24 @@ UNION ALL SELECT 'Top Technology', (SELECT technology FROM top_tech ORDER BY job
     return q
 
 
+_RELISTED = """
+,relisted AS (
+  SELECT * FROM silver
+  UNION ALL
+  SELECT * REPLACE (min_salary + 1000 AS min_salary,
+                    expected_technologies || ',,Relisting, Relisting' AS expected_technologies)
+  FROM silver WHERE ascii(right(job_listing_id, 1)) % 3 = 0)
+"""
+
+
+def relisted_sql() -> dict[str, str]:
+    """The aggregating views over a Silver that holds some listings twice."""
+    head = with_silver("")
+    return {f"relisted_{name}": head + _RELISTED + sql.removeprefix(head).replace("FROM silver", "FROM relisted")
+            for name, sql in gold_sql().items()
+            if name not in ("v_jobs_summary", "v_jobs_expiring_soon", "v_jobs_just_posted")}
+
+
 def silver_sql() -> dict[str, str]:
     return {"silver_listings": with_silver(f"SELECT {SILVER_COLS} FROM silver")}
 
@@ -542,6 +560,6 @@ FROM raw""")
 def oracle_queries() -> dict[str, str]:
     """Every oracle statement, keyed like ``registry.queries()``."""
     out: dict[str, str] = {}
-    for part in (gold_sql, silver_sql, operator_sql, landing_sql, pages_sql, streaming_sql, tables_sql):
+    for part in (gold_sql, relisted_sql, silver_sql, operator_sql, landing_sql, pages_sql, streaming_sql, tables_sql):
         out.update(part())
     return out

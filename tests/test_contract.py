@@ -69,3 +69,12 @@ def test_driver_style_run_from_another_directory(tmp_path):
     out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env,
                          capture_output=True, text=True, timeout=600)
     assert "ROWS 1500" in out.stdout, out.stderr[-2000:]
+
+
+def test_relisted_fixture_tells_listings_from_rows(duck):
+    """Counting rows in place of distinct listings changes every view of the relisted Silver
+    but the dashboard's, which shows no distinct count."""
+    for name, sql in E.duckdb_oracle.relisted_sql().items():
+        wrong = sql.replace("COUNT(DISTINCT job_listing_id)", "COUNT(job_listing_id)")
+        same = sorted(map(str, duck.execute(sql).fetchall())) == sorted(map(str, duck.execute(wrong).fetchall()))
+        assert not same or name == "relisted_gold_dashboard", name
