@@ -2,8 +2,10 @@
 
 Kernel.  Two words are compared by their common subsequences of three letters, each
 occurrence weighted by ``DECAY`` per letter it skips (at most ``SPAN`` letters wide), scaled
-by word length and cubed.  An inserted letter or a gap lowers the similarity a little
-instead of destroying it.  Words are cut at white space with punctuation dropped
+by word length and cubed.  Cubing leaves a word with foreign letters in it too little of that, so
+a word (of one piece) that holds a marked landmark, with at most two foreign letters in a row
+and fewer foreign letters than its own, is read as that landmark at ``GAP`` per foreign letter,
+unless it is at least as frequent in clean training documents.  Words are cut at white space with punctuation dropped
 ("id-iot", "i.d.i.o.t"), accents and common digit substitutions folded, and runs of three or
 more single letters joined ("i d i o t"); words longer than ``PIECE`` letters are read in
 overlapping pieces and count by their best piece.  A sentence (at most ``SENTENCE`` words) is
@@ -30,7 +32,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 from itertools import combinations
 
@@ -50,6 +52,8 @@ POWER = 3
 CHUNK_CHARS = 1 << 19
 LETTERS = 64
 CACHE_PIECES = 1 << 21
+GAP = 0.985  # per letter inserted into a marked word
+SHORT = 5  # a marked word of fewer letters may hold one inserted letter only
 NEAR = 0.9  # kernel value from which a word counts as the landmark itself
 _START = 63  # marks the beginning of a word
 MAX_LABELLED = 4000
@@ -159,6 +163,9 @@ class Landmarks:
     owner: np.ndarray
     weight: np.ndarray
     n: int
+    marked: list[tuple[int, ...]] = field(default_factory=list)  # the first landmarks, which may be disguised
+    own: np.ndarray | None = None  # kernel of each marked landmark with each landmark
+    clean: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))  # hashes of words that hold one but are clean
 
     @staticmethod
     def of(spelled: list[tuple[int, ...]]) -> Landmarks:
@@ -192,6 +199,36 @@ class Landmarks:
                                               minlength=len(w) * self.n).reshape(len(w), self.n)) ** POWER
         return out
 
+    def disguised(self, letters: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each word, the marked landmark that it holds with the fewest inserted letters
+        (-1: none, or the landmark itself), and their number."""
+        which, least = np.full(len(start), -1), np.full(len(start), PIECE)
+        for a in range(0, len(start), 20_000):
+            s, n = start[a:a + 20_000], size[a:a + 20_000]
+            m = letters[np.minimum(s[:, None] + np.arange(PIECE), len(letters) - 1)]
+            m = np.where((np.arange(PIECE) < n[:, None]) & (m[:, :1] == _START), m, 0)
+            # Bit p of places[c]: letter c stands at place p (place 0 is the start mark).
+            places = {c: (m == c) @ (1 << np.arange(PIECE)) for c in {c for w in self.marked for c in w[1:]}}
+            for i, word in enumerate(self.marked):
+                most = len(word) - 2 if len(word) > SHORT else 1
+                extra = n - len(word)
+                at = np.flatnonzero((extra > 0) & (extra <= most) & (extra < least[a:a + 20_000]) & (places[word[1]] & 14 > 0))
+                reach = places[word[1]][at] & 14
+                for c in word[2:]:
+                    reach = (reach << 1 | reach << 2 | reach << 3) & places[c][at]
+                at = at[(reach >> np.maximum(n[at] - 3, 0)) > 0]  # at most two letters follow
+                which[a + at], least[a + at] = i, extra[at]
+        return which, least
+
+    def read(self, p: Pieces, at: np.ndarray) -> np.ndarray:
+        """Kernel of some pieces with each landmark; disguised marked words count as these."""
+        out = self.similar(p.letters, p.start[at], p.size[at])
+        if self.marked:
+            which, inserted = self.disguised(p.letters, p.start[at], p.size[at])
+            hit = np.flatnonzero((which >= 0) & ~np.isin(p.hash[at], self.clean))
+            out[hit] = self.own[which[hit]] * (GAP ** inserted[hit])[:, None]
+        return out
+
 
 @dataclass
 class Model:
@@ -218,7 +255,7 @@ class Model:
             hit = self.known[np.minimum(place, len(self.known) - 1)] == keys
             out[hit] = self.worth[place[hit]]
         new = np.flatnonzero(~hit)
-        out[new] = self.landmarks.similar(p.letters, p.start[at[new]], p.size[at[new]]) @ self.alpha
+        out[new] = self.landmarks.read(p, at[new]) @ self.alpha
         self.known = np.insert(self.known, place[new], keys[new])
         self.worth = np.insert(self.worth, place[new], out[new])
         return out[back]
@@ -298,8 +335,9 @@ def _text_chunks(texts: list[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[i
         start = stop
 
 
-def _choose_landmarks(texts: list[str], y: np.ndarray, n_marks: int, n_background: int) -> tuple[list[tuple], int]:
-    """Spelled landmark words, the marked ones first, and how many are marked."""
+def _choose_landmarks(texts: list[str], y: np.ndarray, n_marks: int, n_background: int) -> tuple[list[tuple], int, np.ndarray]:
+    """Spelled landmark words, the marked ones first, how many are marked, and the (sorted)
+    hashes of words that are at least as frequent in clean documents."""
     hashes, docs = [], []
     for a, b in _text_chunks(texts):
         p = Pieces(texts[a:b])
@@ -323,7 +361,19 @@ def _choose_landmarks(texts: list[str], y: np.ndarray, n_marks: int, n_backgroun
         p = Pieces(texts[a:b])
         for i in np.flatnonzero(np.isin(p.hash, wanted)):
             spelled.setdefault(int(p.hash[i]), p.spell(i))
-    return [spelled[int(h)] for h in wanted], len(marks)
+    return [spelled[int(h)] for h in wanted], len(marks), keys[neg * (y > 0).sum() >= pos * (y < 0).sum()]
+
+
+def _clean_lookalikes(texts: list[str], landmarks: Landmarks, plain: np.ndarray) -> np.ndarray:
+    """Hashes of the words among ``plain`` that hold a marked landmark with letters inserted."""
+    out = [np.zeros(0, np.uint64)]
+    for a, b in _text_chunks(texts):
+        p = Pieces(texts[a:b])
+        at, _ = p.distinct()
+        at = at[np.isin(p.hash[at], plain)]
+        which, _ = landmarks.disguised(p.letters, p.start[at], p.size[at])
+        out.append(p.hash[at[which >= 0]])
+    return np.unique(np.concatenate(out))
 
 
 def _sentences(texts: list[str], landmarks: Landmarks, n_marks: int, per_bag: int) -> tuple[np.ndarray, ...]:
@@ -341,7 +391,7 @@ def _sentences(texts: list[str], landmarks: Landmarks, n_marks: int, per_bag: in
         first = np.searchsorted(back[order], np.arange(len(at) + 1))
         for lo in range(0, len(at), 20_000):
             hi = min(lo + 20_000, len(at))
-            k = landmarks.similar(p.letters, p.start[at[lo:hi]], p.size[at[lo:hi]])
+            k = landmarks.read(p, at[lo:hi])
             use = order[first[lo]:first[hi]]
             use = use[alone[use]]
             some = k[back[use] - lo].any(axis=1)
@@ -362,11 +412,13 @@ def train(texts: list[str], toxic: list[int], n_marks: int = 128, n_background:
     y = np.where(np.array(toxic) > 0, 1, -1)
     if not len(y) or y.min() == y.max():
         return None
-    spelled, n_marks = _choose_landmarks(texts, y, n_marks, n_background)
+    spelled, n_marks, plain = _choose_landmarks(texts, y, n_marks, n_background)
     if not n_marks:
         return None
     landmarks = Landmarks.of(spelled)
     km = _kernel_of(landmarks, spelled)
+    landmarks.marked, landmarks.own = spelled[:n_marks], km[:n_marks].astype(np.float32)
+    landmarks.clean = _clean_lookalikes(texts, landmarks, plain)
     value, vector = np.linalg.eigh((km + km.T) / 2 + 1e-6 * np.eye(len(km)))
     root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-6))) @ vector.T
     bag, rows, near = _sentences(texts, landmarks, n_marks, per_bag)

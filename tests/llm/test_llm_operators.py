@@ -477,6 +477,22 @@ def test_inserted_characters_and_defined_cases(spark, messy, messy_rows, nothing
     assert toxicity.toxicity(nothing, marks, spark).count() == 0
 
 
+def test_inserted_letters_keep_the_verdict():
+    rng = random.Random(3)
+    clean = lambda: " ".join(rng.choice(["the", "garden", "was", "green", "and", "quiet", "today", "looser"]) for _ in range(15))
+    insults = ("blockhead", "idiot", "stupid", "loser")
+    texts = [f"{clean()}. {clean()} " + (f"{insults[i // 3 % 4]} {clean()}" if i % 3 == 0 else clean()) for i in range(600)]
+    model = toxicity.train(texts, [int(i % 3 == 0) for i in range(600)])
+    score = lambda w: model.scores([f"the garden was {w} and quiet today."])[0]
+    for w in insults:
+        made = {w[:j] + c + w[j:] for j in range(len(w) + 1) for c in "xqe"} - {"looser"}
+        made |= {w[:2] + "xz" + w[2:], w[:1] + "x" + w[1:3] + "q" + w[3:], w + w[-1]}
+        assert all(score(x) > 0.7 for x in made), [x for x in made if score(x) <= 0.7]
+    assert score("ixdxixoxt") > 0.7
+    # A lookalike that clean documents use, and words that only share letters, stay clean.
+    assert max(score(w) for w in ("looser", "green", "block", "stoop", "riot", "inditement")) < 0.3
+
+
 def test_landmark_kernel_equals_plain_subsequences():
     words = ["blockhead", "blokhead", "tree", "abc"]
     p = toxicity.Pieces([w for w in words])
