@@ -14,8 +14,11 @@ are grouped exactly, and none is lost:
    follows the corpus up to ``MAX_SKETCH_BYTES`` (the proven bound of what is broadcast).
    Beyond that size more windows pass, the result stays exact.
 3. *Exact groups.*  Windows whose minimiser is estimated repeated carry 128-bit hashes of
-   their complete word sequence to the task of their minimiser, one row per run of windows
-   with the same minimiser.  Windows that repeat inside one batch are settled there and
+   complete word sequence to the task of their minimiser, one row per run of windows
+   with the same minimiser.  Minimisers counted ``HOT`` times or more (the sketching tasks
+   name those that a batch holds ``HOT_IN_BATCH`` times) deal each window by its own hash
+   instead: a frequent line amid different texts spreads over all tasks, and equal windows
+   still meet.  Windows that repeat inside one batch are settled there and
    send a single representative, so a passage found in a third of all documents costs one
    row per batch, not one per document.
 4. Repeated starts return to their documents, whose words are then removed.
@@ -47,6 +50,8 @@ DEPTH = 2
 SEGMENT_BITS = 20
 MAX_SKETCH_BYTES = 64 << 20
 FLUSH = 1 << 20
+HOT_IN_BATCH = 64
+HOT = 1024
 _BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 _FLAG = np.uint32(1 << 31)
 
@@ -85,6 +90,9 @@ def _sketcher(window: int, bits: int):
             at = np.flatnonzero(np.diff(segment, prepend=-1))
             for a, b in zip(at, np.append(at[1:], len(segment))):
                 yield int(segment[a]), packed[a:b].tobytes()
+        kinds, count = np.unique(values, return_counts=True)
+        if (often := count >= HOT_IN_BATCH).any():
+            yield -1, np.stack([kinds[often], count[often].astype(np.uint64)], 1).tobytes()
 
     def batch(values: list[np.ndarray]) -> pa.RecordBatch:
         made = list(blobs(np.concatenate(values)))
@@ -107,10 +115,16 @@ def _sketcher(window: int, bits: int):
 
 
 def _merge_segments(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows arrive sorted by segment; one segment's counters are held at a time."""
-    current, counts = None, None
+    """Rows arrive sorted by segment; one segment's counters are held at a time.  Segment -1
+    holds minimisers frequent in a batch (a 64th of its values at most) with their counts,
+    and becomes the list of the hot ones."""
+    current, counts, often = None, None, np.zeros((0, 2), np.uint64)
 
     def done() -> pa.RecordBatch:
+        if current == -1:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([-1], pa.int64()), pa.array([often[often[:, 1] >= HOT, 0].tobytes()], pa.binary())],
+                ["segment", "bits"])
         return pa.RecordBatch.from_arrays(
             [pa.array([current], pa.int64()), pa.array([np.packbits(counts >= 2).tobytes()], pa.binary())],
             ["segment", "bits"])
@@ -121,6 +135,11 @@ def _merge_segments(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 if current is not None:
                     yield done()
                 current, counts = segment, np.zeros(1 << SEGMENT_BITS, np.uint8)
+            if segment == -1:
+                both = np.concatenate([often, np.frombuffer(cells.as_buffer(), np.uint64).reshape(-1, 2)])
+                kinds, back = np.unique(both[:, 0], return_inverse=True)
+                often = np.stack([kinds, np.bincount(back, both[:, 1]).astype(np.uint64)], 1)
+                continue
             packed = np.frombuffer(cells.as_buffer(), np.uint32)
             cell = packed >> 1
             counts[cell] = np.minimum(counts[cell] + 1 + (packed & 1).astype(np.uint8), 2)
@@ -128,17 +147,22 @@ def _merge_segments(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield done()
 
 
-def build_sketch(rows: DataFrame, spark: SparkSession, window: int, bits: int) -> list[np.ndarray]:
-    """The merged sketch: one packed bit array ("count of two or more") per sketch row."""
+def build_sketch(rows: DataFrame, spark: SparkSession, window: int, bits: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The merged sketch, one packed bit array ("count of two or more") per sketch row, and
+    the hot minimisers."""
     parts = map_batches(rows.select("text"), _sketcher(window, bits), "segment bigint, cells binary")
     merged = map_batches(parts.repartition("segment").sortWithinPartitions("segment"), _merge_segments,
                          "segment bigint, bits binary")
     segment_bytes = 1 << max(min(bits, SEGMENT_BITS) - 3, 0)
     sketch = [np.zeros(1 << (bits - 3), np.uint8) for _ in range(DEPTH)]
-    for r in merged.toLocalIterator():  # at most MAX_SKETCH_BYTES in all
+    hot = np.zeros(0, np.uint64)
+    for r in merged.toLocalIterator():  # at most MAX_SKETCH_BYTES in all, and one hot value per HOT counts
+        if r["segment"] == -1:
+            hot = np.frombuffer(r["bits"], np.uint64)
+            continue
         at, row = divmod(r["segment"], DEPTH)
         sketch[row][at * segment_bytes:(at + 1) * segment_bytes] = np.frombuffer(r["bits"], np.uint8)[:segment_bytes]
-    return sketch
+    return sketch, hot
 
 
 def _maybe_repeated(values: np.ndarray, sketch: list[np.ndarray], bits: int) -> np.ndarray:
@@ -162,13 +186,13 @@ def _repeats(h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return repeated, first
 
 
-_FOUND = "low bigint, doc binary, starts binary, hashes binary"
+_FOUND = "dealt bigint, doc binary, starts binary, hashes binary"
 
 
 def _candidates(window: int, bits: int, sketch):
-    """Rows with hashes: windows for the exact pass, dealt by minimiser; without: starts
-    already settled, which only pass through."""
-    def settle(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows with hashes: windows for the exact pass, dealt by minimiser (by their own hash if
+    that is hot); without: starts already settled, which only pass through."""
+    def settle(held: list[tuple], hot: np.ndarray) -> Iterator[pa.RecordBatch]:
         low, doc, start, h1, h2 = (np.concatenate([h[i] for h in held]) for i in range(5))
         keys = [k for h in held for k in h[5]]
         repeated, first = _repeats(h1, h2)
@@ -181,21 +205,21 @@ def _candidates(window: int, bits: int, sketch):
         send = np.flatnonzero(~repeated | first)
         flagged = start[send].astype(np.uint32) | np.where(repeated[send], _FLAG, np.uint32(0))
         both = np.stack([h1[send], h2[send]], 1)
-        low, doc = low[send], doc[send]
+        dealt, doc = np.where(np.isin(low[send], hot), h1[send], low[send]), doc[send]
         new = np.ones(len(send), bool)
-        new[1:] = (low[1:] != low[:-1]) | (doc[1:] != doc[:-1])
+        new[1:] = (dealt[1:] != dealt[:-1]) | (doc[1:] != doc[:-1])
         cut = np.flatnonzero(new)
         for a, b in zip(cut, np.append(cut[1:], len(send))):
-            rows.append((int(low[a].astype(np.int64)), keys[doc[a]], flagged[a:b].tobytes(), both[a:b].tobytes()))
+            rows.append((int(dealt[a].astype(np.int64)), keys[doc[a]], flagged[a:b].tobytes(), both[a:b].tobytes()))
         for a in range(0, len(rows), 8192):
             part = list(zip(*rows[a:a + 8192]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(part[0], pa.int64()), *[pa.array(c, pa.binary()) for c in part[1:]]],
-                ["low", "doc", "starts", "hashes"])
+                ["dealt", "doc", "starts", "hashes"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_word, values = non_space(), byte_values(False)
-        bitmap = sketch.value
+        bitmap, hot = sketch.value
         held, n, base = [], 0, 0
         for batch in batches:
             keys = batch.column("doc")
@@ -220,16 +244,16 @@ def _candidates(window: int, bits: int, sketch):
                 base += len(used)
                 n += len(at)
                 if n >= FLUSH:
-                    yield from settle(held)
+                    yield from settle(held, hot)
                     held, n, base = [], 0, 0
         if n:
-            yield from settle(held)
+            yield from settle(held, hot)
     return run
 
 
 def _exact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows arrive sorted by minimiser; whole minimisers are grouped, FLUSH windows or so
-    at a time."""
+    """Rows arrive sorted by what they are dealt by; all rows of a value are grouped
+    together, FLUSH windows or so at a time."""
     held: list[tuple] = []
     n, last = 0, None
 
@@ -251,14 +275,14 @@ def _exact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         passed: list[tuple] = []
-        for low, doc, starts, hashes in zip(*(batch.column(c).to_pylist() for c in ("low", "doc", "starts", "hashes"))):
+        for dealt, doc, starts, hashes in zip(*(batch.column(c).to_pylist() for c in ("dealt", "doc", "starts", "hashes"))):
             if hashes is None:
                 passed.append((doc, starts))
                 continue
-            if low != last and n >= FLUSH:
+            if dealt != last and n >= FLUSH:
                 yield from settle()
                 held, n = [], 0
-            last = low
+            last = dealt
             held.append((doc, starts, hashes))
             n += len(starts) // 4
         if passed:
@@ -308,7 +332,7 @@ def remove_repeats(docs: DataFrame, spark: SparkSession, window: int = WINDOW,
     bits = min(max((size // 16).bit_length(), 13), (max_sketch_bytes * 8 // DEPTH).bit_length() - 1)
     sketch = spark.sparkContext.broadcast(build_sketch(rows, spark, window, bits))
     found = map_batches(rows.select("doc", "text"), _candidates(window, bits, sketch), _FOUND)
-    exact = map_batches(found.repartition("low").sortWithinPartitions("low"), _exact, "doc binary, starts binary")
+    exact = map_batches(found.repartition("dealt").sortWithinPartitions("dealt"), _exact, "doc binary, starts binary")
     marks = exact.groupBy("doc").agg(F.collect_list("starts").alias("found"))
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
     return map_batches(rows.join(marks.hint("shuffle_hash"), "doc", "left").select("doc_id", "text", "found"),

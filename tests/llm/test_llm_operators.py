@@ -437,6 +437,23 @@ def test_substring_dedup_matches_brute_force(spark, messy, messy_rows, nothing,
         assert substring_dedup.remove_repeats(nothing, spark).count() == 0
 
 
+def test_windows_around_a_frequent_short_line_are_dealt_apart(spark):
+    rng = random.Random(12)
+    line = _words(rng, 20)
+    texts = [f"{' '.join(f'a{i}x{j}' for j in range(40))} {line} {' '.join(f'b{i}x{j}' for j in range(40))}" for i in range(1500)]
+    texts[7] = texts[8]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    keyed = docs.selectExpr("unhex(md5(cast(doc_id AS string))) AS doc", "text")
+    found = common.map_batches(keyed, substring_dedup._candidates(35, 16, spark.sparkContext.broadcast(
+        substring_dedup.build_sketch(keyed, spark, 35, 16))), substring_dedup._FOUND).where("hashes IS NOT NULL")
+    groups = [r[1] for r in found.groupBy(found.columns[0]).agg({"starts": "collect_list"}).collect()]
+    sizes = [sum(len(x) // 4 for x in g) for g in groups]
+    assert sum(sizes) > 10_000  # so many windows share a gram of the line
+    assert max(sizes) < 1024
+    assert Counter(tuple(r) for r in substring_dedup.remove_repeats(docs, spark).collect()) == _substring(rows, 35)
+
+
 # --- 8: toxicity ------------------------------------------------------------------------
 
 def test_toxicity_on_held_out_rows(spark):
