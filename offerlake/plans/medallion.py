@@ -101,20 +101,24 @@ def write_drop_log(spark: SparkSession, dropped: DataFrame, t: Tables, run_id: s
 
 
 def is_completed(spark: SparkSession, t: Tables, unit) -> bool:
-    """Was this snapshot unit (with as many files), or a newer one, loaded to the end?"""
+    """Was this snapshot unit (with the same files), or a newer one, loaded to the end?"""
     target = t.name(t.completed)
     if not spark.catalog.tableExists(target):
         return False
     done = spark.table(target)
-    same = (F.col("unit") == unit["unit"]) & (F.col("files") == unit["files"])
+    # Marks of an earlier layout have no digest: such a unit is loaded once more.
+    same = (F.col("unit") == unit["unit"]) & (F.col("digest") == unit["digest"]) if "digest" in done.columns else F.lit(False)
     newer = F.col("snapshot_ts") > F.lit(unit["snapshot_ts"]) if unit["snapshot_ts"] else F.col("snapshot_ts").isNotNull()
     return not done.where(same | newer).isEmpty()
 
 
 def mark_completed(spark: SparkSession, t: Tables, unit) -> None:
-    row = [(unit["unit"], unit["snapshot_ts"], unit["files"])]
-    spark.createDataFrame(row, "unit string, snapshot_ts timestamp, files bigint").write.format(t.fmt) \
-        .mode("append").saveAsTable(t.name(t.completed))
+    target = t.name(t.completed)
+    if spark.catalog.tableExists(target) and "digest" not in spark.table(target).columns:
+        spark.sql(f"ALTER TABLE {target} ADD COLUMNS (digest string)")
+    row = [(unit["unit"], unit["snapshot_ts"], unit["files"], unit["digest"])]
+    spark.createDataFrame(row, "unit string, snapshot_ts timestamp, files bigint, digest string").write.format(t.fmt) \
+        .mode("append").saveAsTable(target)
 
 
 def load_silver(spark: SparkSession, t: Tables, as_of=None, validated_at=None,

@@ -115,33 +115,35 @@ def being_written(spark: SparkSession, unit: str) -> bool:
 
 
 def list_landing_files(spark: SparkSession, landing_dir: str) -> DataFrame:
-    """(path) of every ``*.csv`` file under the landing dir; a path-only binaryFile
-    scan, so file contents are never read."""
+    """(path, length, modificationTime) of every ``*.csv`` file under the landing dir; a
+    binaryFile scan without its content column, so file contents are never read."""
     return (spark.read.format("binaryFile")
             .option("pathGlobFilter", "*.csv")
             .option("recursiveFileLookup", "true")
             .load(landing_dir)
-            .select("path"))
+            .select("path", "length", "modificationTime"))
 
 
 def snapshot_candidates(spark: SparkSession, landing_dir: str, prefix: str = DEFAULT_PREFIX) -> DataFrame:
-    """(unit, snapshot_ts, files) for every landing unit: a file or a directory right below
-    the landing folder, stamped by its own name only (unmatched names have a NULL ts)."""
+    """(unit, snapshot_ts, files, digest) for every landing unit: a file or a directory right
+    below the landing folder, stamped by its own name only (unmatched names have a NULL ts).
+    ``digest`` changes with the paths, lengths and modification times of the unit's files."""
     root, name = _below(F.col("path"), landing_dir)
-    return (list_landing_files(spark, landing_dir).select(root.alias("root"), name.alias("name"))
+    return (list_landing_files(spark, landing_dir).select(
+        root.alias("root"), name.alias("name"), F.xxhash64("path", "length", "modificationTime").alias("h"))
             .groupBy(F.concat("root", "name").alias("unit"), name_timestamp(F.col("name"), prefix).alias("snapshot_ts"))
-            .agg(F.count("*").alias("files")))
+            .agg(F.count("*").alias("files"), F.concat_ws("-", F.count("*"), F.hex(F.bit_xor("h"))).alias("digest")))
 
 
 def newest_unit(spark: SparkSession, landing_dir: str, prefix: str = DEFAULT_PREFIX):
-    """Row (unit, snapshot_ts, files) of the snapshot with the greatest name timestamp, or
+    """Row (unit, snapshot_ts, files, digest) of the snapshot with the greatest name timestamp, or
     None.  Unmatched or impossible timestamps rank lowest (ties: greatest path); units
     that are still being written are passed over."""
     skipped: list[str] = []
     while True:
         cands = snapshot_candidates(spark, landing_dir, prefix).where(~F.col("unit").isin(skipped) if skipped else F.lit(True))
         order = F.struct(F.col("snapshot_ts").isNotNull(), "snapshot_ts", "unit")
-        best = cands.agg(F.max_by(F.struct("unit", "snapshot_ts", "files"), order).alias("u")).first()["u"]
+        best = cands.agg(F.max_by(F.struct("unit", "snapshot_ts", "files", "digest"), order).alias("u")).first()["u"]
         if best is None or not being_written(spark, best["unit"]):
             return best
         skipped.append(best["unit"])

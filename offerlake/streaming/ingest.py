@@ -73,8 +73,8 @@ def medallion_batch_runner(tables, landing: str, as_of=None, loaded_at=None,
     The stream only says that something arrived; what is loaded is always the newest whole
     snapshot unit of ``landing``, however its files are spread over micro-batches.  A unit
     is marked completed after Silver, drop log and views, so a run that failed half-way is
-    done again on replay; a unit marked with the same number of files, or older than a
-    marked one, leaves the tables unchanged.  The drop log is written under the unit's
+    done again on replay; a unit marked with the same files (paths, lengths,
+    modification times), or older than a marked one, leaves the tables unchanged.  The drop log is written under the unit's
     name, so a repeated run replaces its rows."""
     from ..plans import medallion as M
     from ..sources import landing as L

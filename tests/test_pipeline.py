@@ -312,6 +312,21 @@ def test_stream_loads_whole_units_and_repeats_failed_runs(spark, scratch_dir, mo
     assert late and spark.table(t.name(t.bronze)).count() == len(SNAPSHOT)
 
 
+def test_republished_unit_is_loaded_again(spark, scratch_dir):
+    landing, ckpt = os.path.join(scratch_dir, "landing"), os.path.join(scratch_dir, "ckpt")
+    t = M.Tables(database="offerlake_stream_again", location=os.path.join(scratch_dir, "db"))
+    runner = S.medallion_batch_runner(t, landing, as_of=AS_OF, loaded_at="2025-05-01 03:00:00")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {t.database}")
+    spark.createDataFrame([("old", None, 1)], "unit string, snapshot_ts timestamp, files bigint").write.saveAsTable(
+        t.name(t.completed))  # a mark of the earlier layout
+    for rows in (SNAPSHOT, SNAPSHOT[:3], SNAPSHOT[:2]):
+        L.write_csv_snapshot(frame(spark, rows), landing, dt.datetime(2025, 5, 1, 2), files=1)
+        S.file_arrival_ingest(spark, landing, ckpt, runner)
+        spark.catalog.refreshTable(t.name(t.bronze))
+        assert spark.table(t.name(t.bronze)).count() == len(rows)
+    assert spark.table(t.name(t.completed)).count() == 4
+
+
 def test_refresh_keeps_the_name_and_a_failed_one_changes_nothing(spark, scratch_dir):
     t = M.Tables(database="offerlake_versions", location=os.path.join(scratch_dir, "db"))
     rows = M.bronze_metadata(frame(spark, SNAPSHOT), source_file="s.csv", loaded_at="2025-05-01 03:00:00")
