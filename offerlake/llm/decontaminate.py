@@ -149,10 +149,10 @@ def find_items(patterns: Patterns, texts: list[str | None]) -> list[list[int]]:
     """The ids of the benchmark items found in each text."""
     texts = [normalise(t) for t in texts]
     hits: list[list[int]] = [[] for _ in texts]
-    start = 0
+    start, most = 0, (1 << 29) // max(len(patterns.codes), 1) - 1  # (window, text, band) keys fit 63 bits
     while start < len(texts) and len(patterns.codes):
         stop, size = start, 0
-        while stop < len(texts) and (stop == start or size + len(texts[stop]) <= CHUNK_CHARS):
+        while stop < len(texts) and (stop == start or stop - start < most and size + len(texts[stop]) <= CHUNK_CHARS):
             size += len(texts[stop])
             stop += 1
         codes = code_points("".join(texts[start:stop]))

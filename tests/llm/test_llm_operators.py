@@ -310,6 +310,13 @@ def test_banded_alignment_equals_full_table():
         assert got == (best(p, t) <= k)
 
 
+def test_many_windows_and_many_short_texts():
+    items = [(i, f"passage number {i:06d}x") for i in range(60_000)]
+    patterns = decontaminate.Patterns(items, 128, 0.0, 9)
+    texts = [None] * 9_000 + [items[-1][1], items[0][1]]  # windows x texts passes 2^29
+    assert decontaminate.find_items(patterns, texts) == [[]] * 9_000 + [[59_999], [0]]
+
+
 # --- 5: mixing --------------------------------------------------------------------------
 
 @pytest.mark.parametrize("limit", [1.0, 1.5, 3.0, 50.0])
