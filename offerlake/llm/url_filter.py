@@ -7,9 +7,10 @@ judged by templates learnt from labelled urls:
 1. *Tree.*  A host's urls form a tree of path segments.  A node's branch is named by host,
    depth and the shapes of the segments above it (a segment's shape replaces digit runs and
    long hex runs by a mark, so the naming of a branch does not depend on decisions above).
-2. *Wildcards.*  A node generalises to ``*`` if its segments are variable: more than
-   ``max_children`` distinct ones with little repetition; a segment with digits falls back to
-   its shape.  Everything below keeps its own statistics.
+2. *Wildcards.*  A node with more than ``max_children`` distinct segments generalises to
+   ``*``, however many urls they hold; only a segment whose own labels differ significantly
+   from the node's and give it another verdict stays literal.  Elsewhere a segment with digits
+   falls back to its shape.  Everything below keeps its own statistics.
 3. *Merging.*  Sibling templates (equal but for one literal segment) are pooled per host; a
    branch whose labelled share does not differ significantly from its pool's (two-sided test
    at ``z`` standard errors) is merged into the pool, a differing one keeps its own counts.
@@ -72,22 +73,33 @@ def _smooth(bad: Column, n: Column, towards: Column, prior: float) -> Column:
     return (bad + F.lit(prior) * towards) / (n + F.lit(prior))
 
 
-def templates(pages: DataFrame, max_children: int) -> DataFrame:
-    """``pages`` (key, host, path, ...) with ``template``, the path with variable segments
-    generalised."""
+def templates(pages: DataFrame, max_children: int, prior: float, z: float, reject_from: float) -> DataFrame:
+    """``pages`` (key, host, path, n, bad, ...) with ``template``, the path with variable
+    segments generalised."""
     segments = F.split(F.substr(F.col("path"), F.lit(2)), "/")
     parts = pages.where("path <> ''").select(
-        "key", "host", F.posexplode(segments).alias("depth", "segment"),
+        "key", "host", "n", "bad", F.posexplode(segments).alias("depth", "segment"),
         F.array_join(F.transform(segments, _shape), "/").alias("shapes"))
     # Shapes hold no "/", so the prefix of `depth` segments names the branch.
     parts = parts.withColumn("branch", _name(F.col("host"), F.col("depth"), F.expr("substring_index(shapes, '/', depth)"))) \
         .drop("shapes", "host")
-    per_segment = parts.groupBy("branch", "segment").agg(F.count("*").alias("n"))
-    nodes = per_segment.groupBy("branch").agg(F.count("*").alias("kinds"), F.sum("n").alias("total"))
-    variable = nodes.where((F.col("kinds") > max_children) & (F.col("total") < 4 * F.col("kinds"))).select(
-        "branch", F.lit(True).alias("variable"))
-    named = parts.join(variable, "branch", "left").withColumn(
-        "segment", F.when(F.col("variable"), F.lit("*")).otherwise(_shape(F.col("segment"))))
+    labelled = F.when(F.col("bad").isNotNull(), F.col("n"))
+    per_segment = parts.groupBy("branch", "segment").agg(
+        F.coalesce(F.sum(labelled), F.lit(0)).cast("double").alias("seg_n"),
+        F.coalesce(F.sum(F.col("bad") * F.col("n")), F.lit(0.0)).alias("seg_bad"))
+    variable = per_segment.groupBy("branch").agg(
+        F.count("*").alias("kinds"), F.sum("seg_n").alias("all_n"), F.sum("seg_bad").alias("all_bad")) \
+        .where(F.col("kinds") > max_children)
+    share = F.col("all_bad") / F.nullif(F.col("all_n"), F.lit(0.0))
+    differs = F.abs(F.col("seg_bad") / F.nullif(F.col("seg_n"), F.lit(0.0)) - share) > \
+        F.lit(z) * F.sqrt(share * (1 - share) / F.nullif(F.col("seg_n"), F.lit(0.0)))
+    turned = (_smooth(F.col("seg_bad"), F.col("seg_n"), share, prior) >= F.lit(reject_from)) != (share >= F.lit(reject_from))
+    literal = per_segment.where("seg_n > 0").join(variable, "branch").where(differs & turned).select(
+        "branch", "segment", F.lit(True).alias("literal"))
+    named = (parts.drop("n", "bad").join(variable.select("branch", F.lit(True).alias("variable")), "branch", "left")
+             .join(literal, ["branch", "segment"], "left")
+             .withColumn("segment", F.when(F.col("literal"), F.col("segment")).when(F.col("variable"), F.lit("*"))
+                         .otherwise(_shape(F.col("segment")))))
     paths = named.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("depth", "segment"))).alias("s"))
     paths = paths.select("key", F.concat(F.lit("/"), F.array_join("s.segment", "/")).alias("template"))
     return pages.join(paths, "key", "left").withColumn("template", F.coalesce("template", F.lit("")))
@@ -109,7 +121,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, label_id: Column | N
     marks = labels.select(F.col("doc_id").cast("bigint").alias("label_id"), bad.cast("double").alias("bad")) \
         .where("label_id IS NOT NULL AND bad IS NOT NULL").groupBy("label_id").agg(F.avg("bad").alias("bad"))
     urls = p.groupBy("key", "host", "path").agg(F.count("*").alias("n"), F.first("label_id").alias("label_id"))
-    urls = templates(urls, max_children).join(marks, "label_id", "left")
+    urls = templates(urls.join(marks, "label_id", "left"), max_children, prior, z, reject_from)
     counts = (urls.where("bad IS NOT NULL").groupBy("host", "template")
               .agg(F.sum("n").cast("double").alias("n"), F.sum(F.col("bad") * F.col("n")).alias("bad")))
     # Siblings: templates equal but for their first literal segment.

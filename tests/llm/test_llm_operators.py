@@ -230,6 +230,23 @@ def test_url_rules_match_brute_force(spark):
             raise AssertionError(r)
 
 
+@pytest.mark.parametrize("each", [2, 20])
+def test_url_wildcards_do_not_depend_on_the_table_size(spark, each):
+    names = ["".join(chr(97 + int(c)) for c in str(i)) for i in range(100, 160)]
+    rows, labels = [("http://h.test/user/spammer/blog/{}", 1)] * 40, []
+    for x in names:  # a tenth of the labels is bad, all of them below /ad/
+        rows += [(f"http://h.test/user/{x}/ad/{{}}", 1 if j < 4 else None) for j in range(each)]
+        rows += [(f"http://h.test/user/{x}/blog/{{}}", 0 if j < 36 else None) for j in range(9 * each)]
+    labels = [(i, 1 - y, 0) for i, (_, y) in enumerate(rows) if y is not None]
+    pages = spark.createDataFrame([(i, u.format(i)) for i, (u, _) in enumerate(rows)], "page_id bigint, url string")
+    marks = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    got = {(r.template, r.verdict) for r in url_filter.judge(pages, marks).collect()}
+    assert {v for t, v in got if t.startswith("/user/*/ad/")} == {"block"}
+    assert {v for t, v in got if t.startswith("/user/*/blog/")} == {"allow"}
+    assert {v for t, v in got if t.startswith("/user/spammer/")} == {"block"}
+    assert {t.split("/")[2] for t, _ in got} == {"*", "spammer"}
+
+
 def test_url_templates_reject_by_purity(spark):
     rows, labels = [], []
     for i in range(300):
