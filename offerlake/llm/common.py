@@ -39,10 +39,10 @@ def pick(df: DataFrame, **types: str) -> DataFrame:
                        for c, t in types.items()])
 
 
-def stored(df: DataFrame, spark: SparkSession, tag: str) -> DataFrame:
+def stored(df: DataFrame, spark: SparkSession, tag: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back."""
     path = shared_path(spark, "llm", tag, unique=True)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from offerlake.llm import (decontaminate, exact_dedup, language_id, license_scan, minhash_dedup, mixing, sharding,
-                           substring_dedup, toxicity, url_filter)
+from offerlake.llm import (decontaminate, exact_dedup, language_id, license_scan, minhash_dedup, mixing,
+                           ranked_search, sharding, substring_dedup, token_counts, toxicity, url_filter, whitening)
 from offerlake.llm.common import table
 
 
@@ -54,10 +54,24 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), spark)
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), spark, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_whiten_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_table(table(spark, sf_dir, "embeddings"), spark)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), spark)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_near_duplicates, op2_shard_documents, op3_url_filter, op4_decontaminate, op5_mix_sources, op6_license_scan,
-        op7_substring_dedup, op8_toxicity, op9_language_id, op10_exact_dedup)}
+        op7_substring_dedup, op8_toxicity, op9_language_id, op10_exact_dedup,
+        op11_token_counts, op12_whiten_embeddings, op13_ranked_search)}
 
 
 OP7_SQL = r"""
@@ -80,5 +94,26 @@ FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
 
+OP13_SQL = r"""
+WITH dw AS (SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents),
+iw AS (SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+lens AS (SELECT r, doc_id, count(*) AS n FROM dw GROUP BY r, doc_id),
+g AS (SELECT count(*) AS nn, sum(n)::BIGINT AS ll FROM lens),
+tf AS (SELECT r, t, count(*) AS tf FROM dw GROUP BY r, t),
+df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+it AS (SELECT i, item_id, t, count(*) AS q FROM iw GROUP BY i, item_id, t),
+s AS (SELECT i, item_id, lens.r, lens.doc_id,
+             sum(q * floor(1000 * ln((2.0::DOUBLE * nn + 2) / (2.0::DOUBLE * df + 1)))::BIGINT
+                 * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * nn) // ll)))))::BIGINT AS score
+      FROM it JOIN tf USING (t) JOIN df USING (t) JOIN lens ON lens.r = tf.r, g GROUP BY i, item_id, lens.r, lens.doc_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_substring_dedup": OP7_SQL, "op10_exact_dedup": OP10_SQL}
+    return {"op7_substring_dedup": OP7_SQL, "op10_exact_dedup": OP10_SQL, "op13_ranked_search": OP13_SQL}
