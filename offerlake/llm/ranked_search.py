@@ -5,47 +5,46 @@ document's impact for that term, ``w * ((10^9 tf) div (1000 tf + 8 m))`` with a
 ``w`` falling with the document frequency and a length measure ``m``.
 
 Method.  One map over the documents counts every document's words and keeps the
-occurrences of terms that some item of the block uses (a block has at most ``MAX_TERMS``
-distinct terms, or one item).  Postings get their impacts once document counts and
-frequencies are known, and are written in *levels* of falling impact: a histogram of
-impacts per term (``CELLS`` equal cells of the impact range) tells which cells belong to
-the first ``DEPTH`` postings of the term's list, the next ``GROWTH * DEPTH``, and so on.
-No list is ever sorted or held in one task, however long; a level of a list always ends
-between two cells, so every posting behind it has a smaller impact.
-
-The lists are then read level by level, sequentially and never again.  Each (item,
-document) met has a lower bound, the sum of the impacts read, and an upper bound, which
-adds for each of the item's terms not yet met the greatest impact its list still holds
-(nothing once the list ends).  After each level the k-th greatest lower bound of an item is
-a threshold: a document whose upper bound is below it is dropped for good, and once the sum
-of all the lists' bounds is below it, no new document is taken in (the item is closed).
-Documents whose upper bound equals the threshold stay, so ties are complete.  Reading goes
-on until every item is closed and every document left has equal bounds, that is until
-membership, ties and scores are final; then the greatest are ranked.  Nothing is skipped:
-if an item never closes, its lists are read to the end and all its documents are compared.
-
-Scale.  The first level holds about ``DEPTH`` documents a list (whole cells), whatever the
-corpus.  Thresholds come from a partial top-k per task (Spark's window group limit), and
-once every item is closed the rest of the lists is read in one pass that looks up the few
-documents left.  Tables of items, terms and documents left are broadcast only below
-``BROADCAST_ROWS`` rows (of 40 bytes about), else joined by shuffle.
+occurrences of terms that some item of the block uses (a block of items has at most
+``MAX_TERMS`` terms, or is one item).  These rows are written to the shared folder; Spark
+adds up documents, words and document frequencies over all of them.
+
+A second map searches.  Each task takes the counted documents in parts of at most
+``PART_POSTINGS`` postings (or one document), and turns a part into one impact-sorted list
+per term.  For each item the lists are read sequentially, greatest impacts first, down to a
+level that falls by ``STEP`` from round to round, and no posting is read out of its turn.
+A document met has a lower bound, the sum of the impacts read, and an upper bound, which
+adds for each of the item's lists in which it was not met the greatest impact the list
+still holds (0 once it ends); a document not met yet has the sum of all those.  The
+threshold is the k-th greatest of the lower bounds and of the scores of the task's parts
+before.  Once no new document can reach it, documents whose upper bound is below it go, and
+the rest of the lists is read for those that stay, until both bounds meet: membership, ties
+and scores are then final.  Documents that equal the threshold stay, so ties are complete.
+
+A task returns the k best of each item, and a window with a partial top-k per task (Spark's
+window group limit) ranks those.  Documents never leave their task, so a term or an item
+that matches everything is read where its documents are; there is no list, item or
+threshold that all rows of the corpus go through.  Tasks get the terms, weights and items
+of the block with their code: bounded by ``MAX_TERMS`` (12 bytes each) or one item.
 
 Defined cases: NULL texts have no term; documents and items without a term are in no result
 (documents without one do not count for ``N``); very long texts are read whole; every row
 is a document or an item of its own, also if ids repeat; equal scores rank by ascending
-``doc_id``, NULL ids last, then by row; impacts of 0 give no score, and only scores above 0
-are returned; empty tables give an empty result; extra columns are ignored, whatever their
-names.  Words are told apart by 64-bit hashes (a foreign word equals one of V terms with a
-chance of V / 2^64).
+``doc_id``, NULL ids last; impacts of 0 give no score, and only scores above 0 are returned;
+empty tables give an empty result; extra columns are ignored, whatever their names.  Words
+are told apart by 64-bit hashes (a foreign word equals one of V terms with a chance of
+V / 2^64).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -53,13 +52,13 @@ from offerlake.llm import textnp
 from offerlake.llm.common import map_batches, pick, prepare, stored
 
 K = 10
-DEPTH = 256
-GROWTH = 4
-CELLS = 1024
-#: Impacts before the weight are below this (10^9 tf / 1000 tf).
-TOP = 1_000_000
 MAX_TERMS = 200_000
-BROADCAST_ROWS = 200_000
+PART_POSTINGS = 1_500_000
+#: Ratio of the impact levels of two rounds.
+STEP = 0.6
+#: Impacts before the weight are below 2^20 (10^9 tf / 1000 tf is 10^6).
+IMPACT_BITS = 20
+NO_ID = np.iinfo(np.int64).max
 
 
 # --- words -----------------------------------------------------------------------------------
@@ -70,7 +69,6 @@ def _words(column: pa.Array) -> Iterator[tuple[int, int, textnp.Words]]:
 
 
 def _item_terms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(item row, item_id, term, repeats) of benchmark items."""
     for batch in batches:
         uid, ids = batch.column("item"), batch.column("item_id")
         for a, b, w in _words(batch.column("text")):
@@ -80,23 +78,6 @@ def _item_terms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              ["item", "item_id", "term", "repeats"])
 
 
-def _postings(terms: np.ndarray):
-    """Per document its word count and its occurrences of ``terms`` (ascending)."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, w in _words(batch.column("text")):
-                n = np.diff(w.first)
-                at = np.minimum(np.searchsorted(terms, w.hash), len(terms) - 1)
-                hit = terms[at] == w.hash if len(terms) else np.zeros(len(w), bool)
-                row, h, count, offs = textnp.sets_of(w.doc[hit], w.hash[hit], b - a)
-                lists = pa.array(offs.astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), pa.array(n.astype(np.int64)),
-                     pa.ListArray.from_arrays(lists, pa.array(h.view(np.int64))),
-                     pa.ListArray.from_arrays(lists, pa.array(count.astype(np.int64)))], ["doc_id", "n", "terms", "tfs"])
-    return run
-
-
 def item_terms(items: DataFrame) -> DataFrame:
     """item (row), item_id, term, repeats; one row per distinct term of an item."""
     rows = pick(items, item_id="bigint", text="string").where(F.col("text").isNotNull())
@@ -107,7 +88,8 @@ def item_terms(items: DataFrame) -> DataFrame:
 def _blocks(items: DataFrame, max_terms: int) -> list[tuple[int, int]]:
     """Ranges of item rows whose terms number at most ``max_terms`` (or one item)."""
     sizes = items.groupBy("item").agg(F.count("*").alias("n")).orderBy("item")
-    blocks, total = [], 0
+    blocks: list[list[int]] = []
+    total = 0
     for r in sizes.toLocalIterator():
         if not blocks or total + r["n"] > max_terms:
             blocks.append([r["item"], r["item"]])
@@ -117,140 +99,192 @@ def _blocks(items: DataFrame, max_terms: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in blocks]
 
 
-# --- impacts and levels ------------------------------------------------------------------------
-
-def _small(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Broadcast a table of a known (or counted) small size."""
-    rows = df.limit(BROADCAST_ROWS + 1).count() if rows is None else rows
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
-def _levels(cells: DataFrame, depth: int, growth: int) -> DataFrame:
-    """Cells (term, cell, count, top) of impact lists with the level of each: the level in
-    which a list is after the postings of all greater cells, where level l begins behind
-    depth * (1 + growth + ... + growth^(l-1)) postings."""
-    greater = Window.partitionBy("term").orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("count").over(greater), F.lit(0))
-    level = F.log(float(growth), F.lit(1.0) + before * F.lit((growth - 1) / depth))
-    return cells.withColumn("level", F.floor(level).cast("int"))
-
-
-def _index(docs: DataFrame, terms: np.ndarray, spark: SparkSession, depth: int, growth: int) -> tuple[DataFrame, DataFrame] | None:
-    """Postings (doc, doc_id, term, impact, level) written by level, and for each (term,
-    level) the greatest impact in it; None if no document has a term."""
-    rows = pick(docs, doc_id="bigint", text="string")
-    counted = map_batches(rows, _postings(terms), "doc_id bigint, n bigint, terms array<bigint>, tfs array<bigint>")
-    counted = stored(counted.withColumn("doc", F.monotonically_increasing_id()), spark, "search-counts")
-    total = counted.agg(F.count_if(F.col("n") > 0).alias("n_docs"), F.sum("n").alias("n_terms")).first()
-    if not total["n_docs"]:
-        return None
-    df = counted.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    ratio = F.lit(2.0 * total["n_docs"] + 2.0) / (F.lit(2.0) * F.col("df") + F.lit(1.0))
-    weights = df.select("term", F.floor(F.lit(1000.0) * F.ln(ratio)).cast("bigint").alias("w")).where("w > 0")
-    postings = (
-        counted.withColumns({"n_docs": F.lit(total["n_docs"]), "n_terms": F.lit(total["n_terms"])})
-        .withColumn("m", F.expr("100 - 75 + ((75 * n * n_docs) div n_terms)"))
-        .select("doc", "doc_id", "m", F.explode(F.arrays_zip("terms", "tfs")).alias("p"))
-        .select("doc", "doc_id", F.col("p.terms").alias("term"),
-                F.expr("(1000000000 * p.tfs) div (1000 * p.tfs + 8 * m)").alias("impact"))
-        .where("impact > 0").withColumn("cell", F.floor(F.col("impact") * F.lit(CELLS / TOP)).cast("int")))
-    cells = postings.groupBy("term", "cell").agg(F.count("*").alias("count"), F.max("impact").alias("top"))
-    lists = stored(_levels(cells, depth, growth).join(weights, "term").groupBy("term", "w", "level").agg(
-        F.min("cell").alias("from_cell"), (F.col("w") * F.max("top")).alias("bound")), spark, "search-lists")
-    spans = lists.groupBy("term", "w").agg(F.collect_list(F.struct("from_cell", "level")).alias("spans"))
-    # Cells fall as levels rise: a posting is in the first level that reaches down to its cell.
-    reaching = F.filter("spans", lambda s: s["from_cell"] <= F.col("cell"))
-    by_level = postings.join(_small(spans), "term").select(
-        "doc", "doc_id", "term", (F.col("w") * F.col("impact")).alias("impact"),
-        F.array_min(F.transform(reaching, lambda s: s["level"])).alias("level"))
-    return stored(by_level.hint("rebalance", "level"), spark, "search-postings", partition_by="level"), lists
+def _counted(terms: np.ndarray):
+    """Per document its word count and its occurrences of ``terms`` (ascending), by index."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, w in _words(batch.column("text")):
+                at = np.minimum(np.searchsorted(terms, w.hash), len(terms) - 1)
+                hit = terms[at] == w.hash
+                row, term, count, offs = textnp.sets_of(w.doc[hit], at[hit], b - a)
+                lists = pa.array(offs.astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(a, b - a), pa.array(np.diff(w.first).astype(np.int64)),
+                     pa.ListArray.from_arrays(lists, pa.array(term.astype(np.int32))),
+                     pa.ListArray.from_arrays(lists, pa.array(count.astype(np.int32)))], ["doc_id", "n", "terms", "tfs"])
+    return run
 
 
 # --- NRA ----------------------------------------------------------------------------------------
 
-STATE = "item bigint, doc bigint, doc_id bigint, lower bigint, met array<int>"
-
-
-def _ranked(state: DataFrame, k: int) -> DataFrame:
-    """The k greatest lower bounds of each item, ties by id, then row."""
-    order = Window.partitionBy("item").orderBy(F.desc("lower"), F.asc_nulls_last("doc_id"), F.asc("doc"))
-    return state.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+@dataclass(frozen=True)
+class Queries:
+    """Items of a block: ``item`` numbers, and per item the indices of its terms and the
+    factors (weight times repeats) of their impacts; ``weight`` of 0 has no factor."""
+    item: list[int]
+    terms: list[np.ndarray]
+    factors: list[np.ndarray]
+    n_terms: int
+
+
+class Lists:
+    """Impact-sorted list per term of one part of the documents."""
+
+    def __init__(self, term: np.ndarray, doc: np.ndarray, impact: np.ndarray, n_terms: int, ids: np.ndarray):
+        order = np.argsort((term.astype(np.int64) << IMPACT_BITS) - impact)
+        self.doc, self.impact, self.ids = doc[order], impact[order], ids
+        self.first = np.searchsorted(term[order], np.arange(n_terms + 1))
+
+
+def nra(lists: Lists, terms: np.ndarray, factors: np.ndarray, before: np.ndarray, k: int,
+        step: float = STEP) -> tuple[np.ndarray, np.ndarray]:
+    """(documents, exact scores) of all documents of the part that may be among the k best
+    together with the scores ``before``."""
+    used = lists.first[terms + 1] > lists.first[terms]
+    docs = [lists.doc[lists.first[t]:lists.first[t + 1]] for t in terms[used]]
+    falls = [-lists.impact[lists.first[t]:lists.first[t + 1]] for t in terms[used]]
+    factor = factors[used].tolist()
+    lower = np.zeros(len(lists.ids), np.int64)
+    if not docs:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = [0] * len(docs)
+    ahead = [-f * int(fall[0]) for f, fall in zip(factor, falls)]
+    level, threshold = max(ahead), 0
+    while True:
+        for j, fall in enumerate(falls):
+            if ahead[j] < level or not ahead[j]:
+                continue
+            # Down to the first posting below the level.
+            end = int(np.searchsorted(fall, -level // factor[j], "right"))
+            lower[docs[j][at[j]:end]] -= factor[j] * fall[at[j]:end]
+            at[j] = end
+            ahead[j] = -factor[j] * int(fall[end]) if end < len(fall) else 0
+        met = np.flatnonzero(lower)
+        known = np.concatenate([lower[met], before])
+        if len(known) >= k:
+            threshold = int(np.partition(known, len(known) - k)[len(known) - k])
+        unseen = sum(ahead)
+        if not unseen or unseen < threshold:
+            break
+        level = min(int(level * step), max(ahead))
+    # No new document comes in: upper bounds of those met.
+    upper = lower + unseen
+    for j, a in enumerate(ahead):
+        if a:
+            upper[docs[j][:at[j]]] -= a
+    stays = (lower > 0) & (upper >= threshold)
+    # The rest of the lists, read for the documents that stay until their bounds meet.
+    for j, fall in enumerate(falls):
+        if ahead[j]:
+            rest = docs[j][at[j]:]
+            mine = stays[rest]
+            lower[rest[mine]] -= factor[j] * fall[at[j]:][mine]
+    found = np.flatnonzero(stays)
+    return found, lower[found]
+
+
+def _best(score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((ids, -score))[:k]
+    return score[order], ids[order]
+
+
+def _parts(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """The rows again, in runs of at most ``limit`` postings (or one row)."""
+    held: list[pa.RecordBatch] = []
+    total = 0
+    for batch in batches:
+        size = np.cumsum(pc.list_value_length(batch.column("terms")).to_numpy(zero_copy_only=False))
+        a = 0
+        while a < len(size):
+            done = int(size[a - 1]) if a else 0
+            b = int(np.searchsorted(size, done + limit - total, "right"))
+            if b == a and held:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, total = [], 0
+                continue
+            b = max(b, a + 1)
+            held.append(batch.slice(a, b - a))
+            total += int(size[b - 1]) - done
+            a = b
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def _searched(queries: Queries, n_docs: int, n_terms: int, k: int, limit: int, step: float):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.int64)
+        best = [(none, none)] * len(queries.item)
+        for part in _parts(batches, limit):
+            ids = pc.fill_null(part.column("doc_id"), int(NO_ID)).to_numpy(zero_copy_only=False)
+            n = part.column("n").to_numpy(zero_copy_only=False)
+            measure = 100 - 75 + (75 * n * n_docs) // n_terms
+            doc = np.repeat(np.arange(len(n)), pc.list_value_length(part.column("terms")).to_numpy(zero_copy_only=False))
+            term = part.column("terms").flatten().to_numpy(zero_copy_only=False)
+            tf = part.column("tfs").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            impact = (1_000_000_000 * tf) // (1000 * tf + 8 * measure[doc])
+            some = impact > 0
+            lists = Lists(term[some], doc[some], impact[some], queries.n_terms, ids)
+            for i in range(len(best)):
+                found, score = nra(lists, queries.terms[i], queries.factors[i], best[i][0], k, step)
+                best[i] = _best(np.concatenate([best[i][0], score]), np.concatenate([best[i][1], ids[found]]), k)
+        item = np.repeat(np.array(queries.item, np.int64), [len(s) for s, _ in best])
+        score = np.concatenate([s for s, _ in best])
+        ids = np.concatenate([i for _, i in best])
+        yield pa.RecordBatch.from_arrays([pa.array(item), pa.array(ids, mask=ids == NO_ID), pa.array(score)],
+                                         ["item", "doc_id", "score"])
+    return run
 
 
-def _bounds(used: DataFrame, lists: DataFrame, level: int) -> DataFrame:
-    """Per item the greatest contribution each of its lists holds beyond ``level``, by the
-    term's place, and their sum (the bound of a document not met yet)."""
-    ahead = lists.where(F.col("level") > level).groupBy("term").agg(F.max("bound").alias("bound"))
-    most = (F.col("repeats") * F.coalesce("bound", F.lit(0))).alias("most")
-    by_place = F.array_sort(F.collect_list(F.struct("place", most)))
-    return used.join(ahead, "term", "left").groupBy("item").agg(by_place["most"].alias("bounds"), F.sum(most).alias("unseen"))
+def _queries(items: DataFrame, terms: np.ndarray, weight: np.ndarray) -> Queries:
+    """The block's items on the driver: at most MAX_TERMS rows, or one item."""
+    rows: dict[int, list[tuple[int, int]]] = {}
+    for r in items.toLocalIterator():
+        rows.setdefault(r["item"], []).append((r["term"], r["repeats"]))
+    out = Queries([], [], [], len(terms))
+    for item, pairs in rows.items():
+        at = np.searchsorted(terms, np.array([t for t, _ in pairs], np.int64).view(np.uint64))
+        factor = weight[at] * np.array([q for _, q in pairs], np.int64)
+        out.item.append(item)
+        out.terms.append(at[factor > 0])
+        out.factors.append(factor[factor > 0])
+    return out
 
 
-def _search_block(docs: DataFrame, items: DataFrame, spark: SparkSession, k: int, depth: int, growth: int) -> DataFrame | None:
-    """item, rank, doc_id, score of one block of items."""
+def _search_block(docs: DataFrame, items: DataFrame, spark: SparkSession, k: int, limit: int, step: float) -> DataFrame | None:
+    """item, doc_id, score: the k best of each task."""
     # At most MAX_TERMS hashes, or the terms of one item.
-    terms = np.array([r["term"] for r in items.select("term").distinct().toLocalIterator()], np.int64).view(np.uint64)
-    index = _index(docs, np.sort(terms), spark, depth, growth)
-    if index is None:
-        return None
-    postings, lists = index
-    place = F.row_number().over(Window.partitionBy("item").orderBy("term")) - 1
-    used = stored(items.join(lists.select("term").distinct(), "term", "left_semi").select(
-        "item", "term", "repeats", place.cast("int").alias("place")), spark, "search-items")
-    last = lists.agg(F.max("level")).first()[0]
-    if last is None:
+    terms = np.sort(np.array([r["term"] for r in items.select("term").distinct().toLocalIterator()], np.int64).view(np.uint64))
+    rows = pick(docs, doc_id="bigint", text="string")
+    counted = stored(map_batches(rows, _counted(terms), "doc_id bigint, n bigint, terms array<int>, tfs array<int>"),
+                     spark, "search-counts")
+    total = counted.agg(F.count_if(F.col("n") > 0).alias("n_docs"), F.sum("n").alias("n_terms")).first()
+    if not total["n_docs"]:
         return None
-    n_used = used.count()
-    state = spark.createDataFrame([], STATE)
-    open_items, level = None, 0
-    while True:
-        if open_items is not None and open_items.isEmpty():
-            first, level = level, last  # nothing new comes in: the rest of the lists in one pass
-        else:
-            first = level
-        bounds = stored(_bounds(used, lists, level), spark, "search-bounds")
-        read = postings.where(F.col("level").between(first, level)).join(_small(used, n_used), "term").select(
-            "item", "doc", "doc_id", (F.col("impact") * F.col("repeats")).alias("lower"), F.array("place").alias("met"))
-        if open_items is not None:
-            # A closed item takes in no new document: only those of its state are looked up.
-            known = state.join(_small(open_items, n_used), "item", "left_anti").select("item", "doc")
-            read = read.join(_small(open_items, n_used), "item", "left_semi").unionByName(
-                read.join(_small(known), ["item", "doc"], "left_semi"))
-        merged = state.unionByName(read).groupBy("item", "doc").agg(
-            F.first("doc_id").alias("doc_id"), F.sum("lower").alias("lower"), F.flatten(F.collect_list("met")).alias("met"))
-        met = F.aggregate("met", F.lit(0).cast("bigint"), lambda a, p: a + F.element_at("bounds", p + 1))
-        rated = stored(merged.join(_small(bounds, n_used), "item").withColumn("upper", F.col("lower") + F.col("unseen") - met)
-                       .select("item", "doc", "doc_id", "lower", "met", "upper"), spark, "search-rated")
-        thresholds = stored(_ranked(rated, k).where(F.col("rank") == k).select("item", F.col("lower").alias("threshold")),
-                            spark, "search-thresholds")
-        state = rated.join(_small(thresholds, n_used), "item", "left").where(
-            F.col("threshold").isNull() | (F.col("upper") >= F.col("threshold"))).drop("threshold")
-        if level >= last:
-            break
-        state = stored(state, spark, "search-state")
-        # An item is open while a document not met yet could reach its threshold.
-        reachable = F.col("threshold").isNull() | (F.col("unseen") >= F.col("threshold"))
-        open_items = stored(bounds.join(_small(thresholds, n_used), "item", "left").where(
-            (F.col("unseen") > 0) & reachable).select("item"), spark, "search-open")
-        if open_items.isEmpty() and state.where(F.col("upper") > F.col("lower")).isEmpty():
-            break
-        state = state.drop("upper")
-        level += 1
-    return _ranked(state, k).select("item", "rank", "doc_id", F.col("lower").alias("score"))
-
-
-def search(docs: DataFrame, items: DataFrame, spark: SparkSession, k: int = K, depth: int = DEPTH, growth: int = GROWTH,
-           max_terms: int = MAX_TERMS) -> DataFrame:
+    df = np.zeros(len(terms), np.int64)
+    holders = counted.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    for r in holders.toLocalIterator():  # one row a term
+        df[r["term"]] = r["df"]
+    n_docs = total["n_docs"]
+    weight = np.floor(1000.0 * np.log((2.0 * n_docs + 2.0) / (2.0 * df + 1.0))).astype(np.int64)
+    queries = _queries(items, terms, weight)
+    return map_batches(counted, _searched(queries, n_docs, total["n_terms"], k, limit, step),
+                       "item bigint, doc_id bigint, score bigint")
+
+
+def search(docs: DataFrame, items: DataFrame, spark: SparkSession, k: int = K, max_terms: int = MAX_TERMS,
+           part_postings: int = PART_POSTINGS, step: float = STEP) -> DataFrame:
     """The ``k`` best documents of each item: item_id, rank, doc_id, score."""
     prepare(spark)
     terms = stored(item_terms(items), spark, "search-item-terms")
     found = []
     for a, b in _blocks(terms, max_terms):
         block = terms.where(F.col("item").between(a, b))
-        best = _search_block(docs, block, spark, k, depth, growth)
+        best = _search_block(docs, block, spark, k, part_postings, step)
         if best is not None:
-            names = block.select("item", "item_id").distinct()
-            found.append(best.join(names, "item").select("item_id", "rank", "doc_id", "score"))
+            found.append(best)
     if not found:
         return spark.createDataFrame([], "item_id bigint, rank int, doc_id bigint, score bigint")
-    return reduce(DataFrame.unionByName, found)
+    order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
+    ranked = reduce(DataFrame.unionByName, found).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    names = terms.select("item", "item_id").distinct()
+    return ranked.join(names, "item").select("item_id", "rank", "doc_id", "score")
