@@ -58,12 +58,11 @@ def main() -> None:
         registry.derived_bronze(spark, sf_dir).write.mode("overwrite").parquet(bronze_path)
         t1 = time.perf_counter()
         bronze = spark.read.parquet(bronze_path)
-        validated, v_obs = Q.observe_validation(Q.with_validation(bronze))
-        cleaned, e_obs = Q.observe_expiry(clean_listings(Q.valid_rows(validated), registry.AS_OF))
-        active_only(cleaned).write.mode("overwrite").parquet(silver_path)
+        cleaned, observed = Q.observe_stages(clean_listings(Q.with_validation(bronze), registry.AS_OF, keep=[Q.ERRORS_COL]))
+        active_only(cleaned.where(f"{Q.ERRORS_COL} = ''")).drop(Q.ERRORS_COL).write.mode("overwrite").parquet(silver_path)
         t2 = time.perf_counter()
         return {"bronze_job": t1 - t0, "silver_job": t2 - t1, "silver_path": silver_path,
-                "counts": {**v_obs.get, **e_obs.get}}
+                "counts": observed.get}
 
     # Warm-up on the smallest tables: JIT and generated-code cache, not data.
     warm = medallion(WARMUP_DIR, "warm")

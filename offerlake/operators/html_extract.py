@@ -297,11 +297,38 @@ def output_schema(df: DataFrame, keep: list[str], specs) -> T.StructType:
     return T.StructType(kept + [T.StructField(s.name, s.spark_type(), True) for s in specs])
 
 
+#: Bytes of files per core from which a plain scan of pages is split finely enough.
+SCAN_BYTES_PER_CORE = 32 * 1024 * 1024
+_NARROW = {"Project", "Filter", "LogicalRelation", "LocalRelation", "LogicalRDD"}
+
+
+def spread_for_parsing(pages: DataFrame) -> DataFrame:
+    """Pages in partitions of about equal bytes, at least one a core.
+
+    Parsing costs far more a byte than what Spark sizes partitions by, and pages that a
+    shuffle or a render step made may lie in one partition.  Those, and small scans, get a
+    rebalance: the shuffle holds the pages themselves, so adaptive execution cuts it by
+    their bytes (``spark.sql.adaptive.advisoryPartitionSizeInBytes``, and at least a
+    partition a core).  A plain scan of enough bytes is split by bytes already and is not
+    shuffled."""
+    plan = pages._jdf.queryExecution().optimizedPlan()
+    nodes, narrow, scanned = [plan], True, 0
+    while nodes:
+        node = nodes.pop()
+        narrow &= node.nodeName() in _NARROW
+        children = [node.children().apply(i) for i in range(node.children().size())]
+        if not children:
+            scanned += int(str(node.stats().sizeInBytes()))
+        nodes += children
+    cores = pages.sparkSession.sparkContext.defaultParallelism
+    return pages if narrow and scanned >= cores * SCAN_BYTES_PER_CORE else pages.hint("rebalance")
+
+
 def extract(pages: DataFrame, specs, html_col: str = "html", keep: list[str] | None = None,
             partitions: int | None = None) -> DataFrame:
     """Parse each page once and add one column per spec; ``keep`` columns pass through.
-    Pages are parsed where they are (no shuffle of HTML) unless the caller asks for a
-    number of ``partitions``."""
+    Pages are spread by their bytes first (:func:`spread_for_parsing`), or over the number
+    of ``partitions`` that the caller asks for."""
     if partitions:
         pages = pages.repartition(partitions)
     keep = list(keep if keep is not None else [c for c in pages.columns if c != html_col])
@@ -316,4 +343,5 @@ def extract(pages: DataFrame, specs, html_col: str = "html", keep: list[str] | N
                 out[s.name] = [v[s.name] for v in values]
             yield out
 
-    return pages.select(*keep, html_col).mapInPandas(run, schema)
+    pages = pages.select(*keep, html_col)
+    return (pages if partitions else spread_for_parsing(pages)).mapInPandas(run, schema)

@@ -55,26 +55,19 @@ def dropped_projection(dropped: DataFrame, validated_at=None) -> DataFrame:
     )
 
 
-def observe_validation(validated: DataFrame, name: str = "validation") -> tuple[DataFrame, Observation]:
-    """Attach bronze/valid/dropped counters to a validated frame."""
-    obs = Observation(name)
-    out = validated.observe(
-        obs,
-        F.count(F.lit(1)).alias("bronze"),
-        F.count_if(F.col(ERRORS_COL) == "").alias("valid"),
-        F.count_if(F.col(ERRORS_COL) != "").alias("dropped"),
-    )
-    return out, obs
-
-
-def observe_expiry(cleaned: DataFrame, name: str = "expiry") -> tuple[DataFrame, Observation]:
-    """Counters on the cleaned rows before the active-only filter."""
+def observe_stages(cleaned: DataFrame, name: str = "stages") -> tuple[DataFrame, Observation]:
+    """Attach all stage counters to cleaned rows that still carry their validation errors
+    (dropped rows included); expiry is counted on valid rows only."""
     obs = Observation(name)
+    ok = F.col(ERRORS_COL) == ""
     out = cleaned.observe(
         obs,
-        F.count(F.lit(1)).alias("before_filter"),
-        F.count_if(F.col("days_left") >= 0).alias("after_filter"),
-        F.count_if(F.col("days_left").isNull()).alias("unparsed_expiry"),
+        F.count(F.lit(1)).alias("bronze"),
+        F.count_if(ok).alias("valid"),
+        F.count_if(~ok).alias("dropped"),
+        F.count_if(ok).alias("before_filter"),
+        F.count_if(ok & (F.col("days_left") >= 0)).alias("after_filter"),
+        F.count_if(ok & F.col("days_left").isNull()).alias("unparsed_expiry"),
     )
     return out, obs
 

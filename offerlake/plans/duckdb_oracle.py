@@ -532,7 +532,11 @@ def streaming_sql() -> dict[str, str]:
     return {"file_arrival_ingest": with_raw(f"""
 SELECT {old_cols}, TIMESTAMP '1998-05-31 02:00:00' AS snapshot_ts FROM raw
 UNION ALL SELECT {LANDING_COLS}, TIMESTAMP '{RUN_TS}' AS snapshot_ts FROM raw
-UNION ALL SELECT {LANDING_COLS}, CAST(NULL AS TIMESTAMP) AS snapshot_ts FROM raw""")}
+UNION ALL SELECT {LANDING_COLS}, CAST(NULL AS TIMESTAMP) AS snapshot_ts FROM raw"""),
+            "file_arrival_mixed_headers": with_raw(f"""
+SELECT {LANDING_COLS.replace('job_posting_date', 'CASE WHEN k % 3 <> 1 THEN job_posting_date END AS job_posting_date')},
+       CASE k % 3 WHEN 0 THEN TIMESTAMP '1998-05-30 02:00:00' WHEN 1 THEN TIMESTAMP '1998-05-31 02:00:00'
+       ELSE TIMESTAMP '{RUN_TS}' END AS snapshot_ts FROM raw""")}
 
 
 
@@ -548,11 +552,23 @@ def tables_sql() -> dict[str, str]:
     q["preview"] = with_silver("""
 SELECT location, COUNT(DISTINCT job_listing_id) AS job_count, ROUND(AVG(min_salary), 0) AS avg_min_salary
 FROM silver WHERE location IS NOT NULL GROUP BY location ORDER BY job_count DESC, location LIMIT 10""")
-    q["json_sink"] = with_raw(f"""
-SELECT job_url, job_listing_id, job_title,
-  CASE WHEN {miss} THEN '' ELSE coalesce(expected_technologies, '') END AS expected_technologies,
-  CASE WHEN {miss} THEN '' ELSE requirements END AS requirements,
-  CASE WHEN {miss} THEN '' ELSE responsibilities END AS responsibilities
+    landed = pages_sql()["assemble_listings"]
+    nulls = ", ".join(f"nullif({c}, '') AS {c}" for c in _LANDING)
+    q["flatten_lists"] = f"SELECT {nulls} FROM ({landed})"
+    sizes = ", ".join(
+        f"CAST(CASE WHEN {c} = '' THEN 0 ELSE len(string_split({c}, '{sep}')) END AS INTEGER) AS n_{c}"
+        for c, sep in (("expected_technologies", ", "), ("requirements", " | "), ("responsibilities", " | ")))
+    q["json_sink"] = f"SELECT *, {sizes} FROM ({landed})"
+    run = "'unit ' || (k % 3) || chr(39) || 's' AS run_id"
+    q["drop_log_republished"] = with_silver(_DROPPED.replace("AS validation_date", f"AS validation_date, {run}") + " AND k % 3 <> 0")
+    q["silver_schema_merge"] = with_silver("""
+SELECT 'old' AS version, job_url, CAST(min_salary AS BIGINT) AS min_salary, max_salary, CAST(NULL AS VARCHAR) AS currency,
+       FALSE AS no_file FROM silver
+UNION ALL
+SELECT 'new', job_url, CAST(min_salary AS BIGINT) * 1000000000, max_salary, 'PLN', TRUE FROM silver WHERE min_salary IS NOT NULL""")
+    q["now_functions"] = with_raw(f"""
+SELECT job_url, CAST(date_diff('day', current_date, TRY_CAST({convert_date_sql('expiration_date')} AS DATE)) AS INTEGER) AS days_left,
+       CAST(date_diff('day', TRY_CAST({convert_date_sql('job_posting_date')} AS DATE), current_date) AS INTEGER) AS days_since_posted
 FROM raw""")
     return q
 

@@ -1,26 +1,29 @@
 """Table-level runs: landing -> Bronze table -> Silver table (+ drop log) -> Gold views.
 
-Each layer hands over through a table.  Stage counts ride along the Silver write
-through ``Observation`` (no extra jobs), the drop log is a second, column-pruned scan of
-Bronze, and every refresh writes a new version and moves one pointer to it
-(a table cannot be overwritten while it is being read).
+Each layer hands over through a table.  One scan of Bronze writes Silver and the dropped
+rows and observes every stage count on the way; every refresh publishes a new numbered
+version of its table (``versions.py``).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import dedup as D
 from ..operators import quality as Q
+from ..schemas import DROP_LOG_SCHEMA, SILVER_SCHEMA
 from ..sources import landing as L
 from . import gold, gold_sql
+from . import versions as V
 from .bronze import bronze_metadata
-from .silver import active_only, clean_listings
+from .silver import clean_listings
 
 
 @dataclass(frozen=True)
@@ -30,6 +33,7 @@ class Tables:
     silver: str = "jobs_cleaned"
     drop_log: str = "dropped_records_log"
     completed: str = "completed_snapshots"
+    bronze_buckets: int = 64  # buckets of a Bronze table kept by upserts
     fmt: str = "parquet"
     location: str | None = None  # database location (shared storage); None = warehouse dir
 
@@ -44,27 +48,11 @@ def ensure_schema(spark: SparkSession, database: str, location: str | None = Non
     spark.catalog.setCurrentDatabase(database)
 
 
-def _versions_root(spark: SparkSession, target: str) -> str:
-    database, table = target.rsplit(".", 1)
-    return f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/versions/{table}"
-
-
 def replace_table(spark: SparkSession, df: DataFrame, target: str, fmt: str = "parquet",
-                  options: dict | None = None, keep: int = 2) -> str:
-    """Replace ``target`` with ``df``: write a complete new version below the database's
-    location, then move one pointer, the persistent view of that name, to it.
-
-    The pointer moves in a single catalog operation, so at every moment the name shows
-    either the old or the new rows; a job that dies before leaves an unreferenced version
-    behind.  The newest ``keep`` versions stay for readers that began on the old one."""
-    root = _versions_root(spark, target)
-    path = f"{root}/{_dt.datetime.now(_dt.timezone.utc):%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
-    df.write.format(fmt).options(**(options or {})).save(path)
-    if spark.catalog.tableExists(target) and spark.catalog.getTable(target).tableType != "VIEW":
-        raise ValueError(f"{target} is a plain table of an earlier layout: rename it, then load again")
-    spark.sql(f"CREATE OR REPLACE VIEW {target} AS SELECT * FROM {fmt}.`{path}`")
-    for old in L.subfolders(spark, root)[:-keep]:
-        L.delete_path(spark, old)
+                  options: dict | None = None, keep: int = V.KEEP, merge_schema: bool = False) -> str:
+    """Replace ``target`` with ``df`` as its next version (``plans/versions.py``); with
+    ``merge_schema`` the columns of the version before stay and types widen."""
+    V.replace(spark, df, target, fmt, options, merge_schema, keep)
     return target
 
 
@@ -80,24 +68,25 @@ def load_latest_to_bronze(spark: SparkSession, landing_dir: str, t: Tables, load
     return write_bronze(spark, bronze_metadata(rows, source_file=F.col("source_file"), loaded_at=loaded_at), t)
 
 
-def write_drop_log(spark: SparkSession, dropped: DataFrame, t: Tables, run_id: str | None = None) -> None:
-    """Append rejected rows under ``run_id`` (a fresh one if none is given), the log's last
-    column and partition: writing a run again replaces that run's rows only."""
+def write_drop_log(spark: SparkSession, dropped: DataFrame | None, t: Tables, run_id: str | None = None) -> None:
+    """The rejected rows of one run (None: there are none) under ``run_id``, the log's last
+    column and partition; a fresh id if none is given.  Writing a run again replaces that
+    run's rows, also by none, and leaves those of all other runs."""
     target = t.name(t.drop_log)
-    rows = dropped.withColumn("run_id", F.lit(run_id or uuid.uuid4().hex))
-    if not spark.catalog.tableExists(target):
-        rows.write.format(t.fmt).partitionBy("run_id").saveAsTable(target)
-        return
-    columns = spark.table(target).columns
-    if columns[-1:] != ["run_id"]:
+    run = (run_id or uuid.uuid4().hex).replace("\\", "\\\\").replace("'", "\\'")
+    exists = spark.catalog.tableExists(target)
+    if exists and spark.table(target).columns[-1:] != ["run_id"]:
         raise ValueError(f"{target} has no run_id partition: rename it, then load again")
-    key = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        rows.select(*columns).write.insertInto(target, overwrite=True)
-    finally:
-        spark.conf.set(key, previous)
+    if dropped is None:
+        if exists:
+            spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION (run_id = '{run}')")
+        return
+    if not exists:
+        empty = spark.createDataFrame([], T.StructType(DROP_LOG_SCHEMA.fields + [T.StructField("run_id", T.StringType())]))
+        empty.write.format(t.fmt).partitionBy("run_id").saveAsTable(target)
+    columns = spark.table(target).columns[:-1]
+    spark.sql(f"INSERT OVERWRITE TABLE {target} PARTITION (run_id = '{run}') SELECT {', '.join(columns)} FROM {{dropped}}",
+              dropped=dropped)
 
 
 def is_completed(spark: SparkSession, t: Tables, unit) -> bool:
@@ -123,25 +112,51 @@ def mark_completed(spark: SparkSession, t: Tables, unit) -> None:
 
 def load_silver(spark: SparkSession, t: Tables, as_of=None, validated_at=None,
                 count_expired: bool = True, run_id: str | None = None) -> dict:
-    """Validate + clean Bronze, overwrite Silver, append the drop log; returns counts.
-
-    The drop log is written first, then one job writes Silver and observes every stage
-    count: a run that dies in between is repeated under the same ``run_id``."""
-    bronze = spark.table(t.name(t.bronze))
-    dropped = Q.dropped_projection(Q.dropped_rows(bronze), validated_at=validated_at)
-    if not Q.dropped_rows(bronze).isEmpty():
-        write_drop_log(spark, dropped, t, run_id)
-    validated, v_obs = Q.observe_validation(Q.with_validation(bronze))
-    cleaned, e_obs = Q.observe_expiry(clean_listings(Q.valid_rows(validated), as_of))
-    replace_table(spark, active_only(cleaned), t.name(t.silver), t.fmt, {"mergeSchema": "true"})
-    counts = dict(v_obs.get)
-    counts.update(e_obs.get)
+    """Validate + clean Bronze, publish Silver, replace the run's part of the drop log;
+    returns counts.
+
+    One job reads Bronze once: it writes active and dropped rows, split by status, into the
+    folder of Silver's next version and observes every stage count.  The drop log takes its
+    rows from there and is written before the version is published, so a run that dies in
+    between is repeated under the same ``run_id``."""
+    target = t.name(t.silver)
+    V.point(spark, target)
+    base = V.current(spark, target)
+    counts: dict = {}
+
+    def write(folder: str) -> V.Version:
+        rows, observed = Q.observe_stages(clean_listings(Q.with_validation(spark.table(t.name(t.bronze))), as_of,
+                                                         keep=[Q.ERRORS_COL]))
+        status = F.when(F.col(Q.ERRORS_COL) != "", F.lit("dropped")).when(F.col("days_left") >= 0, F.lit("active"))
+        split = rows.withColumn("status", status).where(F.col("status").isNotNull())
+        with _setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "4"):  # two folders a task, without a sort
+            split.write.format(t.fmt).partitionBy("status").save(folder)
+        counts.update(observed.get)
+        struct = SILVER_SCHEMA
+        if not counts["after_filter"]:
+            spark.createDataFrame([], struct).write.format(t.fmt).save(f"{folder}/status=active")
+        dropped = spark.read.format(t.fmt).load(f"{folder}/status=dropped") if counts["dropped"] else None
+        write_drop_log(spark, None if dropped is None else Q.dropped_projection(dropped, validated_at), t, run_id)
+        merged = V.merged_schema(base.struct, struct) if base else struct
+        return V.Version(0, t.fmt, merged.json(), (V.Part(f"{folder}/status=active", tuple(struct.names)),))
+
+    V.publish(spark, target, write, base)
     counts["expected_silver"] = counts["bronze"] - counts["dropped"] - (
         counts["before_filter"] - counts["after_filter"] if count_expired else 0)
     counts["status"] = "PASSED" if counts["after_filter"] == counts["expected_silver"] else "WARNING"
     return counts
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def register_views(spark: SparkSession, silver: DataFrame, as_of=None, scope: str = "session") -> list[str]:
     """Register every Gold view (and the dashboard).
 
@@ -185,13 +200,12 @@ def preview(df: DataFrame, columns: list[str] | None = None, n: int = 10) -> Dat
 def upsert_bronze(spark: SparkSession, incoming: DataFrame, t: Tables) -> str:
     """Merge a new snapshot into Bronze by listing id (newest wins, else insert).
 
-    The merged rows become a new version (``replace_table``): the live one is never
-    overwritten while it is read, and the name always shows a complete table."""
-    target = t.name(t.bronze)
+    Bronze lies in ``t.bronze_buckets`` hash buckets of the id: only those that the snapshot's
+    ids fall into are read and written again.  Rows without an id are added as they are."""
     ensure_schema(spark, t.database, t.location)
-    if not spark.catalog.tableExists(target):
-        return write_bronze(spark, incoming, t)
-    return replace_table(spark, D.upsert(spark.table(target), incoming), target, t.fmt)
+    target = t.name(t.bronze)
+    V.upsert(spark, incoming, target, D.upsert, "job_listing_id", t.bronze_buckets, t.fmt)
+    return target
 
 
 def run_all(spark: SparkSession, landing_dir: str, t: Tables = Tables(), as_of: _dt.date | None = None,

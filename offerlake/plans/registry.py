@@ -18,7 +18,7 @@ from ..functions import cleaning as C
 from ..functions.ids import listing_id
 from ..operators import dedup as D
 from ..operators import quality as Q
-from ..schemas import LANDING_COLUMNS, SILVER_COLUMNS
+from ..schemas import LANDING_COLUMNS, LIST_COLUMNS, SILVER_COLUMNS
 from ..session import shared_path
 from ..sources import derived
 from ..sources import landing as L
@@ -27,6 +27,7 @@ from ..sources.tables import pages_scan
 from ..streaming import ingest as S
 from . import gold
 from . import medallion as M
+from . import versions as V
 from .bronze import bronze_metadata, bronze_summary
 from .silver import build_silver, clean_listings
 
@@ -376,18 +377,98 @@ def q_upsert_bronze(spark, sf_dir):
     return spark.table(t.name(t.bronze))
 
 
-def q_json_sink(spark, sf_dir):
-    """Assembled listings with list fields kept as arrays -> JSON snapshot -> read back."""
+def fixture_records(spark, sf_dir):
+    """Assembled listings with their lists as arrays."""
     list_pages, details = fixture_pages(spark, sf_dir)
-    cards = P.listing_cards(list_pages)
-    rows = cards.join(P.detail_fields(details), "job_url", "left")
+    return P.assemble_records(P.listing_cards(list_pages), P.detail_fields(details), RUN_TS, derived.RUN_DATE)
+
+
+def q_json_sink(spark, sf_dir):
+    """Array-typed records -> JSON snapshot, newest of two -> typed scan, all 20 columns."""
     landing = shared_path(spark, "landing_json", unique=True)
-    path = L.write_json_snapshot(rows, landing, NEW_RUN)
-    back = spark.read.schema(rows.schema).json(path)
-    return back.select(
-        "job_url", "job_listing_id", "job_title",
-        *[F.array_join(F.coalesce(c, F.array().cast("array<string>")), ", " if c == "expected_technologies" else " | ")
-          .alias(c) for c in ("expected_technologies", "requirements", "responsibilities")])
+    records = fixture_records(spark, sf_dir)
+    L.write_json_snapshot(derived_records(spark, sf_dir).withColumn("job_title", F.lit("old")), landing, OLD_RUN)
+    L.write_json_snapshot(records, landing, NEW_RUN)
+    back = L.read_landing_json(spark, L.latest_snapshot(spark, landing, suffix="json"))
+    size = [F.size(c).alias(f"n_{c}") for c in LIST_COLUMNS]  # -1 for NULL: lists come back as lists
+    return L.flatten_lists(back.select(*LANDING_COLUMNS, *size))
+
+
+def derived_records(spark, sf_dir):
+    """The derived listings with their lists split into arrays."""
+    split = {"expected_technologies": L.TECH_SEPARATOR, "requirements": " \\| ", "responsibilities": " \\| "}
+    return derived_bronze(spark, sf_dir).withColumns({c: F.split(c, sep) for c, sep in split.items()})
+
+
+def q_flatten_lists(spark, sf_dir):
+    """Array-typed records -> CSV snapshot (lists flattened) -> newest snapshot by name."""
+    landing = shared_path(spark, "landing", unique=True)
+    L.write_csv_snapshot(fixture_records(spark, sf_dir), landing, NEW_RUN)
+    return L.read_landing_csv(spark, L.latest_snapshot(spark, landing)).select(*LANDING_COLUMNS)
+
+
+def write_mixed_landing(spark, sf_dir) -> str:
+    """The derived listings as three runs whose files differ in their headers: the 20
+    columns, 19 of them (without the posting date), and all in another order with one more."""
+    landing = shared_path(spark, "landing_mixed", unique=True)
+    rows = derived_bronze(spark, sf_dir).select(*LANDING_COLUMNS)
+    third = F.pmod(_order_key(), F.lit(3))
+    shuffled = ["job_url", "extra", *reversed(LANDING_COLUMNS[:-1])]
+    for i, (stamp, part) in enumerate([("19980530", rows), ("19980531", rows.drop("job_posting_date")),
+                                       ("19980601", rows.withColumn("extra", F.lit("x, y")).select(*shuffled))]):
+        part.where(third == i).write.options(**L.CSV_WRITE_OPTIONS).csv(f"{landing}/{L.DEFAULT_PREFIX}_{stamp}_020000.csv")
+    return landing
+
+
+def q_file_arrival_mixed_headers(spark, sf_dir):
+    """Files of three different headers in one micro-batch; every column by its name."""
+    landing = write_mixed_landing(spark, sf_dir)
+    bronze_path = shared_path(spark, "bronze_stream", unique=True)
+    S.file_arrival_ingest(spark, landing, shared_path(spark, "stream_checkpoints", unique=True),
+                          S.bronze_batch_writer(bronze_path, loaded_at=RUN_TS))
+    return spark.read.parquet(bronze_path).select(*LANDING_COLUMNS, L.name_timestamp(F.col("source_file")).alias("snapshot_ts"))
+
+
+def q_drop_log_republished(spark, sf_dir):
+    """Three units are loaded; then one is published again without its faults and one is
+    loaded again: the log holds the first unit's rows no more and the others' once."""
+    t = _fresh_tables(spark)
+    rows = bronze_metadata(derived_bronze(spark, sf_dir), source_file="derived:orders", loaded_at=RUN_TS)
+    third = F.pmod(_order_key(), F.lit(3))
+    clean = Q.valid_rows(rows)
+
+    def load(unit, part):
+        M.write_bronze(spark, part, t)
+        M.load_silver(spark, t, AS_OF, validated_at=RUN_TS, run_id=f"unit {unit}'s")
+
+    def run():
+        for unit in (0, 1, 2):
+            load(unit, rows.where(third == unit))
+        load(0, clean.where(third == 0))
+        load(1, rows.where(third == 1))
+
+    _keeping_current_database(spark, run)
+    return spark.table(t.name(t.drop_log))
+
+
+def q_silver_schema_merge(spark, sf_dir):
+    """Silver is loaded, then published with a wider type, a new column and one less: both
+    versions read under the merged columns."""
+    t = _run_tables(spark, sf_dir)
+    target = t.name(t.silver)
+    silver = spark.table(target)
+    newer = (silver.where("min_salary IS NOT NULL").drop("source_file")
+             .withColumns({"min_salary": F.col("min_salary").cast("bigint") * 1_000_000_000, "currency": F.lit("PLN")}))
+    M.replace_table(spark, newer, target, merge_schema=True)
+    old = V.read_version(spark, target, V.current(spark, target).number - 1)
+    both = old.withColumn("version", F.lit("old")).unionByName(spark.table(target).withColumn("version", F.lit("new")))
+    return both.select("version", "job_url", "min_salary", "max_salary", "currency", (F.col("source_file").isNull()).alias("no_file"))
+
+
+def q_now_functions(spark, sf_dir):
+    """Day counts without a fixed date: relative to the day the query runs."""
+    days = C.days_left(C.to_listing_date("expiration_date"), None), C.days_since_posted(C.to_listing_date("job_posting_date"), None)
+    return _per_listing(spark, sf_dir, days[0].alias("days_left"), days[1].alias("days_since_posted"))
 
 
 def q_preview(spark, sf_dir):
@@ -438,5 +519,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["drop_log_table"] = q_drop_log_table
     q["upsert_bronze"] = q_upsert_bronze
     q["json_sink"] = q_json_sink
+    q["flatten_lists"] = q_flatten_lists
+    q["file_arrival_mixed_headers"] = q_file_arrival_mixed_headers
+    q["drop_log_republished"] = q_drop_log_republished
+    q["silver_schema_merge"] = q_silver_schema_merge
+    q["now_functions"] = q_now_functions
     q["preview"] = q_preview
     return q

@@ -21,8 +21,9 @@ def ensure_column(df: DataFrame, name: str, dtype: str = "string") -> DataFrame:
     return df.withColumn(name, F.lit(None).cast(dtype))
 
 
-def clean_listings(valid: DataFrame, as_of=None, translate_frequency_first: bool = True) -> DataFrame:
-    """All Silver columns for validated rows, before the active-only filter.
+def clean_listings(valid: DataFrame, as_of=None, translate_frequency_first: bool = True, keep: list[str] = ()) -> DataFrame:
+    """All Silver columns for validated rows, before the active-only filter, and those of
+    ``keep`` unchanged behind them.
 
     ``translate_frequency_first=False`` keeps the original order of operations, where the
     monthly/hourly split runs on the untranslated frequency text.
@@ -67,8 +68,9 @@ def clean_listings(valid: DataFrame, as_of=None, translate_frequency_first: bool
         "remuneration",
         "job_url",
         F.col("source_file").cast("string").alias("source_file"),
+        *keep,
     )
-    return out.select(*SILVER_COLUMNS)
+    return out.select(*SILVER_COLUMNS, *keep)
 
 
 def active_only(df: DataFrame) -> DataFrame:

@@ -32,6 +32,10 @@ LIST_COLUMNS = ["expected_technologies", "requirements", "responsibilities"]
 
 LANDING_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in LANDING_COLUMNS])
 
+#: The landing row before its lists are flattened (JSON snapshots hold it as it is).
+RECORD_SCHEMA = T.StructType([
+    T.StructField(c, T.ArrayType(T.StringType()) if c in LIST_COLUMNS else T.StringType(), True) for c in LANDING_COLUMNS])
+
 BRONZE_SCHEMA = T.StructType(
     list(LANDING_SCHEMA.fields)
     + [

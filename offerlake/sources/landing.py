@@ -10,12 +10,17 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
+import uuid
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import LANDING_COLUMNS, LANDING_SCHEMA
+from ..schemas import LANDING_COLUMNS, LANDING_SCHEMA, RECORD_SCHEMA
 
 # Landing file-name prefix and the timestamp layout in the name.
 DEFAULT_PREFIX = "the_it_protocol_jobs"
@@ -47,35 +52,48 @@ def snapshot_name(run_ts: _dt.datetime, prefix: str = DEFAULT_PREFIX) -> str:
     return f"{prefix}_{run_ts.strftime('%Y%m%d_%H%M%S')}.csv"
 
 
-def _write_once(writer, rows: DataFrame, path: str) -> str | None:
-    """Run the write job once, counting its rows on the way; an empty run is unpublished."""
+def _publish_snapshot(writer, rows: DataFrame, path: str) -> str | None:
+    """Run the write job once into a hidden folder beside ``path``, counting its rows on the
+    way, then move it there.  An empty run, or one that fails, leaves ``path`` as it was."""
+    spark = rows.sparkSession
+    landing, name = path.rsplit("/", 1)
+    draft = f"{landing}/_writing-{uuid.uuid4().hex[:12]}-{name}"  # '_': no scan or stream sees it
     counted = Observation()
-    writer(rows.observe(counted, F.count(F.lit(1)).alias("n")))
-    if counted.get["n"]:
+    try:
+        writer(rows.observe(counted, F.count(F.lit(1)).alias("n")), draft)
+        if not counted.get["n"]:
+            return None
+        fs, target = _filesystem(spark, path)
+        fs.delete(target, True)
+        if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(draft), target):
+            raise OSError(f"{draft} could not be moved to {path}")
         return path
-    delete_path(rows.sparkSession, path)
-    return None
+    finally:
+        delete_path(spark, draft)
 
 
 def write_csv_snapshot(df: DataFrame, landing_dir: str, run_ts: _dt.datetime,
                        prefix: str = DEFAULT_PREFIX, files: int | None = None) -> str | None:
     """Write one run as a CSV snapshot; returns its path, or None for an empty run.
 
-    Header row, empty strings written as empty fields, '"' escaping, overwrite of a
-    snapshot with the same name.  ``files`` optionally sets the number of part files.
+    Takes landing rows, their lists as arrays or flattened.  Header row, empty strings
+    written as empty fields, '"' escaping, overwrite of a snapshot with the same name.
+    ``files`` optionally sets the number of part files.
     """
     rows = flatten_lists(df).select(*[F.col(c).cast("string") for c in LANDING_COLUMNS])
     if files:
         rows = rows.repartition(files)
     path = f"{landing_dir.rstrip('/')}/{snapshot_name(run_ts, prefix)}"
-    return _write_once(lambda r: r.write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path), rows, path)
+    return _publish_snapshot(lambda r, to: r.write.options(**CSV_WRITE_OPTIONS).csv(to), rows, path)
 
 
 def write_json_snapshot(df: DataFrame, landing_dir: str, run_ts: _dt.datetime,
                         prefix: str = DEFAULT_PREFIX) -> str | None:
-    """Same rows as JSON lines, list fields kept as arrays."""
+    """Write one run as a JSON-lines snapshot of the 20 landing columns: lists stay arrays,
+    NULL fields are written out; returns its path, or None for an empty run."""
+    rows = df.select(*[F.col(f.name).cast(f.dataType) for f in RECORD_SCHEMA.fields])
     path = f"{landing_dir.rstrip('/')}/{snapshot_name(run_ts, prefix)[:-4]}.json"
-    return _write_once(lambda r: r.write.mode("overwrite").json(path), df, path)
+    return _publish_snapshot(lambda r, to: r.write.option("ignoreNullFields", "false").json(to), rows, path)
 
 
 def name_timestamp(path: Column, prefix: str = DEFAULT_PREFIX) -> Column:
@@ -103,9 +121,40 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 
 def subfolders(spark: SparkSession, path: str) -> list[str]:
-    """Paths right below ``path``, by name."""
+    """Paths right below ``path``, by name; none if there is no such folder."""
     fs, p = _filesystem(spark, path)
-    return sorted(f.getPath().toString() for f in fs.listStatus(p))
+    return sorted(f.getPath().toString() for f in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that appears whole or, if ``path`` exists, not at all (False)."""
+    fs, p = _filesystem(spark, path)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    draft = hadoop.Path(p.getParent(), f"_draft-{uuid.uuid4().hex}")
+    fs.mkdirs(p.getParent())
+    out = fs.create(draft, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    never_over = spark._sc._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    never_over[0] = getattr(hadoop, "Options$Rename").valueOf("NONE")
+    context = hadoop.FileContext.getFileContext(fs.makeQualified(p).toUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(fs.makeQualified(draft), fs.makeQualified(p), never_over)
+        return True
+    except Py4JJavaError as e:
+        fs.delete(draft, False)
+        if "FileAlreadyExistsException" in e.java_exception.getClass().getName():
+            return False
+        raise
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _filesystem(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
 
 
 def being_written(spark: SparkSession, unit: str) -> bool:
@@ -114,34 +163,35 @@ def being_written(spark: SparkSession, unit: str) -> bool:
     return fs.exists(p)
 
 
-def list_landing_files(spark: SparkSession, landing_dir: str) -> DataFrame:
-    """(path, length, modificationTime) of every ``*.csv`` file under the landing dir; a
+def list_landing_files(spark: SparkSession, landing_dir: str, suffix: str = "csv") -> DataFrame:
+    """(path, length, modificationTime) of every ``*.<suffix>`` file under the landing dir; a
     binaryFile scan without its content column, so file contents are never read."""
     return (spark.read.format("binaryFile")
-            .option("pathGlobFilter", "*.csv")
+            .option("pathGlobFilter", f"*.{suffix}")
             .option("recursiveFileLookup", "true")
             .load(landing_dir)
             .select("path", "length", "modificationTime"))
 
 
-def snapshot_candidates(spark: SparkSession, landing_dir: str, prefix: str = DEFAULT_PREFIX) -> DataFrame:
+def snapshot_candidates(spark: SparkSession, landing_dir: str, prefix: str = DEFAULT_PREFIX, suffix: str = "csv") -> DataFrame:
     """(unit, snapshot_ts, files, digest) for every landing unit: a file or a directory right
     below the landing folder, stamped by its own name only (unmatched names have a NULL ts).
     ``digest`` changes with the paths, lengths and modification times of the unit's files."""
     root, name = _below(F.col("path"), landing_dir)
-    return (list_landing_files(spark, landing_dir).select(
+    return (list_landing_files(spark, landing_dir, suffix).select(
         root.alias("root"), name.alias("name"), F.xxhash64("path", "length", "modificationTime").alias("h"))
             .groupBy(F.concat("root", "name").alias("unit"), name_timestamp(F.col("name"), prefix).alias("snapshot_ts"))
             .agg(F.count("*").alias("files"), F.concat_ws("-", F.count("*"), F.hex(F.bit_xor("h"))).alias("digest")))
 
 
-def newest_unit(spark: SparkSession, landing_dir: str, prefix: str = DEFAULT_PREFIX):
+def newest_unit(spark: SparkSession, landing_dir: str, prefix: str = DEFAULT_PREFIX, suffix: str = "csv"):
     """Row (unit, snapshot_ts, files, digest) of the snapshot with the greatest name timestamp, or
     None.  Unmatched or impossible timestamps rank lowest (ties: greatest path); units
     that are still being written are passed over."""
     skipped: list[str] = []
     while True:
-        cands = snapshot_candidates(spark, landing_dir, prefix).where(~F.col("unit").isin(skipped) if skipped else F.lit(True))
+        cands = snapshot_candidates(spark, landing_dir, prefix, suffix).where(
+            ~F.col("unit").isin(skipped) if skipped else F.lit(True))
         order = F.struct(F.col("snapshot_ts").isNotNull(), "snapshot_ts", "unit")
         best = cands.agg(F.max_by(F.struct("unit", "snapshot_ts", "files", "digest"), order).alias("u")).first()["u"]
         if best is None or not being_written(spark, best["unit"]):
@@ -149,12 +199,12 @@ def newest_unit(spark: SparkSession, landing_dir: str, prefix: str = DEFAULT_PRE
         skipped.append(best["unit"])
 
 
-def latest_snapshot(spark: SparkSession, landing_dir: str, prefix: str = DEFAULT_PREFIX) -> str:
-    """Path of the newest complete snapshot unit; no CSV at all raises ValueError.  Only one
-    row (the chosen unit) reaches the driver."""
-    best = newest_unit(spark, landing_dir, prefix)
+def latest_snapshot(spark: SparkSession, landing_dir: str, prefix: str = DEFAULT_PREFIX, suffix: str = "csv") -> str:
+    """Path of the newest complete snapshot unit; no file of the kind at all raises
+    ValueError.  Only one row (the chosen unit) reaches the driver."""
+    best = newest_unit(spark, landing_dir, prefix, suffix)
     if best is None:
-        raise ValueError(f"No CSV files found in {landing_dir}")
+        raise ValueError(f"No {suffix.upper()} files found in {landing_dir}")
     return best["unit"]
 
 
@@ -175,5 +225,66 @@ def read_latest_snapshot(spark: SparkSession, landing_dir: str, prefix: str = DE
     return read_landing_csv(spark, latest_snapshot(spark, landing_dir, prefix))
 
 
-def landing_stream_schema() -> T.StructType:
-    return LANDING_SCHEMA
+def read_landing_json(spark: SparkSession, path: str) -> DataFrame:
+    """Typed scan of a JSON snapshot: the 20 landing columns, lists as arrays, plus
+    source_file; keys a record lacks are NULL, other keys are ignored."""
+    return spark.read.schema(RECORD_SCHEMA).json(path).withColumn("source_file", F.col("_metadata.file_path"))
+
+
+# --- files that differ in their headers ---------------------------------------------------------
+
+#: Columns a landing file may have; all 20 must be among the first so many.
+MAX_FILE_COLUMNS = 64
+RAW_SCHEMA = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(MAX_FILE_COLUMNS)]
+                          + [T.StructField("source_file", T.StringType())])
+BY_HEADER_SCHEMA = T.StructType(LANDING_SCHEMA.fields + [T.StructField("source_file", T.StringType())])
+
+
+def raw_csv_schema() -> T.StructType:
+    """Schema under which files of any header are read: columns by place, header row included."""
+    return T.StructType(RAW_SCHEMA.fields[:-1])
+
+
+def _places(header: pa.RecordBatch) -> list[int | None]:
+    """Place of each landing column in a file, from its header row (the first of equal names)."""
+    names = [v[0].as_py() for v in header.columns[:-1]]
+    names[0] = names[0].lstrip("\ufeff") if names[0] else names[0]
+    places = [names.index(c) if c in names else None for c in LANDING_COLUMNS]
+    if names[-1] is not None and None in places:
+        raise ValueError(f"{header.columns[-1][0].as_py()} has more than {MAX_FILE_COLUMNS} columns and may lose some")
+    return places
+
+
+def _by_header(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    file, places = None, []
+    for batch in batches:
+        ends = pc.run_end_encode(batch.columns[-1]).run_ends.to_pylist() if len(batch) else []
+        start = 0
+        for end in ends:
+            part, start = batch.slice(start, end - start), end
+            if part.columns[-1][0].as_py() != file:  # a file begins with its header
+                file = part.columns[-1][0].as_py()
+                places = _places(part.slice(0, 1))
+                part = part.slice(1)
+            if len(part):
+                none = pa.nulls(len(part), pa.string())
+                yield pa.RecordBatch.from_arrays([none if i is None else part.columns[i] for i in places] + [part.columns[-1]],
+                                                 BY_HEADER_SCHEMA.names)
+
+
+def by_header(raw: DataFrame) -> DataFrame:
+    """Rows read under :func:`raw_csv_schema` (batch or stream) with their ``source_file`` ->
+    the 20 landing columns by header name, each file by its own header: columns in any
+    order, missing ones NULL, others ignored.
+
+    A multi-line CSV file is read by one task, from its first row on; so the task finds each
+    file's header in front of its rows and no file is opened twice."""
+    return raw.select(*[c.name for c in RAW_SCHEMA.fields]).mapInArrow(_by_header, BY_HEADER_SCHEMA)
+
+
+def read_mixed_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Batch scan of CSV files that may differ in their headers (a file, folder or glob)."""
+    reader = spark.read.schema(raw_csv_schema()).options(**{**CSV_READ_OPTIONS, "header": "false"})
+    if not any(ch in path for ch in "*?[{"):
+        reader = reader.option("recursiveFileLookup", "true")
+    return by_header(reader.csv(path).withColumn("source_file", F.col("_metadata.file_path")))

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from ..functions.cleaning import after_first_colon
 from ..functions.ids import SITE_ROOT, absolute_url, listing_id
 from ..operators.html_extract import Field, Records, Sel, extract
-from ..schemas import LANDING_COLUMNS
-from .landing import TECH_SEPARATOR, TEXT_LIST_SEPARATOR
+from ..schemas import LANDING_COLUMNS, LIST_COLUMNS
+from .landing import TECH_SEPARATOR, TEXT_LIST_SEPARATOR, flatten_lists
 
 
 def _dt(tag: str, value: str) -> Sel:
@@ -102,30 +102,27 @@ def listing_cards(list_pages: DataFrame, html_col: str = "html", site_root: str
     )
 
 
-def assemble_listings(cards: DataFrame, details: DataFrame, ingestion_timestamp: str,
-                      ingestion_date: str) -> DataFrame:
-    """Cards left-joined to their details on job_url -> landing-shaped rows with list
-    fields flattened ('' for an empty list), one run stamp for every row.
+def assemble_records(cards: DataFrame, details: DataFrame, ingestion_timestamp: str,
+                     ingestion_date: str) -> DataFrame:
+    """Cards left-joined to their details on job_url -> the 20 landing columns, lists as
+    arrays ([] where there is none), one run stamp for every row.
 
     Both sides are keyed by the listing URL; the planner shuffles both on it (or
     broadcasts a side whose size it knows is small); a card whose detail page is missing
-    keeps NULL scalars and empty lists.  Cards with a NULL URL are kept with NULLs and go
-    around the join (they would all meet in one task).  A URL crawled more than once gives
-    one detail row (the greatest by field order, chosen by pre-aggregation), so cards are
-    never multiplied; repeated cards stay repeated."""
-    empty = F.array().cast("array<string>")
+    keeps NULL scalars and empty lists.  Cards with a NULL URL are kept with NULLs: each gets
+    a key of its own, so they match nothing and do not meet in one task.  A URL crawled more
+    than once gives one detail row (the greatest by field order, chosen by pre-aggregation),
+    so cards are never multiplied; repeated cards stay repeated.  Each side is read once."""
     fields = [c for c in details.columns if c != "job_url"]
-    one = (details.where(F.col("job_url").isNotNull()).groupBy("job_url")
-           .agg(F.max(F.struct(*fields)).alias("d")).select("job_url", "d.*"))
-    keyed = cards.where(F.col("job_url").isNotNull()).join(one, "job_url", "left")
-    joined = keyed.unionByName(cards.where(F.col("job_url").isNull()), allowMissingColumns=True)
-    separators = {"expected_technologies": TECH_SEPARATOR, "requirements": TEXT_LIST_SEPARATOR,
-                  "responsibilities": TEXT_LIST_SEPARATOR}
+    one = (details.where(F.col("job_url").isNotNull()).groupBy(F.col("job_url").alias("__url"))
+           .agg(F.max(F.struct(*fields)).alias("d")).select("__url", "d.*"))
+    own = F.concat(F.lit("\0"), F.monotonically_increasing_id().cast("string"))
+    joined = cards.withColumn("__url", F.coalesce("job_url", own)).join(one, "__url", "left")
     stamp = {"ingestion_timestamp": ingestion_timestamp, "ingestion_date": ingestion_date}
 
     def landing_column(name: str) -> Column:
-        if name in separators:
-            return F.array_join(F.coalesce(F.col(name), empty), separators[name]).alias(name)
+        if name in LIST_COLUMNS:
+            return F.coalesce(F.col(name), F.array().cast("array<string>")).alias(name)
         if name in stamp:
             return F.lit(stamp[name]).alias(name)
         return F.col(name)
@@ -133,6 +130,11 @@ def assemble_listings(cards: DataFrame, details: DataFrame, ingestion_timestamp:
     return joined.select(*[landing_column(c) for c in LANDING_COLUMNS])
 
 
+def assemble_listings(cards: DataFrame, details: DataFrame, ingestion_timestamp: str, ingestion_date: str) -> DataFrame:
+    """:func:`assemble_records` with its lists flattened ('' for an empty list)."""
+    return flatten_lists(assemble_records(cards, details, ingestion_timestamp, ingestion_date))
+
+
 def generic_fields(pages: DataFrame, partitions: int | None = None) -> DataFrame:
     """Title, heading, ad, footer, article text and navigation links of each page."""
     return extract(pages, GENERIC_SPECS, html_col="html", keep=["page_id", "url"], partitions=partitions)

@@ -1,8 +1,10 @@
 """File-arrival ingestion with Structured Streaming.
 
 New landing CSV files are picked up incrementally by the file stream source (its
-checkpoint remembers which files were processed), read with the explicit 20-column
-landing schema and header validation, and handed to a ``foreachBatch`` function.
+checkpoint remembers which files were processed).  The stream reads them by place and maps
+each file to the 20 landing columns by its own header row (``landing.by_header``), so files
+of 20 and of 19 columns, in any order, arrive in one micro-batch; then it hands the rows to
+a ``foreachBatch`` function.
 ``trigger(availableNow=True)`` processes everything that has arrived and stops, which
 is the scheduled-job form; a second run on the same checkpoint finds nothing new.
 
@@ -20,22 +22,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.bronze import bronze_metadata
-from ..sources.landing import CSV_READ_OPTIONS, DEFAULT_PREFIX, landing_stream_schema
+from ..sources.landing import CSV_READ_OPTIONS, DEFAULT_PREFIX, by_header, raw_csv_schema
 
 
 def landing_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame over landing CSV files (header checked against the schema).
+    """Streaming DataFrame over landing CSV files, each mapped by its own header.
 
     ``landing`` is a directory (every ``*.csv`` below it, single files and Spark-written
     snapshot directories alike) or a glob pattern."""
-    reader = (spark.readStream.schema(landing_stream_schema())
-              .options(**CSV_READ_OPTIONS)
-              .option("enforceSchema", "false"))
+    reader = spark.readStream.schema(raw_csv_schema()).options(**{**CSV_READ_OPTIONS, "header": "false"})
     if not any(ch in landing for ch in "*?[{"):
         reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.csv(landing).withColumn("source_file", F.col("_metadata.file_path"))
+    return by_header(reader.csv(landing).withColumn("source_file", F.col("_metadata.file_path")))
 
 
 def bronze_batch_writer(bronze_path: str, loaded_at=None) -> Callable[[DataFrame, int], None]:
