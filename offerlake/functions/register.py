@@ -30,18 +30,31 @@ def _sql_of(spark: SparkSession, column_fn, arg: str = "s", arg_type: str = "str
     return plan.expressions().head().child().sql()
 
 
+def _definitions(spark: SparkSession) -> dict[str, tuple[str, str, str]]:
+    """name -> (parameters, return type, body)."""
+    out = {name: ("s STRING", "STRING", _sql_of(spark, fn)) for name, fn in _STRING_RULES.items()}
+    out["translate_work_modes"] = "s STRING", "STRING", _sql_of(spark, cleaning.translate_work_modes)
+    out["extract_salary_range"] = ("s STRING", "STRUCT<min_salary: INT, max_salary: INT>",
+                                   _sql_of(spark, cleaning.extract_salary_range))
+    for name, fn in {"expiry_bucket": buckets.expiry_bucket, "posting_bucket": buckets.posting_bucket}.items():
+        out[name] = "d INT", "STRING", _sql_of(spark, fn, "d", "int")
+    return out
+
+
 def register_sql_functions(spark: SparkSession) -> list[str]:
-    names = []
+    """Temporary functions of this session."""
+    return _define(spark, "TEMPORARY FUNCTION", "")
 
-    def define(name, params, returns, body):
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) RETURNS {returns} RETURN {body}")
-        names.append(name)
 
-    for name, fn in _STRING_RULES.items():
-        define(name, "s STRING", "STRING", _sql_of(spark, fn))
-    define("translate_work_modes", "s STRING", "STRING", _sql_of(spark, cleaning.translate_work_modes))
-    define("extract_salary_range", "s STRING", "STRUCT<min_salary: INT, max_salary: INT>",
-           _sql_of(spark, cleaning.extract_salary_range))
-    for name, fn in {"expiry_bucket": buckets.expiry_bucket, "posting_bucket": buckets.posting_bucket}.items():
-        define(name, "d INT", "STRING", _sql_of(spark, fn, "d", "int"))
+def create_sql_functions(spark: SparkSession, database: str) -> list[str]:
+    """Persistent functions of ``database``: any session of the catalog calls them by
+    ``database.name``."""
+    return _define(spark, "FUNCTION", f"{database}.")
+
+
+def _define(spark: SparkSession, kind: str, qualifier: str) -> list[str]:
+    names = []
+    for name, (params, returns, body) in _definitions(spark).items():
+        spark.sql(f"CREATE OR REPLACE {kind} {qualifier}{name}({params}) RETURNS {returns} RETURN {body}")
+        names.append(qualifier + name)
     return names

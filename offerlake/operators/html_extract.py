@@ -303,14 +303,14 @@ _NARROW = {"Project", "Filter", "LogicalRelation", "LocalRelation", "LogicalRDD"
 
 
 def spread_for_parsing(pages: DataFrame) -> DataFrame:
-    """Pages in partitions of about equal bytes, at least one a core.
+    """Pages in partitions of about equal work, at least one a core.
 
     Parsing costs far more a byte than what Spark sizes partitions by, and pages that a
-    shuffle or a render step made may lie in one partition.  Those, and small scans, get a
-    rebalance: the shuffle holds the pages themselves, so adaptive execution cuts it by
-    their bytes (``spark.sql.adaptive.advisoryPartitionSizeInBytes``, and at least a
-    partition a core).  A plain scan of enough bytes is split by bytes already and is not
-    shuffled."""
+    shuffle or a render step made may lie in few partitions.  By the bytes of the files read:
+    little is dealt evenly, one partition a core; much that a plain scan reads is split by
+    bytes already and stays where it is; any other plan over much gets a rebalance, whose
+    shuffle holds the pages themselves, so adaptive execution cuts it by their bytes
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``)."""
     plan = pages._jdf.queryExecution().optimizedPlan()
     nodes, narrow, scanned = [plan], True, 0
     while nodes:
@@ -321,7 +321,9 @@ def spread_for_parsing(pages: DataFrame) -> DataFrame:
             scanned += int(str(node.stats().sizeInBytes()))
         nodes += children
     cores = pages.sparkSession.sparkContext.defaultParallelism
-    return pages if narrow and scanned >= cores * SCAN_BYTES_PER_CORE else pages.hint("rebalance")
+    if scanned < cores * SCAN_BYTES_PER_CORE:
+        return pages.repartition(cores)
+    return pages if narrow else pages.hint("rebalance")
 
 
 def extract(pages: DataFrame, specs, html_col: str = "html", keep: list[str] | None = None,

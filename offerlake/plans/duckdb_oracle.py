@@ -12,6 +12,7 @@ AS_OF = "DATE '1998-06-01'"
 RUN_TS = "1998-06-01 02:00:00"
 LATER_TS = "1998-06-02 02:00:00"
 
+# Month names of the listing dates, in calendar order.
 _EN = "['January','February','March','April','May','June','July','August','September','October','November','December']"
 _PL = ("['stycznia','lutego','marca','kwietnia','maja','czerwca','lipca','sierpnia','września',"
        "'października','listopada','grudnia']")
@@ -566,6 +567,18 @@ SELECT 'old' AS version, job_url, CAST(min_salary AS BIGINT) AS min_salary, max_
        FALSE AS no_file FROM silver
 UNION ALL
 SELECT 'new', job_url, CAST(min_salary AS BIGINT) * 1000000000, max_salary, 'PLN', TRUE FROM silver WHERE min_salary IS NOT NULL""")
+    q["salary_sketch"] = with_silver("""
+SELECT location, COUNT(*) AS n, quartile, TRUE AS ok
+FROM silver, (SELECT unnest([0.25::DOUBLE, 0.5::DOUBLE, 0.75::DOUBLE]) AS quartile)
+WHERE min_salary IS NOT NULL AND location IS NOT NULL GROUP BY location, quartile""")
+    rules = operator_sql()
+    parts = [f"(SELECT job_url, {cols} FROM ({rules[name]}))" for name, cols in (
+        ("convert_date", "expiration_iso"), ("extract_salary_range", "min_salary, max_salary"),
+        ("translate_frequency", "frequency_clean"), ("translate_work_modes", "work_mode_clean"),
+        ("translate_contract_type", "contract_type_clean"), ("clean_location", "location_clean"),
+        ("clean_job_level", "job_level_clean"), ("listing_id", "job_listing_id AS listing_id"))]
+    q["sql_functions"] = "SELECT * FROM " + " JOIN ".join(
+        f"{part} p{i}" + (" USING (job_url)" if i else "") for i, part in enumerate(parts))
     q["now_functions"] = with_raw(f"""
 SELECT job_url, CAST(date_diff('day', current_date, TRY_CAST({convert_date_sql('expiration_date')} AS DATE)) AS INTEGER) AS days_left,
        CAST(date_diff('day', TRY_CAST({convert_date_sql('job_posting_date')} AS DATE), current_date) AS INTEGER) AS days_since_posted

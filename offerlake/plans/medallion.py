@@ -14,11 +14,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators import dedup as D
 from ..operators import quality as Q
-from ..schemas import DROP_LOG_SCHEMA, SILVER_SCHEMA
+from ..operators import sketches as K
+from ..schemas import SILVER_SCHEMA
 from ..sources import landing as L
 from . import gold, gold_sql
 from . import versions as V
@@ -33,6 +33,7 @@ class Tables:
     silver: str = "jobs_cleaned"
     drop_log: str = "dropped_records_log"
     completed: str = "completed_snapshots"
+    sketches: str = "salary_sketches"
     bronze_buckets: int = 64  # buckets of a Bronze table kept by upserts
     fmt: str = "parquet"
     location: str | None = None  # database location (shared storage); None = warehouse dir
@@ -73,20 +74,31 @@ def write_drop_log(spark: SparkSession, dropped: DataFrame | None, t: Tables, ru
     column and partition; a fresh id if none is given.  Writing a run again replaces that
     run's rows, also by none, and leaves those of all other runs."""
     target = t.name(t.drop_log)
-    run = (run_id or uuid.uuid4().hex).replace("\\", "\\\\").replace("'", "\\'")
-    exists = spark.catalog.tableExists(target)
-    if exists and spark.table(target).columns[-1:] != ["run_id"]:
+    if spark.catalog.tableExists(target) and spark.table(target).columns[-1:] != ["run_id"]:
         raise ValueError(f"{target} has no run_id partition: rename it, then load again")
-    if dropped is None:
+    replace_partition(spark, target, dropped, "run_id", run_id or uuid.uuid4().hex, t.fmt)
+
+
+def replace_partition(spark: SparkSession, target: str, rows: DataFrame | None, column: str, value: str, fmt: str = "parquet") -> None:
+    """Replace the rows of one partition of a managed table, also by none (None); all other
+    partitions stay as they are."""
+    named = f"PARTITION ({column} = '" + value.replace("\\", "\\\\").replace("'", "\\'") + "')"
+    exists = spark.catalog.tableExists(target)
+    if rows is None:
         if exists:
-            spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION (run_id = '{run}')")
+            spark.sql(f"ALTER TABLE {target} DROP IF EXISTS {named}")
         return
     if not exists:
-        empty = spark.createDataFrame([], T.StructType(DROP_LOG_SCHEMA.fields + [T.StructField("run_id", T.StringType())]))
-        empty.write.format(t.fmt).partitionBy("run_id").saveAsTable(target)
-    columns = spark.table(target).columns[:-1]
-    spark.sql(f"INSERT OVERWRITE TABLE {target} PARTITION (run_id = '{run}') SELECT {', '.join(columns)} FROM {{dropped}}",
-              dropped=dropped)
+        rows.limit(0).withColumn(column, F.lit("")).write.format(fmt).partitionBy(column).saveAsTable(target)
+    columns = ", ".join(f"`{c}`" for c in spark.table(target).columns[:-1])
+    spark.sql(f"INSERT OVERWRITE TABLE {target} {named} SELECT {columns} FROM {{rows}}", rows=rows)
+
+
+def store_sketches(spark: SparkSession, t: Tables, snapshot: str, silver: DataFrame, keys: list[str] = ("location",),
+                   value: str = "min_salary") -> None:
+    """Quantile sketches of one snapshot's groups; storing a snapshot again replaces its own."""
+    ensure_schema(spark, t.database, t.location)
+    replace_partition(spark, t.name(t.sketches), K.quantile_sketches(silver, list(keys), value), "snapshot", snapshot, t.fmt)
 
 
 def is_completed(spark: SparkSession, t: Tables, unit) -> bool:

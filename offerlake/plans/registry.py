@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from ..functions import buckets as B
 from ..functions import cleaning as C
 from ..functions.ids import listing_id
+from ..functions.register import create_sql_functions
 from ..operators import dedup as D
 from ..operators import quality as Q
+from ..operators import sketches as K
 from ..schemas import LANDING_COLUMNS, LIST_COLUMNS, SILVER_COLUMNS
 from ..session import shared_path
 from ..sources import derived
@@ -465,6 +467,40 @@ def q_silver_schema_merge(spark, sf_dir):
     return both.select("version", "job_url", "min_salary", "max_salary", "currency", (F.col("source_file").isNull()).alias("no_file"))
 
 
+def q_salary_sketch(spark, sf_dir):
+    """Three snapshots' pay sketches are stored (one of them twice) and merged: are the
+    quartiles of each location within the stated rank error of the exact ones?"""
+    t = _fresh_tables(spark)
+    silver = derived_silver(spark, sf_dir).select("location", "min_salary", "job_url")
+    third = F.pmod(_order_key(), F.lit(3))
+
+    def run():
+        for i in (0, 1, 2, 1):
+            M.store_sketches(spark, t, f"snapshot {i}", silver.where(third == i))
+
+    _keeping_current_database(spark, run)
+    merged = K.merged_sketches(spark.table(t.name(t.sketches)), ["location"])
+    known = silver.where(F.col("location").isNotNull())
+    checked = K.within_error(K.quantiles(merged, ["location"]), known, ["location"], "min_salary", K.rank_error())
+    return checked.select("location", "n", F.col("rank").alias("quartile"), "ok")
+
+
+def q_sql_functions(spark, sf_dir):
+    """The rules as persistent SQL functions, called by another session over a table."""
+    t = _fresh_tables(spark)
+    rows = derived_bronze(spark, sf_dir)
+    _keeping_current_database(spark, lambda: M.write_bronze(spark, rows, t))
+    create_sql_functions(spark, t.database)
+    f = t.database
+    return spark.newSession().sql(f"""
+        SELECT job_url, {f}.convert_date(expiration_date) AS expiration_iso, {f}.extract_salary_range(remuneration).min_salary AS min_salary,
+               {f}.extract_salary_range(remuneration).max_salary AS max_salary, {f}.translate_frequency(frequency) AS frequency_clean,
+               {f}.translate_work_modes(work_mode) AS work_mode_clean, {f}.translate_contract_type(contract_type) AS contract_type_clean,
+               {f}.clean_location(location) AS location_clean, {f}.clean_job_level(job_level) AS job_level_clean,
+               {f}.extract_listing_id(job_url) AS listing_id
+        FROM {t.name(t.bronze)}""")
+
+
 def q_now_functions(spark, sf_dir):
     """Day counts without a fixed date: relative to the day the query runs."""
     days = C.days_left(C.to_listing_date("expiration_date"), None), C.days_since_posted(C.to_listing_date("job_posting_date"), None)
@@ -524,5 +560,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["drop_log_republished"] = q_drop_log_republished
     q["silver_schema_merge"] = q_silver_schema_merge
     q["now_functions"] = q_now_functions
+    q["salary_sketch"] = q_salary_sketch
+    q["sql_functions"] = q_sql_functions
     q["preview"] = q_preview
     return q
