@@ -41,6 +41,8 @@ WINDOW = 128
 BUDGET = 0.08
 BLOCK_CHARS = 4 << 20
 CHUNK_CHARS = 1 << 18
+#: Index entries expanded at once (about 100 bytes each).
+SLICE_ENTRIES = 1 << 20
 _TABLE_BITS = 22
 
 
@@ -96,31 +98,46 @@ class Patterns:
             maybe[(keys >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
             self.index[size] = (maybe, keys, np.append(first, len(h)), owner, at)
 
-    def candidates(self, codes: np.ndarray, begin: np.ndarray) -> np.ndarray:
-        """(window, text, band) triples whose shared q-grams reach the bound.  ``begin``:
-        offsets of the texts in ``codes``."""
-        out = []
+    def candidates(self, codes: np.ndarray, begin: np.ndarray) -> Iterator[np.ndarray]:
+        """(window, text, band) triples whose shared q-grams reach the bound, slice by slice.
+        ``begin``: offsets of the texts in ``codes``.
+
+        A slice takes as many matching positions as have ``SLICE_ENTRIES`` index entries (a
+        periodic text may match every entry at every position).  The positions that share a
+        band with one window lie within ``span``; slices are at least two spans long and
+        overlap by one, so every band is whole in some slice."""
+        span = self.offset + 2 * self.reach
         for size, (maybe, keys, first, owner, at) in self.index.items():
             h = qgrams(codes, size)
             pos = np.flatnonzero(maybe[(h >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)])
             found = np.minimum(np.searchsorted(keys, h[pos]), len(keys) - 1)
             ok = keys[found] == h[pos]
+            del h
             pos, found = pos[ok], found[ok]
             text = np.searchsorted(begin, pos, "right") - 1
             ok = pos + size <= begin[text + 1]
             pos, found, text = pos[ok], found[ok], text[ok]
             n = first[found + 1] - first[found]
-            entry = np.repeat(first[found] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(int(n.sum()))
-            window = owner[entry]
-            diagonal = np.repeat(pos - begin[text], n) - at[entry] + self.offset
-            band = diagonal // self.reach
-            keys_of = (window * len(begin) + np.repeat(text, n)) << 34
-            # Band b holds the diagonals of half-bands b and b + 1.
-            seen, count = np.unique(np.concatenate([keys_of + band, keys_of + band - 1]), return_counts=True)
-            who = (seen >> 34) // len(begin)
-            hit = count >= self.bound[who]
-            out.append(np.stack([who[hit], (seen[hit] >> 34) % len(begin), seen[hit] & ((1 << 34) - 1)], 1))
-        return np.concatenate(out) if out else np.zeros((0, 3), np.int64)
+            entries = np.append(0, np.cumsum(n))
+            a = 0
+            while a < len(pos):
+                b = max(int(np.searchsorted(entries, entries[a] + SLICE_ENTRIES, "right")) - 1,
+                        int(np.searchsorted(pos, pos[a] + 2 * span, "right")))
+                b = min(b, len(pos))
+                yield self._bands(pos[a:b], first[found[a:b]], n[a:b], text[a:b], begin, owner, at)
+                a = b if b == len(pos) else int(np.searchsorted(pos, pos[b] - span))
+
+    def _bands(self, pos, first, n, text, begin, owner, at) -> np.ndarray:
+        entry = np.repeat(first - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(int(n.sum()))
+        window = owner[entry]
+        diagonal = np.repeat(pos - begin[text], n) - at[entry] + self.offset
+        band = diagonal // self.reach
+        keys_of = (window * len(begin) + np.repeat(text, n)) << 34
+        # Band b holds the diagonals of half-bands b and b + 1.
+        seen, count = np.unique(np.concatenate([keys_of + band, keys_of + band - 1]), return_counts=True)
+        who = (seen >> 34) // len(begin)
+        hit = count >= self.bound[who]
+        return np.stack([who[hit], (seen[hit] >> 34) % len(begin), seen[hit] & ((1 << 34) - 1)], 1)
 
     def verify(self, window: int, text: np.ndarray, band: int) -> bool:
         k, pattern = int(self.edits[window]), self.codes[window]
@@ -158,10 +175,11 @@ def find_items(patterns: Patterns, texts: list[str | None]) -> list[list[int]]:
         codes = code_points("".join(texts[start:stop]))
         begin = np.append(0, np.cumsum([len(t) for t in texts[start:stop]]))
         found: dict[int, set] = {}
-        for window, text, band in patterns.candidates(codes, begin).tolist():
-            ids, done = patterns.ids[window], found.setdefault(text, set())
-            if ids[0] not in done and patterns.verify(window, codes[begin[text]:begin[text + 1]], band):
-                done.update(ids)
+        for triples in patterns.candidates(codes, begin):
+            for window, text, band in triples.tolist():
+                ids, done = patterns.ids[window], found.setdefault(text, set())
+                if ids[0] not in done and patterns.verify(window, codes[begin[text]:begin[text + 1]], band):
+                    done.update(ids)
         for text, ids in found.items():
             hits[start + text] = sorted(ids, key=lambda i: (i is None, i))
         start = stop

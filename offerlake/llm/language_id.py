@@ -11,8 +11,11 @@ The model is fitted on a bounded sample (``max_rows`` rows in hash order, texts
 order, so it may be broadcast; every whole text is scored once, without a shuffle.
 
 Defined cases: NULL and empty texts and texts without a letter are ``und`` with score 0, as
-is everything when nothing could be learnt; NULL languages are not learnt from; repeated rows
-score alike; an empty table gives an empty result; other columns are ignored.
+is everything when nothing could be learnt (combining marks alone and unassigned code points
+are no letters); NULL languages are not learnt from; very long texts are scored whole, and
+those above ``max_text_bytes`` are not learnt from; repeated rows score alike; a tie of
+languages goes to the first by name; an empty table gives an empty result; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -40,9 +43,12 @@ SMOOTH = 0.5
 
 
 @lru_cache(1)
-def _letters() -> np.ndarray:
-    """Code points that belong to words: letters and the marks that combine with them."""
-    return np.array([chr(c).isalpha() or unicodedata.category(chr(c))[0] == "M" for c in range(0x20000)])
+def _letters() -> tuple[np.ndarray, np.ndarray]:
+    """Code points that are letters, and those that belong to words: letters and the marks
+    that combine with them.  Planes 4 and above hold neither."""
+    letter = np.array([chr(c).isalpha() for c in range(0x40000)])
+    mark = np.array([unicodedata.category(chr(c))[0] == "M" for c in range(0x20000)])
+    return letter, letter | np.append(mark, np.zeros(0x20000, bool))
 
 
 class Tokens:
@@ -52,11 +58,15 @@ class Tokens:
         lowered = [t.lower() for t in texts]
         codes = np.frombuffer("\n".join([*lowered, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
         begin = np.append(0, np.cumsum([len(t) + 1 for t in lowered]))
-        table = _letters()
-        # Planes above the table hold ideographs and rare scripts: letters, all of them.
-        inside = np.where(codes < len(table), table[np.minimum(codes, len(table) - 1)], codes < 0x40000)
-        edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
+        letter, member = _letters()
+        known = codes < len(letter)
+        place = np.where(known, codes, 0)
+        edge = np.diff((member[place] & known).astype(np.int8), prepend=0, append=0)
         self.start, self.end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        # Marks without any letter are no word.
+        letters = np.append(0, np.cumsum(letter[place] & known))
+        real = letters[self.end] > letters[self.start]
+        self.start, self.end = self.start[real], self.end[real]
         self.text = np.searchsorted(begin, self.start, "right") - 1
         self.values = mix(codes.astype(np.uint64), 41)
         power, inverse = _power(len(codes) + 1)

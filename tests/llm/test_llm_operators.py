@@ -265,8 +265,141 @@ def test_url_templates_reject_by_purity(spark):
     assert url_filter.judge(pages.limit(0), marks).count() == 0
 
 
+def _judged_by_brute_force(rows, max_children=20, prior=20.0, z=1.96, reject_from=0.5, max_depth=url_filter.MAX_DEPTH):
+    """rows: (host, path, bad or None) -> {(host, path): (template, score)}, by recursion on
+    the tree and plain pooling."""
+    urls = Counter((h, p) for h, p, _ in rows)
+    label = {(h, p): y for h, p, y in rows}
+
+    def smooth(bad, n, towards):
+        return (bad + prior * towards) / (n + prior)
+
+    def differs(bad, n, share):
+        return n > 0 and abs(bad / n - share) > z * (share * (1 - share) / n) ** 0.5
+
+    def totals(keys):
+        marked = [k for k in keys if label[k] is not None]
+        return sum(label[k] * urls[k] for k in marked), sum(urls[k] for k in marked)
+
+    template = {}
+
+    def grow(keys, done, depth):
+        """keys: url -> segments left."""
+        for k, rest in keys.items():
+            if not rest or depth == max_depth:
+                template[k] = done + (("**",) if rest else ())
+        if depth == max_depth:
+            return
+        by = defaultdict(dict)
+        for k, rest in keys.items():
+            if rest:
+                by[rest[0]][k] = rest[1:]
+        bad, n = totals([k for below in by.values() for k in below])
+        below_mark = defaultdict(dict)
+        for segment, below in by.items():
+            plain = segment.replace("*", "%2A").replace("<", "%3C").replace("+", "%2B")
+            mark = re.sub("[0-9]+", "<n>", re.sub("[0-9a-fA-F]{16,}", "<x>", plain))
+            if len(by) > max_children:
+                mark, (b, m) = "*", totals(below)
+                if n and m and differs(b, m, bad / n) and (smooth(b, m, bad / n) >= reject_from) != (bad / n >= reject_from):
+                    mark = plain
+            below_mark[mark].update(below)
+        for mark, below in below_mark.items():
+            grow(below, done + (mark,), depth + 1)
+
+    for host in {h for h, _ in urls}:
+        grow({k: k[1][1:].split("/") if k[1] else [] for k in urls if k[0] == host}, (), 0)
+    group = {(k[0], template[k]): template[k] for k in urls}
+
+    def sums(name):
+        out = defaultdict(lambda: [0.0, 0])
+        for k in urls:
+            b, n = totals([k])
+            out[name(k)][0] += b
+            out[name(k)][1] += n
+        return out
+    for at in reversed(range(max((len(g) for g in group.values()), default=0))):
+        own = sums(lambda k: (k[0], group[k[0], template[k]]))
+        pools = defaultdict(set)
+        for h, g in own:
+            if len(g) > at and not set("*<+") & set(g[at]):
+                pools[h, g[:at] + ("+",) + g[at + 1:]].add(g)
+        moves = {}
+        for (h, pool), members in pools.items():
+            b, n = (sum(own[h, g][i] for g in members) for i in (0, 1))
+            moves |= {(h, g): pool for g in members
+                      if len(members) > 1 and not (n and differs(*own[h, g], b / n))}
+        group = {(h, t): moves.get((h, g), g) for (h, t), g in group.items()}
+    hosts, merged = sums(lambda k: k[0]), sums(lambda k: (k[0], group[k[0], template[k]]))
+    bad, n = totals(urls)
+    base = bad / n if n else 0.0
+    return {k: ("/" * bool(template[k]) + "/".join(template[k]),
+                smooth(*merged[k[0], group[k[0], template[k]]], smooth(*hosts[k[0]], base))) for k in urls}
+
+
+def _pages_of(spark, rows):
+    """Pages whose labels are those of their row numbers."""
+    pages = spark.createDataFrame([(i, f"http://{h}{p}") for i, (h, p, _) in enumerate(rows)], "page_id bigint, url string")
+    marks = spark.createDataFrame([(zlib.crc32((h + p).encode()), 1 - y, 0) for h, p, y in rows if y is not None],
+                                  "doc_id bigint, quality int, toxic int")
+    from pyspark.sql import functions as F
+    return pages, marks, F.crc32(F.concat("host", "path").cast("binary"))
+
+
+def test_url_tree_and_merging_equal_brute_force(spark):
+    rng = random.Random(12)
+    rows = []
+    for i in range(3000):
+        host = rng.choice(["a.test", "a.test", "b.test", "c.test"])
+        kind = rng.randrange(5)
+        word = "".join(rng.choice("abcdefgh") for _ in range(4))
+        path = ["", "/", f"/blog/{rng.choice(['x', 'y', 'z', 'w*', 'v+'])}/{i}", f"/user/{word}/{rng.choice(['ad', 'post', 'q<'])}/{i % 7}",
+                f"/shop/{rng.choice(['red', 'blue'])}/{word}/deep/{i % 3}/{'ab' * 10}/p{i % 5}"][kind]
+        bad = ("ad" in path) + ("/x/" in path) + ("red" in path) * (rng.random() < 0.8) or rng.random() < 0.05
+        rows.append((host, path, int(bool(bad)) if zlib.crc32((host + path).encode()) % 3 else None))
+    by_url = {}
+    rows = [(h, p, by_url.setdefault((h, p), y)) for h, p, y in rows]
+    pages, marks, label_id = _pages_of(spark, rows)
+    for depth in (6,):
+        want = _judged_by_brute_force(rows, max_depth=depth)
+        got = url_filter.judge(pages, marks, rules=(), label_id=label_id, max_depth=depth).collect()
+        assert len(got) == len(rows) and len({r.verdict for r in got}) == 2
+        for r in got:
+            template, score = want[r.host, r.path]
+            assert r.template == template and abs(r.score - score) < 1e-9
+            assert r.verdict == ("block" if r.score >= 0.5 else "allow")
+
+
+def test_url_branches_below_a_wildcard_are_pooled(spark):
+    slugs = ["".join(chr(97 + int(c)) for c in str(i)) for i in range(100, 160)]
+    good = [("h.test", f"/ok/{i}", 0) for i in range(900)]
+    users = good + [("h.test", f"/user/{u}/{s}", 1) for u in slugs for s in slugs[:10]]
+    blogs = good + [("h.test", f"/blog/{w}/{i}", 1) for w in slugs[:10] for i in range(5)]
+    for rows in (users, blogs):
+        pages, marks, label_id = _pages_of(spark, rows)
+        got = url_filter.judge(pages, marks, rules=(), label_id=label_id).collect()
+        assert {r.verdict for r in got if r.path.startswith("/ok/")} == {"allow"}
+        assert {r.verdict for r in got if not r.path.startswith("/ok/")} == {"block"}
+
+
 # --- 4: decontamination -----------------------------------------------------------------
 
+def test_periodic_texts_are_searched_in_slices(monkeypatch):
+    """A text that matches every index entry everywhere, and one whose only match crosses
+    slices; memory stays bounded by the slice."""
+    import tracemalloc
+    rng = random.Random(6)
+    items = [(1, "ha " * 60), (2, _words(rng, 30))]
+    patterns = decontaminate.Patterns(items, decontaminate.WINDOW, decontaminate.BUDGET, decontaminate.Q)
+    texts = [None, "", "ha " * 200_000, _words(rng, 300) + " " + items[1][1] + " " + _words(rng, 300), "ho " * 300 + "ha " * 300]
+    tracemalloc.start()
+    assert decontaminate.find_items(patterns, texts) == [[], [], [1], [2], [1]]
+    assert tracemalloc.get_traced_memory()[1] < 500 << 20
+    tracemalloc.stop()
+    monkeypatch.setattr(decontaminate, "SLICE_ENTRIES", 10)
+    assert decontaminate.find_items(patterns, [t and t[:6000] for t in texts]) == [[], [], [1], [2], [1]]
+
+
 def test_planted_passages_are_found_and_clean_texts_left(spark):
     rng = random.Random(9)
     items = [(i, _words(rng, n)) for i, n in enumerate((4, 15, 30, 90))] + [(50, None), (51, "  "), (52, _words(rng, 3))]
@@ -381,6 +514,15 @@ def test_mixing_messy_rows(spark, messy, messy_rows, nothing):
     assert sum(r.tokens for r in fixed) <= 1000 + 4
 
 
+def test_marks_and_unassigned_code_points_are_no_letters():
+    model = language_id.Model(["de", "en"], language_id.Table(np.zeros(0, np.uint64), np.zeros((0, 2), np.float32)),
+                              {n: language_id.Table(np.zeros(0, np.uint64), np.zeros((0, 2), np.float32)) for n in language_id.ORDERS})
+    texts = ["\u0301", "123\u20dd", "\U0002FFFE", "\U0003FFFD \U000E0100", "", "e\u0301", "\U00020000", "\U00031350", "x", "\u65e5"]
+    assert [p == "und" for p in model.predict(texts)[0]] == [not any(c.isalpha() for c in t) for t in texts]
+    tokens = language_id.Tokens(["e\u0301t \u0301 a1b", "\u20dd"])
+    assert [int(n) for n in tokens.end - tokens.start] == [3, 1, 1]
+
+
 # --- 6: license scan --------------------------------------------------------------------
 
 def test_license_base_columns_match_brute_force(spark, messy, messy_rows, nothing):
