@@ -49,7 +49,6 @@ BANDS = 24
 ROWS = 6
 BLOCK = 1000
 BLOCK_BYTES = 16 << 20
-SLACK = 0.1
 _NONE = np.uint64(0)
 
 
@@ -147,13 +146,11 @@ def _sign(bands: int, rows: int, weighting: str):
                 use = new[row]
                 sig = dart_signatures(row[use], h[use], _weights(count[use], weighting), b - a, bands * rows)
                 keys = band_keys(sig, bands, rows).astype(np.int64)
-                small = (mix(sig, 23) & np.uint64(0xFF)).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(a, b - a), batch.column("row").slice(a, b - a),
                      pa.array(nodes, pa.binary()),
-                     pa.array([k.tolist() if n else None for k, n in zip(keys, new)], pa.list_(pa.int64())),
-                     pa.array([s.tobytes() if n else None for s, n in zip(small, new)], pa.binary())],
-                    ["doc_id", "row", "node", "bands", "sig"])
+                     pa.array([k.tolist() if n else None for k, n in zip(keys, new)], pa.list_(pa.int64()))],
+                    ["doc_id", "row", "node", "bands"])
     return run
 
 
@@ -221,26 +218,56 @@ class Merged:
         self.up[max(x, y)] = min(x, y)
 
 
-def _block_links(threshold: float, floor: float, weighting: str):
+class Overlaps:
+    """Index of the shingle sets of some nodes: exact similarity of a set to all of them."""
+
+    def __init__(self, sets: list[bytes], weighting: str):
+        self.weighting = weighting
+        parts = [self.split(x) for x in sets]
+        self.size = np.array([c.sum() for _, c in parts], np.float64)
+        element = np.concatenate([e for e, _ in parts])
+        order = np.argsort(element, kind="stable")
+        self.element, self.count = element[order], np.concatenate([c for _, c in parts])[order]
+        self.owner = np.repeat(np.arange(len(sets)), [len(e) for e, _ in parts])[order]
+
+    def split(self, x: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Elements and their counts."""
+        if self.weighting == "set":
+            e = np.frombuffer(x, np.uint64)
+            return e, np.ones(len(e), np.int64)
+        pairs = np.frombuffer(x, np.uint64).reshape(-1, 2)
+        return pairs[:, 0], pairs[:, 1].astype(np.int64)
+
+    def similarities(self, x: bytes) -> np.ndarray:
+        e, c = self.split(x)
+        first = np.searchsorted(self.element, e, "left")
+        n = np.searchsorted(self.element, e, "right") - first
+        at = np.repeat(first - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(int(n.sum()))
+        low = np.bincount(self.owner[at], np.minimum(self.count[at], np.repeat(c, n)), len(self.size))
+        return low / np.maximum(self.size + c.sum() - low, 1.0)
+
+
+def _block_links(threshold: float, weighting: str):
     """Rows arrive sorted by block pair; emits verified links that join components."""
     def links(key: int, rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
         left = [r for r in rows if r[1] in (0, 2)]
         right = [r for r in rows if r[1] in (1, 2)]
         if not left or not right:
             return
-        sig = np.frombuffer(b"".join(r[4] for r in right), np.uint8).reshape(len(right), -1)
-        bands = np.array([r[5] for r in right], np.int64)
+        bands = np.array([r[4] for r in right], np.int64)
         comps = np.array([r[3] for r in right], object)
+        if len({r[3] for r in rows}) == 1:
+            return
+        overlaps = Overlaps([r[5] for r in right], weighting)
         merged = Merged()
-        for _, side, node, comp, own, own_bands, elements in left:
-            near = np.flatnonzero((comps != comp) & ((sig == np.frombuffer(own, np.uint8)).mean(axis=1) >= floor))
+        for _, side, node, comp, own_bands, elements in left:
+            near = np.flatnonzero((overlaps.similarities(elements) >= threshold) & (comps != comp))
             # A pair that shares several buckets is looked at in the first of them only.
             shared = bands[near] == np.array(own_bands)
             near = near[bands[near, shared.argmax(axis=1)] == key]
             for i in near:
                 other = right[i]
-                if (side != 2 or node < other[2]) and merged.find(comp) != merged.find(other[3]) \
-                        and similarity(elements, other[6], weighting) >= threshold:
+                if (side != 2 or node < other[2]) and merged.find(comp) != merged.find(other[3]):
                     merged.join(comp, other[3])
                     yield min(node, other[2]), max(node, other[2])
 
@@ -249,7 +276,7 @@ def _block_links(threshold: float, floor: float, weighting: str):
             made = list(links(key, rows))
             return pa.RecordBatch.from_arrays([pa.array([m[i] for m in made], pa.binary()) for i in (0, 1)], ["a", "b"])
         held, last = [], None
-        names = ("key", "block", "side", "node", "comp", "sig", "bands", "elements")
+        names = ("key", "block", "side", "node", "comp", "bands", "elements")
         for batch in batches:
             for key, *row in zip(*(batch.column(c).to_pylist() for c in names)):
                 if (key, row[0]) != last and held:
@@ -278,9 +305,9 @@ def _rest_links(members: DataFrame, comps: DataFrame, nodes: DataFrame, sets: Da
          .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
          .withColumn("block", F.least("own", "other") * F.col("blocks") + F.greatest("own", "other"))
          .withColumn("side", F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)))
-    return map_batches(m.select("key", "block", "side", "node", "comp", "sig", "bands", "elements")
+    return map_batches(m.select("key", "block", "side", "node", "comp", "bands", "elements")
                        .repartition("key", "block").sortWithinPartitions("key", "block"),
-                       _block_links(threshold, threshold - SLACK, weighting), "a binary, b binary")
+                       _block_links(threshold, weighting), "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, spark: SparkSession, threshold: float = 0.8, bands: int = BANDS,
@@ -291,10 +318,10 @@ def near_duplicates(docs: DataFrame, spark: SparkSession, threshold: float = 0.8
     prepare(spark)
     source = pick(docs, doc_id="bigint", text="string").withColumn("row", row_key(F.col("doc_id"), F.col("text")))
     signed = stored(map_batches(source, _sign(bands, rows, weighting),
-                                "doc_id bigint, row binary, node binary, bands array<bigint>, sig binary"),
+                                "doc_id bigint, row binary, node binary, bands array<bigint>"),
                     spark, "signatures")
     nodes = stored(signed.where("bands IS NOT NULL").groupBy("node")
-                   .agg(F.min("bands").alias("bands"), F.min("sig").alias("sig")), spark, "nodes")
+                   .agg(F.min("bands").alias("bands")), spark, "nodes")
     banded = nodes.select("node", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = stored(banded.join(shared, "key"), spark, "members")

@@ -129,6 +129,19 @@ def test_hot_bucket_keeps_links_between_components(spark, monkeypatch):
     assert got == want and 1 < len(set(want.values())) < 120
 
 
+@pytest.mark.parametrize("weighting", ["set", "count"])
+def test_overlaps_are_exact_similarities(weighting):
+    rng = np.random.default_rng(2)
+    sets = []
+    for _ in range(40):
+        e = np.unique(rng.integers(0, 60, rng.integers(1, 50))).astype(np.uint64)
+        sets.append((e if weighting == "set" else np.stack([e, rng.integers(1, 5, len(e)).astype(np.uint64)], 1)).tobytes())
+    index = minhash_dedup.Overlaps(sets, weighting)
+    for x in sets:
+        want = [minhash_dedup.similarity(x, y, weighting) for y in sets]
+        assert np.allclose(index.similarities(x), want, rtol=0, atol=1e-12)
+
+
 def test_dart_signatures_estimate_weighted_jaccard():
     rng = np.random.default_rng(1)
     n = 400
@@ -573,6 +586,87 @@ def test_templates_equal_regular_expressions():
             license_scan.compile_template(bad)
 
 
+def _template_regex(template):
+    """Template -> regular expression over ' '-joined words (lazy: the first acceptance)."""
+    out = ""
+    word = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+    for part in re.findall(r"\[\[|\]\]|\{\{[^}]*\}\}|[^\s\[\]{}]+", template.lower()):
+        if part == "[[":
+            out += "(?:"
+        elif part == "]]":
+            out += ")??"
+        elif part.startswith("{{"):
+            name, low, high = re.search(r"(\w+):(\d+)-(\d+)", part).groups()
+            kind = license_scan.CLASSES[name].decode() if name in license_scan.CLASSES else r"\S+"
+            out += f"(?:{kind} ){{{low},{high}}}?"
+        else:
+            out += "".join(w + " " for w in re.findall(word, part))
+    return re.compile(out)
+
+
+def _licenses_by_brute_force(text):
+    words = re.findall("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    base = {label for phrase, label in license_scan.BASE_PHRASES for a in range(len(words)) if words[a:a + len(phrase.split())] == phrase.split()}
+    found = []
+    for label, template in license_scan.TEMPLATES:
+        regex, mandatory = _template_regex(template), sum(m.word is not None for m in license_scan.compile_template(template))
+        for a in range(len(words)):
+            # Optional words may be taken greedily or not: the shortest acceptance counts.
+            if m := regex.match(" ".join(words[a:]) + " "):
+                found.append((-mandatory, a, -m[0].count(" "), label))
+    taken, labels = set(), set()
+    for _, a, minus, label in sorted(found):
+        if not taken & set(range(a, a - minus)):
+            taken |= set(range(a, a - minus))
+            labels.add(label)
+    return ",".join(sorted(base | labels)), bool(found)
+
+
+def _filled(template):
+    """A text that a template accepts."""
+    out = re.sub(r"\[\[|\]\]", " ", template)
+    return re.sub(r"\{\{(\w+):(\d+)-(\d+)\}\}", lambda m: " ".join(
+        [{"version": "4", "year": "2020", "number": "7"}.get(m[1], "Holder")] * max(int(m[2]), 1)), out)
+
+
+def test_license_labels_match_brute_force(spark):
+    rng = random.Random(8)
+    texts = [(i, r.text) for i, r in enumerate(mid(spark).limit(60).collect())]
+    texts += [(1000 + i, rng.choice(["", "Intro. "]) + _filled(t) + " more words") for i, (_, t) in enumerate(license_scan.TEMPLATES)]
+    texts += [(2000 + i, " ".join(_filled(rng.choice(license_scan.TEMPLATES)[1]) for _ in range(3))) for i in range(30)]
+    words = "licensed under the cc by nc sa nd 4 0 gnu general public license version 2 3 a creative commons attribution sea".split()
+    texts += [(3000 + i, "licensed under " + " ".join(rng.choice(words) for _ in range(8))) for i in range(200)]
+    got = {r.doc_id: (r.labels, r.score) for r in license_scan.scan_licenses(
+        spark.createDataFrame(texts, "doc_id bigint, text string"), spark).collect()}
+    for i, text in texts:
+        labels, found = _licenses_by_brute_force(text)
+        assert got[i][0] == labels and (got[i][1] == 1.0) == found, text
+    accepted = [got[1000 + i] for i in range(len(license_scan.TEMPLATES))]
+    assert all(label in labels.split(",") and score == 1.0 for (label, t), (labels, score) in zip(license_scan.TEMPLATES, accepted)
+               if "[[" not in t)
+
+
+@pytest.mark.parametrize("text, labels", [
+    ("Licensed under CC BY-NC 4.0", "cc-by-nc"), ("licensed under CC BY-SA 4.0", "cc-by-sa"), ("licensed under CC BY 4.0.", "cc-by"),
+    ("licensed under cc by-nc-nd 3.0", "cc-by-nc-nd"), ("licensed under cc by the sea", ""), ("All rights reserved.", ""),
+    ("licensed under the GNU Affero General Public License version 3", "agpl,gpl"),
+    ("licensed under the GNU General Public License version 3", "gpl,gpl-3.0"),
+    ("Licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", "cc-by-nc"),
+    ("Licensed under a Creative Commons Attribution 4.0 International License", "cc-by"),
+    ("Licensed under the Apache License, Version 2.0", "apache,apache-2.0"),
+    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+     "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+     "agpl-or-later,gpl"),
+    ("This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+     "License as published by the Free Software Foundation, version 2.1 of the License.", "gpl,lgpl")])
+def test_the_most_specific_license_wins(text, labels):
+    scanner = license_scan.Scanner(license_scan.BASE_PHRASES, license_scan.TEMPLATES)
+    import pyarrow as pa
+    from offerlake.llm import textnp
+    for a, b, w in textnp.words(pa.array([text]), textnp.alnum_or_high(), textnp.byte_values(True)):
+        assert scanner.scan(w, b - a)[0][5] == labels
+
+
 # --- 7: substring dedup -----------------------------------------------------------------
 
 def _substring(rows, n):
