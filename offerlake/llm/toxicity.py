@@ -50,6 +50,8 @@ SPAN = 6
 DECAY = 0.5
 POWER = 3
 CHUNK_CHARS = 1 << 19
+#: Characters at once in training, which runs on the driver.
+FIT_CHARS = 1 << 18
 LETTERS = 64
 CACHE_PIECES = 1 << 21
 GAP = 0.985  # per letter inserted into a marked word
@@ -324,7 +326,7 @@ def _marks(piece: np.ndarray, doc: np.ndarray, y: np.ndarray, pos: np.ndarray, n
     return np.array(out, np.int64)
 
 
-def _text_chunks(texts: list[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
+def _text_chunks(texts: list[str], limit: int = FIT_CHARS) -> Iterator[tuple[int, int]]:
     start = 0
     while start < len(texts):
         stop, size = start, 0
