@@ -30,6 +30,7 @@ rows score alike; an empty table gives an empty result; other columns are ignore
 
 from __future__ import annotations
 
+import pickle
 import unicodedata
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -50,7 +51,7 @@ SPAN = 6
 DECAY = 0.5
 POWER = 3
 CHUNK_CHARS = 1 << 19
-#: Characters at once in training, which runs on the driver.
+#: Characters at once in training, which runs in one task.
 FIT_CHARS = 1 << 18
 LETTERS = 64
 CACHE_PIECES = 1 << 21
@@ -476,8 +477,18 @@ def fit(docs: DataFrame, labels: DataFrame, spark: SparkSession, use: Column, ma
         .limit(max_labelled)
     rows = pick(docs, doc_id="bigint", text="string").where(F.octet_length("text") <= max_text_bytes)
     sample = rows.join(F.broadcast(marks), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text") \
-        .limit(max_labelled).collect()
-    return train([r["text"] for r in sample], [r["toxic"] for r in sample])
+        .limit(max_labelled).select("text", "toxic")
+    model = map_batches(sample.coalesce(1), _trainer, "model binary").first()
+    return pickle.loads(model["model"])
+
+
+def _trainer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bounded sample is fitted in one task: only the model itself reaches the driver."""
+    texts, toxic = [], []
+    for batch in batches:
+        texts += batch.column("text").to_pylist()
+        toxic += batch.column("toxic").to_pylist()
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(texts, toxic))], pa.binary())], ["model"])
 
 
 def _scorer(model):
