@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from offerlake.llm.common import id_remainder, map_batches, pick, prepare
 from offerlake.llm.textnp import _power, mix
 
-PIECE = 16
+PIECE = 32
 SENTENCE = 6
 SPAN = 6
 DECAY = 0.5
