@@ -478,8 +478,8 @@ def fit(docs: DataFrame, labels: DataFrame, spark: SparkSession, use: Column, ma
     rows = pick(docs, doc_id="bigint", text="string").where(F.octet_length("text") <= max_text_bytes)
     sample = rows.join(F.broadcast(marks), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text") \
         .limit(max_labelled).select("text", "toxic")
-    model = map_batches(sample.coalesce(1), _trainer, "model binary").first()
-    return pickle.loads(model["model"])
+    fitted = map_batches(sample.coalesce(1), _trainer, "model binary").first()
+    return pickle.loads(fitted["model"]) if fitted else None  # an empty sample has no task
 
 
 def _trainer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
