@@ -9,16 +9,18 @@ are grouped exactly, and none is lost:
    positions, so counting every selected gram position overestimates the window's count
    and can never report a repeated window as single -- with one count per ~14 windows.
    Each task keeps saturating counts of its cells and emits them per sketch segment.
-2. *Merge.*  One task at a time streams a segment's blobs into 2^20 counters and emits one
-   bit per cell: "at least two".  The merged sketch holds ``DEPTH`` rows of bits; its size
-   follows the corpus up to ``MAX_SKETCH_BYTES`` (the proven bound of what is broadcast).
-   Beyond that size more windows pass, the result stays exact.
+2. *Merge.*  One task at a time streams a segment's blobs into 2^20 counters and emits two
+   bits of them: "at least two" for each cell, "at least ``HOT``" for each ``HOT_SPAN`` cells.
+   The merged sketch holds ``DEPTH`` rows of both; its size follows the corpus up to
+   ``max_sketch_bytes`` and a 16th more (the proven bound of what is broadcast).  Beyond that
+   size more windows pass and more are dealt one by one; the result stays exact.
 3. *Exact groups.*  Windows whose minimiser is estimated repeated carry 128-bit hashes of
    complete word sequence to the task of their minimiser, one row per run of windows
-   with the same minimiser.  Minimisers counted ``HOT`` times or more (the sketching tasks
-   name those that a batch holds ``HOT_IN_BATCH`` times) deal each window by its own hash
-   instead: a frequent line amid different texts spreads over all tasks, and equal windows
-   still meet.  Windows that repeat inside one batch are settled there and
+   with the same minimiser.  Minimisers whose estimate is ``HOT`` or more (all that occur that
+   often in the corpus are among them, however few a batch holds) deal each window by its own
+   hash instead: a frequent line amid different texts spreads over all tasks, equal windows
+   still meet, and a task holds fewer than ``HOT`` occurrences of any value it was dealt by
+   minimiser.  Windows that repeat inside one batch are settled there and
    send a single representative, so a passage found in a third of all documents costs one
    row per batch, not one per document.
 4. Repeated starts return to their documents, whose words are then removed.
@@ -50,8 +52,9 @@ DEPTH = 2
 SEGMENT_BITS = 20
 MAX_SKETCH_BYTES = 64 << 20
 FLUSH = 1 << 20
-HOT_IN_BATCH = 64
+COUNT_BITS = 32 - SEGMENT_BITS
 HOT = 1024
+HOT_SPAN = 16
 _BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 _FLAG = np.uint32(1 << 31)
 
@@ -85,14 +88,12 @@ def _sketcher(window: int, bits: int):
     def blobs(values: np.ndarray) -> Iterator[tuple[int, bytes]]:
         for row in range(DEPTH):
             cell, count = np.unique(_cells(values, row, bits), return_counts=True)
-            packed = ((cell & ((1 << SEGMENT_BITS) - 1)) << 1 | (count > 1)).astype(np.uint32)
+            count = np.minimum(count, (1 << COUNT_BITS) - 1)
+            packed = ((cell & ((1 << SEGMENT_BITS) - 1)) << COUNT_BITS | count).astype(np.uint32)
             segment = (cell >> SEGMENT_BITS) * DEPTH + row
             at = np.flatnonzero(np.diff(segment, prepend=-1))
             for a, b in zip(at, np.append(at[1:], len(segment))):
                 yield int(segment[a]), packed[a:b].tobytes()
-        kinds, count = np.unique(values, return_counts=True)
-        if (often := count >= HOT_IN_BATCH).any():
-            yield -1, np.stack([kinds[often], count[often].astype(np.uint64)], 1).tobytes()
 
     def batch(values: list[np.ndarray]) -> pa.RecordBatch:
         made = list(blobs(np.concatenate(values)))
@@ -115,60 +116,49 @@ def _sketcher(window: int, bits: int):
 
 
 def _merge_segments(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows arrive sorted by segment; one segment's counters are held at a time.  Segment -1
-    holds minimisers frequent in a batch (a 64th of its values at most) with their counts,
-    and becomes the list of the hot ones."""
-    current, counts, often = None, None, np.zeros((0, 2), np.uint64)
+    """Rows arrive sorted by segment; one segment's counters are held at a time."""
+    current, counts = None, None
 
     def done() -> pa.RecordBatch:
-        if current == -1:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([-1], pa.int64()), pa.array([often[often[:, 1] >= HOT, 0].tobytes()], pa.binary())],
-                ["segment", "bits"])
+        hot = (counts >= HOT).reshape(-1, HOT_SPAN).any(axis=1)
         return pa.RecordBatch.from_arrays(
-            [pa.array([current], pa.int64()), pa.array([np.packbits(counts >= 2).tobytes()], pa.binary())],
-            ["segment", "bits"])
+            [pa.array([current], pa.int64()), pa.array([np.packbits(counts >= 2).tobytes()], pa.binary()),
+             pa.array([np.packbits(hot).tobytes()], pa.binary())], ["segment", "bits", "hot"])
 
     for b in batches:
         for segment, cells in zip(b.column("segment").to_pylist(), b.column("cells")):
             if segment != current:
                 if current is not None:
                     yield done()
-                current, counts = segment, np.zeros(1 << SEGMENT_BITS, np.uint8)
-            if segment == -1:
-                both = np.concatenate([often, np.frombuffer(cells.as_buffer(), np.uint64).reshape(-1, 2)])
-                kinds, back = np.unique(both[:, 0], return_inverse=True)
-                often = np.stack([kinds, np.bincount(back, both[:, 1]).astype(np.uint64)], 1)
-                continue
+                current, counts = segment, np.zeros(1 << SEGMENT_BITS, np.uint16)
             packed = np.frombuffer(cells.as_buffer(), np.uint32)
-            cell = packed >> 1
-            counts[cell] = np.minimum(counts[cell] + 1 + (packed & 1).astype(np.uint8), 2)
+            cell, count = packed >> COUNT_BITS, packed & ((1 << COUNT_BITS) - 1)
+            counts[cell] = np.minimum(counts[cell] + count, HOT)
     if current is not None:
         yield done()
 
 
-def build_sketch(rows: DataFrame, spark: SparkSession, window: int, bits: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """The merged sketch, one packed bit array ("count of two or more") per sketch row, and
-    the hot minimisers."""
+def build_sketch(rows: DataFrame, spark: SparkSession, window: int, bits: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The merged sketch, two packed bit arrays per sketch row: "count of two or more" by
+    cell and "count of ``HOT`` or more" by ``HOT_SPAN`` cells."""
     parts = map_batches(rows.select("text"), _sketcher(window, bits), "segment bigint, cells binary")
     merged = map_batches(parts.repartition("segment").sortWithinPartitions("segment"), _merge_segments,
-                         "segment bigint, bits binary")
-    segment_bytes = 1 << max(min(bits, SEGMENT_BITS) - 3, 0)
+                         "segment bigint, bits binary, hot binary")
     sketch = [np.zeros(1 << (bits - 3), np.uint8) for _ in range(DEPTH)]
-    hot = np.zeros(0, np.uint64)
-    for r in merged.toLocalIterator():  # at most MAX_SKETCH_BYTES in all, and one hot value per HOT counts
-        if r["segment"] == -1:
-            hot = np.frombuffer(r["bits"], np.uint64)
-            continue
+    hot = [np.zeros(len(x) // HOT_SPAN, np.uint8) for x in sketch]
+    for r in merged.toLocalIterator():  # max_sketch_bytes and a 16th in all
         at, row = divmod(r["segment"], DEPTH)
-        sketch[row][at * segment_bytes:(at + 1) * segment_bytes] = np.frombuffer(r["bits"], np.uint8)[:segment_bytes]
+        for whole, part in ((sketch[row], r["bits"]), (hot[row], r["hot"])):
+            size = min(len(part), len(whole))
+            whole[at * size:(at + 1) * size] = np.frombuffer(part, np.uint8)[:size]
     return sketch, hot
 
 
-def _maybe_repeated(values: np.ndarray, sketch: list[np.ndarray], bits: int) -> np.ndarray:
+def _in_sketch(values: np.ndarray, packed_rows: list[np.ndarray], bits: int, span: int = 1) -> np.ndarray:
+    """Whether the bit of a value (of its ``span`` cells) is set in every sketch row."""
     out = np.ones(len(values), bool)
-    for row, packed in enumerate(sketch):
-        cell = _cells(values, row, bits)
+    for row, packed in enumerate(packed_rows):
+        cell = _cells(values, row, bits) // span
         out &= (packed[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1).astype(bool)
     return out
 
@@ -192,7 +182,7 @@ _FOUND = "dealt bigint, doc binary, starts binary, hashes binary"
 def _candidates(window: int, bits: int, sketch):
     """Rows with hashes: windows for the exact pass, dealt by minimiser (by their own hash if
     that is hot); without: starts already settled, which only pass through."""
-    def settle(held: list[tuple], hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def settle(held: list[tuple], hot: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         low, doc, start, h1, h2 = (np.concatenate([h[i] for h in held]) for i in range(5))
         keys = [k for h in held for k in h[5]]
         repeated, first = _repeats(h1, h2)
@@ -205,7 +195,7 @@ def _candidates(window: int, bits: int, sketch):
         send = np.flatnonzero(~repeated | first)
         flagged = start[send].astype(np.uint32) | np.where(repeated[send], _FLAG, np.uint32(0))
         both = np.stack([h1[send], h2[send]], 1)
-        dealt, doc = np.where(np.isin(low[send], hot), h1[send], low[send]), doc[send]
+        dealt, doc = np.where(_in_sketch(low[send], hot, bits, HOT_SPAN), h1[send], low[send]), doc[send]
         new = np.ones(len(send), bool)
         new[1:] = (dealt[1:] != dealt[:-1]) | (doc[1:] != doc[:-1])
         cut = np.flatnonzero(new)
@@ -233,7 +223,7 @@ def _candidates(window: int, bits: int, sketch):
                 if not len(run_at) or run_at[0] != 0:
                     run_at = np.append(0, run_at)
                 sizes = np.diff(np.append(run_at, len(at)))
-                at = at[np.repeat(_maybe_repeated(found.low[at[run_at]], bitmap, bits), sizes)]
+                at = at[np.repeat(_in_sketch(found.low[at[run_at]], bitmap, bits), sizes)]
                 if not len(at):
                     continue
                 doc = w.doc[at]
