@@ -39,6 +39,12 @@ def pick(df: DataFrame, **types: str) -> DataFrame:
                        for c, t in types.items()])
 
 
+def packed(df: DataFrame, names: list[str] | None = None) -> Column:
+    """The caller's columns as one struct ``own``: an operator's own columns stand beside it and
+    cannot clash with any of them; ``select("own.*")`` gives the caller's rows back unchanged."""
+    return F.struct(*[F.col(f"`{c}`") for c in (df.columns if names is None else names)]).alias("own")
+
+
 def stored(df: DataFrame, spark: SparkSession, tag: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back."""
     path = shared_path(spark, "llm", tag, unique=True)

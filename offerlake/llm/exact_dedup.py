@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlake.llm.common import map_batches, pick, prepare
+from offerlake.llm.common import map_batches, packed, pick, prepare
 
 MEMORY_BYTES = 64 << 20
 FANOUT_BITS = 4
@@ -200,9 +200,8 @@ def exact_groups(docs: DataFrame, spark: SparkSession, memory_bytes: int = MEMOR
 def drop_duplicates(docs: DataFrame, spark: SparkSession, memory_bytes: int = MEMORY_BYTES) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns unchanged."""
     prepare(spark)
-    names = docs.columns
-    keep = groups(docs, memory_bytes).select(F.col("sha").alias("__sha"), F.col("keep_id").alias("__keep"))
-    own = docs.withColumn("__sha", F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit(""))
-                                                  .cast("binary"), 256)))
-    on = (own["__sha"] == keep["__sha"]) & own["doc_id"].cast("bigint").eqNullSafe(keep["__keep"])
-    return own.join(keep, on, "left_semi").dropDuplicates(["__sha"]).select(*[F.col(f"`{c}`") for c in names])
+    keep = groups(docs, memory_bytes).select("sha", "keep_id")
+    sha = F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256))
+    own = docs.select(packed(docs), F.col("doc_id").cast("bigint").alias("id"), sha.alias("sha"))
+    on = (own["sha"] == keep["sha"]) & own["id"].eqNullSafe(keep["keep_id"])
+    return own.join(keep, on, "left_semi").dropDuplicates(["sha"]).select("own.*")

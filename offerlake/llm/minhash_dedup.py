@@ -17,8 +17,8 @@ band (``rows`` coordinates) are candidates:
   band collisions with others; links are verified on the complete shingle sets and linked
   nodes contracted to components;
 * rest round: buckets that still hold several components compare the members of different
-  components block by block (``BLOCK`` nodes a side, so no task holds a bucket) on the full
-  signatures; pairs estimated within ``SLACK`` of the threshold are verified exactly.
+  components block by block (``BLOCK`` nodes a side, so no task holds a bucket) on their
+  complete shingle sets; only the components that such a link touches are worked on again.
 
 Inside a component no further pair can change the classes, so no link between classes is
 lost, and a group of copies costs one row per member, not one per pair.  With 24 bands of 6
@@ -40,8 +40,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlake.llm.common import keep_keys, map_batches, pick, prepare, row_key, stored
-from offerlake.llm.components import components
+from offerlake.llm.common import keep_keys, map_batches, packed, pick, prepare, row_key, stored
+from offerlake.llm.components import components, joined
 from offerlake.llm.textnp import alnum_or_high, byte_values, grams, mix, sets_of, words
 
 SHINGLE = 5
@@ -340,7 +340,7 @@ def near_duplicates(docs: DataFrame, spark: SparkSession, threshold: float = 0.8
     comps = components(links, spark)
     more = stored(_rest_links(members.select("key", "node"), comps, nodes, sets, threshold, weighting), spark, "links")
     if more.limit(1).count():
-        comps = components(links.union(more), spark)
+        comps = joined(comps, more, spark)
     by_node = (signed.where("node IS NOT NULL").groupBy("node")
                .agg(F.min("doc_id").alias("low"), F.count("*").alias("n"))
                .join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
@@ -355,10 +355,9 @@ def near_duplicates(docs: DataFrame, spark: SparkSession, threshold: float = 0.8
 
 def drop_near_duplicates(docs: DataFrame, spark: SparkSession, threshold: float = 0.8) -> DataFrame:
     """``docs`` with one row of each near-duplicate class, all columns unchanged."""
-    names = docs.columns
     found = near_duplicates(docs, spark, threshold).where("kept")
     # Rows without words are classes of their own; of rows that share id and class one stays.
-    one = found.groupBy("class_key").agg(F.min("row").alias("__row"))
-    keep = stored(one.select("__row").distinct(), spark, "kept")
-    own = docs.withColumn("__row", row_key(F.col("doc_id").cast("bigint"), F.col("text").cast("string")))
-    return keep_keys(own, keep, "__row").dropDuplicates(["__row"]).select(*[F.col(f"`{c}`") for c in names])
+    one = found.groupBy("class_key").agg(F.min("row").alias("row"))
+    keep = stored(one.select("row").distinct(), spark, "kept")
+    own = docs.select(packed(docs), row_key(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).alias("row"))
+    return keep_keys(own, keep, "row").dropDuplicates(["row"]).select("own.*")

@@ -36,7 +36,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from offerlake.llm.common import pick, prepare, row_key, stored
+from offerlake.llm.common import packed, pick, prepare, row_key, stored
 
 SECTIONS = 16
 ROUNDS = 7
@@ -163,16 +163,14 @@ def mix_documents(docs: DataFrame, spark: SparkSession, mixture: Mixture = Mixtu
     counted on the slim table and joined to the texts by row identity; repeated rows share
     their copies evenly."""
     prepare(spark)
-    names = docs.columns
     slim = stored(_slim(docs), spark, "mixing")
     plan, buckets = plan_mixture(slim, spark, mixture)
     counts = _ordered_copies(slim, plan, mixture, buckets).groupBy("__row").agg(F.count("*").alias("__n"))
     counts = counts.join(slim.groupBy("__row").agg(F.count("*").alias("__m")), "__row")
-    own = docs.withColumn("__row", row_key(F.col("doc_id").cast("bigint"), F.col("source").cast("string"),
-                                           F.col("text").cast("string")))
+    own = docs.select(packed(docs), row_key(F.col("doc_id").cast("bigint"), F.col("source").cast("string"),
+                                            F.col("text").cast("string")).alias("__row"))
     nth = F.row_number().over(Window.partitionBy("__row").orderBy("__row"))
     extra = (F.col("__nth") <= F.col("__n") % F.col("__m")).cast("int")
     own = own.join(counts, "__row").withColumn("__nth", nth)
     times = (F.floor(F.col("__n") / F.col("__m")) + extra).cast("int")
-    return (own.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), times)))
-            .select(*[F.col(f"`{c}`") for c in names]))
+    return own.select("own", F.explode(F.array_repeat(F.lit(0), times)).alias("copy")).select("own.*")

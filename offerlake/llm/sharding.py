@@ -25,7 +25,7 @@ import heapq
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from offerlake.llm.common import pick, prepare, stored
+from offerlake.llm.common import packed, pick, prepare, stored
 
 UNITS_PER_SHARD = 400
 ROWS_PER_SALT = 2000
@@ -106,7 +106,8 @@ def add_shards(docs: DataFrame, spark: SparkSession, shards: int = 24) -> DataFr
     """``docs`` with ``shard`` and ``slot`` (columns of those names are replaced)."""
     prepare(spark)
     names = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in names])
-    keyed = _keys(rows).withColumn("__id", F.col("doc_id").cast("bigint"))
+    whole = docs.select(packed(docs, names), F.col("doc_id").cast("bigint").alias("__id"),
+                        *[F.col(c) for c in names if c == "text"])
+    keyed = _keys(whole).drop("text")
     slim = stored(keyed.select("__id", "__size", "__crc", "__group"), spark, "sharding")
-    return place(keyed, slim, spark, shards).select(*[F.col(f"`{c}`") for c in names], "shard", "slot")
+    return place(keyed, slim, spark, shards).select("own.*", "shard", "slot")

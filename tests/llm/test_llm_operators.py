@@ -12,10 +12,11 @@ import duckdb
 import numpy as np
 import pytest
 from conftest import SF_MID, SF_SMALL
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from offerlake.llm import (common, decontaminate, exact_dedup, language_id, license_scan, minhash_dedup, mixing, queries,
-                           sharding, substring_dedup, toxicity, url_filter)
+from offerlake.llm import (common, components, decontaminate, exact_dedup, language_id, license_scan, minhash_dedup, mixing,
+                           queries, sharding, substring_dedup, toxicity, url_filter)
 
 CLASH = ("row string, node string, size string, shard string, slot string, epoch string, tokens string, `key` string, "
          "host string, doc string, found string, position string, weight string, score string")
@@ -111,6 +112,55 @@ def test_near_duplicates_of_a_star_group_and_messy_rows(spark, messy, messy_rows
     assert minhash_dedup.drop_near_duplicates(nothing, spark).count() == 0
 
 
+def _components(edges):
+    up = {x: x for e in edges for x in e}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        up[max(a, b)] = min(a, b)
+    return {x: find(x) for x in up}
+
+
+@pytest.mark.parametrize("shape", ["chain", "star", "random", "settled", "nothing"])
+def test_components_and_later_edges_match_union_find(spark, shape):
+    rng = random.Random(21)
+    name = [bytes([rng.randrange(256) for _ in range(4)]) + bytes([i]) for i in range(200)]
+    pairs = {"chain": [(i, i + 1) for i in range(60)], "star": [(0, i) for i in range(1, 80)] + [(79, 80)],
+             "random": [(rng.randrange(200), rng.randrange(200)) for _ in range(130)],
+             "settled": [], "nothing": []}[shape]
+    edges = [(name[a], name[b]) for a, b in pairs if a != b]
+    if shape == "settled":
+        low = sorted(name)
+        edges = [(low[i], low[100 + i]) for i in range(50)]
+    later = [(name[rng.randrange(200)], name[rng.randrange(200)]) for _ in range(40)] + edges[:3]
+    later = [(a, b) for a, b in later if a != b]
+    schema = "a binary, b binary"
+    comps = components.components(spark.createDataFrame(edges, schema), spark)
+    assert sorted((bytes(r.node), bytes(r.comp)) for r in comps.collect()) == sorted(_components(edges).items())
+    for more in (later, []):
+        got = components.joined(comps, spark.createDataFrame(more, schema), spark).collect()
+        assert sorted((bytes(r.node), bytes(r.comp)) for r in got) == sorted(_components(edges + more).items())
+
+
+def test_helper_columns_cannot_clash_with_the_callers(spark, messy):
+    names = ["__row", "__sha", "__keep", "__group", "__size", "__crc", "__id", "__salt", "__at", "__before", "__bundle",
+             "__n", "__m", "__nth", "__copy", "__source", "__tokens", "own", "id", "copy", "sha"]
+    docs = messy.select("doc_id", "text", "source", *[F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names])
+    want = {(r.doc_id, r.text): tuple(r) for r in docs.collect()}
+    outs = {"near": minhash_dedup.drop_near_duplicates(docs, spark), "exact": exact_dedup.drop_duplicates(docs, spark),
+            "mixed": mixing.mix_documents(docs, spark, mixing.Mixture(max_repeats=2.0)),
+            "shards": sharding.add_shards(docs, spark, 4)}
+    for kind, out in outs.items():
+        assert out.columns == docs.columns + ["shard", "slot"] * (kind == "shards")
+        rows = out.collect()
+        assert rows and all(tuple(r)[:len(docs.columns)] == want[(r.doc_id, r.text)] for r in rows), kind
+
+
 def test_hot_bucket_keeps_links_between_components(spark, monkeypatch):
     """A chain of edits around one text: every class must equal brute force, also when the
     bucket is cut into many blocks."""
@@ -697,7 +747,10 @@ def test_substring_dedup_matches_brute_force(spark, messy, messy_rows, nothing,
         assert substring_dedup.remove_repeats(nothing, spark).count() == 0
 
 
-def test_windows_around_a_frequent_short_line_are_dealt_apart(spark):
+@pytest.mark.parametrize("flush", [1 << 20, 500])
+def test_windows_around_a_frequent_short_line_are_dealt_apart(spark, monkeypatch, flush):
+    """Also where no batch holds the line's minimiser more than a few times."""
+    monkeypatch.setattr(substring_dedup, "FLUSH", flush)
     rng = random.Random(12)
     line = _words(rng, 20)
     texts = [f"{' '.join(f'a{i}x{j}' for j in range(40))} {line} {' '.join(f'b{i}x{j}' for j in range(40))}" for i in range(1500)]
@@ -855,7 +908,8 @@ def test_grace_recursion_splits_until_buckets_fit(tmp_path):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_SMALL}/documents.parquet')")
+    for name_of in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name_of} AS SELECT * FROM read_parquet('{SF_SMALL}/{name_of}.parquet')")
     rel = con.sql(queries.oracle_sql()[name])
     got = queries.queries()[name](spark, SF_SMALL).select(*rel.columns).collect()
     assert Counter(tuple(r) for r in got) == Counter(rel.fetchall())
