@@ -1,8 +1,12 @@
 """HTML extraction: field rules (nesting, order, white space, absence, letters) on pages
 of our own, helpers and parser robustness."""
 
+import random
+
+import pyarrow as pa
 import pytest
 
+from offerlake.operators import html_extract as X
 from offerlake.operators.html_extract import Field, Sel, extract_one, parse_html, text_of
 from offerlake.sources import pages as P
 
@@ -174,3 +178,60 @@ def test_character_references():
     }
     for html_text, want in cases.items():
         assert text_of(parse_html(html_text)) == want, html_text
+
+
+REGULAR = [
+    "", "text", "a &amp; b & c &copy; &#147;&#x41; AT&T x<p>y", '<!DOCTYPE html><p class="lxul5ps z">a<!-- c --> b</p>',
+    '<script>var t = "</span><b>";</script><SPAN Data-Test="x" data-test=y hidden>t</span></i><br/>z<img src="a>b">',
+    "<div><p title='&lt;q&gt;'>one<p>two</div>three</p><style>p < q</STYLE><ul><li>1<li>2</ul>",
+]
+IRREGULAR = ["<a href=b/>x</a>", "<p>&amp<b>c</b></p>", "<script>x", "<p", "<a b = 'c'>x</a>", "<!-- a -- b -->c", "</ p>x", "<?pi?>x"]
+
+
+def _tree_elements(root):
+    left, out = [root], []
+    while left:
+        el = left.pop()
+        out.append((el.pre, el.post, el.tag, el.attrs, text_of(el)))
+        left += [c for c in reversed(el.children) if isinstance(c, X.Element)]
+    return out
+
+
+def _flat_elements(root):
+    tag_of = {0: "[document]"} | {n: t for t, ns in root.page.index.items() for n in ns}
+    nodes = [X.Node(root.page, n) for n in range(len(root.page.attrs))]
+    return [(e.n, e.page.post[e.n], tag_of[e.n], e.attrs, text_of(e)) for e in nodes]
+
+
+def test_regular_pages_need_no_tree():
+    for html in REGULAR:
+        root = X.parse_page(html)
+        assert isinstance(root, X.Node), html
+        assert _flat_elements(root) == _tree_elements(parse_html(html)), html
+    for html in IRREGULAR:
+        assert isinstance(X.parse_page(html), X.Element), html
+
+
+def test_random_markup_reads_as_the_tree_does():
+    pieces = [*REGULAR, *IRREGULAR, "<p>", "</p>", "<b x='1' X=\"2\">", "</b>", " & ", "&#12;", "&T ", "<br>", "<", ">", '"', "<SCRIPT/>",
+              "</script >", "<!-->", "<!--x-->", "<li class=a>", "\x1f", "\x0b", "<x-y:z.q>", "</x-y:z.q>", "<a b=\"1\"c=2>"]
+    rng = random.Random(7)
+    flat = 0
+    for _ in range(5000):
+        html = "".join(rng.choice(pieces) for _ in range(rng.randint(1, 6)))
+        root = X.parse_page(html)
+        if isinstance(root, X.Node):
+            flat += 1
+            assert _flat_elements(root) == _tree_elements(parse_html(html)), html
+    assert flat > 500
+
+
+def test_few_pages_are_python_objects_at_a_time():
+    batch = pa.RecordBatch.from_arrays([pa.array([*["x" * 1000] * 10_000, None, "y" * (X.SLICE_BYTES + 1), ""])], ["html"])
+    parts = list(X._slices(batch, "html"))
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
+    assert all(p.num_rows <= X.SLICE_ROWS for p in parts)
+    assert all(p.num_rows == 1 or sum(len(v or "") for v in p[0].to_pylist()) <= X.SLICE_BYTES for p in parts)
+    wide = pa.RecordBatch.from_arrays([pa.array(["z" * 1_000_000] * 9)], ["html"])
+    assert [p.num_rows for p in X._slices(wide, "html")] == [4, 4, 1]
+    assert list(X._slices(batch.slice(0, 0), "html")) == []
