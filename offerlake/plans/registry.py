@@ -44,6 +44,14 @@ def derived_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_silver(derived_bronze(spark, sf_dir), as_of=AS_OF)
 
 
+def stored(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """``rows`` written once under the shared checkpoint root: a query that reads them several
+    times derives them once, and each reading takes the columns it needs from Parquet."""
+    path = shared_path(spark, "stored", unique=True)
+    rows.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _view(name: str) -> Callable[[SparkSession, str], DataFrame]:
     fn = gold.VIEWS[name]
 
@@ -59,14 +67,16 @@ def relisted_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver in which some listings occur twice, the second time with other pay and with
     blank and repeated technologies: counts of listings and of rows differ."""
     silver = derived_silver(spark, sf_dir)
-    again = silver.where(F.expr("ascii(right(job_listing_id, 1)) % 3 = 0")).withColumns({
-        "min_salary": (F.col("min_salary") + 1000).cast(silver.schema["min_salary"].dataType),
-        "expected_technologies": F.concat("expected_technologies", F.lit(",,Relisting, Relisting"))})
-    return silver.union(again)
+    once, twice = F.array(F.lit(False)), F.array(F.lit(False), F.lit(True))
+    listed = silver.withColumn("__again", F.explode(F.when(F.expr("ascii(right(job_listing_id, 1)) % 3 = 0"), twice).otherwise(once)))
+    again = {"min_salary": (F.col("min_salary") + 1000).cast(silver.schema["min_salary"].dataType),
+             "expected_technologies": F.concat("expected_technologies", F.lit(",,Relisting, Relisting"))}
+    return listed.withColumns({c: F.when(F.col("__again"), v).otherwise(F.col(c)) for c, v in again.items()}).drop("__again")
 
 
 RELISTED = ("v_job_market_overview", "v_jobs_by_location", "v_jobs_by_contract_type", "v_jobs_by_work_mode",
             "v_jobs_by_level", "v_salary_insights", "v_top_technologies", "v_top_hiring_companies", "v_market_heatmap")
+READ_TWICE = ("v_salary_insights", "v_top_technologies")  # views that read Silver more than once
 
 
 def _relisted_view(name: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -74,6 +84,7 @@ def _relisted_view(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         silver = relisted_silver(spark, sf_dir)
+        silver = stored(spark, silver) if name in READ_TWICE else silver
         return fn(silver, AS_OF) if name == "v_job_market_overview" else fn(silver)
 
     run.__name__ = f"relisted_{name}"
@@ -217,9 +228,10 @@ def q_explode_technologies(spark, sf_dir):
 def two_snapshots(spark, sf_dir):
     """Snapshot A (first run) and a re-scrape B of every listing: B is newer for even
     order keys and older (a late file) for odd ones, with a changed title."""
-    a = derived_bronze(spark, sf_dir).withColumn("source_file", F.lit("snapshot_a.csv"))
+    rows = stored(spark, derived_bronze(spark, sf_dir))
+    a = rows.withColumn("source_file", F.lit("snapshot_a.csv"))
     k = F.substring_index("job_url", "-", -1).cast("bigint")
-    b = (derived_bronze(spark, sf_dir)
+    b = (rows
          .withColumn("job_title", F.concat(F.col("job_title"), F.lit(" [re-listed]")))
          .withColumn("ingestion_timestamp",
                      F.when(k % 2 == 0, F.lit(LATER_TS)).otherwise(F.lit(EARLIER_TS)))
@@ -245,7 +257,7 @@ def write_landing_fixture(spark, sf_dir) -> str:
     """Land the derived listings as an older and a newer snapshot plus an export whose
     name carries no timestamp; returns the landing directory."""
     landing = shared_path(spark, "landing", unique=True)
-    rows = derived_bronze(spark, sf_dir)
+    rows = stored(spark, derived_bronze(spark, sf_dir))
     L.write_csv_snapshot(rows.withColumn("job_title", F.concat("job_title", F.lit(" [old]"))), landing, OLD_RUN)
     L.write_csv_snapshot(rows, landing, NEW_RUN)
     rows.write.options(**L.CSV_WRITE_OPTIONS).csv(f"{landing}/manual_export.csv")
@@ -274,8 +286,9 @@ def q_html_fields(spark, sf_dir):
                      F.size("nav_links").alias("nav_count"))
 
 
-def fixture_pages(spark, sf_dir):
-    return P.render_fixture_pages(derived_bronze(spark, sf_dir), _order_key())
+def fixture_pages(spark, sf_dir, rows=None):
+    """(list pages, detail pages) of the derived listings; of ``rows``, if both are read."""
+    return P.render_fixture_pages(derived_bronze(spark, sf_dir) if rows is None else rows, _order_key())
 
 
 def q_detail_fields(spark, sf_dir):
@@ -292,7 +305,7 @@ def q_listing_cards(spark, sf_dir):
 
 
 def q_assemble_listings(spark, sf_dir):
-    list_pages, details = fixture_pages(spark, sf_dir)
+    list_pages, details = fixture_pages(spark, sf_dir, stored(spark, derived_bronze(spark, sf_dir)))
     return P.assemble_listings(P.listing_cards(list_pages),
                                P.detail_fields(details),
                                RUN_TS, derived.RUN_DATE)
@@ -379,27 +392,30 @@ def q_upsert_bronze(spark, sf_dir):
     return spark.table(t.name(t.bronze))
 
 
-def fixture_records(spark, sf_dir):
+def fixture_records(spark, sf_dir, rows=None):
     """Assembled listings with their lists as arrays."""
-    list_pages, details = fixture_pages(spark, sf_dir)
+    rows = stored(spark, derived_bronze(spark, sf_dir)) if rows is None else rows
+    list_pages, details = fixture_pages(spark, sf_dir, rows)
     return P.assemble_records(P.listing_cards(list_pages), P.detail_fields(details), RUN_TS, derived.RUN_DATE)
 
 
 def q_json_sink(spark, sf_dir):
     """Array-typed records -> JSON snapshot, newest of two -> typed scan, all 20 columns."""
     landing = shared_path(spark, "landing_json", unique=True)
-    records = fixture_records(spark, sf_dir)
-    L.write_json_snapshot(derived_records(spark, sf_dir).withColumn("job_title", F.lit("old")), landing, OLD_RUN)
+    rows = stored(spark, derived_bronze(spark, sf_dir))
+    records = fixture_records(spark, sf_dir, rows)
+    L.write_json_snapshot(derived_records(spark, sf_dir, rows).withColumn("job_title", F.lit("old")), landing, OLD_RUN)
     L.write_json_snapshot(records, landing, NEW_RUN)
     back = L.read_landing_json(spark, L.latest_snapshot(spark, landing, suffix="json"))
     size = [F.size(c).alias(f"n_{c}") for c in LIST_COLUMNS]  # -1 for NULL: lists come back as lists
     return L.flatten_lists(back.select(*LANDING_COLUMNS, *size))
 
 
-def derived_records(spark, sf_dir):
+def derived_records(spark, sf_dir, rows=None):
     """The derived listings with their lists split into arrays."""
     split = {"expected_technologies": L.TECH_SEPARATOR, "requirements": " \\| ", "responsibilities": " \\| "}
-    return derived_bronze(spark, sf_dir).withColumns({c: F.split(c, sep) for c, sep in split.items()})
+    rows = derived_bronze(spark, sf_dir) if rows is None else rows
+    return rows.withColumns({c: F.split(c, sep) for c, sep in split.items()})
 
 
 def q_flatten_lists(spark, sf_dir):
@@ -413,7 +429,7 @@ def write_mixed_landing(spark, sf_dir) -> str:
     """The derived listings as three runs whose files differ in their headers: the 20
     columns, 19 of them (without the posting date), and all in another order with one more."""
     landing = shared_path(spark, "landing_mixed", unique=True)
-    rows = derived_bronze(spark, sf_dir).select(*LANDING_COLUMNS)
+    rows = stored(spark, derived_bronze(spark, sf_dir).select(*LANDING_COLUMNS))
     third = F.pmod(_order_key(), F.lit(3))
     shuffled = ["job_url", "extra", *reversed(LANDING_COLUMNS[:-1])]
     for i, (stamp, part) in enumerate([("19980530", rows), ("19980531", rows.drop("job_posting_date")),
@@ -435,7 +451,7 @@ def q_drop_log_republished(spark, sf_dir):
     """Three units are loaded; then one is published again without its faults and one is
     loaded again: the log holds the first unit's rows no more and the others' once."""
     t = _fresh_tables(spark)
-    rows = bronze_metadata(derived_bronze(spark, sf_dir), source_file="derived:orders", loaded_at=RUN_TS)
+    rows = bronze_metadata(stored(spark, derived_bronze(spark, sf_dir)), source_file="derived:orders", loaded_at=RUN_TS)
     third = F.pmod(_order_key(), F.lit(3))
     clean = Q.valid_rows(rows)
 
@@ -471,7 +487,7 @@ def q_salary_sketch(spark, sf_dir):
     """Three snapshots' pay sketches are stored (one of them twice) and merged: are the
     quartiles of each location within the stated rank error of the exact ones?"""
     t = _fresh_tables(spark)
-    silver = derived_silver(spark, sf_dir).select("location", "min_salary", "job_url")
+    silver = stored(spark, derived_silver(spark, sf_dir).select("location", "min_salary", "job_url"))
     third = F.pmod(_order_key(), F.lit(3))
 
     def run():
@@ -550,7 +566,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["file_arrival_ingest"] = q_file_arrival_ingest
     q["silver_table"] = q_silver_table
     q |= {f"relisted_{name}": _relisted_view(name) for name in RELISTED}
-    q["relisted_gold_dashboard"] = lambda spark, sf_dir: gold.gold_dashboard(relisted_silver(spark, sf_dir))
+    q["relisted_gold_dashboard"] = lambda spark, sf_dir: gold.gold_dashboard(stored(spark, relisted_silver(spark, sf_dir)))
     q["registered_views"] = q_registered_views
     q["drop_log_table"] = q_drop_log_table
     q["upsert_bronze"] = q_upsert_bronze
