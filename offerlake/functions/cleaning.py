@@ -66,12 +66,13 @@ def convert_date(c: Column | str) -> Column:
     shape and captures all parts; U+001F, a white space, separates them, and text of any
     other shape becomes empty parts); the month is looked up lower-cased; a
     one-character day gets a leading zero (longer days are kept whole, never truncated).
-    The match is one common subexpression: generated code evaluates it once a row.
+    Empty parts need no test of their own: no month has an empty name.  A projection
+    evaluates the match once a row, a filter (which shares nothing) once per part.
     """
     parts = F.split(F.regexp_replace(col_of(c), rf"{_THREE_PARTS}|(?s:\A.*\z)", "$1\x1f$2\x1f$3"), "\x1f")
 
     def part(i: int) -> Column:
-        return F.nullif(F.get(parts, F.lit(i - 1)), F.lit(""))
+        return F.get(parts, F.lit(i - 1))
 
     month_num = F.try_element_at(literal_map(MONTH_NUMBERS), F.lower(part(2)))
     padded_day = F.regexp_replace(part(1), r"(?s)^(.)$", "0$1")

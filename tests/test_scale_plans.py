@@ -123,3 +123,34 @@ def test_segment_summary_on_monthly_pay(spark):
     out = gold.segment_summary(s, ["location"], measures=("min_salary_mth", "max_salary_mth"), coverage=None)
     assert set(out.columns) == {"location", "job_count", "company_count", "avg_min_salary", "avg_max_salary"}
     assert all(r.avg_max_salary is None for r in out.collect())
+
+
+def test_date_filter_matches_the_text_once_a_part(spark):
+    from offerlake.functions import cleaning as C
+    texts = spark.createDataFrame([("5 maja 2025",), ("a b\x1fc maja",), ("",), (None,)], "d string")
+    kept = texts.where(C.days_left(C.to_listing_date("d"), "2025-05-01") >= 0)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(d#") == 3  # a filter shares no subexpressions: day, month, year
+    assert [r.d for r in kept.collect()] == ["5 maja 2025"]
+
+
+def test_relisted_silver_derives_listings_once(spark):
+    from offerlake.plans import registry as R
+    out = R.relisted_silver(spark, SF_SMALL)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation [o_orderkey") == 1
+    silver = R.derived_silver(spark, SF_SMALL)
+    again = silver.where(F.expr("ascii(right(job_listing_id, 1)) % 3 = 0")).withColumns({
+        "min_salary": (F.col("min_salary") + 1000).cast("int"),
+        "expected_technologies": F.concat("expected_technologies", F.lit(",,Relisting, Relisting"))})
+    want = silver.union(again)
+    assert out.columns == want.columns and out.count() == want.count() > silver.count()
+    assert out.exceptAll(want).isEmpty()
+
+
+def test_listings_read_several_times_are_derived_once(spark):
+    from offerlake.plans import registry as R
+    a, b = R.two_snapshots(spark, SF_SMALL)
+    for df in (a, b, R.fixture_records(spark, SF_SMALL), R.queries()["relisted_v_top_technologies"](spark, SF_SMALL),
+               R.queries()["relisted_gold_dashboard"](spark, SF_SMALL)):
+        assert "o_orderkey" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert a.exceptAll(R.derived_bronze(spark, SF_SMALL).withColumn("source_file", F.lit("snapshot_a.csv"))).isEmpty()
