@@ -3,7 +3,7 @@ of our own, helpers and parser robustness."""
 
 import random
 
-import pyarrow as pa
+import pandas as pd
 import pytest
 
 from offerlake.operators import html_extract as X
@@ -226,12 +226,13 @@ def test_random_markup_reads_as_the_tree_does():
     assert flat > 500
 
 
-def test_few_pages_are_python_objects_at_a_time():
-    batch = pa.RecordBatch.from_arrays([pa.array([*["x" * 1000] * 10_000, None, "y" * (X.SLICE_BYTES + 1), ""])], ["html"])
-    parts = list(X._slices(batch, "html"))
-    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
-    assert all(p.num_rows <= X.SLICE_ROWS for p in parts)
-    assert all(p.num_rows == 1 or sum(len(v or "") for v in p[0].to_pylist()) <= X.SLICE_BYTES for p in parts)
-    wide = pa.RecordBatch.from_arrays([pa.array(["z" * 1_000_000] * 9)], ["html"])
-    assert [p.num_rows for p in X._slices(wide, "html")] == [4, 4, 1]
-    assert list(X._slices(batch.slice(0, 0), "html")) == []
+def test_values_of_few_pages_are_held_at_a_time():
+    pages = ["x" * 1000] * 10_000 + [None, "y" * (X.SLICE_BYTES + 1), ""]
+    pdf = pd.DataFrame({"id": range(len(pages)), "html": pages})
+    parts = list(X._slices(pdf, "html"))
+    assert pd.concat(parts).equals(pdf)
+    assert all(len(p) <= X.SLICE_ROWS for p in parts)
+    assert all(len(p) == 1 or sum(len(v or "") for v in p["html"]) <= X.SLICE_BYTES for p in parts)
+    wide = pd.DataFrame({"html": ["z" * 1_000_000] * 9})
+    assert [len(p) for p in X._slices(wide, "html")] == [4, 4, 1]
+    assert list(X._slices(pdf.iloc[:0], "html")) == []
