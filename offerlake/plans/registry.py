@@ -251,6 +251,7 @@ def q_dedup_latest(spark, sf_dir):
 
 OLD_RUN = _dt.datetime(1998, 5, 31, 2, 0, 0)
 NEW_RUN = _dt.datetime(1998, 6, 1, 2, 0, 0)
+PACKED = "gzip"  # of landed text: a listing takes some 400 bytes as CSV, 800 as JSON
 
 
 def write_landing_fixture(spark, sf_dir) -> str:
@@ -404,8 +405,8 @@ def q_json_sink(spark, sf_dir):
     landing = shared_path(spark, "landing_json", unique=True)
     rows = stored(spark, derived_bronze(spark, sf_dir))
     records = fixture_records(spark, sf_dir, rows)
-    L.write_json_snapshot(derived_records(spark, sf_dir, rows).withColumn("job_title", F.lit("old")), landing, OLD_RUN)
-    L.write_json_snapshot(records, landing, NEW_RUN)
+    L.write_json_snapshot(derived_records(spark, sf_dir, rows).withColumn("job_title", F.lit("old")), landing, OLD_RUN, compression=PACKED)
+    L.write_json_snapshot(records, landing, NEW_RUN, compression=PACKED)
     back = L.read_landing_json(spark, L.latest_snapshot(spark, landing, suffix="json"))
     size = [F.size(c).alias(f"n_{c}") for c in LIST_COLUMNS]  # -1 for NULL: lists come back as lists
     return L.flatten_lists(back.select(*LANDING_COLUMNS, *size))

@@ -3,7 +3,9 @@
 A snapshot is one landing unit named ``<prefix>_yyyyMMdd_HHmmss`` (a single ``.csv``
 file, or a directory of part files written by Spark).  Multi-line CSV files are not
 splittable, so the sink writes several part files per snapshot (one read task each)
-rather than funnelling a run through one file.
+rather than funnelling a run through one file.  For the same reason compressing them
+(``compression="gzip"``: files ``*.csv.gz``) costs no read task; discovery and scans take
+plain and compressed files alike.
 """
 
 from __future__ import annotations
@@ -36,6 +38,10 @@ CSV_WRITE_OPTIONS = {"header": "true", "emptyValue": "", "escape": '"',
 CSV_READ_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "mode": "PERMISSIVE"}
 
 
+#: Compressed landing files that are found beside plain ones.
+COMPRESSED = ".gz"
+
+
 def flatten_lists(df: DataFrame) -> DataFrame:
     """Array columns -> strings: technologies joined by ', ', requirements and
     responsibilities by ' | ' (an empty list gives '')."""
@@ -88,12 +94,14 @@ def write_csv_snapshot(df: DataFrame, landing_dir: str, run_ts: _dt.datetime,
 
 
 def write_json_snapshot(df: DataFrame, landing_dir: str, run_ts: _dt.datetime,
-                        prefix: str = DEFAULT_PREFIX) -> str | None:
+                        prefix: str = DEFAULT_PREFIX, compression: str = "none") -> str | None:
     """Write one run as a JSON-lines snapshot of the 20 landing columns: lists stay arrays,
-    NULL fields are written out; returns its path, or None for an empty run."""
+    NULL fields are written out; returns its path, or None for an empty run.  ``compression``
+    as for CSV; a compressed file is read by one task, a plain one may be split."""
     rows = df.select(*[F.col(f.name).cast(f.dataType) for f in RECORD_SCHEMA.fields])
     path = f"{landing_dir.rstrip('/')}/{snapshot_name(run_ts, prefix)[:-4]}.json"
-    return _publish_snapshot(lambda r, to: r.write.option("ignoreNullFields", "false").json(to), rows, path)
+    options = {"ignoreNullFields": "false", "compression": compression}
+    return _publish_snapshot(lambda r, to: r.write.options(**options).json(to), rows, path)
 
 
 def name_timestamp(path: Column, prefix: str = DEFAULT_PREFIX) -> Column:
@@ -163,11 +171,16 @@ def being_written(spark: SparkSession, unit: str) -> bool:
     return fs.exists(p)
 
 
+def file_glob(suffix: str = "csv") -> str:
+    """Names of landing files of one kind, plain and compressed."""
+    return f"*.{{{suffix},{suffix}{COMPRESSED}}}"
+
+
 def list_landing_files(spark: SparkSession, landing_dir: str, suffix: str = "csv") -> DataFrame:
-    """(path, length, modificationTime) of every ``*.<suffix>`` file under the landing dir; a
-    binaryFile scan without its content column, so file contents are never read."""
+    """(path, length, modificationTime) of every ``*.<suffix>`` file, plain or compressed, under
+    the landing dir; a binaryFile scan without its content column, so file contents are never read."""
     return (spark.read.format("binaryFile")
-            .option("pathGlobFilter", f"*.{suffix}")
+            .option("pathGlobFilter", file_glob(suffix))
             .option("recursiveFileLookup", "true")
             .load(landing_dir)
             .select("path", "length", "modificationTime"))
