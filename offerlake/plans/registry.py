@@ -422,7 +422,7 @@ def derived_records(spark, sf_dir, rows=None):
 def q_flatten_lists(spark, sf_dir):
     """Array-typed records -> CSV snapshot (lists flattened) -> newest snapshot by name."""
     landing = shared_path(spark, "landing", unique=True)
-    L.write_csv_snapshot(fixture_records(spark, sf_dir), landing, NEW_RUN)
+    L.write_csv_snapshot(fixture_records(spark, sf_dir), landing, NEW_RUN, compression=PACKED)
     return L.read_landing_csv(spark, L.latest_snapshot(spark, landing)).select(*LANDING_COLUMNS)
 
 

@@ -79,18 +79,20 @@ def _publish_snapshot(writer, rows: DataFrame, path: str) -> str | None:
 
 
 def write_csv_snapshot(df: DataFrame, landing_dir: str, run_ts: _dt.datetime,
-                       prefix: str = DEFAULT_PREFIX, files: int | None = None) -> str | None:
+                       prefix: str = DEFAULT_PREFIX, files: int | None = None,
+                       compression: str = "none") -> str | None:
     """Write one run as a CSV snapshot; returns its path, or None for an empty run.
 
     Takes landing rows, their lists as arrays or flattened.  Header row, empty strings
     written as empty fields, '"' escaping, overwrite of a snapshot with the same name.
-    ``files`` optionally sets the number of part files.
+    ``files`` optionally sets the number of part files, ``compression`` ("gzip") packs them.
     """
     rows = flatten_lists(df).select(*[F.col(c).cast("string") for c in LANDING_COLUMNS])
     if files:
         rows = rows.repartition(files)
     path = f"{landing_dir.rstrip('/')}/{snapshot_name(run_ts, prefix)}"
-    return _publish_snapshot(lambda r, to: r.write.options(**CSV_WRITE_OPTIONS).csv(to), rows, path)
+    options = {**CSV_WRITE_OPTIONS, "compression": compression}
+    return _publish_snapshot(lambda r, to: r.write.options(**options).csv(to), rows, path)
 
 
 def write_json_snapshot(df: DataFrame, landing_dir: str, run_ts: _dt.datetime,
@@ -221,17 +223,26 @@ def latest_snapshot(spark: SparkSession, landing_dir: str, prefix: str = DEFAULT
     return best["unit"]
 
 
+def spread_over_cores(spark: SparkSession, path: str) -> bool:
+    """Do the CSV files of ``path``, a task each, keep all cores busy by themselves (the
+    largest holds no more than two cores' share)?"""
+    total, largest = list_landing_files(spark, path).agg(F.sum("length"), F.max("length")).first()
+    return bool(total) and largest * spark.sparkContext.defaultParallelism <= 2 * total
+
+
 def read_landing_csv(spark: SparkSession, path: str, with_source: bool = True) -> DataFrame:
     """By-name CSV scan: all strings, header names mapped to the 20 landing columns,
     missing columns added as NULL, extra columns ignored.  A multi-line file is one task;
-    the rebalance hint lets AQE cut what it read into partitions of advisory size."""
+    if its files do not keep the cores busy, the rebalance hint lets AQE cut what they hold
+    into partitions of advisory size, else no row is shuffled."""
     raw = spark.read.options(**CSV_READ_OPTIONS).csv(path)
     present = set(raw.columns)
     cols = [F.col(f"`{c}`") if c in present else F.lit(None).cast("string").alias(c)
             for c in LANDING_COLUMNS]
     if with_source:
         cols.append(F.col("_metadata.file_path").alias("source_file"))
-    return raw.select(*cols).hint("rebalance")
+    rows = raw.select(*cols)
+    return rows if spread_over_cores(spark, path) else rows.hint("rebalance")
 
 
 def read_latest_snapshot(spark: SparkSession, landing_dir: str, prefix: str = DEFAULT_PREFIX) -> DataFrame:

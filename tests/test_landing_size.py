@@ -1,9 +1,10 @@
-"""Packed landing files."""
+"""Packed landing files, and units that are read without a shuffle."""
 
 import datetime as dt
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from offerlake.plans import registry as R
@@ -34,6 +35,18 @@ def values(df):
     return sorted(map(repr, (tuple(r) for r in df.select(*LANDING_COLUMNS).collect())))
 
 
+def test_packed_csv_is_found_and_read_like_plain(spark, scratch_dir):
+    rows = listings(spark)
+    plain = L.write_csv_snapshot(rows, scratch_dir, RUN, files=3)
+    packed = L.write_csv_snapshot(rows, scratch_dir, LATER, files=3, compression="gzip")
+    assert files_of(plain, "csv") and all(p.endswith(".csv") for p in files_of(plain, "csv"))
+    assert files_of(packed, "csv") and all(p.endswith(".csv.gz") for p in files_of(packed, "csv"))
+    units = {r.unit.rsplit("/", 1)[-1]: r.files for r in L.snapshot_candidates(spark, scratch_dir).collect()}
+    assert units == {os.path.basename(plain): len(files_of(plain, "csv")), os.path.basename(packed): len(files_of(packed, "csv"))}
+    assert L.latest_snapshot(spark, scratch_dir).endswith("20250502_020000.csv")
+    assert values(L.read_latest_snapshot(spark, scratch_dir)) == values(L.read_landing_csv(spark, plain))
+
+
 def test_packed_json_is_found_and_read_like_plain(spark, scratch_dir):
     rows = listings(spark)
     arrays = {f.name: F.split(f.name, ", ") for f in RECORD_SCHEMA.fields if f.dataType.typeName() == "array"}
@@ -45,14 +58,26 @@ def test_packed_json_is_found_and_read_like_plain(spark, scratch_dir):
     assert values(L.read_landing_json(spark, packed)) == values(L.read_landing_json(spark, plain)) == values(records)
 
 
+@pytest.mark.parametrize("compression", ["none", "gzip"])
+def test_only_units_of_few_files_are_shuffled(spark, scratch_dir, compression):
+    rows = listings(spark, 400)
+    many = L.write_csv_snapshot(rows, f"{scratch_dir}/many", RUN, files=8, compression=compression)
+    one = L.write_csv_snapshot(rows, f"{scratch_dir}/one", RUN, files=1, compression=compression)
+
+    def shuffles(path):
+        return "Rebalance" in L.read_landing_csv(spark, path)._jdf.queryExecution().optimizedPlan().toString()
+    assert not shuffles(many) and shuffles(one)
+    assert values(L.read_landing_csv(spark, many)) == values(L.read_landing_csv(spark, one))
+
+
 def landed(spark, folder):
     root = checkpoint_root(spark).removeprefix("file:")
     return sorted(glob.glob(f"{root}/offerlake/{folder}/*"), key=os.path.getmtime)[-1]
 
 
-def test_json_sink_lands_packed(spark, monkeypatch):
+def test_json_and_flattened_sinks_land_packed(spark, monkeypatch):
     monkeypatch.setattr(R, "derived_bronze", lambda spark, _: listings(spark))
-    assert R.q_json_sink(spark, "").count() == 40
-    json = files_of(landed(spark, "landing_json"), "json")
-    assert json and all(p.endswith(".gz") for p in json)
+    assert R.q_json_sink(spark, "").count() == R.q_flatten_lists(spark, "").count() == 40
+    json, csv = files_of(landed(spark, "landing_json"), "json"), files_of(landed(spark, "landing"), "csv")
+    assert json and csv and all(p.endswith(".gz") for p in json + csv)
     assert len({p.rsplit("/", 2)[1] for p in json}) == 2
