@@ -22,17 +22,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.bronze import bronze_metadata
-from ..sources.landing import CSV_READ_OPTIONS, DEFAULT_PREFIX, by_header, raw_csv_schema
+from ..sources.landing import CSV_READ_OPTIONS, DEFAULT_PREFIX, by_header, file_glob, raw_csv_schema
 
 
 def landing_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame over landing CSV files, each mapped by its own header.
 
-    ``landing`` is a directory (every ``*.csv`` below it, single files and Spark-written
-    snapshot directories alike) or a glob pattern."""
+    ``landing`` is a directory (every ``*.csv`` and ``*.csv.gz`` below it, single files and
+    Spark-written snapshot directories alike) or a glob pattern."""
     reader = spark.readStream.schema(raw_csv_schema()).options(**{**CSV_READ_OPTIONS, "header": "false"})
     if not any(ch in landing for ch in "*?[{"):
-        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", file_glob())
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return by_header(reader.csv(landing).withColumn("source_file", F.col("_metadata.file_path")))

@@ -11,6 +11,7 @@ from offerlake.plans import registry as R
 from offerlake.schemas import LANDING_COLUMNS, LANDING_SCHEMA, RECORD_SCHEMA
 from offerlake.session import checkpoint_root
 from offerlake.sources import landing as L
+from offerlake.streaming import ingest as S
 
 RUN, LATER = dt.datetime(2025, 5, 1, 2, 0, 0), dt.datetime(2025, 5, 2, 2, 0, 0)
 AWKWARD = ["two\nlines, \"quoted\"", "", None, "  padded ", "zażółć", "a,b\r\n"]
@@ -58,6 +59,14 @@ def test_packed_json_is_found_and_read_like_plain(spark, scratch_dir):
     assert values(L.read_landing_json(spark, packed)) == values(L.read_landing_json(spark, plain)) == values(records)
 
 
+def test_stream_takes_packed_files(spark, scratch_dir):
+    rows, landing, bronze = listings(spark), f"{scratch_dir}/landing", f"{scratch_dir}/bronze"
+    plain = L.write_csv_snapshot(rows, landing, RUN)
+    L.write_csv_snapshot(rows, landing, LATER, compression="gzip")
+    S.file_arrival_ingest(spark, landing, f"{scratch_dir}/ckpt", S.bronze_batch_writer(bronze, loaded_at="2025-05-02 03:00:00"))
+    assert values(spark.read.parquet(bronze)) == sorted(values(L.read_landing_csv(spark, plain)) * 2)
+
+
 @pytest.mark.parametrize("compression", ["none", "gzip"])
 def test_only_units_of_few_files_are_shuffled(spark, scratch_dir, compression):
     rows = listings(spark, 400)
