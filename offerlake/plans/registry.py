@@ -259,9 +259,9 @@ def write_landing_fixture(spark, sf_dir) -> str:
     name carries no timestamp; returns the landing directory."""
     landing = shared_path(spark, "landing", unique=True)
     rows = stored(spark, derived_bronze(spark, sf_dir))
-    L.write_csv_snapshot(rows.withColumn("job_title", F.concat("job_title", F.lit(" [old]"))), landing, OLD_RUN)
-    L.write_csv_snapshot(rows, landing, NEW_RUN)
-    rows.write.options(**L.CSV_WRITE_OPTIONS).csv(f"{landing}/manual_export.csv")
+    L.write_csv_snapshot(rows.withColumn("job_title", F.concat("job_title", F.lit(" [old]"))), landing, OLD_RUN, compression=PACKED)
+    L.write_csv_snapshot(rows, landing, NEW_RUN, compression=PACKED)
+    rows.write.options(**L.CSV_WRITE_OPTIONS, compression=PACKED).csv(f"{landing}/manual_export.csv")
     return landing
 
 

@@ -84,6 +84,17 @@ def landed(spark, folder):
     return sorted(glob.glob(f"{root}/offerlake/{folder}/*"), key=os.path.getmtime)[-1]
 
 
+def test_fixture_lands_three_packed_units(spark, monkeypatch):
+    monkeypatch.setattr(R, "derived_bronze", lambda spark, _: listings(spark))
+    landing = R.write_landing_fixture(spark, "")
+    units = [os.path.basename(u) for u in glob.glob(f"{landing.removeprefix('file:')}/*")]
+    assert sorted(units) == ["manual_export.csv", "the_it_protocol_jobs_19980531_020000.csv", "the_it_protocol_jobs_19980601_020000.csv"]
+    for unit in units:
+        parts = files_of(f"{landing.removeprefix('file:')}/{unit}", "csv")
+        assert parts and all(p.endswith(".csv.gz") for p in parts)
+        assert spark.read.options(**L.CSV_READ_OPTIONS).csv(f"{landing}/{unit}").count() == 40
+
+
 def test_json_and_flattened_sinks_land_packed(spark, monkeypatch):
     monkeypatch.setattr(R, "derived_bronze", lambda spark, _: listings(spark))
     assert R.q_json_sink(spark, "").count() == R.q_flatten_lists(spark, "").count() == 40
